@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aeroperf.llm import language, packing, storage, token_files, url_filter
+from aeroperf.llm import language, mixing, packing, storage, token_files, url_filter, warc
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 #: (host, path, verdict)
@@ -23,6 +23,13 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    arcs, warcs = storage.scratch(spark, "arc"), storage.scratch(spark, "warc")
+    warc.write_arc(_table(spark, sf_dir, "pages"), arcs)
+    warc.convert_arc(spark, arcs, warcs)
+    return warc.read_warc(spark, warcs).select(F.col("row_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, _ = url_filter.judge_urls(_table(spark, sf_dir, "pages").select("page_id", "url"), RULES)
     return out.select("page_id", "host", "path", "rule", "verdict")
@@ -42,14 +49,27 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, folder)
 
 
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.mix(docs).select("doc_id", "source", "epoch", "mix_weight", "mix_order")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
+    "op3_warc": op3_warc,
     "op4_url_filters": op4_url_filters,
     "op6_language_id": op6_language_id,
     "op8_token_files": op8_token_files,
+    "op10_mixing": op10_mixing,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_warc": """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+r AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS response FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN payload_bytes >= 100 AND response < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND response < page_id THEN response END AS refers_to FROM r
+""",
     "op4_url_filters": r"""
 WITH u AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
 h AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),

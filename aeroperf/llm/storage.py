@@ -68,7 +68,7 @@ class AtomicFile:
         self.fs, root = open_fs(folder)
         self.fs.create_dir(root, recursive=True)
         self.final, self.part = f"{root}/{name}", f"{root}/_{name}.{uuid.uuid4().hex[:8]}"
-        self.out, self.size = self.fs.open_output_stream(self.part), 0
+        self.out, self.size = self.fs.open_output_stream(self.part, compression=None), 0
 
     def write(self, data: bytes) -> None:
         self.out.write(data)
