@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aeroperf.llm import language, mixing, packing, storage, token_files, url_filter, warc
+from aeroperf.llm import embedding_dedup, language, mixing, packing, storage, token_files, url_filter, warc
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 #: (host, path, verdict)
@@ -43,6 +43,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_embeddings(_table(spark, sf_dir, "embeddings"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = storage.scratch(spark, "token-files")
     token_files.write_token_files(_table(spark, sf_dir, "documents"), folder, TOKENIZER)
@@ -59,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_warc": op3_warc,
     "op4_url_filters": op4_url_filters,
     "op6_language_id": op6_language_id,
+    "op7_embedding_dedup": op7_embedding_dedup,
     "op8_token_files": op8_token_files,
     "op10_mixing": op10_mixing,
 }
