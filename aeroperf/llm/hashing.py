@@ -13,7 +13,7 @@ _BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) | U(1)
 _BASE = U(0x9E3779B97F4A7C15 | 1)
 _INVERSE = U(pow(int(_BASE), -1, 2**64))
 _PLACES = _RNG.integers(1, 2**63, 64, dtype=np.uint64) | U(1)
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -83,7 +83,7 @@ def words(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np
     return span_hashes(lowered(data), begin, end), bounds, begin - base, end - base
 
 
-def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Parts of a batch whose texts hold about ``max_bytes``, a single longer text being a part of its own."""
     _, offsets = buffers(batch.column(batch.schema.get_field_index(column)))
     at = 0
