@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aeroperf.llm import embedding_dedup, language, mixing, packing, storage, token_files, url_filter, warc
+from aeroperf.llm import embedding_dedup, language, mixing, nearest, packing, storage, token_files, url_filter, warc
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 #: (host, path, verdict)
@@ -19,6 +19,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -59,6 +63,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_nearest": op1_nearest,
     "op2_packing": op2_packing,
     "op3_warc": op3_warc,
     "op4_url_filters": op4_url_filters,
