@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aeroperf.llm import embedding_dedup, language, mixing, nearest, packing, storage, token_files, url_filter, warc
+from aeroperf.llm import embedding_dedup, jaccard, language, mixing, nearest, packing, storage, token_files, url_filter, warc
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 #: (host, path, verdict)
@@ -39,6 +39,10 @@ def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(_table(spark, sf_dir, "documents"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
@@ -67,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op3_warc": op3_warc,
     "op4_url_filters": op4_url_filters,
+    "op5_jaccard": op5_jaccard,
     "op6_language_id": op6_language_id,
     "op7_embedding_dedup": op7_embedding_dedup,
     "op8_token_files": op8_token_files,
