@@ -1,5 +1,66 @@
-"""Corpus pipeline: the stages over ``documents``, each written as Parquet and read again as the next one's input."""
-STAGES: list = []
+"""Corpus pipeline over ``documents``: language ID, near duplicates, repeated passages, mixing, packing.
+
+Every stage takes (spark, docs, sf_dir); its result is written as Parquet and
+read again as the next one's ``docs``. All but the last return the columns of
+``docs``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from aeroperf.llm import jaccard, language, mixing, packing, passages
+from aeroperf.llm.queries import TOKENIZER
+from aeroperf.llm.storage import stored
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language can be told; those without a letter (``und``) go. The model is fitted on the stage's own labelled documents."""
+    model = language.train_language_model(docs)
+    return language.identify(docs, model).where("lang_pred <> 'und'").select(docs.columns)
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by a similarity of 0.8 or more over 5-word shingles, that with the smallest id. Documents without an id stay."""
+    groups = jaccard.jaccard_components(docs, k=5, num=8, den=10)
+    copies = groups.where("component_id <> doc_id").select("doc_id").distinct()
+    return docs.join(copies, "doc_id", "left_anti").select(docs.columns)
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages that other documents keep are cut out; a document of nothing else goes. n_chars follows the text."""
+    spans = stored(passages.repeated_passages(docs), "spans")
+    cut = passages.cut_passages(docs, spans)
+    emptied = (F.col("text") == "") & (F.col("n_chars") > 0)
+    out = cut.where(~F.coalesce(emptied, F.lit(False)))
+    return out.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars"))).select(docs.columns)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mixture takes them: at least once each, at most 1.25 times by source."""
+    return mixing.mix(docs, max_epochs=1.25).select(docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in sequences of 1024 tokens."""
+    return packing.pack(docs, TOKENIZER)
+
+
+STAGES = [
+    ("language_id", known_language),
+    ("near_duplicates", one_of_each),
+    ("repeated_passages", without_repeats),
+    ("mixing", mixed),
+    ("packing", packed),
+]
+
+#: The stages cannot be expressed in SQL; tests/llm holds them against brute force.
 ORACLE_SQL = None
-def run(spark, sf_dir):
-    raise NotImplementedError
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
