@@ -1,0 +1 @@
+"""Operational-performance and event-record analytics on Spark DataFrames."""
