@@ -36,7 +36,9 @@ from pyspark.sql import functions as F
 
 from aeroperf.llm.components import components
 from aeroperf.llm.hashing import mix, shingle_sets, slices
+from aeroperf.llm.id_filter import IdFilter
 from aeroperf.llm.storage import discard, stored
+from aeroperf.llm.workers import tidy
 
 U = np.uint64
 EDGE, DOC, KEY = 1, 2, 0
@@ -170,20 +172,19 @@ def _chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sets(k: int):
+    """Rows with their sets; a row whose set stands above it in the slice has a null one and names its holder."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in (p for b in batches for p in slices(b, "text")):
             flat, starts = shingle_sets(part.column("text"), k)
-            n = np.diff(starts)
-            ends = np.concatenate([[U(0)], np.cumsum(flat)])
-            f1 = mix(ends[starts[1:]] - ends[starts[:-1]] + n.astype(np.uint64))
-            ends = np.concatenate([[U(0)], np.cumsum(mix(flat))])
-            f2 = mix(ends[starts[1:]] - ends[starts[:-1]])
-            met: set[tuple[int, int]] = set()
-            raw = []
-            for i, f in enumerate(zip(f1.tolist(), f2.tolist())):
-                raw.append(None if f in met else flat[starts[i] : starts[i + 1]].tobytes())
-                met.add(f)
-            yield pa.RecordBatch.from_arrays([part.column("whole"), part.column("id"), pa.array(n), pa.array(f1.view(np.int64)), pa.array(f2.view(np.int64)), pa.array(raw, pa.binary())], ["whole", "id", "n", "f1", "f2", "shingles"])
+            ids = part.column("id").to_pylist()
+            met: dict[bytes, int] = {}
+            raw, holder = [], []
+            for i, name in enumerate(ids):
+                own = flat[starts[i] : starts[i + 1]].tobytes()
+                holder.append(met.setdefault(own, name))
+                raw.append(own if holder[-1] == name else None)
+            yield pa.RecordBatch.from_arrays([part.column("whole"), part.column("id"), pa.array(holder, pa.int64()), pa.array(np.diff(starts)), pa.array(raw, pa.binary())], ["whole", "id", "holder", "n", "shingles"])
 
     return run
 
@@ -226,15 +227,15 @@ def tile_links(sets: list[np.ndarray], side: np.ndarray | None, num: int, den: i
 
 def _tile(num: int, den: int):
     def run(table: pa.Table) -> pa.Table:
-        whole, rep, side = (table.column(c).to_numpy() for c in ("whole", "rep", "side"))
+        whole, name, side = (table.column(c).to_numpy() for c in ("whole", "id", "side"))
         cross = bool(table.column("cross")[0].as_py())
         sets = [np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()]
         a, b = [], []
         order = np.argsort(whole, kind="stable")
         for at in np.split(order, np.flatnonzero(np.diff(whole[order])) + 1):
             for i, j in tile_links([sets[x] for x in at], side[at] if cross else None, num, den):
-                a.append(rep[at[i]])
-                b.append(rep[at[j]])
+                a.append(name[at[i]])
+                b.append(name[at[j]])
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return run
@@ -248,33 +249,34 @@ def jaccard_components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 10
     one; without words or text the set is empty and links with nothing.
     Documents link when den * intersection >= num * union, exactly (up to
     64-bit hashes). A null id takes no part and has a null component. Rows that
-    repeat an id are kept, with the smallest component that one of them is in.
+    repeat an id are kept and are one document, linked where one of them is.
     Other columns are not carried.
     """
     bands = Bands(num, den)
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    signed = base.mapInArrow(_signatures(k, bands), "key long, a long, b long, kind byte")
-    met = stored(signed.repartition("key").mapInArrow(_chain, "a long, b long, kind byte"), "shared-keys")
+    signed = base.mapInArrow(tidy(_signatures(k, bands)), "key long, a long, b long, kind byte")
+    met = stored(signed.repartition("key").mapInArrow(tidy(_chain), "a long, b long, kind byte"), "shared-keys")
     rows = met.where(F.col("kind") == DOC).select(F.col("a").alias("id"), F.col("b").alias("n_shingles"))
     groups = components(met.where(F.col("kind") == EDGE).select("a", "b"))
 
-    near = base.join(groups.select(F.col("node").alias("id"), F.col("component").alias("whole")), "id").select("whole", "id", "text")
-    members = stored(near.mapInArrow(_sets(k), "whole long, id long, n long, f1 long, f2 long, shingles binary"), "sets")
-    classes = members.groupBy("whole", "f1", "f2", "n").agg(F.min("id").alias("rep"), F.first("shingles", ignorenulls=True).alias("shingles"))
+    possible = base.where(IdFilter(groups.select("node")).maybe(F.col("id")))
+    near = possible.join(groups.select(F.col("node").alias("id"), F.col("component").alias("whole")), "id").select("whole", "id", "text")
+    members = stored(near.mapInArrow(tidy(_sets(k)), "whole long, id long, holder long, n long, shingles binary"), "sets")
     edges = np.asarray(_edges(num, den))
     edges = edges[edges < 1 << 31].tolist()
     band = F.size(F.filter(F.array(*[F.lit(e) for e in edges]), lambda e: e <= F.col("n"))) - 1
-    classes = stored(classes.withColumn("band", band), "set-classes")
+    sets = members.where("shingles is not null").withColumn("band", band)
 
     tiles = F.greatest(F.ceil(F.col("sets") / tile), F.ceil(F.col("elements") / tile_shingles)).cast("int")
-    per_band = classes.groupBy("whole", "band").agg(F.count("*").alias("sets"), F.sum("n").alias("elements")).withColumn("tiles", tiles)
+    per_band = sets.groupBy("whole", "band").agg(F.count("*").alias("sets"), F.sum("n").alias("elements")).withColumn("tiles", tiles)
     sizes = per_band.groupBy("whole").agg(F.sum("sets").alias("sets"), F.sum("elements").alias("elements"), F.map_from_entries(F.collect_list(F.struct("band", "tiles"))).alias("tiles"))
-    sizes = stored(sizes.where("sets > 1").withColumn("small", (F.col("sets") <= tile) & (F.col("elements") <= tile_shingles)), "set-sizes")
-    total = sizes.agg(F.sum("sets")).first()[0] or 0
+    large = stored(sizes.where((F.col("sets") > tile) | (F.col("elements") > tile_shingles)).select("whole", "tiles"), "large-groups")
+    total = members.agg(F.count("shingles")).first()[0]
     buckets = max(1, total // 512)
 
-    dealt = classes.join(sizes.select("whole", "tiles", "small"), "whole")
-    own = F.pmod(F.xxhash64(F.lit(3), "rep"), F.col("tiles")[F.col("band")]).cast("int")
+    # one row for each component of more than a tile: Spark broadcasts the table while it is small
+    dealt = sets.join(large, "whole", "left").withColumn("small", F.col("tiles").isNull())
+    own = F.pmod(F.xxhash64(F.lit(3), "id"), F.col("tiles")[F.col("band")]).cast("int")
     dealt = dealt.withColumn("own", F.when(F.col("small"), 0).otherwise(own))
 
     def meets(step: int):
@@ -295,13 +297,10 @@ def jaccard_components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 10
     alone = F.array(F.struct(F.lit(-1).alias("b1"), F.lit(0).alias("t1"), F.lit(-1).alias("b2"), F.lit(0).alias("t2"), F.lit(0).alias("side"), F.lit(False).alias("cross")))
     where = F.when(F.col("small"), alone).otherwise(F.concat(meets(0), meets(1), meets(-1)))
     room = F.when(F.col("small"), F.pmod(F.xxhash64("whole"), F.lit(buckets))).otherwise(F.col("whole"))
-    dealt = dealt.select(room.alias("room"), "whole", "rep", "shingles", F.explode(where).alias("m")).select("room", "whole", "rep", "shingles", "m.*")
+    dealt = dealt.select(room.alias("room"), "whole", "id", "shingles", F.explode(where).alias("m")).select("room", "whole", "id", "shingles", "m.*")
     links = stored(dealt.groupBy("room", "b1", "t1", "b2", "t2").applyInArrow(_tile(num, den), "a long, b long"), "links")
-    roots = components(links)
-
-    reps = classes.select("whole", "f1", "f2", "n", "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
-    reps = stored(reps.select("whole", "f1", "f2", "n", F.coalesce("component", "rep").alias("component")), "class-components")
-    linked = members.select("id", "whole", "f1", "f2", "n").join(reps, ["whole", "f1", "f2", "n"]).groupBy("id").agg(F.min("component").alias("component_id"))
-    out = rows.join(linked, "id", "left").select(F.col("id").alias(id_col), "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
-    discard(links)
+    equal = members.where("holder <> id").select(F.col("id").alias("a"), F.col("holder").alias("b"))
+    roots = components(links.union(equal))
+    out = rows.join(roots.withColumnRenamed("node", "id"), "id", "left").select(F.col("id").alias(id_col), "n_shingles", F.coalesce("component", "id").alias("component_id"))
+    discard(members, links)
     return out
