@@ -48,7 +48,7 @@ ref AS (SELECT l_returnflag, o_orderpriority, count(*) AS n, quantile_cont(days,
   WHERE days > 0 AND days <= 120 AND o_orderpriority IS NOT NULL AND o_orderdate BETWEEN TIMESTAMP '1997-01-01 00:00:00' AND TIMESTAMP '1997-12-31 23:59:59' GROUP BY ALL HAVING count(*) >= 5),
 v AS (SELECT legs.*, reference, (days > 0 AND days <= 120 AND reference IS NOT NULL) AS valid FROM legs LEFT JOIN ref USING (l_returnflag, o_orderpriority))"""
 LEGS, LEGS_NULL = LEGS_SQL.format(priority="o_orderpriority"), LEGS_SQL.format(priority="nullif(o_orderpriority, '5-LOW')")
-SUMS = """count(*) FILTER (WHERE valid) AS "MVTS_VALID", count(*) FILTER (WHERE NOT valid) AS "MVTS_NA", round(coalesce(sum(days) FILTER (WHERE valid), 0), 4) AS "TOT",
+SUMS = """count(*) FILTER (WHERE valid) AS "MVTS_VALID", count(*) FILTER (WHERE NOT valid) AS "MVTS_NA", round(coalesce(sum(days) FILTER (WHERE valid), 0), 4)::DOUBLE AS "TOT",
   round(coalesce(sum(reference) FILTER (WHERE valid), 0), 4) AS "TOT_REF", round(coalesce(sum(days - reference) FILTER (WHERE valid), 0), 4) AS "TOT_ADD" """
 
 
@@ -508,7 +508,7 @@ def _(t):
     return coverage.year_coverage(t("orders"), "o_orderdate", (1994, 1995, 1996, 1999, 2001, 2002), "2001-07-31")
 
 
-@bind("edge_days", """WITH d AS (SELECT year(o_orderdate) AS year, o_orderdate::DATE AS day, count(*) AS n FROM orders GROUP BY ALL), y AS (SELECT year, min(day) AS f, max(day) AS l, avg(n) AS mean FROM d GROUP BY ALL)
+@bind("edge_days", """WITH d AS (SELECT year(o_orderdate)::INTEGER AS year, o_orderdate::DATE AS day, count(*) AS n FROM orders GROUP BY ALL), y AS (SELECT year, min(day) AS f, max(day) AS l, avg(n) AS mean FROM d GROUP BY ALL)
 SELECT d.year, edge, strftime(day, '%Y-%m-%d') AS day, n, round(mean, 6) AS mean, n < mean * 0.5 AS partial FROM d JOIN y USING (year), (VALUES ('first'), ('last')) e(edge) WHERE (edge = 'first' AND day = f) OR (edge = 'last' AND day = l)""")
 def _(t):
     return coverage.edge_days(t("orders"), "o_orderdate").withColumns({"day": F.col("day").cast("string"), "mean": F.round("mean", 6)})
@@ -636,7 +636,7 @@ def _(t):
 
 
 @bind("scalar_duration", """SELECT event_id, CASE WHEN event_id % 3 = 2 THEN NULL ELSE round(CASE WHEN event_id % 3 = 1 THEN -1 ELSE 1 END * ((event_id % 5) * 60 + event_id % 60 + (event_id % 59) / 60.0), 6)::DOUBLE END AS minutes,
-  CASE WHEN event_id % 4 = 0 THEN NULL ELSE 'S' || lpad(((event_id % 800) % 360)::VARCHAR, 3, '0') END AS sector, round(least(greatest(value, 5), 50), 4) AS clamped, CASE event_type WHEN 'view' THEN 1.5 WHEN 'click' THEN 2.5 END AS looked, round(100 * value / nullif(event_id % 2, 0), 2) AS share FROM events""")
+  CASE WHEN event_id % 4 = 0 THEN NULL ELSE 'S' || lpad(((event_id % 800) % 360)::VARCHAR, 3, '0') END AS sector, round(least(greatest(value, 5), 50), 4) AS clamped, CASE event_type WHEN 'view' THEN 1.5 WHEN 'click' THEN 2.5 END::DOUBLE AS looked, round(100 * value / nullif(event_id % 2, 0), 2) AS share FROM events""")
 def _(t):
     e = F.col("event_id")
     said = F.format_string("%s%d:%02d:%02d", F.when(e % 3 == 1, "-").otherwise(""), e % 5, e % 60, e % 59)

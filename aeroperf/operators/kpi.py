@@ -36,14 +36,14 @@ def reference(df: DataFrame, spec: KpiSpec, keep_small: bool = False) -> DataFra
 
 
 def with_reference(df: DataFrame, ref: DataFrame, spec: KpiSpec) -> DataFrame:
-    """Adds reference (null where a row's key has none), valid (duration valid and reference known) and additional.
+    """Adds reference (null where a row's key has none), valid (duration valid and reference known) and over_reference (the additional time).
 
     The table of references is as small as the number of key groups; Spark
     broadcasts it when its measured size allows that.
     """
     out = df.join(ref.select(*spec.key, "reference"), list(spec.key), "left")
     out = out.withColumn("valid", is_valid(spec) & F.col("reference").isNotNull())
-    return out.withColumn("additional", F.when(F.col("valid"), F.col(spec.duration) - F.col("reference")))
+    return out.withColumn("over_reference", F.when(F.col("valid"), F.col(spec.duration) - F.col("reference")))
 
 
 def daily(df: DataFrame, spec: KpiSpec, by: tuple[str, ...]) -> DataFrame:
@@ -55,7 +55,7 @@ def daily(df: DataFrame, spec: KpiSpec, by: tuple[str, ...]) -> DataFrame:
     v, d = F.col("valid"), F.col(spec.duration)
     return df.groupBy(*by).agg(
         count_if(v).alias("MVTS_VALID"), count_if(~v).alias("MVTS_NA"), total(d, v).alias("TOT"), total(F.col("reference"), v).alias("TOT_REF"),
-        total(F.col("additional")).alias("TOT_ADD"), *[total(F.col(c)).alias(f"TOT_{c}") for c in spec.supplied],
+        total(F.col("over_reference")).alias("TOT_ADD"), *[total(F.col(c)).alias(f"TOT_{c}") for c in spec.supplied],
     )
 
 

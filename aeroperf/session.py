@@ -12,6 +12,7 @@ def session(app: str = "aeroperf", master: str | None = None, shuffle_partitions
         b = b.master(master)
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    b = b.config("spark.sql.python.filterPushdown.enabled", "true")
     for k, v in conf.items():
         b = b.config(k, v)
     return b.getOrCreate()

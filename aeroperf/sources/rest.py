@@ -1,8 +1,8 @@
 """Paged REST tables as a Spark data source: one partition a month (or day), pages in a total order, filters sent along.
 
-``fetch`` is the one thing that touches a network: a function of (table, query
-parameters) to a list of records, given by name as ``module:function``. Tests and
-air-gapped runs give one that reads a folder.
+``fetch`` is the one thing that touches a network: a function of (base, table,
+query parameters) to a list of records, given by name as ``module:function``.
+Tests and air-gapped runs give one that reads a folder.
 """
 
 from __future__ import annotations
@@ -53,19 +53,19 @@ def days(start: date, end: date) -> Iterator[tuple[date, date]]:
         at += timedelta(days=1)
 
 
-def http_fetch(table: str, params: dict[str, str]) -> list[dict]:
-    """Records from ``$REST_BASE/table?params`` with an optional bearer token in ``$REST_TOKEN``."""
+def http_fetch(base: str, table: str, params: dict[str, str]) -> list[dict]:
+    """Records from ``base/table?params`` with an optional bearer token in ``$REST_TOKEN``."""
     from urllib.parse import urlencode
     from urllib.request import Request, urlopen
 
     head = {"Accept": "application/json"} | ({"Authorization": f"Bearer {os.environ['REST_TOKEN']}"} if os.environ.get("REST_TOKEN") else {})
-    with urlopen(Request(f"{os.environ['REST_BASE']}/{table}?{urlencode(params)}", headers=head), timeout=180) as r:
+    with urlopen(Request(f"{base}/{table}?{urlencode(params)}", headers=head), timeout=180) as r:
         return json.load(r)
 
 
-def folder_fetch(table: str, params: dict[str, str]) -> list[dict]:
-    """The same from ``$REST_FOLDER/table.json``: bounds, eq filters, order, offset and limit."""
-    with open(f"{os.environ['REST_FOLDER']}/{table}.json") as f:
+def folder_fetch(base: str, table: str, params: dict[str, str]) -> list[dict]:
+    """The same from ``base/table.json``: bounds, eq filters, order, offset and limit."""
+    with open(f"{base}/{table}.json") as f:
         rows = json.load(f)
     for part in re.findall(r"(\w+)\.(gte|lt)\.([^,()]+)", params.get("and", "")):
         rows = [r for r in rows if r.get(part[0]) is not None and ((r[part[0]] >= part[2]) if part[1] == "gte" else (r[part[0]] < part[2]))]
@@ -78,13 +78,13 @@ def folder_fetch(table: str, params: dict[str, str]) -> list[dict]:
     return rows[at : at + int(params.get("limit", PAGE_ROWS))]
 
 
-def pages(fetch, table: str, params: dict[str, str], page_rows: int = PAGE_ROWS, tries: int = 4, wait_s: float = 2.0) -> Iterator[list[dict]]:
+def pages(fetch, base: str, table: str, params: dict[str, str], page_rows: int = PAGE_ROWS, tries: int = 4, wait_s: float = 2.0) -> Iterator[list[dict]]:
     """Pages until an empty one; the offset moves by rows received, so a server's lower cap loses nothing."""
     at = 0
     while True:
         for left in range(tries - 1, -1, -1):
             try:
-                got = fetch(table, params | {"offset": str(at), "limit": str(page_rows)})
+                got = fetch(base, table, params | {"offset": str(at), "limit": str(page_rows)})
                 break
             except OSError:
                 if not left:
@@ -97,7 +97,7 @@ def pages(fetch, table: str, params: dict[str, str], page_rows: int = PAGE_ROWS,
 
 
 class RestSource(DataSource):
-    """``spark.read.format("rest").schema(...).options(table=, column=, start=, end=, order=, fetch=, grain=, rename=)``."""
+    """``spark.read.format("rest").schema(...).options(base=, table=, column=, start=, end=, order=, fetch=, grain=, rename=)``."""
 
     @classmethod
     def name(cls) -> str:
@@ -105,7 +105,7 @@ class RestSource(DataSource):
 
     def schema(self) -> T.StructType:
         """From the first rows, all strings; a schema of one's own saves the request."""
-        got = next(pages(_named(self.options), self.options["table"], {}, 5), [])
+        got = next(pages(_named(self.options), self.options.get("base", ""), self.options["table"], {}, 5), [])
         return T.StructType([T.StructField(c, T.StringType()) for c in dict.fromkeys(k for r in got for k in r)])
 
     def reader(self, schema: T.StructType) -> DataSourceReader:
@@ -157,7 +157,7 @@ class RestReader(DataSourceReader):
         column, order = self.options["column"], self.options.get("order") or self.options["column"]
         params = {"and": f"({column}.gte.{partition.start},{column}.lt.{partition.end})", "order": order} | self.where
         rename = json.loads(self.options.get("rename", "{}"))
-        for got in pages(_named(self.options), self.options["table"], params, int(self.options.get("pagerows", PAGE_ROWS))):
+        for got in pages(_named(self.options), self.options.get("base", ""), self.options["table"], params, int(self.options.get("pagerows", PAGE_ROWS))):
             for row in got:
                 row = {rename.get(k, k): v for k, v in row.items()}
                 yield tuple(text(row.get(c)) for c in self.columns)
