@@ -33,7 +33,8 @@ def chain(df: DataFrame, spec: MergeSpec, gap: Column | None = None, also: tuple
 
     A gap of exactly ``gap_min`` joins. Rows without a start, or with a null in
     the key, have a null island. ``gap`` and ``also`` let the gap be a column
-    that is part of the key.
+    that is part of the key. _s, _e and _lone are for what follows: a grouping
+    by key, _lone and island needs no further shuffle.
     """
     keys = [*spec.key, *also]
     ok = _chained(spec)
@@ -45,12 +46,12 @@ def chain(df: DataFrame, spec: MergeSpec, gap: Column | None = None, also: tuple
     limit = F.lit(spec.gap_min) if gap is None else gap
     out = out.withColumn("_new", (F.col("_before").isNull() | (minutes_between(F.col("_s"), F.col("_before")) > limit)).cast("int"))
     out = out.withColumn("island", F.when(ok, F.sum("_new").over(by.rowsBetween(Window.unboundedPreceding, 0))))
-    return out.drop("_before", "_new", "_lone")
+    return out.drop("_before", "_new")
 
 
 def edges(df: DataFrame, spec: MergeSpec, row_id: str) -> DataFrame:
     """Edges between consecutive records of an island: row_id, partner_id, gap_min (negative where they overlap)."""
-    by = Window.partitionBy(*spec.key, "island").orderBy(*_order(spec))
+    by = Window.partitionBy(*spec.key, "_lone", "island").orderBy(*_order(spec))
     held = F.max("_e").over(by.rowsBetween(Window.unboundedPreceding, -1))
     out = chain(df, spec).where("island is not null").withColumns({"partner_id": F.lag(row_id).over(by), "gap_min": minutes_between(F.col("_s"), held)})
     return out.where("partner_id is not null").select(F.col(row_id).alias("row_id"), "partner_id", "gap_min")
@@ -77,8 +78,7 @@ def merged(df: DataFrame, spec: MergeSpec, islands: DataFrame | None = None) ->
     records = F.coalesce(F.sum("N_MERGED"), F.count("*")) if again else F.count("*")
     aggs = [F.min("_s").alias(spec.start), F.max("_e").alias(spec.end)]
     aggs += [union_of_lists(F.col(c)).alias(c) for c in spec.union_cols] + [first_filled(F.col(c), by).alias(c) for c in spec.filled_cols]
-    own_end = F.min(F.col(spec.end)).alias("_own_end")
-    aggs += [records.cast("long").alias("N_MERGED"), F.count("*").alias("_rows"), F.bool_and(F.col("_s") == F.col("_e")).alias("_zero"), own_end]
+    aggs += [records.cast("long").alias("N_MERGED"), F.count("*").alias("_rows"), F.bool_and(F.col("_s") == F.col("_e")).alias("_zero")]
     if again:
         aggs.append(F.min("ZERO_SPAN_ONLY").alias("_zero_before"))
     if spec.identity:
@@ -86,20 +86,21 @@ def merged(df: DataFrame, spec: MergeSpec, islands: DataFrame | None = None) ->
         listed = F.array_sort(F.collect_list(F.struct(by.alias("o"), name.alias("i"))))
         aggs.append(F.array_join(F.transform(listed, lambda x: x["i"]), "|").alias("MERGED_IDS"))
     keys = [*spec.key, "island"]
-    lone = F.when(F.col("island").isNull(), F.xxhash64(*[F.col(c) for c in spec.order]))
-    out = got.withColumn("_lone", lone).groupBy(*keys, "_lone").agg(*aggs)
+    if "_lone" not in got.columns:
+        got = got.withColumn("_lone", F.when(F.col("island").isNull(), F.xxhash64(*[F.col(c) for c in spec.order])))
+    out = got.groupBy(*keys, "_lone").agg(*aggs)
     single = F.col("_rows") == 1
     zero = F.when(~single, F.col("_zero"))
     out = out.withColumn("ZERO_SPAN_ONLY", F.coalesce(zero, F.col("_zero_before")) if again else zero)
     out = out.withColumn("SPAN_MIN", minutes_between(F.col(spec.end), F.col(spec.start)))
-    return out.drop("_rows", "_zero", "_zero_before", "_own_end", "_lone", "island")
+    return out.drop("_rows", "_zero", "_zero_before", "_lone", "island")
 
 
 def sweep(df: DataFrame, spec: MergeSpec, gaps: tuple[float, ...]) -> DataFrame:
     """Per gap: islands, records that were merged, the largest island and the 99th percentile of spans; one job for all gaps."""
     many = df.withColumn("gap_min", F.explode(F.array(*[F.lit(float(g)) for g in gaps])))
     got = chain(many, spec, F.col("gap_min"), ("gap_min",)).where("island is not null")
-    per = got.groupBy("gap_min", *spec.key, "island").agg(F.count("*").alias("n"), minutes_between(F.max("_e"), F.min("_s")).alias("span"))
+    per = got.groupBy("gap_min", *spec.key, "_lone", "island").agg(F.count("*").alias("n"), minutes_between(F.max("_e"), F.min("_s")).alias("span"))
     return per.groupBy("gap_min").agg(F.count("*").alias("islands"), F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("merged_records"), F.max("n").alias("largest"), F.percentile("span", 0.99).alias("span_p99"))
 
 
