@@ -128,3 +128,18 @@ def absent_fields(df: DataFrame, expected: tuple[str, ...]) -> list[str]:
 
     held = {flat_name(c) for c in df.columns}
     return [c for c in expected if flat_name(c) not in held]
+
+
+def count_by(sources: dict[str, DataFrame], ts: str, columns: tuple[str, ...] = ()) -> DataFrame:
+    """Rows per source, year and the columns that a source has (null where it lacks one); a source without ``ts`` is left out."""
+    parts = []
+    for name, df in sources.items():
+        if ts in df.columns:
+            own = [F.col(c).cast("string").alias(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in columns]
+            parts.append(df.select(F.lit(name).alias("source"), F.year(ts).alias("year"), *own))
+    if not parts:
+        raise ValueError(f"no source has {ts}")
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.groupBy("source", "year", *columns).agg(F.count("*").alias("n"))

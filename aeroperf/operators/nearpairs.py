@@ -64,3 +64,17 @@ def listing(df: DataFrame, pairs: DataFrame, row_id: str, columns: tuple[str, ..
     rows = df.select(F.col(row_id).alias("_id"), *columns)
     side = lambda c, role: pairs.join(rows, F.col(c) == F.col("_id")).select(F.col("row_id").alias("pair"), F.lit(role).alias("role"), F.col("_id").alias("id"), "kind", "gap_min", *columns)
     return side("row_id", "repeat").unionByName(side("partner_id", "original"))
+
+
+def examples(df: DataFrame, pairs: DataFrame, key: tuple[str, ...], row_id: str, start: str, groups: int = 5) -> DataFrame:
+    """All rows of the first ``groups`` keys (in their order) that hold a pair, with flagged and the gap to the row before: a report."""
+    marked = df.join(flagged(pairs).select(F.col("row_id").alias(row_id), F.lit(True).alias("flagged")), row_id, "left")
+    some = marked.where("flagged").select(*key).distinct().orderBy(*key).limit(groups)
+    by = Window.partitionBy(*key).orderBy(start, row_id)
+    return marked.join(some, list(key), "left_semi").withColumns({"flagged": F.coalesce("flagged", F.lit(False)), "gap_min": minutes_between(F.col(start), F.lag(start).over(by))})
+
+
+def before_and_after(before: DataFrame, after: DataFrame, predicate, columns: tuple[str, ...]) -> DataFrame:
+    """The rows that a predicate picks, as they were and as they were merged: stage and columns."""
+    tag = lambda df, s: df.where(predicate).select(F.lit(s).alias("stage"), *columns)
+    return tag(before, "before").unionByName(tag(after, "after"))

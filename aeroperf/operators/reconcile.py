@@ -165,3 +165,22 @@ def key_variants(df: DataFrame, callsign: str, departure: str, arrival: str, day
         "flight_day": F.concat_ws("|", route, F.date_format(day, "yyyy-MM-dd")), "eobt": F.concat_ws("|", route, F.date_format(planned, "yyyy-MM-dd HH:mm:ss")),
         "eobt_day": F.concat_ws("|", route, F.date_format(planned, "yyyy-MM-dd")), "eobt_seq": F.concat_ws("|", route, F.date_format(day, "yyyy-MM-dd"), "_seq"),
     }).drop("_seq")
+
+
+class Sides:
+    """Two versions of a dataset, read once and kept for several comparisons; what they are kept by includes the columns."""
+
+    def __init__(self, left, right):
+        """``left`` and ``right`` are functions of a list of columns to a DataFrame."""
+        self._read, self._held = (left, right), {}
+
+    def get(self, columns: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
+        if columns not in self._held:
+            self._held[columns] = tuple(f(list(columns)).persist() for f in self._read)
+        return self._held[columns]
+
+    def release(self) -> None:
+        for pair in self._held.values():
+            for df in pair:
+                df.unpersist()
+        self._held.clear()

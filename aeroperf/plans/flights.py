@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aeroperf.config import GAP_MIN, MergeSpec, Steps
-from aeroperf.functions.text import canonical_list, clean, token_count
+from aeroperf.functions.numbers import count_if, share
+from aeroperf.functions.text import UNKNOWN_AERODROMES, canonical_list, clean, first_token, token_count
 from aeroperf.functions.time import no_sentinel, parse_stamp
 from aeroperf.operators.collapse import collapse_same_key
 from aeroperf.operators.components import cut_lineage
@@ -64,3 +65,11 @@ def joined_months(months: list[DataFrame], gap_min: float = GAP_MIN) -> DataFram
 def unit_counts(df: DataFrame) -> DataFrame:
     """Flights by the number of units that saw them."""
     return df.groupBy(F.coalesce(token_count(F.col("li_orgaos")), F.lit(0)).alias("units")).agg(F.count("*").alias("n"))
+
+
+def traffic_profile(df: DataFrame, by: tuple[str, ...], rules: str = "li_regravoo", kind: str = "li_tipovoo") -> DataFrame:
+    """Shares (percent) of flights by rule (I, V) and type (S, G) of their first unit, and of those without an aerodrome at either end."""
+    first = lambda c: first_token(F.col(c))
+    pct = lambda cond, name: share(count_if(cond), F.count("*"), 4).alias(name)
+    missing = lambda c: clean(F.col(c)).isNull() | F.col(c).isin(*UNKNOWN_AERODROMES)
+    return df.groupBy(*by).agg(F.count("*").alias("n"), pct(first(rules) == "I", "pct_ifr"), pct(first(rules) == "V", "pct_vfr"), pct(first(kind) == "S", "pct_scheduled"), pct(first(kind) == "G", "pct_general"), pct(missing("co_addep") | missing("co_addes"), "pct_no_aerodrome"))

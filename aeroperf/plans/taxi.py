@@ -65,3 +65,14 @@ def comparison_key(df: DataFrame) -> DataFrame:
     key = F.concat_ws("|", *[F.coalesce(x, F.lit("")) for x in (c("indicativo"), c("mov"), stamp_text(col_or_null(df, "dh_bimtra")), c("adpartida"), c("addestino"))])
     fields = [(truth(col_or_null(df, f)) if f == "match_vra" else stamp_text(col_or_null(df, f)) if f == "dh_vra" else F.nullif(c(f), F.lit(""))).alias(f) for f in COMPARED]
     return df.select(key.alias("key"), *fields)
+
+
+def ingest_year(spark, paths: list[str], year: int, out: str, airports: tuple[str, ...] | None = None) -> DataFrame:
+    """Read a year's files (the year's by name, or unnamed ones), harmonise them and write them as that year's parquet; what was written."""
+    from aeroperf.sinks.files import write_by_year
+    from aeroperf.sources.catalog import for_years
+    from aeroperf.sources.delimited import read_delimited
+
+    df = harmonised(read_delimited(spark, for_years(paths, {year}), RAW, extra=EXTRA), airports)
+    write_by_year(df, out, F.lit(year))
+    return spark.read.parquet(out).where(F.col("YEAR") == year)

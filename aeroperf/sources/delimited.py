@@ -76,3 +76,8 @@ def lower_cased(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Headers in lower case, and of ``columns`` those that are there."""
     df = df.toDF(*[c.lower() for c in df.columns])
     return df.select(*[c for c in columns if c in df.columns]) if columns else df
+
+
+def read_typed(spark: SparkSession, path: str, schema: str, sep: str = ",", null: str = "NA") -> DataFrame:
+    """A result file under an explicit schema (dates as text stay text); a value that doesn't fit its type is an error."""
+    return spark.read.option("sep", sep).option("header", True).option("nullValue", null).option("mode", "FAILFAST").schema(schema).csv(path)
