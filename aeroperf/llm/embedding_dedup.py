@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from aeroperf.llm.components import components
 from aeroperf.llm.storage import stored
 from aeroperf.llm.vectors import floats, matrix, rotation
+from aeroperf.llm.workers import tidy
 
 
 def band_codes(u: np.ndarray, bands: int, bits: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -116,7 +117,7 @@ def near_embeddings(vectors: DataFrame, id_col: str = "vec_id", vector: str = "e
                 at = pa.array(at)
                 yield pa.RecordBatch.from_arrays([batch.column("id").take(at), batch.column("group").take(at), pa.array(list(x))], ["id", "group", "v"])
 
-    usable = base.where("id is not null and group is not null and v is not null").mapInArrow(clean, "id long, group long, v array<double>")
+    usable = base.where("id is not null and group is not null and v is not null").mapInArrow(tidy(clean), "id long, group long, v array<double>")
     usable = stored(usable.withColumns({"k1": F.xxhash64("v"), "k2": F.xxhash64(F.lit(1), F.reverse("v"), "group")}), "vectors")
     classes = stored(usable.groupBy("group", "k1", "k2").agg(F.min("id").alias("rep"), F.count("*").alias("weight"), F.first("v").alias("v")), "vector-classes")
 
@@ -133,7 +134,7 @@ def near_embeddings(vectors: DataFrame, id_col: str = "vec_id", vector: str = "e
                     own = pa.array(np.repeat(at, bands))
                     yield pa.RecordBatch.from_arrays([batch.column("rep").take(own), batch.column("group").take(own), pa.array(key.ravel()), pa.array(np.tile(np.arange(bands), len(at)))], ["rep", "group", "key", "band"])
 
-    keyed = stored(classes.select("rep", "group", "v").mapInArrow(banded, "rep long, group long, key long, band long"), "vector-bands")
+    keyed = stored(classes.select("rep", "group", "v").mapInArrow(tidy(banded), "rep long, group long, key long, band long"), "vector-bands")
     sizes = stored(keyed.groupBy("group", "key").agg(F.count("*").alias("size")).where("size > 1").withColumn("tiles", F.ceil(F.col("size") / tile).cast("int")), "band-sizes")
     dealt = keyed.join(sizes, ["group", "key"]).withColumn("own", F.pmod(F.xxhash64(F.lit(seed), "rep"), F.col("tiles")).cast("int"))
     # every pair of tiles meets once: own tile i goes to (i, j) as the left and to (j, i) as the right side

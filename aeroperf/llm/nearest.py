@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from aeroperf.llm.storage import discard, stored
 from aeroperf.llm.vectors import matrix, rotation
+from aeroperf.llm.workers import tidy
 
 U = np.uint64
 
@@ -111,7 +112,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
                     raw = [(r + 0.0).astype(kind).tobytes() for r in x]
                     yield pa.RecordBatch.from_arrays([own.column("id").take(pa.array(at)), own.column("q").take(pa.array(at)), pa.array(raw, pa.binary())], ["id", "q", "v"])
 
-    usable = base.mapInArrow(clean, "id long, q boolean, v binary").withColumns({"k1": F.xxhash64("v"), "k2": F.xxhash64(F.lit("v2"), "v")})
+    usable = base.mapInArrow(tidy(clean), "id long, q boolean, v binary").withColumns({"k1": F.xxhash64("v"), "k2": F.xxhash64(F.lit("v2"), "v")})
     usable = stored(usable, "vectors")
     widths = usable.groupBy(F.length("v").alias("n")).count().orderBy(F.desc("count"), "n").limit(1).collect()
     if not widths:
@@ -127,7 +128,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
     whole = usable.groupBy("k1", "k2").agg(F.min("id").alias("rep"), F.max("q").alias("q"), F.first("v").alias("v"))
     classes = stored(whole.join(ids, ["k1", "k2"]), "vector-classes")
 
-    moments = classes.select("v").mapInArrow(_moments(width, kind), "n long, s array<double>, ss double").toArrow()
+    moments = classes.select("v").mapInArrow(tidy(_moments(width, kind)), "n long, s array<double>, ss double").toArrow()
     n = sum(moments.column("n").to_pylist())
     center = np.sum(np.array(moments.column("s").to_pylist()), 0) / n
     scale = math.sqrt(max((sum(moments.column("ss").to_pylist()) / n - center @ center) / width, 1e-300))
@@ -147,8 +148,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
             seen += np.bincount(o, minlength=orderings)
             yield pa.RecordBatch.from_arrays([batch.column("ordering"), batch.column("rep"), pa.array(np.full(len(o), TaskContext.get().partitionId(), np.int32)), pa.array(place)], ["ordering", "rep", "part", "place"])
 
-    curve = classes.select("rep", "v").mapInArrow(keyed, "ordering int, key long, rep long").repartitionByRange("ordering", "key", "rep").sortWithinPartitions("ordering", "key", "rep")
-    curve = stored(curve.mapInArrow(placed, "ordering int, rep long, part int, place long"), "curve")
+    curve = classes.select("rep", "v").mapInArrow(tidy(keyed), "ordering int, key long, rep long").repartitionByRange("ordering", "key", "rep").sortWithinPartitions("ordering", "key", "rep")
+    curve = stored(curve.mapInArrow(tidy(placed), "ordering int, rep long, part int, place long"), "curve")
     before = Window.partitionBy("ordering").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = curve.groupBy("ordering", "part").agg(F.count("*").alias("n")).withColumn("ahead", F.coalesce(F.sum("n").over(before), F.lit(0)))
     ranks = stored(curve.join(parts, ["ordering", "part"]).select("ordering", "rep", (F.col("ahead") + F.col("place")).alias("rank")), "ranks")
@@ -215,7 +216,7 @@ def _window(classes: DataFrame, ranks: DataFrame, k: int, width: int, kind: str,
                 top[i] = ids[order], d[order]
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.full(len(t[0]), a) for a, t in zip(asked, top)])), pa.array(np.concatenate([t[0] for t in top])), pa.array(np.concatenate([t[1] for t in top]))], ["query", "rep", "d"])
 
-    near = classes.select("rep", "v").mapInArrow(scan, "query long, rep long, d double").where("query <> rep")
+    near = classes.select("rep", "v").mapInArrow(tidy(scan), "query long, rep long, d double").where("query <> rep")
     near = near.withColumn("n", F.row_number().over(Window.partitionBy("query").orderBy("d", "rep"))).where(F.col("n") <= k).select("query", "rep").toArrow()
     pairs = list(zip(near.column("query").to_pylist(), near.column("rep").to_pylist()))
     if not pairs:

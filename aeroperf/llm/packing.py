@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 
 from aeroperf.llm.hashing import slices
 from aeroperf.llm.tokens import encoder
+from aeroperf.llm.workers import tidy
 
 
 class CapacityTree:
@@ -126,6 +127,6 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 1024, id_col: str = "doc
     """
     kind = dict(docs.dtypes)[id_col]
     schema = f"`{id_col}` {kind}, start long, length long, ids_crc32 long, doc_tokens long" + ", ids binary" * keep_ids
-    pieces = docs.select(id_col, text_col).mapInArrow(_pieces(tokenizer, window, id_col, text_col, end_id, keep_ids), schema)
+    pieces = docs.select(id_col, text_col).mapInArrow(tidy(_pieces(tokenizer, window, id_col, text_col, end_id, keep_ids)), schema)
     dealt = docs.sparkSession.sql(f"SELECT /*+ REBALANCE(`{id_col}`, start) */ * FROM {{pieces}}", pieces=pieces)
-    return dealt.mapInArrow(_packed(window, id_col), schema + ", sequence_id long, offset long, sequence_tokens long, padded_to long")
+    return dealt.mapInArrow(tidy(_packed(window, id_col)), schema + ", sequence_id long, offset long, sequence_tokens long, padded_to long")

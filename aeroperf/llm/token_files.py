@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from aeroperf.llm.hashing import slices
 from aeroperf.llm.storage import AtomicFile, list_files, open_fs
 from aeroperf.llm.tokens import encoder
+from aeroperf.llm.workers import tidy
 
 MAGIC = b"RPR1"
 U = np.uint64
@@ -218,7 +219,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, id_col: str
             out.close()
         yield pa.RecordBatch.from_arrays([pa.array([total], pa.int64())], ["n"])
 
-    return dealt.mapInArrow(run, "n long").agg(F.sum("n")).first()[0] or 0
+    return dealt.mapInArrow(tidy(run), "n long").agg(F.sum("n")).first()[0] or 0
 
 
 def read_token_files(spark: SparkSession, folder: str, id_col: str = "doc_id", keep_ids: bool = False) -> DataFrame:
@@ -244,7 +245,7 @@ def read_token_files(spark: SparkSession, folder: str, id_col: str = "doc_id", k
                 before += shard.n_ids
 
     before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    ahead = files.mapInArrow(total, "file long, n long").select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("ahead"))
-    rows = files.mapInArrow(decode, f"`{id_col}` long, file long, in_file long, n_tokens long, ids_crc32 long" + ", ids array<int>" * keep_ids)
+    ahead = files.mapInArrow(tidy(total), "file long, n long").select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("ahead"))
+    rows = files.mapInArrow(tidy(decode), f"`{id_col}` long, file long, in_file long, n_tokens long, ids_crc32 long" + ", ids array<int>" * keep_ids)
     out = rows.join(ahead, "file").withColumn("start", F.col("ahead") + F.col("in_file"))
     return out.select(id_col, "start", "n_tokens", "ids_crc32", *["ids"] * keep_ids)

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from aeroperf.llm.hashing import slices
 from aeroperf.llm.storage import AtomicFile, list_files, open_fs, stored
+from aeroperf.llm.workers import tidy
 
 #: The header lines of the two ARC versions.
 ARC_FIELDS = {
@@ -158,7 +159,7 @@ def write_arc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: s
             out.close()
         yield pa.RecordBatch.from_arrays([pa.array([total], pa.int64())], ["n"])
 
-    return pages.select(id_col, url_col, html_col).mapInArrow(run, "n long").agg(F.sum("n")).first()[0] or 0
+    return pages.select(id_col, url_col, html_col).mapInArrow(tidy(run), "n long").agg(F.sum("n")).first()[0] or 0
 
 
 def _header(head: bytes, name: str) -> str | None:
@@ -182,7 +183,7 @@ def index_arc(spark: SparkSession, folder: str) -> DataFrame:
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64()))], ["file", "position", "row_id", "payload_digest", "payload_bytes"])
 
-    return list_files(spark, folder).select("path").mapInArrow(run, INDEX)
+    return list_files(spark, folder).select("path").mapInArrow(tidy(run), INDEX)
 
 
 def choose_responses(index: DataFrame, least_bytes: int = 100) -> DataFrame:
@@ -296,4 +297,4 @@ def read_warc(spark: SparkSession, folder: str, keep_payload: bool = False) -> D
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), kinds)], names)
 
     schema = "row_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long" + ", payload binary" * keep_payload
-    return list_files(spark, folder).select("path").mapInArrow(run, schema)
+    return list_files(spark, folder).select("path").mapInArrow(tidy(run), schema)

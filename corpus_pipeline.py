@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aeroperf.llm import jaccard, language, mixing, packing, passages
+from aeroperf.llm.id_filter import without_listed
 from aeroperf.llm.queries import TOKENIZER
 from aeroperf.llm.storage import stored
 
@@ -24,8 +25,8 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by a similarity of 0.8 or more over 5-word shingles, that with the smallest id. Documents without an id stay."""
     groups = jaccard.jaccard_components(docs, k=5, num=8, den=10)
-    copies = groups.where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(docs.columns)
+    copies = stored(groups.where("component_id <> doc_id").select("doc_id"), "copies")
+    return without_listed(docs, "doc_id", copies)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
