@@ -7,8 +7,9 @@ shingles of a document are dealt by their hash into p = H + 1 + e parts; two
 partners agree in whole on at least 1 + e of them. A key is the hash of one
 non-empty part (about six shingles), so partners share a key unless more than e
 parts are empty in both; a document with more empty parts than e gives keys for
-those as well. No frequency table is needed: a passage that a third of all
-documents hold makes no common key, as a part holds a document's own shingles too.
+those as well. Shingles that many documents hold are left out of the parts, which
+loses no partner, as sets differ in no more elements without them: else unrelated
+documents would meet in parts that hold a boilerplate shingle and nothing else.
 
 **What is shuffled** are (key, id) rows; equal keys within a slice of a task are
 joined before, so that no key sends more than one row from each. Documents
@@ -85,46 +86,101 @@ def _parts(num: int, den: int, band: int) -> tuple[int, int, int]:
     return least, apart + 1 + spare, spare
 
 
-def part_keys(flat: np.ndarray, starts: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
-    """(key, document) of every part of every set, for its own band and for the one below."""
+def part_keys(flat: np.ndarray, starts: np.ndarray, bands: Bands, common: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(key, document) of every part of every set, for its own band and for the one below.
+
+    ``common`` is a bitmap of shingles to leave out of the parts: two sets that
+    differ in H elements differ in H at most without them. A document that is
+    left with too many empty parts gives the keys of its whole set besides, and
+    if those have too many as well, keys for the empty ones.
+    """
     sizes = np.diff(starts)
-    docs = np.flatnonzero(sizes)
-    if not len(docs):
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    own = bands.band(sizes[docs])
-    keys, owners = [], []
-    mixed = mix(flat ^ U(0x5851F42D4C957F2D))
+    if common is None:
+        return _keys(flat, starts, sizes, np.flatnonzero(sizes), bands, 1)[:2]
+    keep = (common[(flat & U(64 * len(common) - 1)) >> U(6)] >> (flat & U(63))) & U(1) == 0
+    kept = np.concatenate([[0], np.cumsum(keep)])[starts]
+    keys, docs, left = _keys(flat[keep], kept, sizes, np.flatnonzero(sizes), bands, 0)
+    more, again, _ = _keys(flat, starts, sizes, left, bands, 1)
+    return np.concatenate([keys, more]), np.concatenate([docs, again])
+
+
+def _keys(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, docs: np.ndarray, bands: Bands, level: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys and documents, and documents with too many empty parts; at level 1 those have keys for them."""
+    own, mixed = bands.band(sizes[docs]), mix(flat ^ U(0x5851F42D4C957F2D + level))
+    keys, owners, left = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    held = np.diff(starts)
     for down in (0, 1):
-        band = own - down
-        there = band >= 0
-        some, at = docs[there], band[there]
+        some, at = docs[own >= down], own[own >= down] - down
         if not len(some):
             continue
         table = {b: bands.parts(b) for b in np.unique(at).tolist()}
         p = np.array([table[b][1] for b in at.tolist()], np.uint64)
         spare = np.array([table[b][2] for b in at.tolist()])
-        n = sizes[some]
+        n = held[some]
         index = np.repeat(starts[some] - (np.cumsum(n) - n), n) + np.arange(n.sum())
         row = np.repeat(np.arange(len(some)), n)
         part = ((flat[index] >> U(32)) * p[row]) >> U(32)
-        begins = np.flatnonzero(np.r_[True, (part[1:] != part[:-1]) | (row[1:] != row[:-1])])
-        total = np.add.reduceat(mixed[index], begins)
+        begins = np.flatnonzero(np.r_[True, (part[1:] != part[:-1]) | (row[1:] != row[:-1])]) if len(part) else np.zeros(0, np.int64)
         r, q = row[begins], part[begins]
-        keys.append(mix(total + _salt(at[r], q)))
-        owners.append(some[r])
-        filled = np.bincount(r, minlength=len(some))
-        for i in np.flatnonzero(p.astype(np.int64) - filled > spare):
+        if len(begins):
+            keys.append(mix(np.add.reduceat(mixed[index], begins) + _salt(at[r], q) + U(level)))
+            owners.append(some[r])
+        over = np.flatnonzero(p.astype(np.int64) - np.bincount(r, minlength=len(some)) > spare)
+        left.append(some[over])
+        for i in over if level else ():
             empty = np.setdiff1d(np.arange(int(p[i])), q[r == i].astype(np.int64)).astype(np.uint64)
             keys.append(mix(_salt(np.full(len(empty), at[i]), empty) ^ U(0xE)))
             owners.append(np.full(len(empty), some[i]))
-    return np.concatenate(keys), np.concatenate(owners)
+    return np.concatenate(keys), np.concatenate(owners), np.unique(np.concatenate(left))
 
 
 def _salt(band: np.ndarray, part: np.ndarray) -> np.ndarray:
     return mix((band.astype(np.uint64) << U(40)) + part + U(1))
 
 
-def _signatures(k: int, bands: Bands):
+def _repeats(k: int, most: int = 1 << 22):
+    """Shingles that come in two or more documents of a stretch of a task (``most`` shingles long), with their counts."""
+
+    def counted(held: list[np.ndarray]) -> pa.RecordBatch:
+        shingle, n = np.unique(np.concatenate(held), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(shingle[n > 1].view(np.int64)), pa.array(n[n > 1])], ["shingle", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        for part in (p for b in batches for p in slices(b, "text")):
+            held.append(shingle_sets(part.column("text"), k)[0])
+            if sum(map(len, held)) >= most:
+                yield counted(held)
+                held = []
+        if held:
+            yield counted(held)
+
+    return run
+
+
+def common_shingles(base: DataFrame, k: int, least: int = 16, most_bits: int = 1 << 26) -> np.ndarray:
+    """Bitmap of shingles that many documents hold: boilerplate, which would make unrelated documents share a part.
+
+    Counts are of all documents; what comes only once in a stretch of a task
+    is not sent. Which shingles count as common decides how much work is done,
+    not which links are found. The bitmap has 8 bits for each of them and at
+    most ``most_bits`` (8 MB) in all: the least count doubles until they fit.
+    """
+    counts = stored(base.mapInArrow(tidy(_repeats(k)), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= least), "common-shingles")
+    sizes = {r["b"]: r["c"] for r in counts.groupBy(F.floor(F.log2("n")).alias("b")).agg(F.count("*").alias("c")).collect()}
+    while sum(c for b, c in sizes.items() if 2**b >= least) * 8 > most_bits:
+        least *= 2
+    total = sum(c for b, c in sizes.items() if 2**b >= least)
+    bits = min(most_bits, 1 << max(10, (8 * total).bit_length()))
+    word = F.shiftright(F.col("shingle").bitwiseAND(F.lit(bits - 1)), 6)
+    words = counts.where(F.col("n") >= least).groupBy(word.alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(shingle & 63 AS int))")).alias("bits")).toArrow()
+    out = np.zeros(bits >> 6, np.uint64)
+    out[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
+    discard(counts)
+    return out
+
+
+def _signatures(k: int, bands: Bands, common):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in (p for b in batches for p in slices(b, "text")):
             ids = part.column("id")
@@ -132,7 +188,7 @@ def _signatures(k: int, bands: Bands):
             n, whole = len(ids), ids.is_valid().to_numpy(zero_copy_only=False)
             number = ids.fill_null(0).to_numpy()
             yield _rows(mix(np.arange(n, dtype=np.uint64) + mix(number.view(np.uint64))).view(np.int64), ids, pa.array(np.diff(starts)), DOC)
-            keys, doc = part_keys(flat, starts, bands)
+            keys, doc = part_keys(flat, starts, bands, common.value)
             keep = whole[doc]
             keys, doc = keys[keep], doc[keep]
             order = np.argsort(keys, kind="stable")
@@ -254,12 +310,13 @@ def jaccard_components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 10
     """
     bands = Bands(num, den)
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    signed = base.mapInArrow(tidy(_signatures(k, bands)), "key long, a long, b long, kind byte")
+    common = docs.sparkSession.sparkContext.broadcast(common_shingles(base, k))
+    signed = base.mapInArrow(tidy(_signatures(k, bands, common)), "key long, a long, b long, kind byte")
     met = stored(signed.repartition("key").mapInArrow(tidy(_chain), "a long, b long, kind byte"), "shared-keys")
     rows = met.where(F.col("kind") == DOC).select(F.col("a").alias("id"), F.col("b").alias("n_shingles"))
     groups = components(met.where(F.col("kind") == EDGE).select("a", "b"))
 
-    possible = base.where(IdFilter(groups.select("node")).maybe(F.col("id")))
+    possible = IdFilter(groups.select("node")).hits(base, "id")
     near = possible.join(groups.select(F.col("node").alias("id"), F.col("component").alias("whole")), "id").select("whole", "id", "text")
     members = stored(near.mapInArrow(tidy(_sets(k)), "whole long, id long, holder long, n long, shingles binary"), "sets")
     edges = np.asarray(_edges(num, den))
