@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from aeroperf.llm.storage import stored
 
 
 class IdFilter:
-    """``maybe(id)`` is true for every listed id and for few others; a join decides those.
+    """Which rows may hold a listed id: all that do, and few others; a join decides those.
 
-    The bitmap has 8 bits for each listed id, but ``most_bits`` (8 MB) at most:
-    it is broadcast, so its size is bounded. Beyond that it lets more rows
-    through to the join and stays right. Null ids are never listed.
+    The bitmap has 8 bits for each listed id, but ``most_bits`` (8 MB) at most,
+    as a table of 64-bit words that is broadcast: a million rows is its bound.
+    Beyond that it lets more rows through to the join and stays right. Null ids
+    are never listed. It is tested in the JVM, so a stage that goes on in Python
+    needs no second worker.
     """
 
     def __init__(self, ids: DataFrame, most_bits: int = 1 << 26):
@@ -22,26 +23,27 @@ class IdFilter:
         name = ids.columns[0]
         n = ids.agg(F.count(name)).first()[0]
         self.bits = min(most_bits, 1 << max(10, (8 * n).bit_length()))
-        place = F.pmod(F.xxhash64(F.lit("id"), name), F.lit(self.bits))
-        words = ids.where(F.col(name).isNotNull()).groupBy(F.shiftright(place, 6).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(xxhash64('id', `{name}`), 64) AS int))")).alias("bits")).toArrow()
-        table = np.zeros(self.bits >> 6, np.uint64)
-        table[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
-        shared = ids.sparkSession.sparkContext.broadcast(table)
-        mask = np.uint64(self.bits - 1)
+        held = ids.where(F.col(name).isNotNull()).select(F.pmod(F.xxhash64(F.lit("id"), name), F.lit(self.bits)).alias("_at"))
+        words = held.groupBy(F.shiftright("_at", 6).alias("_word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(_at & 63 AS int))")).alias("_bits"))
+        self.words = stored(words, "id-words")
 
-        @F.pandas_udf(T.BooleanType())
-        def maybe(h: pd.Series) -> pd.Series:
-            at = h.to_numpy().view(np.uint64) & mask
-            return pd.Series((shared.value[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1)
+    def _tested(self, df: DataFrame, id_col: str) -> DataFrame:
+        at = F.pmod(F.xxhash64(F.lit("id"), id_col), F.lit(self.bits))
+        marked = df.withColumns({"_at": F.when(F.col(id_col).isNotNull(), at)}).withColumn("_word", F.shiftright("_at", 6))
+        tested = marked.join(F.broadcast(self.words), "_word", "left")  # at most most_bits / 64 rows
+        hit = F.coalesce(F.expr("(shiftrightunsigned(_bits, cast(_at & 63 AS int)) & 1L) = 1"), F.lit(False))
+        return tested.withColumn("_hit", hit).drop("_at", "_word", "_bits")
 
-        self._maybe = maybe
+    def hits(self, df: DataFrame, id_col: str) -> DataFrame:
+        return self._tested(df, id_col).where("_hit").select(*[f"`{c}`" for c in df.columns])
 
-    def maybe(self, id_col: Column) -> Column:
-        return id_col.isNotNull() & self._maybe(F.xxhash64(F.lit("id"), id_col))
+    def misses(self, df: DataFrame, id_col: str) -> DataFrame:
+        """Rows that no listed id can match."""
+        return self._tested(df, id_col).where("not _hit").select(*[f"`{c}`" for c in df.columns])
 
 
 def without_listed(df: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
     """Rows whose id is not in ``ids`` (one column, repeats allowed); only possible matches are shuffled. A null id stays."""
-    hit = IdFilter(ids).maybe(F.col(id_col))
+    f = IdFilter(ids)
     listed = ids.toDF("_listed").distinct()
-    return df.where(~hit).unionByName(df.where(hit).join(listed, F.col(id_col) == F.col("_listed"), "left_anti"))
+    return f.misses(df, id_col).unionByName(f.hits(df, id_col).join(listed, F.col(id_col) == F.col("_listed"), "left_anti"))

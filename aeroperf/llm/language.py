@@ -18,9 +18,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aeroperf.llm.hashing import slices
+from aeroperf.llm.workers import tidy
 
 LETTER = regex.compile(r"\p{L}")
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 
 
 @dataclass
@@ -98,7 +99,7 @@ def train_language_model(labelled: DataFrame, text: str = "text", lang: str = "l
         yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(j), pa.array(total[i, j])], ["lang", "bucket", "n"])
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(langs))), pa.array(np.full(len(langs), -1)), pa.array(docs)], ["lang", "bucket", "n"])
 
-    got = df.where(keep).select("lang", "text").mapInArrow(count, "lang long, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    got = df.where(keep).select("lang", "text").mapInArrow(tidy(count), "lang long, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
     i, j, n = (got.column(x).to_numpy() for x in ("lang", "bucket", "n"))
     table = np.full((buckets, len(langs)), smoothing)
     np.add.at(table, (j[j >= 0], i[j >= 0]), n[j >= 0])
@@ -144,4 +145,4 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataF
                 score[known] = (odds.max(1) / odds.sum(1))[known]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(score)], names=[*batch.schema.names, "lang_pred", "score"])
 
-    return base.mapInArrow(predict, schema)
+    return base.mapInArrow(tidy(predict), schema)
