@@ -78,9 +78,12 @@ def bisect_exponent(tokens: dict, max_epochs: float | None = 1.25, target_entrop
     return high
 
 
-def source_tokens(docs: DataFrame, source: str = "source", tokens: str = "tokens") -> dict:
-    """Sum of tokens by source over all rows, at the driver: one row per source."""
-    return {r[0]: int(r[1] or 0) for r in docs.groupBy(source).agg(F.sum(tokens)).collect()}
+def source_tokens(docs: DataFrame, source: str = "source", tokens: str = "tokens", max_sources: int = 1_000_000) -> dict:
+    """Sum of tokens by source over all rows, at the driver: one row per source; more than ``max_sources`` raise ValueError."""
+    sums = docs.groupBy(source).agg(F.sum(tokens)).limit(max_sources + 1).collect()
+    if len(sums) > max_sources:
+        raise ValueError(f"more than {max_sources} sources: a table of weights that is broadcast must stay small")
+    return {r[0]: int(r[1] or 0) for r in sums}
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", source: str = "source", text: str = "text", max_epochs: float | None = 1.25, target_entropy: float | None = None, budget: int | None = None, seed: int = 17, slots: int = 4096) -> DataFrame:
