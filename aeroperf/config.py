@@ -35,6 +35,7 @@ class MergeSpec:
     identity: str | None = None  # its values are listed in merged_ids
     prefer_filled: str | None = None  # records that have it are first in the merge order
     null_key: str = "exclude"
+    split_by: str | None = None  # "day", "month": cut keys that hold too many rows for one task
 
 
 @dataclass(frozen=True)
@@ -49,6 +50,7 @@ class MatchSpec:
     tolerance_min: float
     shift_min: float = 0.0
     null_key: str = "exclude"
+    split_by: str | None = None  # as above
 
 
 @dataclass(frozen=True)

@@ -40,15 +40,39 @@ def chain(df: DataFrame, spec: MergeSpec, gap: Column | None = None, also: tuple
     ok = _chained(spec)
     # rows that are not chained stand alone, so that null keys don't meet in one task
     lone = F.when(~ok, F.xxhash64(*[F.col(c) for c in spec.order]))
-    by = Window.partitionBy(*keys, "_lone").orderBy(*_order(spec))
     out = _prepared(df, spec).withColumn("_lone", lone)
-    out = out.withColumn("_before", F.max("_e").over(by.rowsBetween(Window.unboundedPreceding, -1)))
     limit = F.lit(spec.gap_min) if gap is None else gap
-    out = out.withColumn("_new", (F.col("_before").isNull() | (minutes_between(F.col("_s"), F.col("_before")) > limit)).cast("int"))
+    new = (F.col("_before").isNull() | (minutes_between(F.col("_s"), F.col("_before")) > limit)).cast("int")
+    if spec.split_by:
+        return _chained_in_parts(out, [*keys, "_lone"], spec, ok, new)
+    by = Window.partitionBy(*keys, "_lone").orderBy(*_order(spec))
+    out = out.withColumn("_before", F.max("_e").over(by.rowsBetween(Window.unboundedPreceding, -1))).withColumn("_new", new)
     out = out.withColumn("island", F.when(ok, F.sum("_new").over(by.rowsBetween(Window.unboundedPreceding, 0))))
     return out.drop("_before", "_new")
 
 
+def _with_carry(out: DataFrame, keys: list[str], value: Column, name: str, total) -> DataFrame:
+    """Adds ``total`` of ``value`` over all earlier parts of a key: one row a part goes through a window, not the rows."""
+    by = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = out.groupBy(*keys, "_part").agg(total(value).alias("_v")).withColumn(name, total("_v").over(by))
+    right = parts.select(*[F.col(k).alias(f"_r{i}") for i, k in enumerate([*keys, "_part"])], name)
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r{i}")) for i, k in enumerate([*keys, "_part"])])
+    return out.join(right, same, "left").drop(*[f"_r{i}" for i in range(len(keys) + 1)])
+
+
+def _chained_in_parts(out: DataFrame, keys: list[str], spec: MergeSpec, ok: Column, new: Column) -> DataFrame:
+    """The same islands with a key's rows cut by time: windows within a part, and a carry from the parts before."""
+    out = out.withColumn("_part", F.date_trunc(spec.split_by, "_s"))
+    by = Window.partitionBy(*keys, "_part").orderBy(*_order(spec))
+    out = _with_carry(out, keys, F.col("_e"), "_reach", F.max)
+    before = F.greatest(F.max("_e").over(by.rowsBetween(Window.unboundedPreceding, -1)), F.col("_reach"))
+    out = out.withColumn("_before", before).withColumn("_new", new)
+    out = _with_carry(out, keys, F.col("_new"), "_opened", F.sum)
+    within = F.sum("_new").over(by.rowsBetween(Window.unboundedPreceding, 0))
+    out = out.withColumn("island", F.when(ok, within + F.coalesce("_opened", F.lit(0))))
+    return out.drop("_part", "_reach", "_before", "_new", "_opened")
+
+
 def edges(df: DataFrame, spec: MergeSpec, row_id: str) -> DataFrame:
     """Edges between consecutive records of an island: row_id, partner_id, gap_min (negative where they overlap)."""
     by = Window.partitionBy(*spec.key, "_lone", "island").orderBy(*_order(spec))

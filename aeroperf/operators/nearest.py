@@ -20,18 +20,24 @@ def nearest(left: DataFrame, right: DataFrame, spec: MatchSpec) -> DataFrame:
     clock. Of two equally near the earlier wins, then the smaller id. Rows
     without a time never match; those with a null in the key match each other
     only with ``null_key='group'``. A key's rows are sorted in one task: one
-    shuffle, no pairs. Ids must be of one type on both sides.
+    shuffle, no pairs; with ``split_by`` a day's or month's rows of a key are,
+    and what stands before and after a part is carried in. Ids must be of one
+    type on both sides.
     """
     part = lambda df, i, t, side, shift: df.select(*spec.key, F.col(i).alias("_id"), (shifted(F.col(t), shift) if shift else F.col(t).cast("timestamp")).alias("_t"), F.lit(side).alias("_side"))
     both = part(left, spec.left_id, spec.left_time, 1, spec.shift_min).unionByName(part(right, spec.right_id, spec.right_time, 0, 0)).where("_t is not null")
     if spec.null_key == "exclude":
         both = both.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in spec.key]))
     other = F.when(F.col("_side") == 0, F.struct("_t", "_id"))
-    by = Window.partitionBy(*spec.key)
+    split = [F.date_trunc(spec.split_by, "_t").alias("_part")] if spec.split_by else []
+    both = both.select("*", *split)
+    by = Window.partitionBy(*spec.key, *["_part"] * bool(split))
     # at one time the right rows come first going forward (smallest id last) and first going back (smallest id last)
     forward = by.orderBy(F.col("_t"), F.col("_side"), F.col("_id").desc()).rowsBetween(Window.unboundedPreceding, 0)
     back = by.orderBy(F.col("_t").desc(), F.col("_side"), F.col("_id").desc()).rowsBetween(Window.unboundedPreceding, 0)
     got = both.withColumns({"_p": F.last(other, ignorenulls=True).over(forward), "_n": F.last(other, ignorenulls=True).over(back)}).where("_side = 1")
+    if split:
+        got = _carried(got, both, spec.key)
     gap = lambda c: F.abs(F.unix_micros(F.col(f"{c}._t")) - F.unix_micros("_t"))
     pick = F.when(F.col("_n").isNull() | (F.coalesce(gap("_p"), F.lit(2**62)) <= gap("_n")), F.col("_p")).otherwise(F.col("_n"))
     got = got.withColumn("_m", pick).where("_m is not null")
@@ -39,6 +45,20 @@ def nearest(left: DataFrame, right: DataFrame, spec: MatchSpec) -> DataFrame:
     return out.withColumn("diff_min", minutes_between(F.col("right_time"), F.col("left_time"))).where(F.abs("diff_min") <= spec.tolerance_min)
 
 
+def _carried(got: DataFrame, both: DataFrame, key: tuple[str, ...]) -> DataFrame:
+    """Where a part has no right row before or after a left one: the last of the parts before, the first of those after."""
+    micros, right = F.unix_micros("_t"), F.col("_side") == 0
+    row = F.struct("_t", "_id")
+    ends = both.groupBy(*key, "_part").agg(F.min_by(F.when(right, row), F.when(right, F.struct(-micros, F.col("_id")))).alias("_last"), F.min_by(F.when(right, row), F.when(right, F.struct(micros, F.col("_id")))).alias("_first"))
+    parts = Window.partitionBy(*key).orderBy("_part")
+    ends = ends.withColumns({"_before": F.last("_last", ignorenulls=True).over(parts.rowsBetween(Window.unboundedPreceding, -1)), "_after": F.first("_first", ignorenulls=True).over(parts.rowsBetween(1, Window.unboundedFollowing))})
+    names = [*key, "_part"]
+    right_side = ends.select(*[F.col(k).alias(f"_r{i}") for i, k in enumerate(names)], "_before", "_after")
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r{i}")) for i, k in enumerate(names)])
+    out = got.join(right_side, same, "left").withColumns({"_p": F.coalesce("_p", "_before"), "_n": F.coalesce("_n", "_after")})
+    return out.drop(*[f"_r{i}" for i in range(len(names))], "_before", "_after", "_part")
+
+
 def _closest(df: DataFrame, side: str) -> DataFrame:
     rest = [c for c in df.columns if c != side]
     other = "right_id" if side == "left_id" else "left_id"

@@ -1,6 +1,7 @@
 """Islands, matching, components and merges against brute force and worked cases."""
 
 import random
+from dataclasses import replace
 from datetime import datetime, timedelta
 
 import pytest
@@ -37,8 +38,9 @@ def brute_islands(rows, gap):
 def test_islands_equal_brute_force(spark, rows):
     data = [(k, T0 + timedelta(minutes=s), None if d is None else T0 + timedelta(minutes=s + d), i) for i, (k, s, d) in enumerate(rows)]
     df = spark.createDataFrame(data, "k string, s timestamp, e timestamp, i long")
-    got = {r.i: r.island for r in islands.chain(df, SPEC).collect()}
-    assert got == brute_islands([(k, s, e, i) for k, s, e, i in data], 60)
+    want = brute_islands([(k, s, e, i) for k, s, e, i in data], 60)
+    for spec in (SPEC, replace(SPEC, split_by="hour")):
+        assert {r.i: r.island for r in islands.chain(df, spec).collect()} == want
 
 
 def test_exact_gap_joins_and_a_microsecond_more_splits(spark):
@@ -101,7 +103,9 @@ def test_nearest_equals_brute_force(spark, left, right):
     r = [(k, T0 + timedelta(minutes=m), 100 + i) for i, (k, m) in enumerate(right)]
     schema = "k string, t timestamp, i long"
     spec = MatchSpec(("k",), "i", "i", "t", "t", 10.0)
-    got = {x.left_id: x.right_id for x in nearest.nearest(spark.createDataFrame(l, schema), spark.createDataFrame(r, schema), spec).collect()}
+    sides = spark.createDataFrame(l, schema), spark.createDataFrame(r, schema)
+    got = {x.left_id: x.right_id for x in nearest.nearest(*sides, spec).collect()}
+    assert got == {x.left_id: x.right_id for x in nearest.nearest(*sides, replace(spec, split_by="minute")).collect()}
     want = {}
     for k, t, i in l:
         near = sorted((abs(t - u), u, j) for kk, u, j in r if kk == k)
