@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 U = np.uint64
 _RNG = np.random.default_rng(20240229)
@@ -85,8 +86,8 @@ def words(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np
 
 def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Parts of a batch whose texts hold about ``max_bytes``, a single longer text being a part of its own."""
-    _, offsets = buffers(batch.column(batch.schema.get_field_index(column)))
-    at = 0
+    sizes = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(column))), 0).to_numpy(zero_copy_only=False)
+    offsets, at = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]), 0
     while at < len(batch):
         to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + max_bytes, "right")) - 1)
         yield batch.slice(at, to - at)
