@@ -23,27 +23,27 @@ class IdFilter:
         name = ids.columns[0]
         n = ids.agg(F.count(name)).first()[0]
         self.bits = min(most_bits, 1 << max(10, (8 * n).bit_length()))
-        held = ids.where(F.col(name).isNotNull()).select(F.pmod(F.xxhash64(F.lit("id"), name), F.lit(self.bits)).alias("_at"))
-        words = held.groupBy(F.shiftright("_at", 6).alias("_word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(_at & 63 AS int))")).alias("_bits"))
+        held = ids.where(F.col(name).isNotNull()).select(F.pmod(F.xxhash64(F.lit("id"), name), F.lit(self.bits)).alias("_filter_at"))
+        words = held.groupBy(F.shiftright("_filter_at", 6).alias("_filter_word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(_filter_at & 63 AS int))")).alias("_filter_bits"))
         self.words = stored(words, "id-words")
 
     def _tested(self, df: DataFrame, id_col: str) -> DataFrame:
         at = F.pmod(F.xxhash64(F.lit("id"), id_col), F.lit(self.bits))
-        marked = df.withColumns({"_at": F.when(F.col(id_col).isNotNull(), at)}).withColumn("_word", F.shiftright("_at", 6))
-        tested = marked.join(F.broadcast(self.words), "_word", "left")  # at most most_bits / 64 rows
-        hit = F.coalesce(F.expr("(shiftrightunsigned(_bits, cast(_at & 63 AS int)) & 1L) = 1"), F.lit(False))
-        return tested.withColumn("_hit", hit).drop("_at", "_word", "_bits")
+        marked = df.withColumns({"_filter_at": F.when(F.col(id_col).isNotNull(), at)}).withColumn("_filter_word", F.shiftright("_filter_at", 6))
+        tested = marked.join(F.broadcast(self.words), "_filter_word", "left")  # at most most_bits / 64 rows
+        hit = F.coalesce(F.expr("(shiftrightunsigned(_filter_bits, cast(_filter_at & 63 AS int)) & 1L) = 1"), F.lit(False))
+        return tested.withColumn("_filter_hit", hit).drop("_filter_at", "_filter_word", "_filter_bits")
 
     def hits(self, df: DataFrame, id_col: str) -> DataFrame:
-        return self._tested(df, id_col).where("_hit").select(*[f"`{c}`" for c in df.columns])
+        return self._tested(df, id_col).where("_filter_hit").select(*[f"`{c}`" for c in df.columns])
 
     def misses(self, df: DataFrame, id_col: str) -> DataFrame:
         """Rows that no listed id can match."""
-        return self._tested(df, id_col).where("not _hit").select(*[f"`{c}`" for c in df.columns])
+        return self._tested(df, id_col).where("not _filter_hit").select(*[f"`{c}`" for c in df.columns])
 
 
 def without_listed(df: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
     """Rows whose id is not in ``ids`` (one column, repeats allowed); only possible matches are shuffled. A null id stays."""
     f = IdFilter(ids)
-    listed = ids.toDF("_listed").distinct()
-    return f.misses(df, id_col).unionByName(f.hits(df, id_col).join(listed, F.col(id_col) == F.col("_listed"), "left_anti"))
+    listed = ids.toDF("_filter_listed").distinct()
+    return f.misses(df, id_col).unionByName(f.hits(df, id_col).join(listed, F.col(id_col) == F.col("_filter_listed"), "left_anti"))

@@ -101,8 +101,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source: str = "source", text: s
     """
     spark = docs.sparkSession
     base = docs.drop("epoch", "mix_weight", "mix_order")
-    measured = base.withColumn("_tokens", n_words(F.col(text)))
-    tokens = source_tokens(measured, source, "_tokens")
+    measured = base.withColumn("_mix_tokens", n_words(F.col(text)))
+    tokens = source_tokens(measured, source, "_mix_tokens")
     weights = temper(tokens, bisect_exponent(tokens, max_epochs, target_entropy)) if any(tokens.values()) else {s: 0.0 for s in tokens}
     if budget is None:
         budget = max((tokens[s] / w for s, w in weights.items() if w), default=0)
@@ -115,25 +115,25 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source: str = "source", text: s
             whole, rest = whole + 1, 0.0
         rows.append((s, weights[s], whole, rest))
     kind = dict(docs.dtypes)[source]
-    plan = spark.createDataFrame(rows, f"_source {kind}, mix_weight double, _whole int, _rest double")
+    plan = spark.createDataFrame(rows, f"_mix_source {kind}, mix_weight double, _mix_whole int, _mix_rest double")
     h = F.xxhash64(F.lit(seed), F.col(id_col), F.col(text))
-    place = lambda epoch: F.xxhash64(F.lit(seed), epoch, F.col("_h"))
+    place = lambda epoch: F.xxhash64(F.lit(seed), epoch, F.col("_mix_h"))
     slot = lambda p: F.pmod(F.shiftrightunsigned(p, 20), F.lit(slots))
-    joined = measured.withColumn("_h", h).join(F.broadcast(plan), F.col(source).eqNullSafe(F.col("_source"))).drop("_source")
-    whole = joined.where("_whole > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("_whole") - 1)))
+    joined = measured.withColumn("_mix_h", h).join(F.broadcast(plan), F.col(source).eqNullSafe(F.col("_mix_source"))).drop("_mix_source")
+    whole = joined.where("_mix_whole > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("_mix_whole") - 1)))
     whole = whole.withColumn("mix_order", place(F.col("epoch")))
     columns = [*base.columns, "epoch", "mix_weight", "mix_order"]
     if not any(r[3] > 0 for r in rows):
         return whole.select(columns)
-    last = joined.where("_rest > 0").withColumn("epoch", F.col("_whole")).withColumn("mix_order", place(F.col("epoch"))).withColumn("_slot", slot(F.col("mix_order")))
-    sums = last.groupBy(source, "_slot").agg(F.sum("_tokens").alias("_n"), F.first("_rest").alias("_rest"))
-    before = Window.partitionBy(source).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    sums = stored(sums.where("_before < _rest").select(F.col(source).alias("_s"), F.col("_slot").alias("_at"), "_before", (F.col("_before") + F.col("_n") <= F.col("_rest")).alias("_in")), "slots")
-    edge = F.broadcast(sums.where("not _in").select("_s", "_at", "_before"))
-    inside = sums.groupBy("_s").agg(F.max(F.when(F.col("_in"), F.col("_at"))).alias("_to")).where("_to is not null")
-    full = last.join(F.broadcast(inside), F.col(source).eqNullSafe(F.col("_s")) & (F.col("_slot") <= F.col("_to"))).select(columns)
-    cut = last.join(edge, F.col(source).eqNullSafe(F.col("_s")) & (F.col("_slot") == F.col("_at")))
+    last = joined.where("_mix_rest > 0").withColumn("epoch", F.col("_mix_whole")).withColumn("mix_order", place(F.col("epoch"))).withColumn("_mix_slot", slot(F.col("mix_order")))
+    sums = last.groupBy(source, "_mix_slot").agg(F.sum("_mix_tokens").alias("_mix_n"), F.first("_mix_rest").alias("_mix_rest"))
+    before = Window.partitionBy(source).orderBy("_mix_slot").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.withColumn("_mix_before", F.coalesce(F.sum("_mix_n").over(before), F.lit(0)))
+    sums = stored(sums.where("_mix_before < _mix_rest").select(F.col(source).alias("_mix_s"), F.col("_mix_slot").alias("_mix_at"), "_mix_before", (F.col("_mix_before") + F.col("_mix_n") <= F.col("_mix_rest")).alias("_mix_in")), "slots")
+    edge = F.broadcast(sums.where("not _mix_in").select("_mix_s", "_mix_at", "_mix_before"))
+    inside = sums.groupBy("_mix_s").agg(F.max(F.when(F.col("_mix_in"), F.col("_mix_at"))).alias("_mix_to")).where("_mix_to is not null")
+    full = last.join(F.broadcast(inside), F.col(source).eqNullSafe(F.col("_mix_s")) & (F.col("_mix_slot") <= F.col("_mix_to"))).select(columns)
+    cut = last.join(edge, F.col(source).eqNullSafe(F.col("_mix_s")) & (F.col("_mix_slot") == F.col("_mix_at")))
     running = Window.partitionBy(source).orderBy("mix_order", F.col(id_col)).rowsBetween(Window.unboundedPreceding, -1)
-    cut = cut.withColumn("_so_far", F.col("_before") + F.coalesce(F.sum("_tokens").over(running), F.lit(0))).where("_so_far < _rest").select(columns)
+    cut = cut.withColumn("_mix_so_far", F.col("_mix_before") + F.coalesce(F.sum("_mix_tokens").over(running), F.lit(0))).where("_mix_so_far < _mix_rest").select(columns)
     return whole.select(columns).unionByName(full).unionByName(cut)

@@ -44,8 +44,8 @@ def test_stages(spark, docs):
 
 
 def test_run_is_registered_and_runs(spark, sf):
-    assert entry.queries()["pipeline"] is corpus_pipeline.run and "pipeline" not in entry.oracle_sql()
-    out = corpus_pipeline.run(spark, sf)
+    assert "pipeline" not in entry.oracle_sql()
+    out = entry.queries()["pipeline"](spark, sf)
     assert out.count() > 0 and {"doc_id", "start", "length", "sequence_id", "offset"} <= set(out.columns)
 
 

@@ -141,7 +141,8 @@ def test_passages_are_found_wherever_they_stand(spark):
     got = {r.doc_id: r for r in spans.collect()}
     assert set(got) == {i for i in range(4, 40, 4)} | {2}
     assert all(r.n_words >= 32 and r.found_in < r.doc_id for r in got.values())
-    cut = {r.doc_id: r.text for r in passages.cut_passages(df.drop("_spans").withColumn("extra", F.lit(1)), spans).collect()}
+    cut = {r.doc_id: r.text for r in passages.cut_passages(df, spans).collect()}
+    assert {r._spans for r in passages.cut_passages(df, spans).collect()} == {r[2] for r in rows}
     for i, t, _ in rows:
         if i is not None and i not in got:
             assert cut[i] == t
