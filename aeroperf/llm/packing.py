@@ -78,7 +78,7 @@ def best_fit_decreasing(lengths: np.ndarray, window: int) -> tuple[np.ndarray, n
 def _pieces(path: str, window: int, id_col: str, text_col: str, end_id: int, keep_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path).encode
-        for batch in (part for b in batches for part in slices(b, text_col)):
+        for batch in (part for b in batches for part in slices(b, text_col, 2 << 20)):
             ids, starts = encode(batch.column(text_col), end_id)
             raw, sizes = memoryview(np.ascontiguousarray(ids, "<u4").view(np.uint8)), np.diff(starts)
             counts = -(-sizes // window)

@@ -205,7 +205,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, id_col: str
             out.write(_shard(keys, np.concatenate(ids), np.concatenate([[0], np.cumsum(np.concatenate(sizes))])))
             keys, ids, sizes = [], [], []
 
-        for part in (p for b in batches for p in slices(b, text_col)):
+        for part in (p for b in batches for p in slices(b, text_col, 2 << 20)):
             got, starts = encode(part.column(text_col), end_id)
             keys += part.column(id_col).to_pylist()
             ids.append(got)

@@ -6,13 +6,14 @@ pre-tokens end there whatever stands to the left. Texts are cut at such places
 (only where the neighbouring characters are ASCII or of two bytes, which leaves
 out all rarer white space), pieces not met before are encoded, and the ids of
 the texts are gathered from a table in numpy. A piece is known by its 64-bit
-hash. Memory follows the batch and the table, which starts anew at
-``max_pieces``; an overlong text needs no long encode.
+hash. Memory follows the batch and the table, which forgets at ``max_pieces``
+what was not met lately; an overlong text needs no long encode.
 """
 
 from __future__ import annotations
 
 import os
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -43,31 +44,51 @@ def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(begin)
 
 
+def _gather(flat: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The pieces of ``flat`` that begin and are as long as said, one after the other."""
+    ends = np.cumsum(size)
+    return flat[np.repeat(begin - ends + size, size) + np.arange(int(ends[-1]) if len(ends) else 0)]
+
+
+class _Table:
+    """Ids of pieces by the pieces' hashes, which are sorted."""
+
+    def __init__(self):
+        self.keys, self.begin, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place of each key, whether it is there)."""
+        where = np.searchsorted(self.keys, keys)
+        if not len(self.keys):
+            return where, np.zeros(len(keys), bool)
+        return where, self.keys[np.minimum(where, len(self.keys) - 1)] == keys
+
+    def add(self, keys: np.ndarray, size: np.ndarray, flat: np.ndarray) -> None:
+        """Sorted keys that are not there yet, and their ids one after the other."""
+        while len(self.flat) < self.used + len(flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        self.flat[self.used : self.used + len(flat)] = flat
+        where = np.searchsorted(self.keys, keys)
+        self.begin = np.insert(self.begin, where, self.used + np.cumsum(size) - size)
+        self.keys, self.size = np.insert(self.keys, where, keys), np.insert(self.size, where, size)
+        self.used += len(flat)
+
+
 class PieceEncoder:
-    def __init__(self, path: str, max_pieces: int = 600_000):
+    def __init__(self, path: str, max_pieces: int = 4_000_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.max_pieces = Tokenizer.from_file(path), max_pieces
-        self.clear()
-
-    def clear(self) -> None:
-        self.keys, self.begin, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)
-        self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
+        self.young, self.old = _Table(), _Table()  # what is met moves from old to young; a full young becomes old
 
     def _learn(self, keys: np.ndarray, pieces: list[str]) -> None:
-        begin, size = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int32)
+        sizes, flats = [], []
         for at in range(0, len(pieces), 10_000):
             ids = [x.ids for x in self.tokenizer.encode_batch_fast(pieces[at : at + 10_000], add_special_tokens=False)]
-            sizes = np.fromiter(map(len, ids), np.int32, len(ids))
-            total = int(sizes.sum())
-            while len(self.flat) < self.used + total:
-                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-            self.flat[self.used : self.used + total] = np.fromiter((y for x in ids for y in x), np.uint32, total)
-            size[at : at + len(ids)] = sizes
-            begin[at : at + len(ids)] = self.used + np.cumsum(sizes) - sizes
-            self.used += total
-        where = np.searchsorted(self.keys, keys)
-        self.keys, self.begin, self.size = np.insert(self.keys, where, keys), np.insert(self.begin, where, begin), np.insert(self.size, where, size)
+            sizes.append(np.fromiter(map(len, ids), np.int64, len(ids)))
+            flats.append(np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes[-1].sum())))
+        self.young.add(keys, np.concatenate(sizes), np.concatenate(flats))
 
     def encode(self, texts: pa.Array, end_id: int | None = 0) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other as uint32, where each text's begin with the total last).
@@ -78,32 +99,34 @@ class PieceEncoder:
         at = cuts(data, offsets)
         at, to = at[:-1], at[1:]
         keys, first, back = np.unique(span_hashes(data, at, to), return_index=True, return_inverse=True)
-        if len(self.keys) + len(keys) > self.max_pieces:
-            self.clear()
-        where = np.searchsorted(self.keys, keys)
-        known = np.zeros(len(keys), bool)
-        if len(self.keys):
-            known = self.keys[np.minimum(where, len(self.keys) - 1)] == keys
+        if len(self.young.keys) + len(keys) > self.max_pieces // 2:
+            self.young, self.old = _Table(), self.young
+        where, known = self.young.find(keys)
         if not known.all():
-            raw = data.tobytes()
-            self._learn(keys[~known], [raw[a:b].decode() for a, b in zip(at[first[~known]].tolist(), to[first[~known]].tolist())])
-            where = np.searchsorted(self.keys, keys)
-        begin, size = self.begin[where][back], self.size[where][back].astype(np.int64)
+            missing = np.flatnonzero(~known)
+            before, held = self.old.find(keys[missing])
+            before = before[held]
+            self.young.add(keys[missing[held]], self.old.size[before], _gather(self.old.flat, self.old.begin[before], self.old.size[before]))
+            new = missing[~held]
+            if len(new):
+                raw = data.tobytes()
+                self._learn(keys[new], [raw[a:b].decode() for a, b in zip(at[first[new]].tolist(), to[first[new]].tolist())])
+            where = np.searchsorted(self.young.keys, keys)
+        begin, size = self.young.begin[where][back], self.young.size[where][back]
         bounds = np.searchsorted(at, offsets)
         ends = np.concatenate([[0], np.cumsum(size)])
         starts = ends[bounds] + (np.arange(len(offsets)) if end_id is not None else 0)
-        total = int(ends[-1])
-        ids = self.flat[np.repeat(begin - ends[:-1], size) + np.arange(total)]
+        ids = _gather(self.young.flat, begin, size)
         if end_id is None:
             return ids, starts
-        out = np.full(total + len(offsets) - 1, end_id, np.uint32)
+        out = np.full(len(ids) + len(offsets) - 1, end_id, np.uint32)
         keep = np.ones(len(out), bool)
         keep[starts[1:] - 1] = False
         out[keep] = ids
         return out, starts
 
 
-def encoder(path: str, max_pieces: int = 600_000) -> PieceEncoder:
+def encoder(path: str, max_pieces: int = 4_000_000) -> PieceEncoder:
     """The process's encoder for a vocabulary file; workers that are used again keep it."""
     if (path, max_pieces) not in _ENCODERS:
         _ENCODERS[path, max_pieces] = PieceEncoder(path, max_pieces)
