@@ -46,7 +46,7 @@ def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 def _gather(flat: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
     """The pieces of ``flat`` that begin and are as long as said, one after the other."""
-    ends = np.cumsum(size)
+    ends = np.cumsum(size, dtype=np.int64)
     return flat[np.repeat(begin - ends + size, size) + np.arange(int(ends[-1]) if len(ends) else 0)]
 
 
@@ -54,7 +54,7 @@ class _Table:
     """Ids of pieces by the pieces' hashes, which are sorted."""
 
     def __init__(self):
-        self.keys, self.begin, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.keys, self.begin, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32)
         self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -76,7 +76,7 @@ class _Table:
 
 
 class PieceEncoder:
-    def __init__(self, path: str, max_pieces: int = 4_000_000):
+    def __init__(self, path: str, max_pieces: int = 2_400_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.max_pieces = Tokenizer.from_file(path), max_pieces
@@ -112,7 +112,7 @@ class PieceEncoder:
                 raw = data.tobytes()
                 self._learn(keys[new], [raw[a:b].decode() for a, b in zip(at[first[new]].tolist(), to[first[new]].tolist())])
             where = np.searchsorted(self.young.keys, keys)
-        begin, size = self.young.begin[where][back], self.young.size[where][back]
+        begin, size = self.young.begin[where][back].astype(np.int64), self.young.size[where][back].astype(np.int64)
         bounds = np.searchsorted(at, offsets)
         ends = np.concatenate([[0], np.cumsum(size)])
         starts = ends[bounds] + (np.arange(len(offsets)) if end_id is not None else 0)
@@ -126,7 +126,7 @@ class PieceEncoder:
         return out, starts
 
 
-def encoder(path: str, max_pieces: int = 4_000_000) -> PieceEncoder:
+def encoder(path: str, max_pieces: int = 2_400_000) -> PieceEncoder:
     """The process's encoder for a vocabulary file; workers that are used again keep it."""
     if (path, max_pieces) not in _ENCODERS:
         _ENCODERS[path, max_pieces] = PieceEncoder(path, max_pieces)
