@@ -252,8 +252,8 @@ def overlap(a: np.ndarray, b: np.ndarray) -> int:
     return int((both[1:] == both[:-1]).sum())
 
 
-def tile_links(sets: list[np.ndarray], side: np.ndarray | None, num: int, den: int) -> list[tuple[int, int]]:
-    """A spanning forest of the pairs (i, j) with similarity >= num/den: of all pairs, or of those between two sides."""
+def tile_links(sets: list[np.ndarray], side: np.ndarray | None, num: int, den: int, owner: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs (i, j) with similarity >= num/den: of all pairs, or of those between two sides. Sets of one ``owner`` are not paired."""
     n = np.array([len(s) for s in sets])
     if len(n) < 2:
         return []
@@ -269,6 +269,8 @@ def tile_links(sets: list[np.ndarray], side: np.ndarray | None, num: int, den: i
         hi = np.searchsorted(sizes, n[i] * den // num, "right")
         j = right[lo:hi]
         j = j[label[j] != label[i]]
+        if owner is not None:
+            j = j[owner[j] != owner[i]]
         for at in range(0, len(j), 512):
             some = j[at : at + 512]
             lacks = np.bitwise_count(maps[i] & ~maps[some]).sum(1, dtype=np.int64)

@@ -8,12 +8,12 @@ run of ``size + gap - 1`` words that two documents share (51 by default: over
 
 Each paragraph's 5-word shingles are MinHashed into bands. Paragraphs that
 collide in a band are either equal in content (the common case, settled by
-their hashes) or candidates: every other content of a band's key is paired with
-the key's most frequent one and with the next in order, and a pair counts if
-the exact Jaccard of its shingles, taken from the texts, reaches the threshold.
-Equal contents, and verified pairs by their connected components, form
-clusters. The document of the smallest id keeps a cluster's passage, all others
-lose it.
+their hashes) or candidates: all pairs of a key's contents are looked at, those
+of a large key in salted tiles, and a pair counts if the exact Jaccard of its
+shingles, taken from the texts, reaches the threshold. Only pairs that are
+linked already are skipped. Keys with the same contents are one group. Equal
+contents, and verified pairs by their connected components, form clusters. The
+document of the smallest id keeps a cluster's passage, all others lose it.
 
 Only narrow rows are shuffled. Equal contents in one slice of a task send one
 row between them, the smallest id's: the others lose the passage whoever keeps
@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -35,11 +36,12 @@ from pyspark.sql import Window
 from aeroperf.llm.components import components
 from aeroperf.llm.hashing import _powers, buffers, mix, runs, slices, words
 from aeroperf.llm.id_filter import IdFilter
+from aeroperf.llm.jaccard import tile_links
 from aeroperf.llm.storage import stored
 from aeroperf.llm.workers import tidy
 
 U = np.uint64
-FIRST, KEY, LOST, ECHO, PAIR = 0, 1, 2, 3, 4  # a paragraph in its first band; in another; lost to a smaller id; repeated within a document; a candidate pair
+FIRST, KEY, LOST, ECHO, MEMBER = 0, 1, 2, 3, 4  # a paragraph in its first band; in another; lost to a smaller id; repeated within a document; one of several contents of a key
 SHINGLE = 5
 
 
@@ -89,14 +91,13 @@ def paragraphs(texts: pa.Array, size: int, gap: int) -> tuple[np.ndarray, np.nda
     return doc, at - bounds[doc], content, at, grams
 
 
-def _emit(key, c, d, p, kind: int | np.ndarray, d2=None, c2=None, p2=None) -> pa.RecordBatch:
-    none = pa.nulls(len(c), pa.int64())
-    other = [none if x is None else pa.array(x, pa.int64()) for x in (d2, c2, p2)]
-    columns = [pa.array(c), pa.array(d), pa.array(p, pa.int64()), pa.array(np.full(len(c), kind), pa.int8()), other[0]]
+def _emit(key, c, d, p, kind: int | np.ndarray, d2=None, single=None) -> pa.RecordBatch:
+    other = pa.nulls(len(c), pa.int64()) if d2 is None else pa.array(d2, pa.int64())
+    columns = [pa.array(c), pa.array(d), pa.array(p, pa.int64()), pa.array(np.full(len(c), kind), pa.int8()), other]
     names = ["c", "d", "p", "kind", "d2"]
     if key is not None:
         return pa.RecordBatch.from_arrays([pa.array(key), *columns], ["key", *names])
-    return pa.RecordBatch.from_arrays([*columns, *other[1:]], [*names, "c2", "p2"])
+    return pa.RecordBatch.from_arrays([*columns, pa.nulls(len(c), pa.bool_()) if single is None else pa.array(single)], [*names, "single"])
 
 
 def _banded(size: int, gap: int, bands: int, rows: int):
@@ -129,7 +130,7 @@ def _banded(size: int, gap: int, bands: int, rows: int):
 
 
 def _collide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Paragraphs lost to a smaller id, and candidate pairs of different contents under one key."""
+    """Paragraphs lost to a smaller id, and the contents of each key that has several (d2 names the group)."""
     got = []
     for batch in batches:
         kind = batch.column("kind").to_numpy()
@@ -153,28 +154,72 @@ def _collide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     lost = (kind == FIRST) & (d != least)
     if lost.any():
         yield _emit(None, c[lost], d[lost], p[lost], LOST, least[lost])
-    # one row for each (key, content), that of the smallest id; the key's most frequent content leads
-    group = np.cumsum(new_key[begin]) - 1
+    # one row for each (key, content), that of the smallest id
     of = np.flatnonzero(new_key[begin])
-    several = np.repeat(np.diff(np.r_[of, len(begin)]) > 1, np.diff(np.r_[of, len(begin)]))
-    begin, count, group = begin[several], count[several], group[several]
-    if not len(begin):
-        return
-    by = np.lexsort((-count, group))
-    top = by[np.r_[True, group[by][1:] != group[by][:-1]]]
-    single = count == 1
-    leader = np.repeat(top, np.diff(np.r_[np.flatnonzero(np.r_[True, group[1:] != group[:-1]]), len(group)]))
-    place, next_too = np.arange(len(begin)), np.flatnonzero(group[1:] == group[:-1])
-    i, j = np.concatenate([leader, next_too]), np.concatenate([place, next_too + 1])
+    group = np.cumsum(new_key[begin]) - 1
     # neighbouring paragraphs of one document overlap; what one document repeats doesn't count
-    apart = (i != j) & ~(single[i] & single[j] & (d[begin[i]] == d[begin[j]]))
-    a, b = begin[i[apart]], begin[j[apart]]
-    swap = c[a] > c[b]
-    a, b = np.where(swap, b, a), np.where(swap, a, b)
-    _, one = np.unique(np.stack([c[a], c[b]], 1), axis=0, return_index=True)
-    for at in range(0, len(one), 50_000):
-        i, j = a[one[at : at + 50_000]], b[one[at : at + 50_000]]
-        yield _emit(None, c[i], d[i], p[i], PAIR, d[j], c[j], p[j])
+    single, owner = count == 1, d[begin]
+    apart = np.logical_or.reduceat(~single | (owner != owner[of][group]), of)
+    several = ((np.diff(np.r_[of, len(begin)]) > 1) & apart)[group]
+    # a group is named by its contents, so that those that meet in several bands are looked at once
+    name = mix(np.add.reduceat(mix(c[begin].view(np.uint64)), of)).view(np.int64)[group]
+    begin, name, single = begin[several], name[several], single[several]
+    for at in range(0, len(begin), 50_000):
+        i = begin[at : at + 50_000]
+        yield _emit(None, c[i], d[i], p[i], MEMBER, name[at : at + 50_000], single[at : at + 50_000])
+
+
+def group_links(group: np.ndarray, sets: list[np.ndarray], owner: np.ndarray, side: np.ndarray | None, num: int, den: int) -> list[tuple[int, int]]:
+    """Links (i, j) with similarity >= num/den within each group (or between its two sides) that connect whatever such pairs connect.
+
+    Rows of one ``owner`` are not paired.
+    """
+    order = np.argsort(group, kind="stable")
+    cuts = np.split(order, np.flatnonzero(np.diff(group[order])) + 1)
+    out, left, right = [], [], []
+    for at in cuts:
+        if side is None and len(at) <= 32:
+            i, j = np.triu_indices(len(at), 1)
+            left.append(at[i])
+            right.append(at[j])
+        else:
+            found = tile_links([sets[x] for x in at], None if side is None else side[at], num, den, owner[at])
+            out += [(int(at[i]), int(at[j])) for i, j in found]
+    if not left:
+        return out
+    i, j = np.concatenate(left), np.concatenate(right)
+    n = np.array([len(x) for x in sets])
+    may = (owner[i] != owner[j]) & (n[i] * den >= num * n[j]) & (n[j] * den >= num * n[i])
+    i, j = i[may], j[may]
+    flat, starts = np.concatenate(sets), np.r_[0, np.cumsum(n)]
+    ends = np.searchsorted(np.cumsum(n[i] + n[j]), np.arange(1 << 21, (n[i] + n[j]).sum() + (1 << 21), 1 << 21), "right")
+    for x, y in zip(np.r_[0, ends[:-1]].tolist(), ends.tolist()) if len(i) else ():
+        both = np.concatenate([i[x:y], j[x:y]])
+        size = n[both]
+        index = np.repeat(starts[both] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        pair = np.repeat(np.tile(np.arange(len(both) // 2), 2), size)
+        by = np.lexsort((flat[index], pair))
+        value, pair = flat[index][by], pair[by]
+        common = np.bincount(pair[1:][(value[1:] == value[:-1]) & (pair[1:] == pair[:-1])], minlength=len(both) // 2)
+        hit = np.flatnonzero(common * (num + den) >= num * size.reshape(2, -1).sum(0))
+        out += zip(both[hit].tolist(), both[len(both) // 2 + hit].tolist())
+    return out
+
+
+def _tile(num: int, den: int):
+    def run(table: pa.Table) -> pa.Table:
+        c, d, g, single, side = (table.column(x).to_numpy() for x in ("c", "d", "g", "single", "side"))
+        _, owner = np.unique(d, return_inverse=True)
+        owner = np.where(single, owner, len(owner) + np.arange(len(owner)))
+        flat = table.column("shingles").combine_chunks()
+        flat = pa.concat_arrays(flat.chunks) if isinstance(flat, pa.ChunkedArray) else flat
+        starts, values = flat.offsets.to_numpy(), flat.values.to_numpy().view(np.uint64)
+        sets = [values[a:b] for a, b in zip(starts[:-1].tolist(), starts[1:].tolist())]
+        links = group_links(g, sets, owner, side if table.column("cross")[0].as_py() else None, num, den)
+        i, j = np.array(links, np.int64).reshape(-1, 2).T
+        return pa.table({"a": pa.array(c[i]), "b": pa.array(c[j])})
+
+    return run
 
 
 def _shingles_at(size: int):
@@ -192,7 +237,22 @@ def _shingles_at(size: int):
     return run
 
 
-def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 32, gap: int = 20, threshold: float = 0.8, rows: int = 3, recall: float = 0.88) -> DataFrame:
+def _verified(members: DataFrame, sets: DataFrame, threshold: float, tile: int) -> DataFrame:
+    """Links (a, b) of contents that share a group. A group of more than ``tile`` contents is cut by hash, and all its tiles meet."""
+    part = Fraction(threshold).limit_denominator(1000)
+    large = stored(members.groupBy("g").agg(F.count("*").alias("n")).where(F.col("n") > tile).select("g", F.ceil(F.col("n") / tile).cast("int").alias("tiles")), "large-groups")
+    rooms = max(1, members.count() // 2048)
+    own = F.pmod(F.xxhash64(F.lit(3), "c"), F.col("tiles")).cast("int")
+    dealt = members.join(large, "g", "left").withColumn("own", own).join(sets, "c")
+    other = lambda o: F.struct(F.least("own", o).alias("t1"), F.greatest("own", o).alias("t2"), (F.col("own") > o).cast("int").alias("side"), (F.col("own") != o).alias("cross"))
+    alone = F.array(F.struct(F.lit(-1).alias("t1"), F.lit(-1).alias("t2"), F.lit(0).alias("side"), F.lit(False).alias("cross")))
+    where = F.when(F.col("tiles").isNull(), alone).otherwise(F.transform(F.sequence(F.lit(0), F.coalesce("tiles", F.lit(1)) - 1), other))
+    room = F.when(F.col("tiles").isNull(), F.pmod(F.xxhash64("g"), F.lit(rooms))).otherwise(F.col("g"))
+    dealt = dealt.select(room.alias("room"), "g", "c", "d", "single", "shingles", F.explode(where).alias("m")).select("room", "g", "c", "d", "single", "shingles", "m.*")
+    return stored(dealt.groupBy("room", "t1", "t2").applyInArrow(_tile(part.numerator, part.denominator), "a long, b long"), "links")
+
+
+def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 32, gap: int = 20, threshold: float = 0.8, rows: int = 3, recall: float = 0.88, tile: int = 2048) -> DataFrame:
     """Spans to remove: id, start (in words, from 0), n_words, found_in (a smaller id that holds the passage).
 
     Within a cluster the smallest id keeps the passage. A null text is an empty
@@ -205,18 +265,16 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     bands = tune_bands(threshold, rows, recall)
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     dealt = base.mapInArrow(tidy(_banded(size, gap, bands, rows)), "key long, c long, d long, p long, kind byte, d2 long").repartition("key")
-    met = stored(dealt.mapInArrow(tidy(_collide), "c long, d long, p long, kind byte, d2 long, c2 long, p2 long"), "paragraphs")
+    met = stored(dealt.mapInArrow(tidy(_collide), "c long, d long, p long, kind byte, d2 long, single boolean"), "paragraphs")
     exact = met.where(F.col("kind") == LOST).select("c", "d", "p", F.col("d2").alias("found_in"))
 
-    pairs = stored(met.where(F.col("kind") == PAIR).groupBy("c", "c2").agg(F.min(F.struct("d", "p")).alias("at"), F.min(F.struct(F.col("d2"), F.col("p2"))).alias("at2")), "pairs")
-    places = pairs.select("c", "at.d", "at.p").union(pairs.select("c2", "at2.d2", "at2.p2")).groupBy("c").agg(F.min(F.struct("d", "p")).alias("at")).select("c", "at.d", "at.p")
-    places = stored(places, "places")
+    members = met.where(F.col("kind") == MEMBER).groupBy(F.col("d2").alias("g"), "c").agg(F.min(F.struct("d", "p")).alias("at"), F.min("single").alias("single"))
+    members = stored(members.select("g", "c", "at.d", "at.p", "single"), "members")
+    places = stored(members.groupBy("c").agg(F.min(F.struct("d", "p")).alias("at")).select("c", "at.d", "at.p"), "places")
     wanted = places.groupBy("d").agg(F.collect_list(F.struct("c", "p")).alias("wanted"))
     texts = IdFilter(places.select("d")).hits(base, "id").join(wanted, F.col("id") == F.col("d")).select("text", "wanted")
     sets = stored(texts.mapInArrow(tidy(_shingles_at(size)), "c long, shingles array<long>").dropDuplicates(["c"]), "shingles")
-    both = pairs.select("c", "c2").join(sets, "c").join(sets.select(F.col("c").alias("c2"), F.col("shingles").alias("others")), "c2")
-    common = F.size(F.array_intersect("shingles", "others"))
-    links = both.where(common >= F.lit(threshold) * (F.size("shingles") + F.size("others") - common)).select(F.col("c").alias("a"), F.col("c2").alias("b"))
+    links = _verified(members, sets, threshold, tile)
     near = stored(places.join(components(links).withColumnRenamed("node", "c"), "c"), "near-classes")
     keepers = near.groupBy("component").agg(F.min("d").alias("found_in"))
     lost = exact.unionByName(near.join(keepers, "component").where("d <> found_in").select("c", "d", "p", "found_in"))

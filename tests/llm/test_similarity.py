@@ -161,6 +161,25 @@ def test_a_passage_that_loses_a_word_is_still_found(spark):
     assert sum(r.n_words for r in passages.repeated_passages(df).collect()) >= 120
 
 
+@pytest.mark.parametrize("tile", [2048, 4])
+def test_all_pairs_of_a_key_are_looked_at(spark, tile):
+    """One key with many contents: the most frequent one is like none of them, and like ones are not neighbours."""
+    rng = np.random.default_rng(5)
+    base = [np.unique(rng.integers(0, 2**62, 28)) for _ in range(12)]
+    sets = [base[0]] + [np.unique(np.r_[b[:-2], rng.integers(0, 2**62, 2)]) for b in base[1:] for _ in range(4)]
+    c = rng.permutation(10**6)[: len(sets)].tolist()
+    rows = [("key", x, i, 0) for i, x in enumerate(c)] + [("key", c[0], 900, 0), ("key", c[0], 901, 0)]
+    batch = pa.RecordBatch.from_pylist([{"key": 7, "c": x, "d": d, "p": p, "kind": passages.FIRST, "d2": None} for _, x, d, p in rows], pa.schema([("key", pa.int64()), ("c", pa.int64()), ("d", pa.int64()), ("p", pa.int64()), ("kind", pa.int8()), ("d2", pa.int64())]))
+    met = [r for b in passages._collide([batch]) for r in b.to_pylist() if r["kind"] == passages.MEMBER]
+    assert sorted(r["c"] for r in met) == sorted(c)
+    members = spark.createDataFrame([(r["d2"], r["c"], r["d"], r["p"], r["single"]) for r in met], "g long, c long, d long, p long, single boolean")
+    links = passages._verified(members, spark.createDataFrame([(x, s.tolist()) for x, s in zip(c, sets)], "c long, shingles array<long>"), 0.8, tile)
+    near = lambda i, j: 10 * len(set(sets[c.index(i)]) & set(sets[c.index(j)])) >= 8 * len(set(sets[c.index(i)]) | set(sets[c.index(j)]))
+    want = brute_components(c, near)
+    got = {r.node: r.component for r in components(links).collect()}
+    assert {x: got.get(x, x) for x in c} == want and len(set(want.values())) == 12
+
+
 def test_tuned_bands():
     assert passages.tune_bands(0.8, 3, 0.88) == 3 and passages.tune_bands(0.8, 1, 0.5) == 1
 
