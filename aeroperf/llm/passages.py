@@ -37,16 +37,17 @@ from aeroperf.llm.components import components
 from aeroperf.llm.hashing import _powers, buffers, mix, runs, slices, words
 from aeroperf.llm.id_filter import IdFilter
 from aeroperf.llm.jaccard import tile_links
-from aeroperf.llm.storage import stored
+from aeroperf.llm.storage import release, stored
 from aeroperf.llm.workers import tidy
 
 U = np.uint64
 FIRST, KEY, LOST, ECHO, MEMBER = 0, 1, 2, 3, 4  # a paragraph in its first band; in another; lost to a smaller id; repeated within a document; one of several contents of a key
 SHINGLE = 5
+AT_ONCE = 3  # bands that are dealt in one pass over the texts: the shuffle of all would take more disk than the corpus
 
 
 def tune_bands(threshold: float, rows: int, recall: float) -> int:
-    """Bands of ``rows`` MinHashes under which a pair at the threshold collides with probability ``recall``."""
+    """Bands of ``rows`` MinHashes under which a pair at the threshold collides with probability ``recall`` or more."""
     return max(1, math.ceil(math.log(1 - recall) / math.log(1 - threshold**rows)))
 
 
@@ -100,8 +101,8 @@ def _emit(key, c, d, p, kind: int | np.ndarray, d2=None, single=None) -> pa.Reco
     return pa.RecordBatch.from_arrays([*columns, pa.nulls(len(c), pa.bool_()) if single is None else pa.array(single)], [*names, "single"])
 
 
-def _banded(size: int, gap: int, bands: int, rows: int):
-    seeds = mix(np.arange(1, bands * rows + 1, dtype=np.uint64))
+def _banded(size: int, gap: int, bands: range, rows: int):
+    seeds = mix(np.arange(1, bands.stop * rows + 1, dtype=np.uint64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in (p for b in batches for p in slices(b, "text")):
@@ -116,11 +117,11 @@ def _banded(size: int, gap: int, bands: int, rows: int):
             first = np.r_[True, content[1:] != content[:-1]]
             lead = np.flatnonzero(first)
             c, leader = content.view(np.int64), d[np.repeat(lead, np.diff(np.r_[lead, len(at)]))]
-            for kind, rest in ((LOST, np.flatnonzero(~first & (d != leader))), (ECHO, np.flatnonzero(~first & (d == leader)))):
+            for kind, rest in () if bands.start else ((LOST, np.flatnonzero(~first & (d != leader))), (ECHO, np.flatnonzero(~first & (d == leader)))):
                 if len(rest):
                     yield _emit(mix(content[rest] + rest.astype(np.uint64)).view(np.int64), c[rest], d[rest], place[rest], kind, leader[rest])
             index = at[lead][:, None] + np.arange(size - SHINGLE + 1)
-            for band in range(bands):
+            for band in bands:
                 key = np.full(len(lead), band + 1, np.uint64)
                 for seed in seeds[band * rows : (band + 1) * rows]:
                     key = mix(key + mix(grams ^ seed)[index].min(1))
@@ -252,7 +253,7 @@ def _verified(members: DataFrame, sets: DataFrame, threshold: float, tile: int)
     return stored(dealt.groupBy("room", "t1", "t2").applyInArrow(_tile(part.numerator, part.denominator), "a long, b long"), "links")
 
 
-def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 32, gap: int = 20, threshold: float = 0.8, rows: int = 3, recall: float = 0.88, tile: int = 2048) -> DataFrame:
+def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 32, gap: int = 20, threshold: float = 0.8, rows: int = 3, recall: float = 0.99, tile: int = 2048) -> DataFrame:
     """Spans to remove: id, start (in words, from 0), n_words, found_in (a smaller id that holds the passage).
 
     Within a cluster the smallest id keeps the passage. A null text is an empty
@@ -262,10 +263,14 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     id are one document. Overlapping paragraphs are merged into one span. An
     empty table gives no row.
     """
-    bands = tune_bands(threshold, rows, recall)
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    dealt = base.mapInArrow(tidy(_banded(size, gap, bands, rows)), "key long, c long, d long, p long, kind byte, d2 long").repartition("key")
-    met = stored(dealt.mapInArrow(tidy(_collide), "c long, d long, p long, kind byte, d2 long, single boolean"), "paragraphs")
+    bands, met = tune_bands(threshold, rows, recall), None
+    for low in range(0, bands, AT_ONCE):
+        dealt = base.mapInArrow(tidy(_banded(size, gap, range(low, min(low + AT_ONCE, bands)), rows)), "key long, c long, d long, p long, kind byte, d2 long").repartition("key")
+        some = stored(dealt.mapInArrow(tidy(_collide), "c long, d long, p long, kind byte, d2 long, single boolean"), "paragraphs")
+        met = some if met is None else met.union(some)
+        del dealt
+        release(base.sparkSession)
     exact = met.where(F.col("kind") == LOST).select("c", "d", "p", F.col("d2").alias("found_in"))
 
     members = met.where(F.col("kind") == MEMBER).groupBy(F.col("d2").alias("g"), "c").agg(F.min(F.struct("d", "p")).alias("at"), F.min("single").alias("single"))

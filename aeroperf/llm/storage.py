@@ -7,6 +7,7 @@ folder of the driver takes its place, which is right in local mode only.
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -54,6 +55,12 @@ def discard(*tables: DataFrame) -> None:
             hadoop.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of shuffle files that nothing refers to any more: Spark removes them when the driver collects its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def open_fs(uri: str) -> tuple[pafs.FileSystem, str]:
     """Filesystem and path of a URI, on whichever machine this runs."""
     if uri.startswith("file:/") and not uri.startswith("file://"):  # Hadoop's spelling

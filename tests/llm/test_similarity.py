@@ -1,5 +1,6 @@
 """Jaccard join, passages, embeddings and nearest neighbours against brute force."""
 
+import inspect
 import random
 import re
 
@@ -184,6 +185,26 @@ def test_tuned_bands():
     assert passages.tune_bands(0.8, 3, 0.88) == 3 and passages.tune_bands(0.8, 1, 0.5) == 1
 
 
+def test_bands_find_nearly_all_pairs_at_the_threshold():
+    """By default: 99 of 100 in theory, and by the code that makes the keys."""
+    default = {k: v.default for k, v in inspect.signature(passages.repeated_passages).parameters.items()}
+    bands, rows = passages.tune_bands(0.8, default["rows"], default["recall"]), default["rows"]
+    assert 1 - (1 - 0.8**rows) ** bands >= 0.99
+    rng, met = random.Random(2), 0
+    for _ in range(200):
+        p = [f"u{rng.randrange(10**9)}" for _ in range(32)]
+        q = p[:29] + [f"u{rng.randrange(10**9)}" for _ in range(3)]
+        assert 25 / 31 >= 0.8 and len(shingles(" ".join(p), 5) & shingles(" ".join(q), 5)) == 25
+        keys = [{}, {}]
+        for side, w in enumerate((p, q)):
+            for low in range(0, bands, passages.AT_ONCE):
+                batch = pa.RecordBatch.from_pydict({"id": pa.array([side]), "text": pa.array([" ".join(w)])})
+                for b in passages._banded(32, 20, range(low, min(low + passages.AT_ONCE, bands)), rows)([batch]):
+                    keys[side] |= dict.fromkeys(b.column("key").to_pylist())
+        met += bool(keys[0].keys() & keys[1].keys())
+    assert met >= 194
+
+
 def vectors(spark, n, width=16, seed=0):
     rng = np.random.default_rng(seed)
     x = rng.standard_normal((n, width)).astype(np.float32)
