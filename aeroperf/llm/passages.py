@@ -4,7 +4,9 @@ Passages repeat in the middle of lines as well as in lines of their own, so a
 paragraph is a window of ``size`` words that begins at an anchor: the least
 5-word hash of ``gap`` consecutive starts. Where it stands doesn't matter: any
 run of ``size + gap - 1`` words that two documents share (51 by default: over
-50 words) holds an anchor and its whole paragraph in both.
+50 words) holds an anchor and its whole paragraph in both. A changed word touches
+five of a window's 28 shingles, so near copies are told by whole paragraphs
+besides: each line, and each block between blank lines, of ``size`` words or more.
 
 Each paragraph's 5-word shingles are MinHashed into bands. Paragraphs that
 collide in a band are either equal in content (the common case, settled by
@@ -13,7 +15,8 @@ of a large key in salted tiles, and a pair counts if the exact Jaccard of its
 shingles, taken from the texts, reaches the threshold. Only pairs that are
 linked already are skipped. Keys with the same contents are one group. Equal
 contents, and verified pairs by their connected components, form clusters. The
-document of the smallest id keeps a cluster's passage, all others lose it.
+document of the smallest id keeps a cluster's passage, all others lose it: from
+the first word to the last that stand alike around it in the keeper's text.
 
 Only narrow rows are shuffled. Equal contents in one slice of a task send one
 row between them, the smallest id's: the others lose the passage whoever keeps
@@ -41,9 +44,9 @@ from aeroperf.llm.storage import release, stored
 from aeroperf.llm.workers import tidy
 
 U = np.uint64
-FIRST, KEY, LOST, ECHO, MEMBER = 0, 1, 2, 3, 4  # a paragraph in its first band; in another; lost to a smaller id; repeated within a document; one of several contents of a key
+FIRST, KEY, LOST, ECHO, MEMBER = 0, 1, 2, 3, 4  # a paragraph under its first key; in another; lost to a smaller id; repeated within a document; one of several contents of a key
 SHINGLE = 5
-AT_ONCE = 3  # bands that are dealt in one pass over the texts: the shuffle of all would take more disk than the corpus
+AT_ONCE = 3  # bands that are dealt in one pass over the texts, and turns in which groups are compared: the shuffle of all would take more disk than the corpus
 
 
 def tune_bands(threshold: float, rows: int, recall: float) -> int:
@@ -78,24 +81,41 @@ def anchors(grams: np.ndarray, first: np.ndarray, count: np.ndarray, gap: int) -
     return at[place % max(1, gap - 4) == 0]
 
 
-def paragraphs(texts: pa.Array, size: int, gap: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(document, first word in it, content hash, place among all words) of each paragraph, and all grams last."""
-    h, bounds, _, _ = words(texts)
+def blocks(texts: pa.Array, bounds: np.ndarray, begin: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first word among all words, number of words) of each line, and of each block between blank lines, of ``least`` words or more."""
+    data, offsets = buffers(texts)
+    line = np.r_[0, np.cumsum(data == 10)][begin + np.repeat(offsets[:-1], np.diff(bounds))]
+    step = np.diff(line, prepend=0)
+    step[bounds[:-1][np.diff(bounds) > 0]] = 2
+    found = []
+    for least_step in (1, 2):
+        at = np.flatnonzero(step >= least_step)
+        found.append(np.stack([at, np.diff(np.r_[at, len(begin)])], 1))
+    found = np.unique(np.concatenate(found), axis=0)
+    return found[found[:, 1] >= least].T
+
+
+def paragraphs(texts: pa.Array, size: int, gap: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(document, first word in it, words, content hash, place among all words, whether it is a whole one) of each paragraph, and all grams last."""
+    h, bounds, begin, _ = words(texts)
     count = np.maximum(np.diff(bounds) - size + 1, 0)
     grams = runs(h, SHINGLE)
-    at = anchors(grams, bounds[:-1], count, gap)
+    windows = anchors(grams, bounds[:-1], count, gap)
+    at, n = blocks(texts, bounds, begin, size)
+    at, n, whole = np.r_[windows, at], np.r_[np.full(len(windows), size), n], np.r_[np.zeros(len(windows), bool), np.ones(len(at), bool)]
     doc = np.searchsorted(bounds, at, "right") - 1
     powers, inverses = _powers(len(h) + 1)
     total = np.zeros(len(h) + 1, np.uint64)
     np.cumsum(mix(h ^ U(0xC0FFEE)) * powers[: len(h)], out=total[1:])
-    content = mix((total[at + size] - total[at]) * inverses[at])
-    return doc, at - bounds[doc], content, at, grams
+    content = mix((total[at + n] - total[at]) * inverses[at] + whole * n.astype(np.uint64))
+    return doc, at - bounds[doc], n, content, at, whole, grams
 
 
-def _emit(key, c, d, p, kind: int | np.ndarray, d2=None, single=None) -> pa.RecordBatch:
-    other = pa.nulls(len(c), pa.int64()) if d2 is None else pa.array(d2, pa.int64())
-    columns = [pa.array(c), pa.array(d), pa.array(p, pa.int64()), pa.array(np.full(len(c), kind), pa.int8()), other]
-    names = ["c", "d", "p", "kind", "d2"]
+def _emit(key, c, d, p, n, kind: int | np.ndarray, d2=None, p2=None, single=None) -> pa.RecordBatch:
+    none = pa.nulls(len(c), pa.int64())
+    other = [none if x is None else pa.array(x, pa.int64()) for x in (d2, p2)]
+    columns = [pa.array(c), pa.array(d), pa.array(p, pa.int64()), pa.array(n, pa.int64()), pa.array(np.full(len(c), kind), pa.int8()), *other]
+    names = ["c", "d", "p", "n", "kind", "d2", "p2"]
     if key is not None:
         return pa.RecordBatch.from_arrays([pa.array(key), *columns], ["key", *names])
     return pa.RecordBatch.from_arrays([*columns, pa.nulls(len(c), pa.bool_()) if single is None else pa.array(single)], [*names, "single"])
@@ -108,24 +128,33 @@ def _banded(size: int, gap: int, bands: range, rows: int):
         for part in (p for b in batches for p in slices(b, "text")):
             part = part.filter(part.column("id").is_valid())
             ids = part.column("id").to_numpy()
-            doc, place, content, at, grams = paragraphs(part.column("text"), size, gap)
+            doc, place, n, content, at, whole, grams = paragraphs(part.column("text"), size, gap)
             if not len(at):
                 continue
             d = ids[doc]
             order = np.lexsort((place, d, content))
-            d, place, content, at = d[order], place[order], content[order], at[order]
+            d, place, n, content, at, whole = d[order], place[order], n[order], content[order], at[order], whole[order]
             first = np.r_[True, content[1:] != content[:-1]]
             lead = np.flatnonzero(first)
-            c, leader = content.view(np.int64), d[np.repeat(lead, np.diff(np.r_[lead, len(at)]))]
+            of = np.repeat(lead, np.diff(np.r_[lead, len(at)]))
+            c, leader = content.view(np.int64), d[of]
             for kind, rest in () if bands.start else ((LOST, np.flatnonzero(~first & (d != leader))), (ECHO, np.flatnonzero(~first & (d == leader)))):
                 if len(rest):
-                    yield _emit(mix(content[rest] + rest.astype(np.uint64)).view(np.int64), c[rest], d[rest], place[rest], kind, leader[rest])
-            index = at[lead][:, None] + np.arange(size - SHINGLE + 1)
+                    yield _emit(mix(content[rest] + rest.astype(np.uint64)).view(np.int64), c[rest], d[rest], place[rest], n[rest], kind, leader[rest], place[of[rest]])
+            long = whole[lead]
+            index = at[lead[~long]][:, None] + np.arange(size - SHINGLE + 1)
+            held = n[lead[long]] - SHINGLE + 1
+            starts = np.cumsum(held) - held
+            flat = np.repeat(at[lead[long]] - starts, held) + np.arange(held.sum())
             for band in bands:
-                key = np.full(len(lead), band + 1, np.uint64)
+                key = np.where(long, U(1 << 32), U(0)) + U(band + 1)
                 for seed in seeds[band * rows : (band + 1) * rows]:
-                    key = mix(key + mix(grams ^ seed)[index].min(1))
-                yield _emit(key.view(np.int64), c[lead], d[lead], place[lead], KEY if band else FIRST)
+                    mixed, least = mix(grams ^ seed), np.empty(len(lead), np.uint64)
+                    least[~long] = mixed[index].min(1)
+                    if len(held):
+                        least[long] = np.minimum.reduceat(mixed[flat], starts)
+                    key = mix(key + least)
+                yield _emit(key.view(np.int64), c[lead], d[lead], place[lead], n[lead], KEY if band else FIRST)
 
     return run
 
@@ -138,23 +167,23 @@ def _collide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done = kind >= LOST
         if done.any():
             b = batch.filter(pa.array(done))
-            yield _emit(None, b.column("c"), b.column("d"), b.column("p"), kind[done], b.column("d2"))
+            yield _emit(None, b.column("c"), b.column("d"), b.column("p"), b.column("n"), kind[done], b.column("d2"), b.column("p2"))
         b = batch.filter(pa.array(~done))
-        got.append([b.column(x).to_numpy() for x in ("key", "c", "d", "p", "kind")])
+        got.append([b.column(x).to_numpy() for x in ("key", "c", "d", "p", "n", "kind")])
     if not got or not sum(len(x[0]) for x in got):
         return
-    key, c, d, p, kind = (np.concatenate(x) for x in zip(*got))
+    key, c, d, p, n, kind = (np.concatenate(x) for x in zip(*got))
     del got
     order = np.lexsort((p, d, c, key))
-    key, c, d, p, kind = key[order], c[order], d[order], p[order], kind[order]
+    key, c, d, p, n, kind = key[order], c[order], d[order], p[order], n[order], kind[order]
     new_key = np.r_[True, key[1:] != key[:-1]]
     new_c = new_key | np.r_[True, c[1:] != c[:-1]]
     begin = np.flatnonzero(new_c)
     count = np.diff(np.r_[begin, len(key)])
-    least = np.repeat(d[begin], count)
-    lost = (kind == FIRST) & (d != least)
+    holder = np.repeat(begin, count)
+    lost = (kind == FIRST) & (d != d[holder])
     if lost.any():
-        yield _emit(None, c[lost], d[lost], p[lost], LOST, least[lost])
+        yield _emit(None, c[lost], d[lost], p[lost], n[lost], LOST, d[holder[lost]], p[holder[lost]])
     # one row for each (key, content), that of the smallest id
     of = np.flatnonzero(new_key[begin])
     group = np.cumsum(new_key[begin]) - 1
@@ -167,7 +196,7 @@ def _collide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     begin, name, single = begin[several], name[several], single[several]
     for at in range(0, len(begin), 50_000):
         i = begin[at : at + 50_000]
-        yield _emit(None, c[i], d[i], p[i], MEMBER, name[at : at + 50_000], single[at : at + 50_000])
+        yield _emit(None, c[i], d[i], p[i], n[i], MEMBER, name[at : at + 50_000], single=single[at : at + 50_000])
 
 
 def group_links(group: np.ndarray, sets: list[np.ndarray], owner: np.ndarray, side: np.ndarray | None, num: int, den: int) -> list[tuple[int, int]]:
@@ -223,7 +252,7 @@ def _tile(num: int, den: int):
     return run
 
 
-def _shingles_at(size: int):
+def _shingles_at():
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in (p for b in batches for p in slices(b, "text")):
             h, bounds, _, _ = words(part.column("text"))
@@ -231,18 +260,19 @@ def _shingles_at(size: int):
             wanted = part.column("wanted")
             row = np.repeat(np.arange(len(part)), np.diff(wanted.offsets.to_numpy()))
             flat = wanted.flatten()
-            c, p = flat.field("c"), flat.field("p").to_numpy()
-            sets = [np.unique(grams[a : a + size - SHINGLE + 1]).view(np.int64) for a in (bounds[row] + p).tolist()]
+            c, p, n = flat.field("c"), flat.field("p").to_numpy(), flat.field("n").to_numpy()
+            sets = [np.unique(grams[a : a + m - SHINGLE + 1]).view(np.int64) for a, m in zip((bounds[row] + p).tolist(), n.tolist())]
             yield pa.RecordBatch.from_arrays([c, pa.array(sets, pa.list_(pa.int64()))], ["c", "shingles"])
 
     return run
 
 
 def _verified(members: DataFrame, sets: DataFrame, threshold: float, tile: int) -> DataFrame:
-    """Links (a, b) of contents that share a group. A group of more than ``tile`` contents is cut by hash, and all its tiles meet."""
+    """Links (a, b) of contents that share a group. A group of more than ``tile`` contents, or of ``tile * 512`` words, is cut by hash, and all its tiles meet."""
     part = Fraction(threshold).limit_denominator(1000)
-    large = stored(members.groupBy("g").agg(F.count("*").alias("n")).where(F.col("n") > tile).select("g", F.ceil(F.col("n") / tile).cast("int").alias("tiles")), "large-groups")
-    rooms = max(1, members.count() // 2048)
+    large = stored(members.groupBy("g").agg(F.greatest(F.ceil(F.count("*") / tile), F.ceil(F.sum("n") / (tile * 512))).cast("int").alias("tiles")).where("tiles > 1"), "large-groups")
+    total = members.agg(F.count("*").alias("rows"), F.coalesce(F.sum("n"), F.lit(0)).alias("words")).first()
+    rooms = max(1, total["rows"] // 2048, total["words"] // (1 << 18))
     own = F.pmod(F.xxhash64(F.lit(3), "c"), F.col("tiles")).cast("int")
     dealt = members.join(large, "g", "left").withColumn("own", own).join(sets, "c")
     other = lambda o: F.struct(F.least("own", o).alias("t1"), F.greatest("own", o).alias("t2"), (F.col("own") > o).cast("int").alias("side"), (F.col("own") != o).alias("cross"))
@@ -250,7 +280,13 @@ def _verified(members: DataFrame, sets: DataFrame, threshold: float, tile: int)
     where = F.when(F.col("tiles").isNull(), alone).otherwise(F.transform(F.sequence(F.lit(0), F.coalesce("tiles", F.lit(1)) - 1), other))
     room = F.when(F.col("tiles").isNull(), F.pmod(F.xxhash64("g"), F.lit(rooms))).otherwise(F.col("g"))
     dealt = dealt.select(room.alias("room"), "g", "c", "d", "single", "shingles", F.explode(where).alias("m")).select("room", "g", "c", "d", "single", "shingles", "m.*")
-    return stored(dealt.groupBy("room", "t1", "t2").applyInArrow(_tile(part.numerator, part.denominator), "a long, b long"), "links")
+    links = None
+    for turn in range(AT_ONCE):  # sets go with every group they are in: by turns, that the shuffles of one go before the next
+        some = dealt.where(F.pmod(F.xxhash64(F.lit(5), "g"), F.lit(AT_ONCE)) == turn).groupBy("room", "t1", "t2")
+        some = stored(some.applyInArrow(_tile(part.numerator, part.denominator), "a long, b long"), "links")
+        links = some if links is None else links.union(some)
+        release(members.sparkSession)
+    return links
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 32, gap: int = 20, threshold: float = 0.8, rows: int = 3, recall: float = 0.99, tile: int = 2048) -> DataFrame:
@@ -260,38 +296,90 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     one; null ids take no part. Only passages that different ids hold count:
     what one document repeats is left alone, unless another keeps it. A
     document shorter than ``size`` words has no paragraph. Repeated rows of one
-    id are one document. Overlapping paragraphs are merged into one span. An
+    id are one document. Overlapping paragraphs are merged into one span, and spans reach to the ends of the run of words that the keeper shares. An
     empty table gives no row.
     """
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     bands, met = tune_bands(threshold, rows, recall), None
     for low in range(0, bands, AT_ONCE):
-        dealt = base.mapInArrow(tidy(_banded(size, gap, range(low, min(low + AT_ONCE, bands)), rows)), "key long, c long, d long, p long, kind byte, d2 long").repartition("key")
-        some = stored(dealt.mapInArrow(tidy(_collide), "c long, d long, p long, kind byte, d2 long, single boolean"), "paragraphs")
+        dealt = base.mapInArrow(tidy(_banded(size, gap, range(low, min(low + AT_ONCE, bands)), rows)), "key long, c long, d long, p long, n long, kind byte, d2 long, p2 long").repartition("key")
+        some = stored(dealt.mapInArrow(tidy(_collide), "c long, d long, p long, n long, kind byte, d2 long, p2 long, single boolean"), "paragraphs")
         met = some if met is None else met.union(some)
         del dealt
         release(base.sparkSession)
-    exact = met.where(F.col("kind") == LOST).select("c", "d", "p", F.col("d2").alias("found_in"))
+    exact = met.where(F.col("kind") == LOST).select("c", "d", "p", "n", F.col("d2").alias("found_in"), "p2", F.col("n").alias("n2"))
 
-    members = met.where(F.col("kind") == MEMBER).groupBy(F.col("d2").alias("g"), "c").agg(F.min(F.struct("d", "p")).alias("at"), F.min("single").alias("single"))
-    members = stored(members.select("g", "c", "at.d", "at.p", "single"), "members")
-    places = stored(members.groupBy("c").agg(F.min(F.struct("d", "p")).alias("at")).select("c", "at.d", "at.p"), "places")
-    wanted = places.groupBy("d").agg(F.collect_list(F.struct("c", "p")).alias("wanted"))
+    members = met.where(F.col("kind") == MEMBER).groupBy(F.col("d2").alias("g"), "c", "n").agg(F.min(F.struct("d", "p")).alias("at"), F.min("single").alias("single"))
+    members = stored(members.select("g", "c", "n", "at.d", "at.p", "single"), "members")
+    places = stored(members.groupBy("c", "n").agg(F.min(F.struct("d", "p")).alias("at")).select("c", "n", "at.d", "at.p"), "places")
+    wanted = places.groupBy("d").agg(F.collect_list(F.struct("c", "p", "n")).alias("wanted"))
     texts = IdFilter(places.select("d")).hits(base, "id").join(wanted, F.col("id") == F.col("d")).select("text", "wanted")
-    sets = stored(texts.mapInArrow(tidy(_shingles_at(size)), "c long, shingles array<long>").dropDuplicates(["c"]), "shingles")
+    sets = stored(texts.mapInArrow(tidy(_shingles_at()), "c long, shingles array<long>").dropDuplicates(["c"]), "shingles")
     links = _verified(members, sets, threshold, tile)
     near = stored(places.join(components(links).withColumnRenamed("node", "c"), "c"), "near-classes")
-    keepers = near.groupBy("component").agg(F.min("d").alias("found_in"))
-    lost = exact.unionByName(near.join(keepers, "component").where("d <> found_in").select("c", "d", "p", "found_in"))
-    lost = stored(lost, "lost")
-    echoes = met.where(F.col("kind") == ECHO).select("c", "d", "p").join(lost.groupBy("c", "d").agg(F.min("found_in").alias("found_in")), ["c", "d"])
-
-    by = Window.partitionBy("d").orderBy("p")
-    ends = F.max(F.col("p") + size).over(by.rowsBetween(Window.unboundedPreceding, -1))
-    every = lost.unionByName(echoes.select(lost.columns)).groupBy("d", "p").agg(F.min("found_in").alias("found_in"))
-    every = every.withColumn("new", (F.col("p") > F.coalesce(ends, F.lit(-1))).cast("int")).withColumn("span", F.sum("new").over(by.rowsBetween(Window.unboundedPreceding, 0)))
-    spans = every.groupBy("d", "span").agg(F.min("p").alias("start"), (F.max("p") + size).alias("end"), F.min("found_in").alias("found_in"))
-    return spans.select(F.col("d").alias(id_col), "start", (F.col("end") - F.col("start")).alias("n_words"), "found_in")
+    keepers = near.groupBy("component").agg(F.min(F.struct("d", "p", "n")).alias("k")).select("component", F.col("k.d").alias("found_in"), F.col("k.p").alias("p2"), F.col("k.n").alias("n2"))
+    near = near.join(keepers, "component").where("d <> found_in").select("c", "d", "p", "n", "found_in", "p2", "n2")
+    lost = stored(exact.withColumn("near", F.lit(False)).unionByName(near.withColumn("near", F.lit(True))), "lost")
+    kept = lost.groupBy("c", "d").agg(F.min(F.struct("found_in", "p2", "n2")).alias("k"))
+    echoes = met.where(F.col("kind") == ECHO).select("c", "d", "p", "n").join(kept, ["c", "d"]).select("c", "d", "p", "n", "k.found_in", "k.p2", "k.n2", F.lit(False).alias("near"))
+    end = lambda p, n: F.col(p) + F.col(n)
+    every = lost.unionByName(echoes).select("d", "p", end("p", "n").alias("e"), "found_in", "p2", end("p2", "n2").alias("e2"), "near")
+    # equal paragraphs stand in step with the keeper's, near ones need not: each of those is extended by itself
+    equal = _merged(every.where("not near")).select("d", "first.p", "last.e", "found_in", F.col("first.found_in").alias("d1"), F.col("first.p2").alias("p2"), F.col("last.found_in").alias("d2"), F.col("last.e2").alias("e2"), F.lit(False).alias("near"))
+    alone = every.where("near").select("d", "p", "e", "found_in", F.col("found_in").alias("d1"), "p2", F.col("found_in").alias("d2"), "e2", "near").dropDuplicates(["d", "p", "e"])
+    spans = stored(equal.unionByName(alone), "spans")
+    spans = _merged(_extended(spans, base, size + gap).withColumns({"p2": F.lit(0), "e2": F.lit(0)}))
+    return spans.select(F.col("d").alias(id_col), F.col("first.p").alias("start"), (F.col("last.e") - F.col("first.p")).alias("n_words"), "found_in")
+
+
+def _merged(spans: DataFrame) -> DataFrame:
+    """One row for spans (d, p to e, found_in from p2 to e2) that overlap or touch, with the first and the last of them."""
+    by = Window.partitionBy("d").orderBy("p", "e")
+    ends = F.max("e").over(by.rowsBetween(Window.unboundedPreceding, -1))
+    rows = spans.withColumn("new", (F.col("p") > F.coalesce(ends, F.lit(-1))).cast("int")).withColumn("span", F.sum("new").over(by.rowsBetween(Window.unboundedPreceding, 0)))
+    return rows.groupBy("d", "span").agg(F.min(F.struct("p", "found_in", "p2")).alias("first"), F.max(F.struct("e", "found_in", "e2")).alias("last"), F.min("found_in").alias("found_in"))
+
+
+def _around(reach: int):
+    """Up to ``reach`` words before (nearest first) or from each wanted place."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in (p for b in batches for p in slices(b, "text")):
+            h, bounds, _, _ = words(part.column("text"))
+            wanted = part.column("wanted")
+            row = np.repeat(np.arange(len(part)), np.diff(wanted.offsets.to_numpy()))
+            flat = wanted.flatten()
+            place, after = flat.field("place"), flat.field("after")
+            found = []
+            for a, to, p, forward in zip(bounds[row].tolist(), bounds[row + 1].tolist(), place.to_pylist(), after.to_pylist()):
+                p = min(a + p, to)
+                found.append((h[p : min(to, p + reach)] if forward else h[max(a, p - reach) : p][::-1]).view(np.int64))
+            yield pa.RecordBatch.from_arrays([part.column("id").take(pa.array(row)), place, after, pa.array(found, pa.list_(pa.int64()))], ["doc", "place", "after", "words"])
+
+    return run
+
+
+def _extended(spans: DataFrame, base: DataFrame, reach: int) -> DataFrame:
+    """Spans (d, p, e, found_in) that begin and end with the run of equal words around them.
+
+    A run of equal words that goes on for more than ``gap`` words beyond a span
+    holds another paragraph, so ``reach`` words on either side are enough.
+    """
+    key = ["d", "p", "e", "near"]
+    ends = [F.struct(F.lit(role).alias("role"), F.col(doc).alias("doc"), F.col(place).alias("place"), F.lit(after).alias("after")) for role, doc, place, after in (("u", "d", "p", False), ("v", "d1", "p2", False), ("x", "d", "e", True), ("y", "d2", "e2", True))]
+    asked = stored(spans.select(*key, F.explode(F.array(*ends)).alias("q")).select(*key, "q.*"), "ends")
+    wanted = asked.select("doc", "place", "after").distinct().groupBy("doc").agg(F.collect_list(F.struct("place", "after")).alias("wanted"))
+    texts = IdFilter(asked.select("doc")).hits(base, "id").join(wanted, F.col("id") == F.col("doc")).select("id", "text", "wanted")
+    around = stored(texts.mapInArrow(tidy(_around(reach)), "doc long, place long, after boolean, words array<long>").dropDuplicates(["doc", "place", "after"]), "around")
+    got = asked.join(around, ["doc", "place", "after"]).groupBy(*key).agg(*[F.max(F.when(F.col("role") == r, F.col("words"))).alias(r) for r in "uvxy"])
+
+    def alike(x: str, y: str):
+        same = F.zip_with(x, y, lambda i, j: F.coalesce(i == j, F.lit(False)))
+        stop = F.array_position(same, F.lit(False))
+        return F.coalesce(F.when(stop == 0, F.size(same)).otherwise(stop - 1), F.lit(0))
+
+    both = spans.join(got.select(*key, alike("u", "v").alias("before"), alike("x", "y").alias("behind")), key, "left")
+    return both.select("d", (F.col("p") - F.coalesce("before", F.lit(0))).alias("p"), (F.col("e") + F.coalesce("behind", F.lit(0))).alias("e"), "found_in")
 
 
 def cut_passages(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

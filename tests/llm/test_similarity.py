@@ -170,10 +170,10 @@ def test_all_pairs_of_a_key_are_looked_at(spark, tile):
     sets = [base[0]] + [np.unique(np.r_[b[:-2], rng.integers(0, 2**62, 2)]) for b in base[1:] for _ in range(4)]
     c = rng.permutation(10**6)[: len(sets)].tolist()
     rows = [("key", x, i, 0) for i, x in enumerate(c)] + [("key", c[0], 900, 0), ("key", c[0], 901, 0)]
-    batch = pa.RecordBatch.from_pylist([{"key": 7, "c": x, "d": d, "p": p, "kind": passages.FIRST, "d2": None} for _, x, d, p in rows], pa.schema([("key", pa.int64()), ("c", pa.int64()), ("d", pa.int64()), ("p", pa.int64()), ("kind", pa.int8()), ("d2", pa.int64())]))
+    batch = pa.RecordBatch.from_pylist([{"key": 7, "c": x, "d": d, "p": p, "n": 32, "kind": passages.FIRST, "d2": None, "p2": None} for _, x, d, p in rows], pa.schema([("key", pa.int64()), ("c", pa.int64()), ("d", pa.int64()), ("p", pa.int64()), ("n", pa.int64()), ("kind", pa.int8()), ("d2", pa.int64()), ("p2", pa.int64())]))
     met = [r for b in passages._collide([batch]) for r in b.to_pylist() if r["kind"] == passages.MEMBER]
     assert sorted(r["c"] for r in met) == sorted(c)
-    members = spark.createDataFrame([(r["d2"], r["c"], r["d"], r["p"], r["single"]) for r in met], "g long, c long, d long, p long, single boolean")
+    members = spark.createDataFrame([(r["d2"], r["c"], r["d"], r["p"], r["n"], r["single"]) for r in met], "g long, c long, d long, p long, n long, single boolean")
     links = passages._verified(members, spark.createDataFrame([(x, s.tolist()) for x, s in zip(c, sets)], "c long, shingles array<long>"), 0.8, tile)
     near = lambda i, j: 10 * len(set(sets[c.index(i)]) & set(sets[c.index(j)])) >= 8 * len(set(sets[c.index(i)]) | set(sets[c.index(j)]))
     want = brute_components(c, near)
@@ -181,6 +181,29 @@ def test_all_pairs_of_a_key_are_looked_at(spark, tile):
     assert {x: got.get(x, x) for x in c} == want and len(set(want.values())) == 12
 
 
+def test_whole_paragraphs_and_ends_of_runs(spark):
+    """A line with a word changed every 30 is a near copy; a shared run goes whole, wherever the windows stand in it."""
+    rng = random.Random(12)
+    fresh = lambda n: [f"u{rng.randrange(10**9)}" for _ in range(n)]
+    rows, changed, run = [], {}, {}
+    for i in range(0, 30, 2):
+        line = fresh(100)
+        near = [f"c{i}" if at in (33, 67) else x for at, x in enumerate(line)]
+        rows += [(i, "\n".join(map(" ".join, (fresh(50), line, fresh(40))))), (i + 1, "\n".join(map(" ".join, (fresh(45), near))))]
+        changed[i + 1] = (45, 100)
+    for i in range(100, 130, 2):
+        shared = fresh(51 + i % 7)
+        rows += [(i, " ".join(fresh(60) + shared + fresh(70))), (i + 1, " ".join(fresh(80) + shared + fresh(90)))]
+        run[i + 1] = (80, len(shared))
+    rows += [(200, " ".join(p := fresh(20)) + "\n" + " ".join(q := fresh(20)) + "\n\n" + " ".join(fresh(90))), (201, " ".join(fresh(99)) + "\n \n" + " ".join(p) + "\n" + " ".join(q[:19] + ["other"]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: (r.start, r.n_words) for r in passages.repeated_passages(df).collect()}
+    for i, (start, n) in run.items():  # a near window may reach over the end by the three words that it may lack
+        assert start - 3 <= got[i][0] <= start and start + n <= sum(got[i]) <= start + n + 3
+    whole = [i for i, (start, n) in changed.items() if i in got and start - 3 <= got[i][0] <= start and start + n == sum(got[i])]
+    assert len(whole) >= 14 and got[201] == (99, 40) and set(got) <= {201, *run, *changed}  # bands find 99 of 100
+
+
 def test_tuned_bands():
     assert passages.tune_bands(0.8, 3, 0.88) == 3 and passages.tune_bands(0.8, 1, 0.5) == 1
 
