@@ -658,3 +658,53 @@ def _(t):
 def _(t):
     got = F.from_json("props", "k long")
     return t("events").select("event_id", got["k"].alias("k"), text.flat_array(F.array(F.col("event_type"), got["k"].cast("string"))).alias("listed"))
+
+
+# --- whole tables: the queries above that look at a part of their rows, over all of them ---------------------------
+
+
+def whole(name: str, *filters: str) -> Callable:
+    """Bind ``name`` over whole tables: its SQL without ``filters``."""
+    sql = ORACLE_SQL[name]
+    for f in filters:
+        assert f in sql, f
+        sql = sql.replace(f, "")
+    return bind(f"{name}_whole", sql)
+
+
+@whole("month_coverage", " WHERE o_custkey % 9 < 2")
+def _(t):
+    return coverage.month_coverage(t("orders"), "o_orderdate")
+
+
+@bind("missing_days_whole", "SELECT strftime(d, '%Y-%m-%d') AS day FROM generate_series(DATE '1990-01-01', DATE '2005-12-31', INTERVAL 1 DAY) g(d) WHERE d::DATE NOT IN (SELECT o_orderdate::DATE FROM orders)")
+def _(t):
+    return coverage.missing_days(t("orders"), "o_orderdate", "1990-01-01", "2005-12-31").select(F.col("day").cast("string").alias("day"))
+
+
+@whole("partial_years", " WHERE o_custkey % 5 = 0")
+def _(t):
+    return coverage.partial_years(t("orders").withColumn("d", F.date_format("o_orderdate", "yyyy-MM-dd")), "d")
+
+
+@whole("missing_values", " WHERE l_quantity > 48")
+def _(t):
+    return reconcile.missing_values(t("lineitem").select(F.col("l_partkey").alias("v")), t("part").select(F.col("p_partkey").alias("v")), "v")
+
+
+@whole("overlap_share", " WHERE o_totalprice > 400000")
+def _(t):
+    return reconcile.overlap_share(*versions(t), "o_custkey")
+
+
+@whole("source_overlap", " WHERE c_acctbal > 9000")
+def _(t):
+    n = t("nation")
+    a = t("customer").join(n, F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("n_regionkey").alias("g"), F.col("n_name").alias("k"))
+    b = t("supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("n_regionkey").alias("g"), F.lower("n_name").alias("k"))
+    return coverage.source_overlap(a, b, ("g",), "k")
+
+
+@bind("scalar_text_whole", r"SELECT page_id, nullif(regexp_replace(E'\t' || url || ' ', '^[ \t\r\n]+|[ \t\r\n]+$', '', 'g'), '') AS clean, upper(trim(url)) AS key FROM pages")
+def _(t):
+    return t("pages").select("page_id", text.clean(F.concat(F.lit("\t"), "url", F.lit(" "))).alias("clean"), text.key_text(F.col("url")).alias("key"))

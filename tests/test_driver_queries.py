@@ -61,3 +61,9 @@ def test_entry(spark):
 
     assert e.entry(spark).count() > 0
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_queries_over_parts_have_one_over_the_whole(spark, sf):
+    for name in ("month_coverage", "missing_days", "partial_years", "missing_values", "overlap_share", "source_overlap", "scalar_text"):
+        assert f"{name}_whole" in driver.QUERIES
+    assert sum(r.n for r in driver.QUERIES["month_coverage_whole"](spark, sf).collect()) == spark.read.parquet(f"{sf}/orders.parquet").count()
