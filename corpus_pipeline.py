@@ -17,8 +17,10 @@ from aeroperf.llm.storage import stored
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; those without a letter (``und``) go. The model is fitted on the stage's own labelled documents."""
+    """Documents with a letter; only those without one (``und``) go. The model is fitted on the stage's own labelled documents; where none is labelled, texts with a letter stay all the same."""
     model = language.train_language_model(docs)
+    if not model.langs:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     return language.identify(docs, model).where("lang_pred <> 'und'").select(docs.columns)
 
 

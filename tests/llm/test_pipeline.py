@@ -2,6 +2,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -60,3 +61,8 @@ def test_one_query_for_each_operator():
     names = [n for n in entry.queries() if re.match(r"op\d+_", n)]
     assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 11))
     assert jaccard and mixing and passages
+
+
+def test_texts_with_a_letter_stay_without_labels(spark, docs):
+    out = corpus_pipeline.known_language(spark, docs.withColumn("lang", F.lit(None).cast("string")), "")
+    assert out.columns == docs.columns and {r.doc_id for r in out.collect()} == {r.doc_id for r in docs.collect()} - {22, 23, 24}
