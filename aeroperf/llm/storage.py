@@ -1,8 +1,8 @@
 """Shared scratch space: written tables that cut lineage, and files that executors write.
 
 Everything lies below ``spark.checkpoint.dir``, which a cluster shares between
-the driver and the executors. Where it is unset (tests, a laptop) a temporary
-folder of the driver takes its place, which is right in local mode only.
+the driver and the executors. Where it is unset in local mode (tests, a laptop)
+a temporary folder takes its place; on a cluster that is an error.
 """
 
 from __future__ import annotations
@@ -23,6 +23,8 @@ def shared_dir(spark: SparkSession) -> str:
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if found:
         return found.rstrip("/")
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL:
         _LOCAL[app] = "file://" + tempfile.mkdtemp(prefix="shared-")
@@ -35,6 +37,13 @@ def scratch(spark: SparkSession, what: str) -> str:
     return f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex[:12]}"
 
 
+def make_folder(spark: SparkSession, folder: str) -> str:
+    """``folder``, which is there from now on, also where no task writes to it."""
+    path, conf = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder), spark.sparkContext._jsc.hadoopConfiguration()
+    path.getFileSystem(conf).mkdirs(path)
+    return folder
+
+
 def stored(df: DataFrame, what: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession

@@ -2,9 +2,9 @@
 
 A file is a row of shards. In a shard, frequent pairs of neighbouring ids are
 replaced by new symbols, round after round (several pairs at once, in rounds,
-instead of one at a time); the rules, the lengths of their expansions and the
-documents' places are stored with it, so that one document can be decoded
-without the others. No rule spans two documents.
+instead of one at a time), until no pair is met ``least`` times; the rules, the
+lengths of their expansions and the documents' places are stored with it, so
+that one document can be decoded without the others. No rule spans two documents.
 
 Shard, little-endian: ``RPR1``, five unsigned 64-bit numbers (documents, rules,
 symbols, ids, width of a symbol in bytes), then the documents' ids (int64), a
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from aeroperf.llm.hashing import slices
-from aeroperf.llm.storage import AtomicFile, list_files, open_fs
+from aeroperf.llm.storage import AtomicFile, list_files, make_folder, open_fs
 from aeroperf.llm.tokens import encoder
 from aeroperf.llm.workers import tidy
 
@@ -43,14 +43,15 @@ class Grammar:
     lengths: np.ndarray  # of the rules' expansions
 
 
-def repair(ids: np.ndarray, starts: np.ndarray, base: int, rounds: int = 10, least: int = 12, most_rules: int = 1 << 16) -> tuple[np.ndarray, np.ndarray, Grammar]:
-    """(symbols, first symbol of each document, rules) of a shard; ``starts`` are the documents' first ids with the total last."""
+def repair(ids: np.ndarray, starts: np.ndarray, base: int, least: int = 12) -> tuple[np.ndarray, np.ndarray, Grammar]:
+    """(symbols, first symbol of each document, rules) of a shard; ``starts`` are the documents' first ids with the total last.
+
+    Ends when no pair is met ``least`` times. A rule takes 12 bytes and a
+    replaced pair saves a symbol of 2 or 4: at 12 every rule pays for itself.
+    """
     s, first = ids.astype(np.uint32), starts.astype(np.int64)
     left, right, lengths = [np.zeros(0, np.uint32)], [np.zeros(0, np.uint32)], np.zeros(0, np.uint32)
-    for _ in range(rounds):
-        room = most_rules - base - len(lengths)
-        if len(s) < 2 or room <= 0:
-            break
+    while len(s) > 1:
         code = s[:-1].astype(np.uint64) << U(32) | s[1:]
         bucket = (code * U(0x9E3779B97F4A7C15)) >> U(46)
         whole = np.ones(len(code), bool)
@@ -63,8 +64,6 @@ def repair(ids: np.ndarray, starts: np.ndarray, base: int, rounds: int = 10, lea
             break
         pairs, back, n = np.unique(code[at], return_inverse=True, return_counts=True)
         chosen = np.flatnonzero(n >= least)
-        if len(chosen) > room:
-            chosen = chosen[np.argsort(-n[chosen], kind="stable")[:room]]
         if not len(chosen):
             break
         rank = np.full(len(pairs), -1)
@@ -106,7 +105,7 @@ def expand(symbols: np.ndarray, g: Grammar) -> np.ndarray:
 
 def _shard(keys: list[int | None], ids: np.ndarray, starts: np.ndarray) -> bytes:
     base = max(1, int(ids.max()) + 1 if len(ids) else 1)
-    symbols, first, g = repair(ids, starts, base, most_rules=1 << 16 if base < 60_000 else 1 << 31)
+    symbols, first, g = repair(ids, starts, base)
     width = 2 if base + len(g.lengths) <= 1 << 16 else 4
     return b"".join((
         MAGIC, struct.pack("<5Q", len(keys), len(g.lengths), len(symbols), len(ids), width),
@@ -190,9 +189,10 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, id_col: str
     ``end_id`` follows each text; a null text is an empty one; null ids come
     first; rows of the same id are in order of their texts' hashes. Returns
     the number of ids. A shard closes once it holds ``shard_ids`` ids, so
-    memory follows that, or the longest document. An empty table writes no
-    file.
+    memory follows that, or the longest document. An empty table leaves an
+    empty folder.
     """
+    make_folder(docs.sparkSession, folder)
     order = [F.col(id_col).asc_nulls_first(), F.xxhash64(text_col)]
     dealt = docs.select(id_col, text_col).repartitionByRange(*order).sortWithinPartitions(*order)
 

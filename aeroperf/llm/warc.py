@@ -10,14 +10,17 @@ becomes a ``revisit`` of it.
 Payloads are never shuffled. Parsing an ARC file gives a narrow row for each
 record; responses are chosen from digests by a partial aggregation and a join
 of two stored tables, which adaptive execution splits when a digest is hot;
-then each ARC file is read once more beside its own rows and written as the
-WARC file of the same name. Files close at ``max_bytes`` of payload, which
-bounds a task. Every record is a gzip member of its own.
+then each ARC file is read once more beside the rows of its own revisits and
+written as the WARC file of the same name. Files are dealt over a number of
+tasks that follows theirs, as their bytes are not in the shuffle that adaptive
+execution sees. Files close at ``max_bytes`` of payload. Every record is a gzip
+member of its own.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -30,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aeroperf.llm.hashing import slices
-from aeroperf.llm.storage import AtomicFile, list_files, open_fs, stored
+from aeroperf.llm.storage import AtomicFile, list_files, make_folder, open_fs, stored
 from aeroperf.llm.workers import tidy
 
 #: The header lines of the two ARC versions.
@@ -40,7 +43,10 @@ ARC_FIELDS = {
 }
 NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 ROW_ID, REFERS = "X-Source-Row", "WARC-Refers-To-Source-Row"
-INDEX = "file string, position long, row_id long, payload_digest string, payload_bytes long"
+INDEX = "file string, position long, row_id long, payload_digest string, payload_bytes long, record_id string, url string, date string"
+KINDS = (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string())
+#: What a header line holds before its last fields; a URL or a content type may have blanks.
+LEFT = re.compile(r"(.*?) (\S+) (\d{4,14})(?: (.*))?", re.DOTALL)
 
 
 class GzipReader:
@@ -110,6 +116,20 @@ def arc_line(version: int, url: str, date: str, mime: str, size: int, ip: str =
     return " ".join(values).encode() + b"\n"
 
 
+def arc_fields(version: int, line: str) -> dict[str, str] | None:
+    """Fields of a header line; None where it has too few. The last ones are taken from the right, as a URL and a content type may hold blanks."""
+    names, behind = ARC_FIELDS[version], len(ARC_FIELDS[version]) - 4
+    values = line.strip().rsplit(maxsplit=behind)
+    left = LEFT.fullmatch(values[0]) if len(values) == behind + 1 else None
+    return dict(zip(names, (*left.groups(default="-"), *values[1:]))) if left else None
+
+
+def iso_date(date: str) -> str:
+    """An ARC date of up to 14 digits as an ISO timestamp; what it lacks is the earliest."""
+    d = date + "00000101000000"[len(date) :]
+    return f"{d[:4]}-{d[4:6]}-{d[6:8]}T{d[8:10]}:{d[10:12]}:{d[12:14]}Z"
+
+
 def read_arc(path: str) -> Iterator[ArcRecord]:
     """Records of an ARC file of either version, by their declared lengths."""
     f = GzipReader(path)
@@ -118,14 +138,13 @@ def read_arc(path: str) -> Iterator[ArcRecord]:
         raise ValueError(f"{path} is no ARC file")
     block = f.take(int(first[-1]))
     version = int(block.split(None, 1)[0])
-    names = ARC_FIELDS[version]
     while (line := f.line()) is not None:
         if not line.strip():
             continue
-        values = line.decode("utf-8", "replace").split()
-        if len(values) != len(names):
-            raise ValueError(f"{path}: an ARC {version} header of {len(values)} fields")
-        yield ArcRecord(dict(zip(names, values)), f.take(int(values[-1])))
+        fields = arc_fields(version, line.decode("utf-8", "replace"))
+        if fields is None:
+            raise ValueError(f"{path}: no ARC {version} header: {line[:200]!r}")
+        yield ArcRecord(fields, f.take(int(fields["Archive-length"])))
 
 
 def write_arc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", version: int | None = None, date: str = "20240101000000", max_bytes: int = 32 << 20) -> int:
@@ -133,8 +152,9 @@ def write_arc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: s
 
     A null html is an empty payload, a null URL ``urn:null``; white space,
     control and non-ASCII characters of a URL are percent-encoded. A null id
-    is left out of the record.
+    is left out of the record. An empty table leaves an empty folder.
     """
+    make_folder(pages.sparkSession, folder)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
@@ -171,46 +191,47 @@ def _header(head: bytes, name: str) -> str | None:
 
 
 def index_arc(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per ARC record: file, position, row_id, payload_digest, payload_bytes."""
+    """One row per ARC record: file, position, row_id, payload_digest, payload_bytes, and the record_id, url and date that a WARC response of it has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for path in (p for b in batches for p in b.column("path").to_pylist()):
             rows = []
             for i, record in enumerate(read_arc(path)):
                 head, payload = record.split
-                row = _header(head, ROW_ID)
-                rows.append((path, i, int(row) if row else None, hashlib.sha256(payload).hexdigest(), len(payload)))
+                row, digest, url, date = _header(head, ROW_ID), hashlib.sha256(payload).hexdigest(), record.fields["URL"], record.fields["Archive-date"]
+                rows.append((path, i, int(row) if row else None, digest, len(payload), _record_id("response", url, date, row, digest), url, iso_date(date)))
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64()))], ["file", "position", "row_id", "payload_digest", "payload_bytes"])
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), KINDS)], [x.split()[0] for x in INDEX.split(", ")])
 
     return list_files(spark, folder).select("path").mapInArrow(tidy(run), INDEX)
 
 
 def choose_responses(index: DataFrame, least_bytes: int = 100) -> DataFrame:
-    """Adds refers_to: for a record of at least ``least_bytes`` whose payload a record of a smaller row_id holds too, the smallest such row_id; else null.
+    """Adds refers_to and original: for a record of at least ``least_bytes`` whose payload a record of a smaller row_id holds too, the smallest such row_id, and its record_id, url and date; else null.
 
     A record without a row_id revisits the smallest that has one. Records that
     share the smallest row_id are all responses.
     """
     large = F.col("payload_bytes") >= least_bytes
-    shared = index.where(large).groupBy("payload_digest").agg(F.min("row_id").alias("response"), F.count("*").alias("n")).where("n > 1 and response is not null")
-    shared = stored(shared.select("payload_digest", "response"), "responses")
+    first = F.min(F.when(F.col("row_id").isNotNull(), F.struct("row_id", "record_id", "url", "date")))
+    shared = index.where(large).groupBy("payload_digest").agg(first.alias("original"), F.count("*").alias("n")).where("n > 1 and original is not null")
+    shared = stored(shared.select("payload_digest", "original"), "responses")
     out = index.join(shared, "payload_digest", "left")
-    revisit = large & F.col("response").isNotNull() & ~F.col("response").eqNullSafe(F.col("row_id"))
-    return out.withColumn("refers_to", F.when(revisit, F.col("response"))).drop("response")
+    revisit = large & F.col("original").isNotNull() & ~F.col("original.row_id").eqNullSafe(F.col("row_id"))
+    return out.withColumns({"refers_to": F.when(revisit, F.col("original.row_id")), "original": F.when(revisit, F.col("original"))})
 
 
 def _record_id(kind: str, url: str, date: str, row: str | None, digest: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(NAMESPACE, f'{kind} {url} {date} {row} {digest}')}>"
 
 
-def warc_record(record: ArcRecord, refers_to: int | None) -> bytes:
-    """The WARC/1.1 record that is equivalent to an ARC record; the block of a revisit is the HTTP head alone."""
+def warc_record(record: ArcRecord, original: dict | None) -> bytes:
+    """The WARC/1.1 record that is equivalent to an ARC record; the block of a revisit (of ``original``) is the HTTP head alone."""
     url, d = record.fields["URL"], record.fields["Archive-date"]
-    date = f"{d[:4]}-{d[4:6]}-{d[6:8]}T{d[8:10]}:{d[10:12]}:{d[12:14]}Z"
+    date = iso_date(d)
     head, payload = record.split
     digest, row = hashlib.sha256(payload).hexdigest(), _header(head, ROW_ID)
-    kind = "response" if head and refers_to is None else "revisit" if refers_to is not None else "resource"
+    kind = "response" if head and original is None else "revisit" if original is not None else "resource"
     block = head if kind == "revisit" else record.content
     lines = [
         "WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: {_record_id(kind, url, d, row, digest)}", f"WARC-Date: {date}", f"WARC-Target-URI: {url}",
@@ -218,7 +239,10 @@ def warc_record(record: ArcRecord, refers_to: int | None) -> bytes:
         f"Content-Type: {'application/http; msgtype=response' if head else record.fields['Content-type']}",
     ]
     if kind == "revisit":
-        lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"{REFERS}: {refers_to}"]
+        lines += [
+            "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: {original['record_id']}",
+            f"WARC-Refers-To-Target-URI: {original['url']}", f"WARC-Refers-To-Date: {original['date']}", f"{REFERS}: {original['row_id']}",
+        ]
     return "\r\n".join([*lines, f"Content-Length: {len(block)}", "", ""]).encode() + block + b"\r\n\r\n"
 
 
@@ -227,22 +251,29 @@ def convert_arc(spark: SparkSession, arc_folder: str, warc_folder: str, least_by
 
     An empty folder gives none. A damaged file raises ValueError.
     """
-    if list_files(spark, arc_folder).isEmpty():
+    make_folder(spark, warc_folder)
+    files = list_files(spark, arc_folder).select(F.col("path").alias("file"))
+    n_files = files.count()
+    if not n_files:
         return 0
-    decided = choose_responses(stored(index_arc(spark, arc_folder), "arc-index"), least_bytes).select("file", "position", "refers_to")
+    decided = choose_responses(stored(index_arc(spark, arc_folder), "arc-index"), least_bytes).where("refers_to is not null").select("file", "position", "original")
+    every = decided.unionByName(files, allowMissingColumns=True)
 
     def run(table: pa.Table) -> pa.Table:
-        path = table.column("file")[0].as_py()
-        refers = dict(zip(table.column("position").to_pylist(), table.column("refers_to").to_pylist()))
+        path, n = table.column("file")[0].as_py(), 0
+        originals = dict(zip(table.column("position").to_pylist(), table.column("original").to_pylist()))
         name = path.rsplit("/", 1)[1]
         out = AtomicFile(warc_folder, name.replace(".arc.gz", ".warc.gz"))
         out.write(_member(b"WARC/1.1\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: " + f"<urn:uuid:{uuid.uuid5(NAMESPACE, name)}>".encode() + b"\r\nWARC-Date: 2024-01-01T00:00:00Z\r\nContent-Type: application/warc-fields\r\nContent-Length: 22\r\n\r\nconformsTo: WARC/1.1\r\n\r\n\r\n"))
         for i, record in enumerate(read_arc(path)):
-            out.write(_member(warc_record(record, refers[i])))
+            out.write(_member(warc_record(record, originals.get(i))))
+            n += 1
         out.close()
-        return pa.table({"n": pa.array([len(refers)], pa.int64())})
+        return pa.table({"n": pa.array([n], pa.int64())})
 
-    return decided.groupBy("file").applyInArrow(run, "n long").agg(F.sum("n")).first()[0] or 0
+    # about a file a task while there are few, and at most some 16 (of max_bytes each) beyond
+    tasks = max(min(n_files, 8 * spark.sparkContext.defaultParallelism), n_files // 16)
+    return every.repartition(tasks, "file").groupBy("file").applyInArrow(run, "n long").agg(F.sum("n")).first()[0] or 0
 
 
 @dataclass

@@ -88,6 +88,25 @@ def test_archives_round_trip(spark, tmp_path, version):
         assert r.payload is None if r.record_type == "revisit" else bytes(r.payload) == html[r.row_id]
 
 
+def test_revisits_name_their_response(spark, tmp_path):
+    df = spark.createDataFrame([(i, f"http://h/{i}", "same " * 50) for i in range(4)], "page_id long, url string, html string").repartition(2)
+    a, w = f"file://{tmp_path}/a", f"file://{tmp_path}/w"
+    warc.write_arc(df, a)
+    assert warc.convert_arc(spark, a, w) == 4
+    records = [r.headers for p in (tmp_path / "w").glob("*.warc.gz") for r in warc.iterate_warc(f"file://{p}")]
+    (response,) = (h for h in records if h["warc-type"] == "response")
+    revisits = [h for h in records if h["warc-type"] == "revisit"]
+    assert len(revisits) == 3 and response["warc-target-uri"] == "http://h/0"
+    assert {(h["warc-refers-to"], h["warc-refers-to-target-uri"], h["warc-refers-to-date"]) for h in revisits} == {(response["warc-record-id"], "http://h/0", response["warc-date"])}
+
+
+def test_a_very_long_page(spark, tmp_path):
+    df = spark.createDataFrame([(0, "u", "é" * 3_000_000), (1, "v", "é" * 3_000_000), (2, "w", "short")], "page_id long, url string, html string")
+    a, w = f"file://{tmp_path}/a", f"file://{tmp_path}/w"
+    assert warc.write_arc(df, a) == 3 and warc.convert_arc(spark, a, w) == 3
+    assert sorted((r.row_id, r.payload_bytes, r.refers_to) for r in warc.read_warc(spark, w).collect()) == [(0, 6_000_000, None), (1, 6_000_000, 0), (2, 5, None)]
+
+
 def test_arc_headers_of_either_version(tmp_path):
     import gzip
 
@@ -99,6 +118,10 @@ def test_arc_headers_of_either_version(tmp_path):
         (record,) = warc.read_arc(f"file://{path}")
         out = warc.warc_record(record, None)
         assert record.split[1] == b"hello" and b"WARC-Date: 1997-01-02T03:04:05Z" in out and b"WARC-Type: response" in out and out == warc.warc_record(record, None)
+    fields = warc.arc_fields(1, "http://h/a b 1.2.3.4 19970102030405 text/html; charset=x 12\n")
+    assert fields == {"URL": "http://h/a b", "IP-address": "1.2.3.4", "Archive-date": "19970102030405", "Content-type": "text/html; charset=x", "Archive-length": "12"}
+    assert warc.arc_fields(2, "u 1.2.3.4 1997 text/html; a=b 200 c - 7 f.arc 3")["Content-type"] == "text/html; a=b" and warc.arc_fields(1, "u 1.2.3.4 19970102030405 3")["Content-type"] == "-"
+    assert warc.arc_fields(1, "http://h/ text/html 3") is None and warc.iso_date("199702") == "1997-02-01T00:00:00Z"
     (tmp_path / "bad.arc.gz").write_bytes(gzip.compress(b"nothing"))
     with pytest.raises(ValueError):
         list(warc.read_arc(f"file://{tmp_path}/bad.arc.gz"))
@@ -106,8 +129,6 @@ def test_arc_headers_of_either_version(tmp_path):
 
 def test_no_pages_no_archives(spark, tmp_path):
     a, w = f"file://{tmp_path}/a", f"file://{tmp_path}/w"
-    for d in ("a", "w"):
-        (tmp_path / d).mkdir()
     assert warc.write_arc(spark.createDataFrame([], "page_id long, url string, html string"), a) == 0
     assert warc.convert_arc(spark, a, w) == 0 and warc.read_warc(spark, w).count() == 0
 

@@ -91,6 +91,18 @@ def test_repair_round_trip_and_random_access(docs):
                 shard.token(i, len(d))
 
 
+def test_repair_ends_where_no_pair_is_frequent():
+    rng = np.random.default_rng(0)
+    passage = rng.integers(0, 50_000, 5000)
+    flat = np.concatenate([np.r_[passage, rng.integers(0, 70_000, 300)] for _ in range(20)]).astype(np.uint32)
+    for base in (int(flat.max()) + 1, 50_000):  # symbols of more than 2 bytes change nothing
+        ids = flat % base
+        symbols, _, g = token_files.repair(ids.astype(np.uint32), np.array([0, len(ids)]), base)
+        assert (token_files.expand(symbols, g) == ids).all()
+        pairs, n = np.unique(symbols[:-1].astype(np.int64) << 32 | symbols[1:], return_counts=True)
+        assert n.max() < 12 and g.lengths.max() > 2000
+
+
 def test_repair_compresses_what_repeats():
     flat = np.array([1, 2, 3, 4] * 500, np.uint32)
     symbols, _, g = token_files.repair(flat, np.array([0, len(flat)]), 5)
@@ -115,5 +127,4 @@ def test_no_documents_no_files(spark, tmp_path):
     empty = spark.createDataFrame([], "doc_id long, text string")
     folder = f"file://{tmp_path}/none"
     assert token_files.write_token_files(empty, folder, PATH) == 0
-    (tmp_path / "none").mkdir(exist_ok=True)
     assert token_files.read_token_files(spark, folder).count() == 0
