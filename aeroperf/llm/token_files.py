@@ -6,11 +6,12 @@ instead of one at a time), until no pair is met ``least`` times; the rules, the
 lengths of their expansions and the documents' places are stored with it, so
 that one document can be decoded without the others. No rule spans two documents.
 
-Shard, little-endian: ``RPR1``, five unsigned 64-bit numbers (documents, rules,
-symbols, ids, width of a symbol in bytes), then the documents' ids (int64), a
-byte each for "id is null", their first symbols and first ids (uint64), the
-rules' left and right symbols and expansion lengths (uint32), the first rule's
-symbol (uint64) and the symbols.
+Shard, little-endian: ``RPR2``, five unsigned 64-bit numbers (documents, rules,
+symbols, ids, bit planes), then the documents' ids (int64), a byte each for "id
+is null", their first symbols and first ids (uint64), the rules' left and right
+symbols and expansion lengths (uint32), the first rule's symbol (uint64), the
+symbols' lower 16 bits (uint16), and a plane of bits for each bit above those
+that the largest symbol has.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from aeroperf.llm.storage import AtomicFile, list_files, make_folder, open_fs
 from aeroperf.llm.tokens import encoder
 from aeroperf.llm.workers import tidy
 
-MAGIC = b"RPR1"
+MAGIC = b"RPR2"
 U = np.uint64
 
 
@@ -47,7 +48,7 @@ def repair(ids: np.ndarray, starts: np.ndarray, base: int, least: int = 12) -> t
     """(symbols, first symbol of each document, rules) of a shard; ``starts`` are the documents' first ids with the total last.
 
     Ends when no pair is met ``least`` times. A rule takes 12 bytes and a
-    replaced pair saves a symbol of 2 or 4: at 12 every rule pays for itself.
+    replaced pair saves a symbol of 2 or more: at 12 every rule pays for itself.
     """
     s, first = ids.astype(np.uint32), starts.astype(np.int64)
     left, right, lengths = [np.zeros(0, np.uint32)], [np.zeros(0, np.uint32)], np.zeros(0, np.uint32)
@@ -106,13 +107,13 @@ def expand(symbols: np.ndarray, g: Grammar) -> np.ndarray:
 def _shard(keys: list[int | None], ids: np.ndarray, starts: np.ndarray) -> bytes:
     base = max(1, int(ids.max()) + 1 if len(ids) else 1)
     symbols, first, g = repair(ids, starts, base)
-    width = 2 if base + len(g.lengths) <= 1 << 16 else 4
+    planes = max(0, (base + len(g.lengths) - 1).bit_length() - 16)
     return b"".join((
-        MAGIC, struct.pack("<5Q", len(keys), len(g.lengths), len(symbols), len(ids), width),
+        MAGIC, struct.pack("<5Q", len(keys), len(g.lengths), len(symbols), len(ids), planes),
         np.array([k or 0 for k in keys], "<i8").tobytes(), np.array([k is None for k in keys], np.uint8).tobytes(),
         first[:-1].astype("<u8").tobytes(), starts[:-1].astype("<u8").tobytes(),
         g.left.astype("<u4").tobytes(), g.right.astype("<u4").tobytes(), g.lengths.astype("<u4").tobytes(), struct.pack("<Q", g.base),
-        symbols.astype(f"<u{width}").tobytes(),
+        symbols.astype("<u2").tobytes(), *(np.packbits((symbols >> (16 + i)) & 1).tobytes() for i in range(planes)),
     ))
 
 
@@ -120,7 +121,7 @@ class Shard:
     """A stored shard; ``document(i)`` decodes one document."""
 
     def __init__(self, head: tuple[int, ...], body: bytes):
-        docs, rules, symbols, self.n_ids, width = head
+        docs, rules, symbols, self.n_ids, planes = head
         at = 0
 
         def take(kind: str, n: int) -> np.ndarray:
@@ -134,7 +135,9 @@ class Shard:
         self.first, self.starts = np.append(take("<u8", docs), symbols).astype(np.int64), np.append(take("<u8", docs), self.n_ids).astype(np.int64)
         left, right, lengths = (take("<u4", rules) for _ in range(3))
         self.grammar = Grammar(int(take("<u8", 1)[0]), left, right, lengths)
-        self.symbols = take(f"<u{width}", symbols)
+        self.symbols = take("<u2", symbols).astype(np.uint32)
+        for i in range(planes):
+            self.symbols |= np.unpackbits(take("u1", -(-symbols // 8)), count=symbols).astype(np.uint32) << (16 + i)
 
     def document(self, i: int) -> np.ndarray:
         return expand(self.symbols[self.first[i] : self.first[i + 1]], self.grammar)
@@ -159,8 +162,8 @@ class Shard:
 
 
 def _body_size(head: tuple[int, ...]) -> int:
-    docs, rules, symbols, _, width = head
-    return 25 * docs + 12 * rules + 8 + width * symbols
+    docs, rules, symbols, _, planes = head
+    return 25 * docs + 12 * rules + 8 + 2 * symbols + planes * -(-symbols // 8)
 
 
 def heads(path: str) -> Iterator[tuple[int, tuple[int, ...]]]:
