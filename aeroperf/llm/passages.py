@@ -1,22 +1,24 @@
 """Substring dedup: paragraphs by content, MinHash banding, exact Jaccard, components.
 
-Passages repeat in the middle of lines as well as in lines of their own, so a
-paragraph is a window of ``size`` words that begins at an anchor: the least
-5-word hash of ``gap`` consecutive starts. Where it stands doesn't matter: any
-run of ``size + gap - 1`` words that two documents share (51 by default: over
-50 words) holds an anchor and its whole paragraph in both. A changed word touches
-five of a window's 28 shingles, so near copies are told by whole paragraphs
-besides: each line, and each block between blank lines, of ``size`` words or more.
-
-Each paragraph's 5-word shingles are MinHashed into bands. Paragraphs that
-collide in a band are either equal in content (the common case, settled by
-their hashes) or candidates: all pairs of a key's contents are looked at, those
-of a large key in salted tiles, and a pair counts if the exact Jaccard of its
-shingles, taken from the texts, reaches the threshold. Only pairs that are
-linked already are skipped. Keys with the same contents are one group. Equal
-contents, and verified pairs by their connected components, form clusters. The
-document of the smallest id keeps a cluster's passage, all others lose it: from
-the first word to the last that stand alike around it in the keeper's text.
+A paragraph is a line, or a block between blank lines, of ``size`` words or
+more. Where a line is longer than a ``wide`` window can miss, such windows, which
+begin at content anchors, are paragraphs as well. Each paragraph's 5-word
+shingles are MinHashed into bands. Paragraphs that collide in a band are either
+equal in content (the common case, settled by their hashes) or candidates: all
+pairs of a key's contents are looked at, those of a large key in salted tiles,
+and a pair counts if the exact Jaccard of its shingles, taken from the texts,
+reaches the threshold. Only pairs that are linked already are skipped. Keys with
+the same contents are one group.
+
+Passages repeat in the middle of lines as well. So windows of ``size`` words at
+anchors (the least 5-word hash of ``gap`` consecutive starts) take part by their
+content alone: any run of ``size + gap - 1`` words that two documents share (51
+by default: over 50 words) holds an anchor and its whole window in both. One
+changed word touches five of its 28 shingles, so bands would tell little more.
+
+Equal contents, and verified pairs by their connected components, form clusters.
+The document of the smallest id keeps a cluster's passage, all others lose it:
+from the first word to the last that stand alike around it in the keeper's text.
 
 Only narrow rows are shuffled. Equal contents in one slice of a task send one
 row between them, the smallest id's: the others lose the passage whoever keeps
@@ -46,7 +48,7 @@ from aeroperf.llm.workers import tidy
 U = np.uint64
 FIRST, KEY, LOST, ECHO, MEMBER = 0, 1, 2, 3, 4  # a paragraph under its first key; in another; lost to a smaller id; repeated within a document; one of several contents of a key
 SHINGLE = 5
-AT_ONCE = 3  # bands that are dealt in one pass over the texts, and turns in which groups are compared: the shuffle of all would take more disk than the corpus
+TURNS = 3  # groups are compared by turns: the sets of all at once would take more disk than the corpus
 
 
 def tune_bands(threshold: float, rows: int, recall: float) -> int:
@@ -82,7 +84,7 @@ def anchors(grams: np.ndarray, first: np.ndarray, count: np.ndarray, gap: int) -
 
 
 def blocks(texts: pa.Array, bounds: np.ndarray, begin: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """(first word among all words, number of words) of each line, and of each block between blank lines, of ``least`` words or more."""
+    """(first word among all words, number of words) of ``least`` or more: of each line, and of each line and each block between blank lines."""
     data, offsets = buffers(texts)
     line = np.r_[0, np.cumsum(data == 10)][begin + np.repeat(offsets[:-1], np.diff(bounds))]
     step = np.diff(line, prepend=0)
@@ -91,18 +93,21 @@ def blocks(texts: pa.Array, bounds: np.ndarray, begin: np.ndarray, least: int) -
     for least_step in (1, 2):
         at = np.flatnonzero(step >= least_step)
         found.append(np.stack([at, np.diff(np.r_[at, len(begin)])], 1))
-    found = np.unique(np.concatenate(found), axis=0)
-    return found[found[:, 1] >= least].T
+    lines, both = found[0], np.unique(np.concatenate(found), axis=0)
+    return lines[lines[:, 1] >= least], both[both[:, 1] >= least]
 
 
-def paragraphs(texts: pa.Array, size: int, gap: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(document, first word in it, words, content hash, place among all words, whether it is a whole one) of each paragraph, and all grams last."""
+def paragraphs(texts: pa.Array, size: int, gap: int, wide: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(document, first word in it, words, content hash, place among all words, whether it is banded) of each paragraph and window, and all grams last."""
     h, bounds, begin, _ = words(texts)
     count = np.maximum(np.diff(bounds) - size + 1, 0)
     grams = runs(h, SHINGLE)
     windows = anchors(grams, bounds[:-1], count, gap)
-    at, n = blocks(texts, bounds, begin, size)
-    at, n, whole = np.r_[windows, at], np.r_[np.full(len(windows), size), n], np.r_[np.zeros(len(windows), bool), np.ones(len(at), bool)]
+    lines, (at, n) = (x.T for x in blocks(texts, bounds, begin, size))
+    step = 2 * wide // 3
+    long = lines[1] >= wide + step
+    inner = anchors(grams, lines[0][long], lines[1][long] - wide + 1, step)
+    at, n, whole = np.r_[windows, at, inner], np.r_[np.full(len(windows), size), n, np.full(len(inner), wide)], np.r_[np.zeros(len(windows), bool), np.ones(len(at) + len(inner), bool)]
     doc = np.searchsorted(bounds, at, "right") - 1
     powers, inverses = _powers(len(h) + 1)
     total = np.zeros(len(h) + 1, np.uint64)
@@ -121,14 +126,14 @@ def _emit(key, c, d, p, n, kind: int | np.ndarray, d2=None, p2=None, single=None
     return pa.RecordBatch.from_arrays([*columns, pa.nulls(len(c), pa.bool_()) if single is None else pa.array(single)], [*names, "single"])
 
 
-def _banded(size: int, gap: int, bands: range, rows: int):
-    seeds = mix(np.arange(1, bands.stop * rows + 1, dtype=np.uint64))
+def _banded(size: int, gap: int, wide: int, bands: int, rows: int):
+    seeds = mix(np.arange(1, bands * rows + 1, dtype=np.uint64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in (p for b in batches for p in slices(b, "text")):
             part = part.filter(part.column("id").is_valid())
             ids = part.column("id").to_numpy()
-            doc, place, n, content, at, whole, grams = paragraphs(part.column("text"), size, gap)
+            doc, place, n, content, at, whole, grams = paragraphs(part.column("text"), size, gap, wide)
             if not len(at):
                 continue
             d = ids[doc]
@@ -138,22 +143,19 @@ def _banded(size: int, gap: int, bands: range, rows: int):
             lead = np.flatnonzero(first)
             of = np.repeat(lead, np.diff(np.r_[lead, len(at)]))
             c, leader = content.view(np.int64), d[of]
-            for kind, rest in () if bands.start else ((LOST, np.flatnonzero(~first & (d != leader))), (ECHO, np.flatnonzero(~first & (d == leader)))):
+            for kind, rest in ((LOST, np.flatnonzero(~first & (d != leader))), (ECHO, np.flatnonzero(~first & (d == leader)))):
                 if len(rest):
                     yield _emit(mix(content[rest] + rest.astype(np.uint64)).view(np.int64), c[rest], d[rest], place[rest], n[rest], kind, leader[rest], place[of[rest]])
-            long = whole[lead]
-            index = at[lead[~long]][:, None] + np.arange(size - SHINGLE + 1)
-            held = n[lead[long]] - SHINGLE + 1
+            one = lead[~whole[lead]]
+            yield _emit(mix(content[one] ^ U(size)).view(np.int64), c[one], d[one], place[one], n[one], FIRST)
+            lead = lead[whole[lead]]
+            held = n[lead] - SHINGLE + 1
             starts = np.cumsum(held) - held
-            flat = np.repeat(at[lead[long]] - starts, held) + np.arange(held.sum())
-            for band in bands:
-                key = np.where(long, U(1 << 32), U(0)) + U(band + 1)
+            flat = grams[np.repeat(at[lead] - starts, held) + np.arange(held.sum())]
+            for band in range(bands if len(lead) else 0):
+                key = np.full(len(lead), (1 << 32) + band + 1, np.uint64)
                 for seed in seeds[band * rows : (band + 1) * rows]:
-                    mixed, least = mix(grams ^ seed), np.empty(len(lead), np.uint64)
-                    least[~long] = mixed[index].min(1)
-                    if len(held):
-                        least[long] = np.minimum.reduceat(mixed[flat], starts)
-                    key = mix(key + least)
+                    key = mix(key + np.minimum.reduceat(mix(flat ^ seed), starts))
                 yield _emit(key.view(np.int64), c[lead], d[lead], place[lead], n[lead], KEY if band else FIRST)
 
     return run
@@ -281,15 +283,15 @@ def _verified(members: DataFrame, sets: DataFrame, threshold: float, tile: int)
     room = F.when(F.col("tiles").isNull(), F.pmod(F.xxhash64("g"), F.lit(rooms))).otherwise(F.col("g"))
     dealt = dealt.select(room.alias("room"), "g", "c", "d", "single", "shingles", F.explode(where).alias("m")).select("room", "g", "c", "d", "single", "shingles", "m.*")
     links = None
-    for turn in range(AT_ONCE):  # sets go with every group they are in: by turns, that the shuffles of one go before the next
-        some = dealt.where(F.pmod(F.xxhash64(F.lit(5), "g"), F.lit(AT_ONCE)) == turn).groupBy("room", "t1", "t2")
+    for turn in range(TURNS):  # sets go with every group they are in: by turns, that the shuffles of one go before the next
+        some = dealt.where(F.pmod(F.xxhash64(F.lit(5), "g"), F.lit(TURNS)) == turn).groupBy("room", "t1", "t2")
         some = stored(some.applyInArrow(_tile(part.numerator, part.denominator), "a long, b long"), "links")
         links = some if links is None else links.union(some)
         release(members.sparkSession)
     return links
 
 
-def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 32, gap: int = 20, threshold: float = 0.8, rows: int = 3, recall: float = 0.99, tile: int = 2048) -> DataFrame:
+def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 32, gap: int = 20, wide: int = 96, threshold: float = 0.8, rows: int = 3, recall: float = 0.99, tile: int = 2048) -> DataFrame:
     """Spans to remove: id, start (in words, from 0), n_words, found_in (a smaller id that holds the passage).
 
     Within a cluster the smallest id keeps the passage. A null text is an empty
@@ -300,13 +302,10 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     empty table gives no row.
     """
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    bands, met = tune_bands(threshold, rows, recall), None
-    for low in range(0, bands, AT_ONCE):
-        dealt = base.mapInArrow(tidy(_banded(size, gap, range(low, min(low + AT_ONCE, bands)), rows)), "key long, c long, d long, p long, n long, kind byte, d2 long, p2 long").repartition("key")
-        some = stored(dealt.mapInArrow(tidy(_collide), "c long, d long, p long, n long, kind byte, d2 long, p2 long, single boolean"), "paragraphs")
-        met = some if met is None else met.union(some)
-        del dealt
-        release(base.sparkSession)
+    dealt = base.mapInArrow(tidy(_banded(size, gap, wide, tune_bands(threshold, rows, recall), rows)), "key long, c long, d long, p long, n long, kind byte, d2 long, p2 long").repartition("key")
+    met = stored(dealt.mapInArrow(tidy(_collide), "c long, d long, p long, n long, kind byte, d2 long, p2 long, single boolean"), "paragraphs")
+    del dealt
+    release(base.sparkSession)
     exact = met.where(F.col("kind") == LOST).select("c", "d", "p", "n", F.col("d2").alias("found_in"), "p2", F.col("n").alias("n2"))
 
     members = met.where(F.col("kind") == MEMBER).groupBy(F.col("d2").alias("g"), "c", "n").agg(F.min(F.struct("d", "p")).alias("at"), F.min("single").alias("single"))

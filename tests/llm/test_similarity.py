@@ -2,6 +2,7 @@
 
 import inspect
 import random
+from collections import Counter
 import re
 
 import numpy as np
@@ -198,12 +199,60 @@ def test_whole_paragraphs_and_ends_of_runs(spark):
     rows += [(200, " ".join(p := fresh(20)) + "\n" + " ".join(q := fresh(20)) + "\n\n" + " ".join(fresh(90))), (201, " ".join(fresh(99)) + "\n \n" + " ".join(p) + "\n" + " ".join(q[:19] + ["other"]))]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     got = {r.doc_id: (r.start, r.n_words) for r in passages.repeated_passages(df).collect()}
-    for i, (start, n) in run.items():  # a near window may reach over the end by the three words that it may lack
-        assert start - 3 <= got[i][0] <= start and start + n <= sum(got[i]) <= start + n + 3
-    whole = [i for i, (start, n) in changed.items() if i in got and start - 3 <= got[i][0] <= start and start + n == sum(got[i])]
+    assert {i: got[i] for i in run} == run
+    whole = [i for i, span in changed.items() if got.get(i) == span]
     assert len(whole) >= 14 and got[201] == (99, 40) and set(got) <= {201, *run, *changed}  # bands find 99 of 100
 
 
+def test_passages_against_brute_force(spark):
+    """All pairs of paragraphs at 0.8 or more, and all shared runs of 51 words or more: nearly all are cut, and nothing else."""
+    rng = random.Random(21)
+    fresh = lambda n: [f"u{rng.randrange(10**9)}" for _ in range(n)]
+    pool, texts = [fresh(rng.choice([32, 40, 90, 180, 400])) for _ in range(40)], {}
+
+    def edited(line):
+        line = list(line)
+        for at in rng.sample(range(len(line)), rng.randrange(0, 1 + len(line) // 30)):
+            line[at] = fresh(1)[0]
+        return line
+
+    for i in range(160):
+        lines = [edited(rng.choice(pool)) if rng.random() < 0.3 else fresh(rng.choice([3, 33, 100, 250])) for _ in range(rng.randrange(1, 6))]
+        texts[i] = [x + rng.choice(pool)[:60] if rng.random() < 0.1 else x for x in lines]
+    df = spark.createDataFrame([(i, "\n".join(map(" ".join, t))) for i, t in texts.items()], "doc_id long, text string").repartition(5)
+    cut: dict[int, set] = {i: set() for i in texts}
+    for r in passages.repeated_passages(df).collect():
+        cut[r.doc_id] |= set(range(r.start, r.start + r.n_words))
+        assert r.found_in < r.doc_id
+    flat = {i: [w for x in t for w in x] for i, t in texts.items()}
+    paragraphs = []  # (document, first word, words, shingles): lines and blocks
+    for i, t in texts.items():
+        at = 0
+        for x in [*t, flat[i]]:
+            paragraphs.append((i, at if x is not flat[i] else 0, len(x), shingles(" ".join(x), 5))) if len(x) >= 32 else None
+            at += len(x)
+    pairs = [(p, q) for p in paragraphs for q in paragraphs if p[0] < q[0] and 10 * len(p[3] & q[3]) >= 8 * len(p[3] | q[3])]
+    lost = [set(range(q[1], q[1] + q[2])) <= cut[q[0]] for _, q in pairs]
+    assert len(pairs) > 100 and sum(lost) / len(lost) >= 0.97
+    grams: dict[tuple, list] = {}
+    for i, w in flat.items():
+        for p in range(len(w) - 50):
+            grams.setdefault(tuple(w[p : p + 51]), []).append((i, p))
+    for places in grams.values():
+        keeper = min(i for i, _ in places)
+        for i, p in places:
+            left = sorted(set(range(p, p + 51)) - cut[i])  # at an end only, where another holder's run is shorter
+            assert i == keeper or len(left) <= 19 and (not left or left[0] == p or left[-1] == p + 50)
+    held: dict[tuple, set] = {}  # words of a cut that no shingle of another document has, and no paragraph that is like one
+    for i, w in flat.items():
+        for p in range(len(w) - 4):
+            held.setdefault(tuple(w[p : p + 5]), set()).add(i)
+    for i, w in flat.items():
+        may = {x for p in range(len(w) - 4) if held[tuple(w[p : p + 5])] - {i} for x in range(p, p + 5)}
+        may |= {x for p, q in pairs for s in (p, q) if s[0] == i for x in range(s[1], s[1] + s[2])}
+        assert len(cut[i] - may) <= 0.12 * len(cut[i])
+
+
 def test_tuned_bands():
     assert passages.tune_bands(0.8, 3, 0.88) == 3 and passages.tune_bands(0.8, 1, 0.5) == 1
 
@@ -220,10 +269,9 @@ def test_bands_find_nearly_all_pairs_at_the_threshold():
         assert 25 / 31 >= 0.8 and len(shingles(" ".join(p), 5) & shingles(" ".join(q), 5)) == 25
         keys = [{}, {}]
         for side, w in enumerate((p, q)):
-            for low in range(0, bands, passages.AT_ONCE):
-                batch = pa.RecordBatch.from_pydict({"id": pa.array([side]), "text": pa.array([" ".join(w)])})
-                for b in passages._banded(32, 20, range(low, min(low + passages.AT_ONCE, bands)), rows)([batch]):
-                    keys[side] |= dict.fromkeys(b.column("key").to_pylist())
+            batch = pa.RecordBatch.from_pydict({"id": pa.array([side]), "text": pa.array([" ".join(w)])})
+            for b in passages._banded(32, 20, 96, bands, rows)([batch]):
+                keys[side] |= dict.fromkeys(b.column("key").to_pylist())
         met += bool(keys[0].keys() & keys[1].keys())
     assert met >= 194
 
