@@ -5,8 +5,9 @@ visible characters, nor across those around a single newline between them: its
 pre-tokens end there whatever stands to the left. Texts are cut at such places
 (only where the neighbouring characters are ASCII or of two bytes, which leaves
 out all rarer white space), pieces not met before are encoded, and the ids of
-the texts are gathered from a table in numpy. A piece is known by its 64-bit
-hash. Memory follows the batch and the table, which forgets at ``max_pieces``
+the texts are gathered from a table in numpy. New pieces that begin and end at such
+a cut are encoded thousands at a time as one text, and told apart by the bytes
+that ids stand for. A piece is known by its 64-bit hash. Memory follows the batch and the table, which forgets at ``max_pieces``
 what was not met lately; an overlong text needs no long encode.
 """
 
@@ -81,14 +82,36 @@ class PieceEncoder:
 
         self.tokenizer, self.max_pieces = Tokenizer.from_file(path), max_pieces
         self.young, self.old = _Table(), _Table()  # what is met moves from old to young; a full young becomes old
-
-    def _learn(self, keys: np.ndarray, pieces: list[str]) -> None:
-        sizes, flats = [], []
-        for at in range(0, len(pieces), 10_000):
-            ids = [x.ids for x in self.tokenizer.encode_batch_fast(pieces[at : at + 10_000], add_special_tokens=False)]
-            sizes.append(np.fromiter(map(len, ids), np.int64, len(ids)))
-            flats.append(np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes[-1].sum())))
-        self.young.add(keys, np.concatenate(sizes), np.concatenate(flats))
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.bytes_of = np.zeros(max([*self.tokenizer.get_vocab().values(), 0]) + 1, np.int64)
+        self.bytes_of[list(vocabulary.values())] = [len(x) for x in vocabulary]  # a byte is a character of the vocabulary
+
+    def _singly(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(number of ids of each piece, the ids)."""
+        ids = [x.ids for x in self.tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        return sizes, np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))
+
+    def _joined(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The same of pieces that may follow one another."""
+        ids = np.array(self.tokenizer.encode_batch_fast([b"".join(pieces).decode()], add_special_tokens=False)[0].ids, np.uint32)
+        ends, own = np.cumsum(self.bytes_of[ids]), np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))
+        last = np.searchsorted(ends, own)
+        if not len(ids) or ends[-1] != own[-1] or (ends[last] != own).any():  # a vocabulary of another kind
+            return self._singly(pieces)
+        return np.diff(last + 1, prepend=0), ids
+
+    def _learn(self, keys: np.ndarray, data: np.ndarray, at: np.ndarray, to: np.ndarray) -> None:
+        raw = data.tobytes()
+        second, last = data[np.minimum(at + 1, len(data) - 1)], data[to - 1]
+        opens = (data[at] == 32) & (to - at > 1) & (((second > 32) & (second < 127)) | ((second >= 0xC3) & (second <= 0xDF)))
+        before = data[np.maximum(to - 2, 0)]
+        closes = ((last > 32) & (last < 127)) | ((before >= 0xC3) & (before <= 0xDF) & (last >= 0x80))
+        for kind, chunk, encode in ((opens & closes, 5_000, self._joined), (~(opens & closes), 10_000, self._singly)):
+            own = np.flatnonzero(kind)
+            got = [encode([raw[a:b] for a, b in zip(at[some].tolist(), to[some].tolist())]) for some in (own[i : i + chunk] for i in range(0, len(own), chunk))]
+            if got:
+                self.young.add(keys[own], *map(np.concatenate, zip(*got)))
 
     def encode(self, texts: pa.Array, end_id: int | None = 0) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other as uint32, where each text's begin with the total last).
@@ -109,8 +132,7 @@ class PieceEncoder:
             self.young.add(keys[missing[held]], self.old.size[before], _gather(self.old.flat, self.old.begin[before], self.old.size[before]))
             new = missing[~held]
             if len(new):
-                raw = data.tobytes()
-                self._learn(keys[new], [raw[a:b].decode() for a, b in zip(at[first[new]].tolist(), to[first[new]].tolist())])
+                self._learn(keys[new], data, at[first[new]], to[first[new]])
             where = np.searchsorted(self.young.keys, keys)
         begin, size = self.young.begin[where][back].astype(np.int64), self.young.size[where][back].astype(np.int64)
         bounds = np.searchsorted(at, offsets)
