@@ -53,12 +53,6 @@ class MatchSpec:
     split_by: str | None = None  # as above
 
 
-@dataclass(frozen=True)
-class FieldMatch:
-    fields: tuple[str, ...]
-    null_is_difference: bool = True
-
-
 #: Study parameters.
 REFERENCE_YEAR, MIN_SAMPLE, REFERENCE_P = 2024, 5, 0.20
 TAXI_CAP_MIN, RING_CAPS_MIN = 120.0, {"C40": 180.0, "C100": 180.0}

@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Spellings of true and false, and shapes of identifiers.
-TRUE_WORDS = ("T", "TRUE", "1", "Y", "YES", "S", "SIM")
-FALSE_WORDS = ("F", "FALSE", "0", "N", "NO", "NAO")
+TRUE_WORDS = ("T", "TRUE", "1", "Y", "S", "SIM")
+FALSE_WORDS = ("F", "FALSE", "0", "N", "NAO", "NO")
 REGISTRATION, AIRLINE_CALLSIGN, BRAZILIAN_AERODROME, HEX = "^P[PRSTU][A-Z]{3}$", "^[A-Z]{3}[0-9]", "^S[BDIJNSW]", "^[0-9A-F]+$"
 UNKNOWN_AERODROMES = ("AFIL", "ZZZZ")
 

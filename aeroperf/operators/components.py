@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """An eager checkpoint in ``spark.checkpoint.dir``; where that is unset (local runs) in a temporary folder."""
+    """An eager checkpoint in ``spark.checkpoint.dir``; where that is unset, in a temporary folder in local mode, and an error on a cluster."""
     sc = df.sparkSession.sparkContext
     if not sc.getConf().get("spark.checkpoint.dir") and sc._jsc.sc().getCheckpointDir().isEmpty():
+        if sc.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoint-"))
     return df.checkpoint()
 

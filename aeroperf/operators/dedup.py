@@ -44,6 +44,11 @@ def numbered(df: DataFrame, key: tuple[str, ...], order: list[Column], name: str
     return df.withColumn(name, F.row_number().over(Window.partitionBy(*key).orderBy(*order)))
 
 
+def sampled(df: DataFrame, key: tuple[str, ...], n: int, seed: int = 0) -> DataFrame:
+    """``n`` rows chosen by a hash of their key: the same ones on every run, whatever the partitions. Rows of a null key come last."""
+    return df.orderBy(F.md5(F.concat(F.lit(f"{seed}|"), F.concat_ws("|", *key))), *key).limit(n)
+
+
 def group_roles(df: DataFrame, key: tuple[str, ...], order: tuple[str, ...]) -> DataFrame:
     """Rows of keys that repeat, with group_size and role (original for the first, repeat for the others)."""
     w = Window.partitionBy(*key)

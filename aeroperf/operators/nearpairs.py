@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from aeroperf.config import NEAR_MIN, PLAN_TOLERANCE_MIN, MatchSpec, MergeSpec
-from aeroperf.functions.time import minutes_between
+from aeroperf.functions.numbers import count_if
+from aeroperf.functions.time import is_midnight, minutes_between
 from aeroperf.operators.components import connected_components
+from aeroperf.operators.dedup import surplus
 from aeroperf.operators.islands import merged
 from aeroperf.operators.nearest import compatible, match
 
@@ -66,6 +68,41 @@ def listing(df: DataFrame, pairs: DataFrame, row_id: str, columns: tuple[str, ..
     return side("row_id", "repeat").unionByName(side("partner_id", "original"))
 
 
+def without_plans(df: DataFrame, start: str, end: str) -> tuple[DataFrame, DataFrame]:
+    """(rows that are no plans, how many are): a plan has no counterpart among movements, so a comparison of those leaves it out and says so."""
+    marked = with_plan_flag(df, start, end)
+    return marked.where("not is_plan").drop("is_plan"), marked.agg(count_if(F.col("is_plan")).alias("n_plans"))
+
+
+def duplicate_summary(df: DataFrame, pairs: DataFrame, by: tuple[str, ...], key: str, row_id: str, start: str, end: str, registration: str, pooled: DataFrame | None = None) -> DataFrame:
+    """Per group nine counts and their shares of the rows: what repeats, and what could not be tested.
+
+    n_rows, same_key (rows beyond the first of their ``key``; a null is one),
+    near (rows that ``near_pairs`` flags), near_plan (of those, plans beside
+    movements) and near_repeat, no_registration, plan_rows, no_time (neither
+    stamp has a time of day) and untestable. With ``pooled`` (the parts before
+    they were merged) same_key_parts counts repeats there. suspicious: over
+    90 % have no time, which is a fault of reading rather than of the data.
+    """
+    kinds = pairs.groupBy(F.col("row_id").alias("_pair")).agg(F.max(F.when(F.col("kind") == PLAN_AND_MOVEMENT, 1).otherwise(0)).alias("_plan"))
+    rows = df.join(kinds, F.col(row_id) == F.col("_pair"), "left")
+    timeless = lambda c: F.col(c).isNull() | is_midnight(F.col(c))
+    near, no_time = F.col("_pair").isNotNull(), timeless(start) & timeless(end)
+    counts = rows.groupBy(*by).agg(
+        F.count("*").alias("n_rows"), count_if(near).alias("near"), count_if(near & (F.col("_plan") == 1)).alias("near_plan"), count_if(near & (F.col("_plan") == 0)).alias("near_repeat"),
+        count_if(F.coalesce(F.trim(registration), F.lit("")) == "").alias("no_registration"), count_if(F.coalesce(F.col(start) == F.col(end), F.lit(False))).alias("plan_rows"),
+        count_if(no_time).alias("no_time"), count_if(no_time).alias("untestable"),
+    )
+    out = counts.join(surplus(df, by, (key,)).select(*by, F.col("n_surplus").alias("same_key")), list(by))
+    if pooled is not None:
+        out = out.join(surplus(pooled, by, (key,)).select(*by, F.col("n_surplus").alias("same_key_parts")), list(by), "left")
+    pct = lambda c, digits: F.round(100.0 * F.col(c) / F.col("n_rows"), digits)
+    return out.withColumns({
+        "pct_near": pct("near", 3), "pct_no_registration": pct("no_registration", 1), "pct_plan": pct("plan_rows", 1), "pct_no_time": pct("no_time", 1),
+        "pct_tested": F.round(100.0 * (1 - F.col("untestable") / F.col("n_rows")), 1), "suspicious": F.col("no_time") / F.col("n_rows") > 0.9,
+    })
+
+
 def examples(df: DataFrame, pairs: DataFrame, key: tuple[str, ...], row_id: str, start: str, groups: int = 5) -> DataFrame:
     """All rows of the first ``groups`` keys (in their order) that hold a pair, with flagged and the gap to the row before: a report."""
     marked = df.join(flagged(pairs).select(F.col("row_id").alias(row_id), F.lit(True).alias("flagged")), row_id, "left")

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+import tempfile
+import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aeroperf.operators.reshape import nested
@@ -17,10 +19,26 @@ def guard_raw(path: str, raw_pattern: str = r"(^|/)data-raw(/|$)") -> str:
     return path
 
 
+def scratch(spark: SparkSession, what: str) -> str:
+    """A new path that the driver and all executors see: below ``spark.checkpoint.dir``, or in local mode below a temporary folder."""
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not root:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = f"file://{tempfile.gettempdir()}/{spark.sparkContext.applicationId}"
+    return f"{root.rstrip('/')}/{what}-{uuid.uuid4().hex[:12]}"
+
+
+def write_audit(df: DataFrame, path: str, order: tuple[str, ...]) -> None:
+    """Rows to look up by hand, in order: quoted fields between semicolons, nulls blank. Sorted by range, so that a long trail is written by many tasks."""
+    out = df.orderBy(*order)
+    out.write.mode("overwrite").option("sep", ";").option("header", True).option("quoteAll", True).option("escape", '"').option("nullValue", "").option("emptyValue", "").csv(guard_raw(path))
+
+
 def write_delimited(df: DataFrame, path: str, sep: str = ";", quote_all: bool = True, null: str = "", one_file: bool = False) -> None:
     """Delimited text with a header. ``one_file`` is for results of a few thousand rows: it writes through one task."""
     out = df.coalesce(1) if one_file else df
-    out.write.mode("overwrite").option("sep", sep).option("header", True).option("quoteAll", quote_all).option("nullValue", null).option("emptyValue", "").csv(guard_raw(path))
+    out.write.mode("overwrite").option("sep", sep).option("header", True).option("quoteAll", quote_all).option("escape", '"').option("nullValue", null).option("emptyValue", "").csv(guard_raw(path))
 
 
 def write_by_year(df: DataFrame, path: str, year: Column | str = "YEAR", others: tuple[str, ...] = ()) -> None:

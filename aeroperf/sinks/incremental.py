@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +11,22 @@ from pyspark.sql import functions as F
 from aeroperf.operators.dedup import keep_one
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """(filesystem, path) of a URI."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _there(spark: SparkSession, pattern: str) -> bool:
+    fs, p = _hadoop(spark, pattern)
+    return bool(len(fs.globStatus(p) or []))
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, p = _hadoop(spark, path)
+    fs.delete(p, True)
+
+
 class IncrementalTable:
     """Parquet partitioned by (year, month) below ``path``/rows, and what was checked when below ``path``/manifest.
 
@@ -22,16 +38,13 @@ class IncrementalTable:
     def __init__(self, spark: SparkSession, path: str, ts: str, key: tuple[str, ...] = (), order: tuple[str, ...] = ()):
         self.spark, self.path, self.ts, self.key, self.order = spark, path, ts, key, order
 
-    def _exists(self, part: str) -> bool:
-        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{part}")
-        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
     def rows(self) -> DataFrame | None:
-        return self.spark.read.option("mergeSchema", True).parquet(f"{self.path}/rows") if self._exists("rows") else None
+        """None while no month has a row."""
+        return self.spark.read.option("mergeSchema", True).parquet(f"{self.path}/rows") if _there(self.spark, f"{self.path}/rows/year=*/month=*") else None
 
     def manifest(self) -> DataFrame:
         """The latest line of each period."""
-        if not self._exists("manifest"):
+        if not _there(self.spark, f"{self.path}/manifest"):
             return self.spark.createDataFrame([], self.MANIFEST)
         return keep_one(self.spark.read.schema(self.MANIFEST).parquet(f"{self.path}/manifest"), ("year", "month"), ("checked_at",), last=True)
 
@@ -48,14 +61,24 @@ class IncrementalTable:
         return out
 
     def store(self, df: DataFrame, periods: list[tuple[int, int]], checked_at: str) -> None:
-        """Replace whole months by the rows of ``df``, and note all ``periods`` as checked, also those without a row."""
-        marked = df.withColumns({"year": F.year(self.ts), "month": F.month(self.ts)})
+        """Replace the months of ``periods`` by the rows of ``df``, and note all as checked; one without a row loses those it had.
+
+        A row of another month, or without a time, raises ValueError before
+        anything is written: it would replace a month that nobody asked for.
+        """
+        held = marked = df.withColumns({"year": F.year(self.ts), "month": F.month(self.ts)}).persist()
+        found = {(r.year, r.month) for r in marked.select("year", "month").distinct().collect()}
+        if found - set(periods):
+            raise ValueError(f"rows of {sorted(found - set(periods), key=str)}, which are not among the periods to store")
         if self.key:
             marked = keep_one(marked, self.key, self.order or (self.ts,), last=True, null_key="keep")
+        for year, month in set(periods) - found:
+            _delete(self.spark, f"{self.path}/rows/year={year}/month={month}")
         marked.write.partitionBy("year", "month").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(f"{self.path}/rows")
         counts = marked.groupBy("year", "month").agg(F.count("*").alias("n"), F.countDistinct(F.to_date(self.ts)).cast("int").alias("days"))
         spine = self.spark.createDataFrame(periods, "year int, month int")
         spine.join(counts, ["year", "month"], "left").select("year", "month", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("days", F.lit(0)).alias("days"), F.lit(checked_at).alias("checked_at")).write.mode("append").parquet(f"{self.path}/manifest")
+        held.unpersist()
 
     def refresh(self, fetch: Callable[[int, int], DataFrame], start: date, as_of: date) -> list[tuple[int, int]]:
         """Fetch and store each pending month on its own, so that a stop loses one month at most; the months fetched."""
@@ -65,6 +88,69 @@ class IncrementalTable:
         return done
 
 
+class DailyTable:
+    """Rows kept by the day they were fetched for, below ``path``/rows/day=, and a line for each fetch below ``path``/manifest.
+
+    Days are fetched in stretches and each stretch is written as it comes, so
+    that a stop loses one stretch at most. A day without traffic has a line and no row.
+    """
+
+    MANIFEST = "day string, n long, status string, error string, checked_at string"
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def rows(self) -> DataFrame | None:
+        """None while no day has a row."""
+        return self.spark.read.option("mergeSchema", True).parquet(f"{self.path}/rows") if _there(self.spark, f"{self.path}/rows/day=*") else None
+
+    def manifest(self) -> DataFrame:
+        """The latest line of each day."""
+        if not _there(self.spark, f"{self.path}/manifest"):
+            return self.spark.createDataFrame([], self.MANIFEST)
+        return keep_one(self.spark.read.schema(self.MANIFEST).parquet(f"{self.path}/manifest"), ("day",), ("checked_at", "status"), last=True)
+
+    def pending(self, start: date, as_of: date) -> list[date]:
+        """Days still to fetch: never fetched, failed, or fetched on the day itself or before it was over; ``as_of`` always is."""
+        held = {r.day: r.checked_at for r in self.manifest().where("status <> 'failed'").collect()}
+        every = [start + timedelta(days=i) for i in range((as_of - start).days + 1)]
+        return [d for d in every if d == as_of or held.get(d.isoformat(), "") <= d.isoformat()]
+
+    def refresh(self, fetch: Callable[[list[date]], tuple[DataFrame, DataFrame]], start: date, as_of: date, every: int = 5) -> DataFrame:
+        """Fetch pending days, ``every`` at a time; the manifest afterwards. ``fetch`` gives (rows with _day, days), as ``fetch_days`` does."""
+        todo = self.pending(start, as_of)
+        for at in range(0, len(todo), every):
+            rows, days = fetch(todo[at : at + every])
+            lines = days.withColumn("checked_at", F.lit(as_of.isoformat())).persist()
+            for r in lines.where("status = 'empty'").collect():
+                _delete(self.spark, f"{self.path}/rows/day={r.day}")
+            rows.withColumnRenamed("_day", "day").write.partitionBy("day").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(f"{self.path}/rows")
+            lines.select("day", "n", "status", "error", "checked_at").write.mode("append").parquet(f"{self.path}/manifest")
+        return self.manifest()
+
+
+def prepare_months(spark: SparkSession, path: str, prepare: Callable[[int, int], DataFrame], years: tuple[int, ...], as_of: date, months: tuple[int, ...] | None = None, force: bool = False) -> list[tuple[int, int]]:
+    """Write ``prepare(year, month)`` below ``path``/year=/month= for each closed month that is not there yet; the months written.
+
+    Without ``months`` only those that were over before ``as_of`` count. A
+    month is there once its write has ended; one without rows is written again
+    next time. ``force`` writes all again.
+    """
+    done = []
+    for year in years:
+        closed = 12 if year < as_of.year else as_of.month - 1 if year == as_of.year else 0
+        for month in months or range(1, closed + 1):
+            at = f"{path}/year={year}/month={month}"
+            if not force and _there(spark, f"{at}/_SUCCESS"):
+                continue
+            rows = prepare(year, month).persist()
+            if not rows.isEmpty():
+                rows.write.mode("overwrite").parquet(at)
+                done.append((year, month))
+            rows.unpersist()
+    return done
+
+
 def merged_update(old: DataFrame, new: DataFrame, periods: DataFrame, ts: str, key: tuple[str, ...], order: tuple[str, ...]) -> DataFrame:
     """Old rows outside the refetched periods (year, month), with the new ones; of one key the last in ``order`` stays, null keys all."""
     own = old.withColumns({"_y": F.year(ts), "_m": F.month(ts)})

@@ -18,6 +18,27 @@ def resolve(name: str, folders: list[str]) -> str:
     raise FileNotFoundError(f"{name} is in none of {', '.join(folders)}")
 
 
+def newest(spark: SparkSession, folder: str, pattern: str = "") -> str:
+    """Path of the file below a folder whose name fits and that was modified last (of several the last by name); FileNotFoundError without any."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder).select("path", "modificationTime").where(F.element_at(F.split("path", "/"), -1).rlike(pattern))
+    last = found.orderBy(F.desc("modificationTime"), F.desc("path")).first()
+    if last is None:
+        raise FileNotFoundError(f"no file in {folder} fits {pattern!r}")
+    return last.path
+
+
+def analytic_name(project: str, region: str, table: str, period: int | tuple[int, int], reference_year: int | None = None, variant: str | None = None, kind: str = "csv") -> str:
+    """Name of a result file: project, region, table, year or first and last year, reference year and variant."""
+    years = str(period) if isinstance(period, int) else f"{period[0]}-{period[1]}"
+    parts = [project, region, table, years, f"ref{reference_year}" if reference_year else "", variant or ""]
+    return "-".join(p for p in parts if p) + f".{kind}"
+
+
+def analytic_pattern(project: str, region: str, table: str, reference_year: int, variant: str, kind: str = "csv") -> str:
+    """A pattern for such names of any year from 2000 to 2099."""
+    return f"^{'-'.join(map(re.escape, (project, region, table)))}-20[0-9]{{2}}-ref{reference_year}-{re.escape(variant)}\\.{kind}$"
+
+
 def for_years(paths: list[str], years: set[int]) -> list[str]:
     """Paths whose name holds one of the years, or none at all."""
     named = {p: {int(y) for y in re.findall(r"(?<!\d)((?:19|20)\d\d)(?!\d)", os.path.basename(p))} for p in paths}

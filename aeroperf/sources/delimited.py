@@ -25,11 +25,16 @@ def read_delimited(spark: SparkSession, paths: str | list[str], names: list[str]
 
     With ``names`` columns go by place, and ``extra`` names the fields that
     some rows have beyond the header (an inferred schema drops them silently).
-    ``with_origin`` adds _file and _seq, an order of rows within a file.
+    ``with_origin`` adds _file, _block (the byte at which a task's stretch of
+    the file begins) and _seq (the row's place in its task): a file's rows are
+    in the order of (_block, _seq), however it is split.
     """
-    reader = spark.read.option("sep", sep).option("header", True).option("nullValue", "").option("mode", "PERMISSIVE").option("enforceSchema", True)
+    reader = spark.read.option("sep", sep).option("header", True).option("nullValue", "").option("escape", '"').option("mode", "PERMISSIVE").option("enforceSchema", True)
     df = reader.schema(strings([*names, *extra])).csv(paths) if names else reader.csv(paths)
-    return df.withColumns({"_file": F.col("_metadata.file_name"), "_seq": F.col("_metadata.file_block_start") + F.monotonically_increasing_id()}) if with_origin else df
+    if not with_origin:
+        return df
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    return df.withColumns({"_file": F.col("_metadata.file_name"), "_block": F.col("_metadata.file_block_start"), "_seq": place})
 
 
 def header(spark: SparkSession, path: str, sep: str = ";") -> list[str]:
@@ -45,7 +50,7 @@ def read_by_separator(spark: SparkSession, paths: list[str], comma_names: str =
     parts = []
     for sep, some in kinds.items():
         if some:
-            df = spark.read.option("sep", sep).option("header", True).option("nullValue", "").csv(some)
+            df = spark.read.option("sep", sep).option("header", True).option("nullValue", "").option("escape", '"').csv(some)
             df = df.toDF(*[re.sub("[\"']", "", c) for c in df.columns])
             parts.append(df.drop("_c0", "V1"))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
@@ -80,4 +85,4 @@ def lower_cased(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 def read_typed(spark: SparkSession, path: str, schema: str, sep: str = ",", null: str = "NA") -> DataFrame:
     """A result file under an explicit schema (dates as text stay text); a value that doesn't fit its type is an error."""
-    return spark.read.option("sep", sep).option("header", True).option("nullValue", null).option("mode", "FAILFAST").schema(schema).csv(path)
+    return spark.read.option("sep", sep).option("header", True).option("nullValue", null).option("escape", '"').option("mode", "FAILFAST").schema(schema).csv(path)

@@ -18,6 +18,9 @@ from datetime import date, timedelta
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, GreaterThan, GreaterThanOrEqual, In, InputPartition, IsNull, LessThan, LessThanOrEqual, StringContains, StringStartsWith
 
+#: Comparisons whose answer hangs on an order, which the server may see in another way.
+ORDERED = (GreaterThan, GreaterThanOrEqual, LessThan, LessThanOrEqual)
+
 from pyspark.sql import types as T
 
 #: The operators of the query language and their filters; a number of rows that one page has.
@@ -28,13 +31,12 @@ DATE_LIKE = re.compile(r"(^dt_|^dh|date|_time$|timestamp)", re.I)
 
 @dataclass
 class Window(InputPartition):
-    """Half-open days."""
+    """Half-open stretches of days that one task reads, one after the other."""
 
-    start: str
-    end: str
+    spans: list[tuple[str, str]]
 
-    def __init__(self, start: str, end: str):
-        self.start, self.end, self.value = start, end, (start, end)
+    def __init__(self, spans: list[tuple[str, str]]):
+        self.spans, self.value = spans, tuple(spans)
 
 
 def months(start: date, end: date) -> Iterator[tuple[date, date]]:
@@ -63,15 +65,47 @@ def http_fetch(base: str, table: str, params: dict[str, str]) -> list[dict]:
         return json.load(r)
 
 
-def folder_fetch(base: str, table: str, params: dict[str, str]) -> list[dict]:
-    """The same from ``base/table.json``: bounds, eq filters, order, offset and limit."""
+def http_count(base: str, table: str, params: dict[str, str]) -> int:
+    """Rows that the server says it has: a request for their exact count and none of them, answered in a header."""
+    from urllib.parse import urlencode
+    from urllib.request import Request, urlopen
+
+    head = {"Prefer": "count=exact", "Range-Unit": "items", "Range": "0-0"} | ({"Authorization": f"Bearer {os.environ['REST_TOKEN']}"} if os.environ.get("REST_TOKEN") else {})
+    with urlopen(Request(f"{base}/{table}?{urlencode(params)}", headers=head, method="HEAD"), timeout=180) as r:
+        return int(r.headers["Content-Range"].rsplit("/", 1)[1])
+
+
+def _holds(value, said: str) -> bool:
+    """Whether a JSON value passes a filter; numbers are compared as numbers, as a server does."""
+    op, _, arg = said.partition(".")
+    if op == "is":
+        return value is None
+    if value is None or isinstance(value, (list, dict)):
+        return False
+    if op == "in":
+        return any(str(value) == (x[1:-1].replace('\\"', '"').replace("\\\\", "\\") if x.startswith('"') else x) for x in re.findall(r'"(?:[^"\\]|\\.)*"|[^,]+', arg[1:-1]))
+    if op == "like":
+        return re.fullmatch("".join(".*" if c in "*%" else "." if c == "_" else re.escape(c) for c in arg), str(value), re.DOTALL) is not None
+    a, b = (value, float(arg)) if isinstance(value, (int, float)) else (str(value), arg)
+    return {"eq": a == b, "gt": a > b, "gte": a >= b, "lt": a < b, "lte": a <= b}[op]
+
+
+def folder_rows(base: str, table: str, params: dict[str, str]) -> list[dict]:
+    """Rows of ``base/table.json`` that pass all filters."""
     with open(f"{base}/{table}.json") as f:
         rows = json.load(f)
-    for part in re.findall(r"(\w+)\.(gte|lt)\.([^,()]+)", params.get("and", "")):
-        rows = [r for r in rows if r.get(part[0]) is not None and ((r[part[0]] >= part[2]) if part[1] == "gte" else (r[part[0]] < part[2]))]
-    for k, v in params.items():
-        if v.startswith("eq."):
-            rows = [r for r in rows if str(r.get(k)) == v[3:]]
+    said = [(c, f"{op}.{v}") for c, op, v in re.findall(r"(\w+)\.(gte|lt)\.([^,()]+)", params.get("and", ""))]
+    said += [(k, v) for k, v in params.items() if k not in ("and", "order", "select", "offset", "limit")]
+    return [r for r in rows if all(_holds(r.get(c), v) for c, v in said)]
+
+
+def folder_count(base: str, table: str, params: dict[str, str]) -> int:
+    return len(folder_rows(base, table, params))
+
+
+def folder_fetch(base: str, table: str, params: dict[str, str]) -> list[dict]:
+    """What ``http_fetch`` gives, from ``base/table.json``: bounds, filters, order, offset and limit."""
+    rows = folder_rows(base, table, params)
     order = [c for c in params.get("order", "").split(",") if c]
     rows = sorted(rows, key=lambda r: [str(r.get(c, "")) for c in order])
     at = int(params.get("offset", 0))
@@ -97,7 +131,15 @@ def pages(fetch, base: str, table: str, params: dict[str, str], page_rows: int =
 
 
 class RestSource(DataSource):
-    """``spark.read.format("rest").schema(...).options(base=, table=, column=, start=, end=, order=, fetch=, grain=, rename=)``."""
+    """``spark.read.format("rest").schema(...).options(base=, table=, column=, start=, end=, order=, fetch=, grain=, tasks=, rename=, text=, stamps=)``.
+
+    ``grain`` is month or day; ``tasks`` bounds how many requests run at a
+    time (a task for each month or day, unless said). ``text`` lists columns
+    that are plain text at the server, ``stamps`` those that hold ISO dates or
+    times: only filters on these go along, the stamps' comparisons included.
+    All others are Spark's, as a number or an array is not to a server what
+    its text is to Spark.
+    """
 
     @classmethod
     def name(cls) -> str:
@@ -131,36 +173,42 @@ class RestReader(DataSourceReader):
         self.columns, self.options, self.where = [f.name for f in schema.fields], options, {}
 
     def pushFilters(self, filters):
-        """Comparisons, lists, prefixes and null tests on one column go to the server; all others are Spark's."""
+        """Equalities, lists, prefixes and null tests on text columns go to the server, and comparisons on stamps; all others are Spark's."""
+        back = {v: k for k, v in json.loads(self.options.get("rename", "{}")).items()}
+        listed = lambda name: {c for c in self.options.get(name, "").split(",") if c}
+        words, stamps = listed("text"), listed("stamps")
+        plain = lambda v: isinstance(v, str) and "\\" not in v
         for f in filters:
-            column = f.attribute[0] if len(f.attribute) == 1 else None
+            column = back.get(f.attribute[0], f.attribute[0]) if len(getattr(f, "attribute", ())) == 1 else None
             said = None
-            if column and type(f) in OPERATORS:
-                said = f"{OPERATORS[type(f)]}.{f.value}"
-            elif column and isinstance(f, In):
-                said = f"in.({','.join(map(str, f.value))})"
-            elif column and isinstance(f, StringStartsWith):
-                said = f"like.{f.value}*"
-            elif column and isinstance(f, StringContains):
-                said = f"like.*{f.value}*"
-            elif column and isinstance(f, IsNull):
-                said = "is.null"
-            if said and column not in self.where:
+            if column in words | stamps:
+                if type(f) in OPERATORS and plain(f.value) and (not isinstance(f, ORDERED) or column in stamps):
+                    said = f"{OPERATORS[type(f)]}.{f.value}"
+                elif isinstance(f, In) and f.value and all(map(plain, f.value)):
+                    said = "in.({})".format(",".join('"' + v.replace('"', '\\"') + '"' for v in f.value))
+                elif isinstance(f, (StringStartsWith, StringContains)) and plain(f.value):  # a wildcard in it lets more through
+                    said = f"like.{'*' * isinstance(f, StringContains)}{f.value}*"
+                elif isinstance(f, IsNull):
+                    said = "is.null"
+            if said and column not in self.where and column != self.options["column"]:
                 self.where[column] = said
-            yield f  # Spark checks again: a server's text order may differ
+            yield f  # Spark checks again
 
     def partitions(self) -> list[InputPartition]:
         cut = days if self.options.get("grain", "month") == "day" else months
-        return [Window(a.isoformat(), b.isoformat()) for a, b in cut(date.fromisoformat(self.options["start"]), date.fromisoformat(self.options["end"]))]
+        spans = [(a.isoformat(), b.isoformat()) for a, b in cut(date.fromisoformat(self.options["start"]), date.fromisoformat(self.options["end"]))]
+        tasks = min(len(spans), int(self.options.get("tasks", len(spans))))
+        return [Window(spans[i * len(spans) // tasks : (i + 1) * len(spans) // tasks]) for i in range(tasks)]
 
     def read(self, partition: Window) -> Iterator[tuple]:
         column, order = self.options["column"], self.options.get("order") or self.options["column"]
-        params = {"and": f"({column}.gte.{partition.start},{column}.lt.{partition.end})", "order": order} | self.where
         rename = json.loads(self.options.get("rename", "{}"))
-        for got in pages(_named(self.options), self.options.get("base", ""), self.options["table"], params, int(self.options.get("pagerows", PAGE_ROWS))):
-            for row in got:
-                row = {rename.get(k, k): v for k, v in row.items()}
-                yield tuple(text(row.get(c)) for c in self.columns)
+        for start, end in partition.spans:
+            params = {"and": f"({column}.gte.{start},{column}.lt.{end})", "order": order} | self.where
+            for got in pages(_named(self.options), self.options.get("base", ""), self.options["table"], params, int(self.options.get("pagerows", PAGE_ROWS))):
+                for row in got:
+                    row = {rename.get(k, k): v for k, v in row.items()}
+                    yield tuple(text(row.get(c)) for c in self.columns)
 
 
 def tables(openapi: dict) -> list[str]:
@@ -177,7 +225,39 @@ def total_order(date_column: str, identity: list[str], columns: list[str]) -> st
     return ",".join(dict.fromkeys([date_column, *[c for c in identity if c in columns]]))
 
 
-def count_rows(fetch, base: str, table: str, column: str, start: str, end: str, page_rows: int = PAGE_ROWS) -> int:
-    """Rows of a half-open window at the server, by its pages."""
-    params = {"and": f"({column}.gte.{start},{column}.lt.{end})", "order": column, "select": column}
-    return sum(map(len, pages(fetch, base, table, params, page_rows)))
+def count_rows(base: str, table: str, column: str, start: str, end: str, count=http_count) -> int:
+    """Rows of a half-open window as the server counts them; none of them is sent."""
+    return count(base, table, {"and": f"({column}.gte.{start},{column}.lt.{end})", "select": column})
+
+
+def fetch_days(spark, wanted: list[date], base: str, table: str, column: str, schema: str, fetch: str = "aeroperf.sources.rest:http_fetch", tasks: int = 1, tries: int = 4, wait_s: float = 2.0):
+    """(rows, days): the rows of each day with their _day, and one line a day: day, n, status (ok, empty or failed), error.
+
+    A day that fails after ``tries`` has no rows and says so, so that it is
+    told from one without traffic; the others go on. ``tasks`` bounds the
+    requests that run at a time. The rows are fetched once, and held.
+    """
+    from pyspark.sql import functions as F
+
+    names = [f.name for f in T.StructType.fromDDL(schema).fields]
+
+    def run(batches):
+        import pandas as pd
+
+        for batch in batches:
+            for day in batch["_day"]:
+                after = (date.fromisoformat(day) + timedelta(days=1)).isoformat()
+                rows, error = [], None
+                try:
+                    for got in pages(_named({"fetch": fetch}), base, table, {"and": f"({column}.gte.{day},{column}.lt.{after})", "order": column}, tries=tries, wait_s=wait_s):
+                        rows += got
+                except (OSError, ValueError) as e:
+                    rows, error = [], str(e)
+                out = [(day, False, None, *[text(r.get(c)) for c in names]) for r in rows] + [(day, True, error, *[None] * len(names))]
+                yield pd.DataFrame(out, columns=["_day", "_end", "_error", *names], dtype=object)
+
+    days_wanted = spark.createDataFrame([(d.isoformat(),) for d in wanted], "_day string").repartition(max(1, min(tasks, len(wanted) or 1)))
+    got = days_wanted.mapInPandas(run, f"_day string, _end boolean, _error string, {schema}").persist()
+    rows = got.where("not _end").select("_day", *names)
+    status = F.when(F.max("_error").isNotNull(), "failed").when(F.count("*") == 1, "empty").otherwise("ok")
+    return rows, got.groupBy(F.col("_day").alias("day")).agg((F.count("*") - 1).alias("n"), status.alias("status"), F.max("_error").alias("error"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from aeroperf.operators.dedup import keep_one
+
 
 def island_sessions(events: DataFrame, key: tuple[str, ...], start: str, end: str, gap_min: float, late: str) -> DataFrame:
     """Records chained while one starts within ``gap_min`` of the latest end: key, start, end, n.
@@ -35,10 +37,20 @@ def first_of_each(events: DataFrame, key: tuple[str, ...], ts: str, late: str) -
 
 
 def refresh_months(events: DataFrame, ts: str, path: str, checkpoint: str):
-    """A stream of part files that replaces the open months they belong to (dynamic partition overwrite); returns the writer, not started."""
+    """A stream of part files into a table by month and micro-batch; returns the writer, not started.
+
+    A batch adds to its months and replaces nothing but its own earlier try, so
+    a month in two batches keeps both and a late row wipes no closed month.
+    ``refreshed`` reads the table, with the latest row of each key.
+    """
 
-    def write(batch: DataFrame, _: int) -> None:
-        marked = batch.withColumns({"year": F.year(ts), "month": F.month(ts)})
-        marked.write.partitionBy("year", "month").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    def write(batch: DataFrame, number: int) -> None:
+        marked = batch.withColumns({"year": F.year(ts), "month": F.month(ts), "batch": F.lit(number)})
+        marked.write.partitionBy("year", "month", "batch").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
     return events.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+
+
+def refreshed(table: DataFrame, key: tuple[str, ...], order: tuple[str, ...]) -> DataFrame:
+    """What ``refresh_months`` wrote: of each key the row of the last batch, and in one batch the last in ``order``; null keys all. ``year`` and ``month`` stay."""
+    return keep_one(table, key, ("batch", *order), last=True, null_key="keep").drop("batch")

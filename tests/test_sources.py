@@ -1,4 +1,5 @@
 import json
+import re
 import zipfile
 from datetime import date, datetime
 
@@ -7,8 +8,9 @@ from pyspark.sql import functions as F
 
 from aeroperf.plans import dashboards, milestones, taxi, terminal
 from aeroperf.sinks import files
-from aeroperf.sinks.incremental import IncrementalTable, merged_update
+from aeroperf.sinks.incremental import DailyTable, IncrementalTable, merged_update, prepare_months
 from aeroperf.sources import catalog, delimited, json_dir, parquet, rest
+from aeroperf.streaming import sessions
 
 
 def test_ragged_rows_keep_their_extra_field(spark, tmp_path):
@@ -53,6 +55,58 @@ def test_rest_source_pages_every_month(spark, tmp_path):
     assert rest.tables({"paths": {"/": 1, "/b": 1, "/a": 1, "/rpc/f": 1}}) == ["a", "b"]
 
 
+REST = {"table": "f", "column": "dt", "start": "2025-01-01", "end": "2025-02-01", "fetch": "aeroperf.sources.rest:folder_fetch"}
+
+
+def test_filters_sent_along_lose_no_row(spark, tmp_path):
+    """What the server is asked for never lacks a row that Spark would keep: quotes, renamed columns, numbers, arrays."""
+    rows = [{"dt": "2025-01-10", "id": i, "name": n, "size": s, "units": u, "dh": f"2025-01-10T0{i}:00:00"} for i, (n, s, u) in enumerate([("a,b", 7, ["a", "b"]), ("z", 40, ["a"]), ('say "x"', 5, []), (None, None, None), ("a*", 100, ["z"]), ("", 9, ["a|b"])])]
+    (tmp_path / "f.json").write_text(json.dumps(rows))
+    spark.dataSource.register(rest.RestSource)
+    read = lambda **o: spark.read.format("rest").schema("id string, label string, size string, units string, dh string").options(**REST, base=str(tmp_path), rename=json.dumps({"name": "label"}), **o).load()
+    every = spark.createDataFrame(read().collect(), read().schema)
+    tests = ["label IN ('a,b', 'z')", "label = 'a,b'", "label = 'say \"x\"' OR size > '5'", "label IN ('say \"x\"', 'q')", "size > '5'", "size = '7'", "units = 'a|b'", "units IS NULL", "label IS NULL", "label LIKE 'a*%'", "label LIKE '%a%'", "label > 'a'", "dh >= '2025-01-10T02:00:00' AND dh < '2025-01-10T05:00:00'", "label = ''", "label <> 'z'"]
+    for test in tests:
+        want = {r.id for r in every.where(test).collect()}
+        assert {r.id for r in read().where(test).collect()} == want == {r.id for r in read(text="name", stamps="dh").where(test).collect()}, test
+    reader = rest.RestReader(read().schema, {**REST, "rename": json.dumps({"name": "label"}), "text": "name", "stamps": "dh"})
+    list(reader.pushFilters([rest.In(("label",), ("a,b", 'say "x"')), rest.GreaterThan(("size",), "5"), rest.GreaterThanOrEqual(("dh",), "2025"), rest.EqualTo(("units",), "a")]))
+    assert reader.where == {"name": 'in.("a,b","say \\"x\\"")', "dh": "gte.2025"}
+
+
+def test_counts_and_days_of_a_server(spark, tmp_path):
+    rows = [{"d": f"2025-01-{day:02d}T10:00:00", "v": i} for day in (1, 3) for i in range(day)]
+    (tmp_path / "t.json").write_text(json.dumps(rows))
+    assert rest.count_rows(str(tmp_path), "t", "d", "2025-01-01", "2025-01-02", rest.folder_count) == 1
+    spark.dataSource.register(rest.RestSource)
+    df = spark.read.format("rest").schema("d string").options(**REST | {"table": "t", "column": "d"}, base=str(tmp_path), grain="day", tasks="2").load()
+    assert df.count() == 4 and df.rdd.getNumPartitions() == 2
+    got, days = rest.fetch_days(spark, [date(2025, 1, d) for d in (1, 2, 3)], str(tmp_path), "t", "d", "d string, v string", "aeroperf.sources.rest:folder_fetch")
+    assert got.count() == 4 and {(r.day, r.n, r.status) for r in days.collect()} == {("2025-01-01", 1, "ok"), ("2025-01-02", 0, "empty"), ("2025-01-03", 3, "ok")}
+    got, days = rest.fetch_days(spark, [date(2025, 1, 1)], str(tmp_path / "none"), "t", "d", "d string", "aeroperf.sources.rest:folder_fetch", tries=1)
+    (day,) = days.collect()
+    assert got.count() == 0 and day.status == "failed" and day.n == 0 and "none" in day.error
+
+
+def test_daily_table_goes_on_where_it_stopped(spark, tmp_path):
+    table, asked = DailyTable(spark, str(tmp_path / "d")), []
+    (tmp_path / "t.json").write_text(json.dumps([{"d": f"2025-01-0{i}T10", "v": i} for i in (1, 3, 5)]))
+
+    def fetch(wanted):
+        asked.append(len(wanted))
+        return rest.fetch_days(spark, wanted, str(tmp_path), "t", "d", "v string", "aeroperf.sources.rest:folder_fetch")
+
+    got = table.refresh(fetch, date(2025, 1, 1), date(2025, 1, 4), every=3)
+    assert asked == [3, 1] and {(r.day, r.status) for r in got.collect()} == {("2025-01-01", "ok"), ("2025-01-02", "empty"), ("2025-01-03", "ok"), ("2025-01-04", "empty")}
+    assert sorted((str(r.day), r.v) for r in table.rows().collect()) == [("2025-01-01", "1"), ("2025-01-03", "3")]
+    assert table.pending(date(2025, 1, 1), date(2025, 1, 5)) == [date(2025, 1, 4), date(2025, 1, 5)]
+    (tmp_path / "t.json").write_text("[]")
+    table.refresh(fetch, date(2025, 1, 5), date(2025, 1, 5))
+    (tmp_path / "t.json").write_text(json.dumps([{"d": "2025-01-05T10", "v": 9}]))
+    table.refresh(fetch, date(2025, 1, 5), date(2025, 1, 6))
+    assert ("2025-01-05", "9") in {(str(r.day), r.v) for r in table.rows().collect()}
+
+
 def test_pages_go_on_below_the_servers_cap():
     rows = list(range(10))
     got = [x for page in rest.pages(lambda b, t, p: rows[int(p["offset"]) : int(p["offset"]) + 3], "", "t", {}, 1000) for x in page]
@@ -85,7 +139,74 @@ def test_incremental_table(spark, tmp_path):
     data[(2025, 1)] = [(str(d), datetime(2025, 1, d), d) for d in range(1, 32)]
     assert t.refresh(fetch, date(2025, 1, 1), date(2025, 2, 11)) == [(2025, 1), (2025, 2)]
     assert t.rows().count() == 31 and t.pending(date(2025, 1, 1), date(2025, 2, 12)) == [(2025, 2)]
+    t.store(fetch(2025, 2), [(2025, 1)], "2025-02-12")  # a month that has no rows any more
+    assert t.rows() is None or t.rows().count() == 0
+    with pytest.raises(ValueError):
+        t.store(fetch(2025, 1), [(2025, 2)], "2025-02-13")
+
+
+def test_prepared_months_are_written_once(spark, tmp_path):
+    calls = []
+
+    def prepare(year, month):
+        calls.append(month)
+        return spark.createDataFrame([(month,)] if month != 2 else [], "m int")
+
+    path = str(tmp_path / "p")
+    assert prepare_months(spark, path, prepare, (2024, 2026), date(2025, 1, 1), months=(1, 2)) == [(2024, 1), (2026, 1)]
+    assert prepare_months(spark, path, prepare, (2025,), date(2025, 4, 2)) == [(2025, 1), (2025, 3)]
+    calls.clear()
+    assert prepare_months(spark, path, prepare, (2025,), date(2025, 4, 2)) == [] and calls == [2]
+    assert prepare_months(spark, path, prepare, (2027,), date(2025, 4, 2)) == []
+    assert prepare_months(spark, path, prepare, (2025,), date(2025, 2, 2), force=True) == [(2025, 1)]
+    assert spark.read.parquet(path).where("year = 2025").count() == 2
+
+
+def test_month_in_two_batches_keeps_both(spark, tmp_path):
+    """A late row wipes no month, a row that comes again replaces its older self, and null keys stay."""
+    src, out, mark = (str(tmp_path / n) for n in ("src", "out", "mark"))
+    schema = "pk string, ts timestamp, v int"
+    for rows in ([("a", datetime(2025, 1, 1), 1), ("b", datetime(2025, 1, 2), 1), (None, datetime(2025, 2, 1), 7)], [("a", datetime(2025, 1, 3), 2), ("c", datetime(2024, 12, 31), 1)]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+        sessions.refresh_months(spark.readStream.schema(schema).parquet(src), "ts", out, mark).trigger(availableNow=True).start().awaitTermination()
+    got = sessions.refreshed(spark.read.parquet(out), ("pk",), ("ts",))
+    assert {(r.pk, r.v) for r in got.collect()} == {("a", 2), ("b", 1), ("c", 1), (None, 7)}
+
+
+def test_origin_orders_the_rows_of_a_file(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("n\n" + "".join(f"{i:08d}\n" for i in range(20_000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        df = delimited.read_delimited(spark, str(tmp_path / "a.csv"), ["n"], with_origin=True)
+        assert df.rdd.getNumPartitions() > 3
+        assert [r.n for r in df.orderBy("_file", "_block", "_seq").collect()] == [f"{i:08d}" for i in range(20_000)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_names_and_newest_file(spark, tmp_path):
+    import os
+
+    name = catalog.analytic_name("P", "BRA", "txxt-analytic", 2024, 2024, "v.1")
+    assert name == "P-BRA-txxt-analytic-2024-ref2024-v.1.csv" and re.match(catalog.analytic_pattern("P", "BRA", "txxt-analytic", 2024, "v.1"), name)
+    assert not re.match(catalog.analytic_pattern("P", "BRA", "txxt-analytic", 2024, "v.1"), name.replace("v.1", "vx1")) and catalog.analytic_name("P", "BRA", "cov", (2024, 2026)) == "P-BRA-cov-2024-2026.csv"
+    for i, n in enumerate(("b_1.csv", "a_1.csv", "c.txt")):
+        (tmp_path / n).write_text("x")
+        os.utime(tmp_path / n, (1000 + i, 1000 + i))
+    assert catalog.newest(spark, str(tmp_path), r"_1\.csv$").endswith("a_1.csv")
+    with pytest.raises(FileNotFoundError):
+        catalog.newest(spark, str(tmp_path), "nothing")
+
 
+def test_names_captured_headers_lowered_and_inventory(spark, tmp_path):
+    spark.createDataFrame([("x", datetime(2025, 1, 2))], "ID string, ts timestamp").coalesce(1).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    got = catalog.from_file_name(df, r"^(part)-(\d+)", ("kind", "number")).first()
+    assert (got.kind, got.number) == ("part", "00000")
+    assert delimited.lower_cased(df, ["id", "absent"]).columns == ["id"] and delimited.lower_cased(df).columns == ["id", "ts"]
+    (line,) = [r for r in catalog.inventory(spark, df, str(tmp_path / "t"), "ts").collect() if r.rows]
+    assert line.rows == 1 and str(line.first) == "2025-01-02 00:00:00" and line.size > 0
 
 def test_merged_update_keeps_last(spark):
     schema = "pk string, ts timestamp, v int"
