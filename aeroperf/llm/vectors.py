@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 
@@ -33,11 +35,17 @@ def matrix(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return x[ok], np.array(at, np.int64)[ok]
 
 
-def floats(column: pa.Array, width: int) -> np.ndarray:
-    """Matrix of an array column that is known to be whole."""
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width)
+def by_width(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """``matrix`` of the rows of each width, with places in the whole column."""
+    if column.null_count:
+        sizes = np.array([len(r) if r is not None else 0 for r in column.to_pylist()], np.int64)
+    else:
+        sizes = np.diff(column.offsets.to_numpy())
+    for width in np.unique(sizes):
+        own = np.flatnonzero(sizes == width)
+        x, at = matrix(column.take(pa.array(own)) if len(own) < len(column) else column)
+        if len(at):
+            yield x, own[at]
 
 
 def rotation(width: int, seed: int) -> np.ndarray:
