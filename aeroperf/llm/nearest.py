@@ -2,18 +2,20 @@
 
 Each of ``orderings`` curves projects the vectors at random to a few
 dimensions, shifts and quantises them, and takes their Hilbert keys. Spark
-sorts (ordering, key, id) by range partitioning; what is sorted and ranked are
-narrow rows. An ordering is cut into blocks of consecutive ranks; a query visits the
-blocks around its own rank in every ordering, whose rows are compared with it
-exactly in double precision, and the visits' best are merged.
-
-How wide the windows must be depends on the data: vectors without structure
-need much wider ones than clustered ones. They are fitted on a bounded sample
+sorts (ordering, key, class) by range partitioning; what is sorted, ranked and
+met are narrow rows, never vectors. A query's candidates are the rows within
+``reach`` ranks of its own in any ordering: blocks of consecutive ranks list
+them, the lists of all orderings are dealt to parts of the vectors by the
+candidate, and a part, in which every vector stands once, drops repeats and
+compares each candidate once, in double precision. The parts' best are merged.
+
+How far windows must reach depends on the data: vectors without structure
+need much wider ones than clustered ones. The reach is fitted on a bounded sample
 of queries (``calibrate``): each one's true neighbours are found by one pass
-over all rows, and the window is the least under which ``target`` of them lie
+over all rows, and the reach is the least under which ``target`` of them lie
 within it in some ordering. Every row is indexed and every query searched.
 
-Equal vectors are one row of the index with its k+1 smallest ids, so that a
+Equal vectors are one class of the index with its smallest ids, so that a
 vector with a million copies costs what any other does, and ties go to the
 smallest ids.
 """
@@ -29,8 +31,9 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from aeroperf.llm.hashing import mix
 from aeroperf.llm.storage import discard, stored
-from aeroperf.llm.vectors import matrix, rotation
+from aeroperf.llm.vectors import by_width, rotation
 from aeroperf.llm.workers import tidy
 
 U = np.uint64
@@ -75,9 +78,12 @@ def _unpack(column: pa.Array, width: int, kind: str) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, width).astype(np.float64)
 
 
-def _best(query: np.ndarray, x: np.ndarray, ids: np.ndarray, keep: int) -> tuple[np.ndarray, np.ndarray]:
-    """(ids, squared distances) of the ``keep`` nearest rows, ties to smaller ids; distances are summed from differences."""
-    rough = (x**2).sum(1) - 2 * x @ query
+def _best(query: np.ndarray, x: np.ndarray, ids: np.ndarray, keep: int, rough: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, squared distances) of the ``keep`` nearest rows, ties to smaller ids; distances are summed from differences.
+
+    ``rough`` are the rows' squared distances less the query's own square, as products give them.
+    """
+    rough = (x**2).sum(1) - 2 * x @ query if rough is None else rough
     if len(rough) > keep:
         edge = np.partition(rough, keep - 1)[keep - 1]
         near = np.flatnonzero(rough <= edge + 1e-9 * (1 + abs(edge) + query @ query))
@@ -88,15 +94,71 @@ def _best(query: np.ndarray, x: np.ndarray, ids: np.ndarray, keep: int) -> tuple
     return ids[near][order], exact[order]
 
 
-def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id", vector: str = "embedding", orderings: int = 32, dims: int = 8, bits: int = 7, block: int = 512, calibrate: int = 64, target: float = 0.96, seed: int = 11) -> DataFrame:
-    """For each row where ``is_query``: its ``k`` nearest found among all other rows, by Euclidean distance.
+def _listed(parts: int, reach: int):
+    """Candidates of the queries that visit a block of one ordering, as lists by part."""
+
+    def run(table: pa.Table) -> pa.Table:
+        asks, cls, rank = table.column("asks").to_numpy(zero_copy_only=False), table.column("cls").to_numpy(), table.column("rank").to_numpy()
+        rows = np.flatnonzero(~asks)
+        rows = rows[np.argsort(rank[rows])]
+        rank_of, member = rank[rows], cls[rows]
+        part = (mix(member.astype(np.uint64)) % U(parts)).astype(np.int64)
+        query, to, lists = [], [], []
+        for i in np.flatnonzero(asks) if len(rows) else ():
+            low, high = np.searchsorted(rank_of, (rank[i] - reach, rank[i] + reach + 1))
+            by = low + np.argsort(part[low:high], kind="stable")
+            cuts = np.flatnonzero(np.diff(part[by])) + 1
+            for at in np.split(by, cuts) if len(by) else ():
+                query.append(cls[i])
+                to.append(part[at[0]])
+                lists.append(member[at])
+        return pa.table({"query": pa.array(query, pa.int64()), "part": pa.array(to, pa.int64()), "listed": pa.array(lists, pa.list_(pa.int64()))})
+
+    return run
+
+
+def _compared(width: int, kind: str, keep: int):
+    """The nearest candidates of each query among a part's vectors, each compared once."""
+
+    def run(table: pa.Table) -> pa.Table:
+        column = lambda c: table.column(c).combine_chunks()
+        cls, listed, v = column("cls").to_numpy(), column("listed"), column("v")
+        is_list, is_row = listed.is_valid().to_numpy(zero_copy_only=False), ~column("asks").to_numpy(zero_copy_only=False)
+        rows, asking = np.flatnonzero(is_row), np.flatnonzero(~is_row & ~is_list)
+        rows = rows[np.argsort(cls[rows])]
+        ids, x = cls[rows], _unpack(v.take(pa.array(rows)), width, kind)
+        square = (x**2).sum(1)
+        lists = np.flatnonzero(is_list)
+        lists = lists[np.argsort(cls[lists], kind="stable")]
+        bounds = np.searchsorted(cls[lists], (cls[asking], cls[asking] + 1))
+        out: list[list] = [[np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]]
+        for low in range(0, len(asking), 64):
+            some = asking[low : low + 64]
+            q = _unpack(v.take(pa.array(some)), width, kind)
+            at = [np.unique(np.searchsorted(ids, listed.take(pa.array(lists[a:b])).flatten().to_numpy())) for a, b in bounds[:, low : low + 64].T]
+            dense = sum(map(len, at)) * 4 > len(ids) * len(some)
+            rough = square[:, None] - 2 * (x @ q.T) if dense else None
+            for j, i in enumerate(some):
+                near, d = _best(q[j], x[at[j]], ids[at[j]], keep, rough[at[j], j] if dense else None)
+                out[0].append(np.full(len(near), cls[i]))
+                out[1].append(near)
+                out[2].append(d)
+        return pa.table({"query": np.concatenate(out[0]), "cls": np.concatenate(out[1]), "d": np.concatenate(out[2])})
+
+    return run
+
+
+def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id", vector: str = "embedding", orderings: int = 32, dims: int = 8, bits: int = 7, calibrate: int = 64, target: float = 0.97, part_rows: int = 8192, part_pairs: int = 1 << 22, seed: int = 11) -> DataFrame:
+    """For each id with a row where ``is_query``: its ``k`` nearest found among the rows of all other ids, by Euclidean distance.
 
     Returns query_id, rank (from 1), vec_id, score (the distance, exact on the
     original vectors); ties go to the smaller id. Vectors that are null, empty,
     zero or hold a null or non-finite component, those of another width than
     most (of equally common widths the smaller counts), and rows with a null
-    id take no part. Repeated rows of one id count once for equal vectors. With
-    fewer than ``k`` candidates all are returned; an empty table gives no row.
+    id take no part. Repeated rows of one id count once; of an id with several
+    vectors the nearest counts, on either side. With fewer than ``k``
+    candidates all are returned; an empty table gives no row. Other columns are
+    not carried.
     """
     spark = vectors.sparkSession
     kind = "<f4" if dict(vectors.dtypes)[vector] == "array<float>" else "<f8"
@@ -104,13 +166,9 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes = [len(r) if r is not None else 0 for r in batch.column("v").to_pylist()] if batch.column("v").null_count else np.diff(batch.column("v").offsets.to_numpy())
-            for width in np.unique(sizes):
-                own = batch.filter(pa.array(np.asarray(sizes) == width))
-                x, at = matrix(own.column("v"))
-                if len(at):
-                    raw = [(r + 0.0).astype(kind).tobytes() for r in x]
-                    yield pa.RecordBatch.from_arrays([own.column("id").take(pa.array(at)), own.column("q").take(pa.array(at)), pa.array(raw, pa.binary())], ["id", "q", "v"])
+            for x, at in by_width(batch.column("v")):
+                raw = [r.tobytes() for r in (x + 0.0).astype(kind)]
+                yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(at)), batch.column("q").take(pa.array(at)), pa.array(raw, pa.binary())], ["id", "q", "v"])
 
     usable = base.mapInArrow(tidy(clean), "id long, q boolean, v binary").withColumns({"k1": F.xxhash64("v"), "k2": F.xxhash64(F.lit("v2"), "v")})
     usable = stored(usable, "vectors")
@@ -121,12 +179,15 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
     width = size // np.dtype(kind).itemsize
     usable = usable.where(F.length("v") == size)
 
-    # equal vectors: their k+1 smallest ids, through salted parts so that no copy's group meets in one task
+    # an id's further vectors may take places among the best that then fall away
+    held = usable.select("id", "k1", "k2").distinct().groupBy("id").agg(F.count("*").alias("n"))
+    keep = k + held.agg(F.max("n")).first()[0]
+    # equal vectors: their smallest ids, through salted parts so that no copy's group meets in one task
     salted = Window.partitionBy("k1", "k2", F.pmod(F.xxhash64("id"), F.lit(64))).orderBy("id")
     few = usable.select("id", "k1", "k2").distinct().withColumn("n", F.row_number().over(salted)).where(F.col("n") <= k + 1).drop("n")
     ids = few.groupBy("k1", "k2").agg(F.slice(F.sort_array(F.collect_list("id")), 1, k + 1).alias("ids"))
-    whole = usable.groupBy("k1", "k2").agg(F.min("id").alias("rep"), F.max("q").alias("q"), F.first("v").alias("v"))
-    classes = stored(whole.join(ids, ["k1", "k2"]), "vector-classes")
+    whole = usable.groupBy("k1", "k2").agg(F.max("q").alias("q"), F.first("v").alias("v"))
+    classes = stored(whole.join(ids, ["k1", "k2"]).withColumn("cls", F.monotonically_increasing_id()), "vector-classes")
 
     moments = classes.select("v").mapInArrow(tidy(_moments(width, kind)), "n long, s array<double>, ss double").toArrow()
     n = sum(moments.column("n").to_pylist())
@@ -137,7 +198,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
         for batch in batches:
             x = _unpack(batch.column("v"), width, kind)
             for o in range(orderings if len(x) else 0):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), o, np.int32)), pa.array(ordering_keys(x, o, dims, bits, seed, center, scale)), batch.column("rep")], ["ordering", "key", "rep"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), o, np.int32)), pa.array(ordering_keys(x, o, dims, bits, seed, center, scale)), batch.column("cls"), batch.column("q")], ["ordering", "key", "cls", "q"])
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(orderings, np.int64)
@@ -146,46 +207,53 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
             begins = np.flatnonzero(np.r_[True, o[1:] != o[:-1]]) if len(o) else np.zeros(0, np.int64)
             place = np.arange(len(o)) - np.repeat(begins, np.diff(np.r_[begins, len(o)])) + seen[o]
             seen += np.bincount(o, minlength=orderings)
-            yield pa.RecordBatch.from_arrays([batch.column("ordering"), batch.column("rep"), pa.array(np.full(len(o), TaskContext.get().partitionId(), np.int32)), pa.array(place)], ["ordering", "rep", "part", "place"])
+            yield pa.RecordBatch.from_arrays([batch.column("ordering"), batch.column("cls"), batch.column("q"), pa.array(np.full(len(o), TaskContext.get().partitionId(), np.int32)), pa.array(place)], ["ordering", "cls", "q", "part", "place"])
 
-    curve = classes.select("rep", "v").mapInArrow(tidy(keyed), "ordering int, key long, rep long").repartitionByRange("ordering", "key", "rep").sortWithinPartitions("ordering", "key", "rep")
-    curve = stored(curve.mapInArrow(tidy(placed), "ordering int, rep long, part int, place long"), "curve")
+    curve = classes.select("cls", "v", "q").mapInArrow(tidy(keyed), "ordering int, key long, cls long, q boolean").repartitionByRange("ordering", "key", "cls").sortWithinPartitions("ordering", "key", "cls")
+    curve = stored(curve.mapInArrow(tidy(placed), "ordering int, cls long, q boolean, part int, place long"), "curve")
     before = Window.partitionBy("ordering").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = curve.groupBy("ordering", "part").agg(F.count("*").alias("n")).withColumn("ahead", F.coalesce(F.sum("n").over(before), F.lit(0)))
-    ranks = stored(curve.join(parts, ["ordering", "part"]).select("ordering", "rep", (F.col("ahead") + F.col("place")).alias("rank")), "ranks")
+    stretches = curve.groupBy("ordering", "part").agg(F.count("*").alias("n")).withColumn("ahead", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    ranks = stored(curve.join(stretches, ["ordering", "part"]).select("ordering", "cls", "q", (F.col("ahead") + F.col("place")).alias("rank")), "ranks")
     discard(curve)
 
     reach = _window(classes, ranks, k, width, kind, calibrate, target)
-    around = math.ceil(reach / block)
-    blocks = ranks.select("ordering", F.floor(F.col("rank") / block).alias("block"), "rep").join(classes.select("rep", "v", "q"), "rep")
-    blocks = stored(blocks, "blocks")
-    visits = blocks.where("q").select("ordering", F.explode(F.sequence(F.col("block") - around, F.col("block") + around)).alias("block"), "rep", "v")
-    both = blocks.select("ordering", "block", "rep", "v", F.lit(False).alias("asks")).unionByName(visits.withColumn("asks", F.lit(True)))
-
-    def search(table: pa.Table) -> pa.Table:
-        asks, rep = table.column("asks").to_numpy(zero_copy_only=False), table.column("rep").to_numpy()
-        out: list[list] = [[], [], []]
-        if asks.any() and not asks.all():
-            x = _unpack(table.column("v"), width, kind)
-            rows, ids_here = x[~asks], rep[~asks]
-            for i in np.flatnonzero(asks):
-                near, d = _best(x[i], rows, ids_here, k + 1)
-                out[0].append(np.full(len(near), rep[i]))
-                out[1].append(near)
-                out[2].append(d)
-        flat = [np.concatenate(c) if c else np.zeros(0) for c in out]
-        return pa.table({"query": pa.array(flat[0], pa.int64()), "rep": pa.array(flat[1], pa.int64()), "d": pa.array(flat[2], pa.float64())})
-
-    found = both.groupBy("ordering", "block").applyInArrow(search, "query long, rep long, d double").groupBy("query", "rep").agg(F.min("d").alias("d"))
-    best = found.withColumn("n", F.row_number().over(Window.partitionBy("query").orderBy("d", "rep"))).where(F.col("n") <= k + 1)
-    best = stored(best.join(classes.select("rep", "ids"), "rep").select("query", "d", "ids"), "nearest")
-    asked = usable.where("q").select("id", "k1", "k2").distinct().join(classes.select("k1", "k2", F.col("rep").alias("query")), ["k1", "k2"]).select(F.col("id").alias("query_id"), "query")
-    hits = asked.join(best, "query").select("query_id", "d", F.explode("ids").alias("vec_id")).where("vec_id <> query_id")
-    order = Window.partitionBy("query_id").orderBy("d", "vec_id")
-    hits = hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    block, parts = min(1 << 16, max(256, 1 << reach.bit_length())), max(1, n // part_rows)
+    around = -(-reach // block)
+    at = F.floor(F.col("rank") / block)
+    members = ranks.select("ordering", at.alias("block"), "cls", "rank", F.lit(False).alias("asks"))
+    visits = ranks.where("q").select("ordering", F.explode(F.sequence(at - around, at + around)).alias("block"), "cls", "rank", F.lit(True).alias("asks"))
+    lists = members.unionByName(visits).groupBy("ordering", "block").applyInArrow(_listed(parts, reach), "query long, part long, listed array<long>")
+    lists = stored(lists, "candidates")
+    discard(ranks)
+
+    # a part's queries go to as many rooms as keep a room's candidates within bounds, its vectors to each of them
+    rooms = stored(lists.groupBy("part").agg(F.ceil(F.sum(F.size("listed")) / part_pairs).cast("int").alias("rooms")), "rooms")
+    room = F.pmod(F.xxhash64(F.lit(seed), "query"), F.col("rooms")).cast("int").alias("room")
+    placed_lists = lists.join(rooms, "part").select("part", room, F.col("query").alias("cls"), "listed")
+    asked = placed_lists.select("part", "room", "cls").distinct().join(classes.select("cls", "v"), "cls")
+    vectors_at = classes.select("cls", "v").mapInArrow(tidy(_parted(parts)), "part long, cls long, v binary").join(rooms, "part")
+    vectors_at = vectors_at.select("part", F.explode(F.sequence(F.lit(0), F.col("rooms") - 1)).alias("room"), "cls", "v", F.lit(False).alias("asks"))
+    asks = lambda df: df.withColumn("asks", F.lit(True))
+    both = vectors_at.unionByName(asks(asked), allowMissingColumns=True).unionByName(asks(placed_lists), allowMissingColumns=True)
+    found = both.groupBy("part", "room").applyInArrow(_compared(width, kind, keep), "query long, cls long, d double")
+    best = found.withColumn("n", F.row_number().over(Window.partitionBy("query").orderBy("d", "cls"))).where(F.col("n") <= keep)
+    best = stored(best.join(classes.select("cls", "ids"), "cls").select("query", "d", "ids"), "nearest")
+    asking = usable.where("q").select("id", "k1", "k2").distinct().join(classes.select("k1", "k2", F.col("cls").alias("query")), ["k1", "k2"]).select(F.col("id").alias("query_id"), "query")
+    hits = asking.join(best, "query").select("query_id", "d", F.explode("ids").alias("vec_id")).where("vec_id <> query_id")
+    hits = hits.groupBy("query_id", "vec_id").agg(F.min("d").alias("d"))
+    hits = hits.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("d", "vec_id"))).where(F.col("rank") <= k)
     return hits.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", F.sqrt("d").alias("score"))
 
 
+def _parted(parts: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            part = (mix(batch.column("cls").to_numpy().astype(np.uint64)) % U(parts)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(part), batch.column("cls"), batch.column("v")], ["part", "cls", "v"])
+
+    return run
+
+
 def _moments(width: int, kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, s, ss = 0, np.zeros(width), 0.0
@@ -199,31 +267,32 @@ def _moments(width: int, kind: str):
 
 def _window(classes: DataFrame, ranks: DataFrame, k: int, width: int, kind: str, calibrate: int, target: float) -> int:
     """Ranks that a window must reach on either side, from the true neighbours of at most ``calibrate`` queries."""
-    sample = classes.where("q").orderBy(F.xxhash64(F.lit("calibrate"), "rep")).limit(calibrate).select("rep", "v").collect()
+    sample = classes.where("q").orderBy(F.xxhash64(F.lit("calibrate"), "v")).limit(calibrate).select("cls", "v").collect()
     if not sample:
         return 1
-    asked = np.array([r["rep"] for r in sample])
+    asked = np.array([r["cls"] for r in sample])
     q = np.frombuffer(b"".join(bytes(r["v"]) for r in sample), kind).reshape(-1, width).astype(np.float64)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         top: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0)) for _ in q]
         for batch in batches:
-            x, rep = _unpack(batch.column("v"), width, kind), batch.column("rep").to_numpy()
-            for i in range(len(q)):
-                ids, d = _best(q[i], x, rep, k + 1)
+            x, cls = _unpack(batch.column("v"), width, kind), batch.column("cls").to_numpy()
+            rough = (x**2).sum(1)[:, None] - 2 * x @ q.T
+            for i in range(len(q) if len(x) else 0):
+                ids, d = _best(q[i], x, cls, k + 1, rough[:, i])
                 ids, d = np.concatenate([top[i][0], ids]), np.concatenate([top[i][1], d])
                 order = np.lexsort((ids, d))[: k + 1]
                 top[i] = ids[order], d[order]
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.full(len(t[0]), a) for a, t in zip(asked, top)])), pa.array(np.concatenate([t[0] for t in top])), pa.array(np.concatenate([t[1] for t in top]))], ["query", "rep", "d"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.full(len(t[0]), a) for a, t in zip(asked, top)])), pa.array(np.concatenate([t[0] for t in top])), pa.array(np.concatenate([t[1] for t in top]))], ["query", "cls", "d"])
 
-    near = classes.select("rep", "v").mapInArrow(tidy(scan), "query long, rep long, d double").where("query <> rep")
-    near = near.withColumn("n", F.row_number().over(Window.partitionBy("query").orderBy("d", "rep"))).where(F.col("n") <= k).select("query", "rep").toArrow()
-    pairs = list(zip(near.column("query").to_pylist(), near.column("rep").to_pylist()))
+    near = classes.select("cls", "v").mapInArrow(tidy(scan), "query long, cls long, d double").where("query <> cls")
+    near = near.withColumn("n", F.row_number().over(Window.partitionBy("query").orderBy("d", "cls"))).where(F.col("n") <= k).select("query", "cls").toArrow()
+    pairs = list(zip(near.column("query").to_pylist(), near.column("cls").to_pylist()))
     if not pairs:
         return 1
-    wanted = classes.sparkSession.createDataFrame([(x,) for x in sorted({y for p in pairs for y in p})], "rep long")
+    wanted = classes.sparkSession.createDataFrame([(x,) for x in sorted({y for p in pairs for y in p})], "cls long")
     at: dict[int, dict[int, int]] = {}
-    for row in ranks.join(F.broadcast(wanted), "rep").collect():
-        at.setdefault(row["rep"], {})[row["ordering"]] = row["rank"]
+    for row in ranks.join(F.broadcast(wanted), "cls").collect():  # at most calibrate * (k + 1) * orderings rows
+        at.setdefault(row["cls"], {})[row["ordering"]] = row["rank"]
     gaps = sorted(min(abs(at[a][o] - at[b][o]) for o in at[a]) for a, b in pairs)
     return max(1, gaps[min(len(gaps) - 1, math.ceil(target * len(gaps)) - 1)])

@@ -305,10 +305,40 @@ def test_near_embeddings_equal_brute_force(spark, tile):
     assert embedding_dedup.near_embeddings(df.limit(0)).count() == 0
 
 
+def test_embeddings_with_repeated_ids_widths_and_any_label(spark):
+    """Every row comes back once, and nothing depends on how rows are dealt."""
+    rng = np.random.default_rng(3)
+    a, b, c = rng.standard_normal(8), rng.standard_normal(8), rng.standard_normal(3)
+    rows = [(1, a, "en"), (1, b, "en"), (2, a * 2, "en"), (3, b + 1e-4, "en"), (4, a, "de"), (5, c, "en"), (6, c * 3, "en"), (7, None, "en"), (2, None, "en"), (2, np.zeros(8), "en"), (8, a, None), (None, a, "en"), (9, a, "en"), (9, a, "en"), (10, a[:7], "en"), (11, a * 1e200, "de")]
+    df = spark.createDataFrame([(i, None if v is None else v.tolist(), x, "clash") for i, v, x in rows], "vec_id long, embedding array<double>, label string, n_links string")
+    want = Counter({(1, 3, 1, True): 1, (1, 1, 1, True): 1, (2, 3, 1, False): 1, (3, 1, 1, False): 1, (4, 1, 4, True): 1, (11, 1, 4, False): 1, (5, 1, 5, True): 1, (6, 1, 5, False): 1, (7, 0, 7, True): 1, (2, 0, 2, True): 2, (8, 0, 8, True): 1, (None, 0, None, True): 1, (9, 3, 1, False): 2, (10, 0, 10, True): 1})
+    for parts in (1, 7):
+        got = embedding_dedup.near_embeddings(df.repartition(parts, F.rand(4))).collect()
+        assert Counter((r.vec_id, r.n_links, r.component_id, r.kept) for r in got) == want
+
+
+def test_codes_and_bands_lose_no_pair(spark):
+    """Pairs at the threshold and hot groups, whatever the tile; bits follow the largest group, and the miss rate stays."""
+    for n in (10, 10**5, 10**11):
+        bits, bands = embedding_dedup.tune_bits(0.98, n, 4e-6)
+        assert 2**bits >= 2 * n and (1 - (1 - np.arccos(0.98) / np.pi) ** bits) ** bands <= 4e-6
+    rng = np.random.default_rng(8)
+    center = rng.standard_normal((3, 64))
+    x = np.concatenate([c + rng.standard_normal((150, 64)) * s for c, s in zip(center, (0.08, 0.15, 0.5))]).astype(np.float32)
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    near = u @ u.T >= 0.98
+    np.fill_diagonal(near, False)
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<float>, label int").repartition(4)
+    assert 5000 < near.sum() < 40_000
+    for tile in (1024, 100):
+        got = {r.vec_id: r.n_links for r in embedding_dedup.near_embeddings(df, tile=tile).collect()}
+        assert [got[i] for i in range(len(x))] == near.sum(1).tolist()
+
+
 def test_nearest_recall_scores_and_ties(spark):
     x, _, df = vectors(spark, 700, seed=3)
     df = df.where("vec_id <> 704")  # a copy without a label
-    got = nearest.nearest(df, F.col("vec_id") % 50 == 0, k=10, block=32, orderings=12).collect()
+    got = nearest.nearest(df, F.col("vec_id") % 50 == 0, k=10, orderings=12, part_rows=100, part_pairs=900).collect()
     by = {}
     for r in got:
         by.setdefault(r.query_id, []).append(r)
@@ -324,6 +354,34 @@ def test_nearest_recall_scores_and_ties(spark):
     assert hit / (10 * len(by)) >= 0.9
 
 
+def test_nearest_recall_without_structure(spark):
+    """The defaults on vectors of no structure: recall of 0.95 or more, and fewer comparisons than rows."""
+    x = np.random.default_rng(1).standard_normal((3000, 32)).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>").repartition(4)
+    hit, x = 0, x.astype(float)
+    for r in nearest.nearest(df, F.col("vec_id") % 30 == 0).groupBy("query_id").agg(F.collect_list("vec_id").alias("ids")).collect():
+        d = ((x - x[r.query_id]) ** 2).sum(1)
+        d[r.query_id] = np.inf
+        assert len(r.ids) == len(set(r.ids)) == 10
+        hit += len(set(r.ids) & set(np.argsort(d)[:10].tolist()))
+    assert hit / 1000 >= 0.95
+
+
+def test_nearest_with_repeated_ids(spark):
+    """An id's nearest vector counts, on either side; every query has one ranking."""
+    rng = np.random.default_rng(2)
+    x = rng.standard_normal((60, 4))
+    ids = [i % 20 for i in range(60)]
+    rows = [(i, v.tolist()) for i, v in zip(ids, x)] * 2 + [(0, None), (None, x[0].tolist()), (1, [1.0]), (2, [0.0] * 4)]
+    got: dict[int, list] = {}
+    for r in nearest.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3), F.col("vec_id") < 5, k=6).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    for q in range(5):
+        d = {i: min(np.sqrt(((x[a] - x[b]) ** 2).sum()) for a in range(60) for b in range(60) if ids[a] == q and ids[b] == i) for i in range(20) if i != q}
+        want = sorted(d.items(), key=lambda e: (e[1], e[0]))[:6]
+        assert [(r, i) for r, i, _ in got[q]] == [(n + 1, i) for n, (i, _) in enumerate(want)] and np.allclose([s for *_, s in got[q]], [s for _, s in want])
+
+
 def test_nearest_with_copies_and_few_candidates(spark):
     rows = [(i, [1.0, 2.0]) for i in range(40)] + [(100, [1.0, 3.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
