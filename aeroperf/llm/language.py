@@ -32,37 +32,42 @@ class LanguageModel:
     orders: tuple[int, ...]
 
 
-def _features(codes: np.ndarray, doc: np.ndarray, order: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket of every n-gram that stays inside one text, and its text."""
-    n = len(codes) - order + 1
+def _features(codes: np.ndarray, doc: np.ndarray, order: int, buckets: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket of every n-gram that stays inside one text and begins among the first ``most`` code points, and its text."""
+    n = min(most, len(codes) - order + 1)
     if n <= 0:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     h = np.full(n, order, np.uint32)
     for i in range(order):
         h = (h ^ codes[i : i + n]) * np.uint32(2654435761)
         h ^= h >> np.uint32(15)
-    whole = doc[:n] == doc[order - 1 :]
+    whole = doc[:n] == doc[order - 1 : order - 1 + n]
     return (h & np.uint32(buckets - 1))[whole], doc[:n][whole]
 
 
-def _batches(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Lower-cased code points and the text of each, in bounded chunks.
+def _batches(texts: list[str | None], overlap: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """Lower-cased code points between blanks, the text of each, and how many n-grams may begin: bounded chunks.
 
-    A chunk of a very long text ends anywhere; the few n-grams across its end are lost to the sums.
+    A chunk of a very long text goes on for ``overlap`` code points in which no n-gram of its own begins.
     """
     codes, docs, size = [], [], 0
     for i, text in enumerate(texts):
-        text = text or ""
-        for at in range(0, len(text), CHUNK):
-            part = f" {text[at : at + CHUNK].lower()} ".encode("utf-32-le", "surrogatepass")
-            codes.append(np.frombuffer(part, np.uint32))
-            docs.append(np.full(len(codes[-1]), i))
-            size += len(codes[-1])
-            if size >= CHUNK:
-                yield np.concatenate(codes), np.concatenate(docs)
-                codes, docs, size = [], [], 0
+        if not text:
+            continue
+        own = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), np.uint32)
+        if len(own) > CHUNK:
+            for at in range(0, len(own), CHUNK):
+                part = own[at : at + CHUNK + overlap]
+                yield part, np.full(len(part), i), CHUNK
+            continue
+        codes.append(own)
+        docs.append(np.full(len(own), i))
+        size += len(own)
+        if size >= CHUNK:
+            yield np.concatenate(codes), np.concatenate(docs), size
+            codes, docs, size = [], [], 0
     if codes:
-        yield np.concatenate(codes), np.concatenate(docs)
+        yield np.concatenate(codes), np.concatenate(docs), size
 
 
 def train_language_model(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", rows_per_lang: int = 3000, buckets: int = 1 << 15, orders: tuple[int, ...] = (2, 3), smoothing: float = 0.5) -> LanguageModel:
@@ -91,9 +96,9 @@ def train_language_model(labelled: DataFrame, text: str = "text", lang: str = "l
         for batch in (part for b in batches for part in slices(b, "text")):
             own = np.array([at[x] for x in batch.column("lang").to_pylist()], np.int64)
             np.add.at(docs, own, 1)
-            for codes, doc in _batches(batch.column("text").to_pylist()):
+            for codes, doc, most in _batches(batch.column("text").to_pylist(), max(orders) - 1):
                 for order in orders:
-                    f, d = _features(codes, doc, order, buckets)
+                    f, d = _features(codes, doc, order, buckets, most)
                     total += np.bincount(own[d] * buckets + f, minlength=total.size).reshape(total.shape)
         i, j = np.nonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(j), pa.array(total[i, j])], ["lang", "bucket", "n"])
@@ -108,8 +113,8 @@ def train_language_model(labelled: DataFrame, text: str = "text", lang: str = "l
     return LanguageModel(langs, np.log(table / table.sum(0)).astype(np.float32), np.log(docs / docs.sum()), orders)
 
 
-def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
-    """Adds lang_pred and score to every row, and keeps all other columns (older ones of these names are replaced).
+def identify(docs: DataFrame, model: LanguageModel, text: str = "text", names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """Adds lang_pred and score, or other ``names``, to every row, and keeps all other columns (older ones of these names are replaced).
 
     A null text, or one without a letter (Unicode category L), is ``und`` with
     score 0. The score is the posterior probability of the language under the
@@ -118,8 +123,8 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataF
     that sorts first.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    base = docs.drop("lang_pred", "score")
-    schema = T.StructType([*base.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    base = docs.drop(*names)
+    schema = T.StructType([*base.schema.fields, T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
@@ -127,22 +132,22 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataF
         for batch in (part for b in batches for part in slices(b, text)):
             texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
             total, grams = np.zeros((len(texts), max(k, 1))), np.zeros(len(texts))
-            for codes, doc in _batches(texts):
+            for codes, doc, most in _batches(texts, max(m.orders) - 1):
                 lo, hi = doc[0], doc[-1] + 1
                 for order in m.orders:
-                    f, d = _features(codes, doc, order, buckets)
+                    f, d = _features(codes, doc, order, buckets, most)
                     if k and len(f):
                         starts = np.flatnonzero(np.r_[True, d[1:] != d[:-1]])
                         total[d[starts]] += np.add.reduceat(m.logs[f], starts, axis=0, dtype=np.float64)
                         grams[lo:hi] += np.bincount(d - lo, minlength=hi - lo)
             known = np.array([bool(k and t and LETTER.search(t)) for t in texts], bool)
-            names, score = np.full(len(texts), "und", object), np.zeros(len(texts))
+            langs, score = np.full(len(texts), "und", object), np.zeros(len(texts))
             if k and len(texts):
                 odds = total / np.sqrt(np.maximum(grams, 1))[:, None] + m.prior
                 best = odds.argmax(1)
                 odds = np.exp(odds - odds.max(1, keepdims=True))
-                names[known] = np.array(m.langs, object)[best[known]]
+                langs[known] = np.array(m.langs, object)[best[known]]
                 score[known] = (odds.max(1) / odds.sum(1))[known]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(score)], names=[*batch.schema.names, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(score)], names=[*batch.schema.names, *names])
 
     return base.mapInArrow(tidy(predict), schema)

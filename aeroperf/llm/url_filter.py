@@ -25,6 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from aeroperf.llm.storage import discard, stored
+
 U = np.uint64
 
 
@@ -88,21 +90,39 @@ def _hashes(df: DataFrame, key: str) -> DataFrame:
     return df.select(F.xxhash64(F.lit("one"), key).alias("one"), F.xxhash64(F.lit("two"), key).alias("two"))
 
 
-def _numpy(df: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of at most as many keys as are listed, to the driver."""
-    got = df.toArrow()
-    return tuple(got.column(i).to_numpy().view(np.uint64) for i in (0, 1))
+def _numpy(hashes: DataFrame, what: str, max_filter_bytes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs of hashes, to the driver, in order; counted before, so that no more than ``max_filter_bytes`` arrive."""
+    kept = stored(hashes.distinct(), "filter-keys")
+    n = kept.count()
+    if 16 * n > max_filter_bytes:
+        raise ValueError(f"{n} {what} pass max_filter_bytes={max_filter_bytes}")
+    got = kept.toArrow()
+    discard(kept)
+    one, two = (got.column(i).to_numpy().view(np.uint64) for i in (0, 1))
+    order = np.lexsort((two, one))
+    return one[order], two[order]
+
+
+def _among(keys: tuple[np.ndarray, np.ndarray], one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Which pairs of hashes are among ``keys``, which are in order."""
+    at, found = np.searchsorted(keys[0], one), np.zeros(len(one), bool)
+    for _ in range(int(np.unique(keys[0], return_counts=True)[1].max(initial=0))):  # once, but for colliding hashes
+        here = np.minimum(at, len(keys[0]) - 1)
+        found |= (at < len(keys[0])) & (keys[0][here] == one) & (keys[1][here] == two)
+        at = at + 1
+    return found
 
 
 def build_cascade(listed: DataFrame, universe: DataFrame, max_filter_bytes: int = 256 << 20) -> Cascade:
     """``listed`` and ``universe`` hold one string column ``key``; the universe may hold listed keys and repeats.
 
-    Null keys count for nothing. Raises ValueError when a filter would pass
-    ``max_filter_bytes``. False positives of level 0 are gathered by one job
-    over the universe; of later levels, among those and the list alone.
+    Null keys count for nothing. Raises ValueError when the listed keys' hashes,
+    a filter, or the false positives would pass ``max_filter_bytes``, before they
+    are gathered or sent. False positives of level 0 are found by one job over
+    the universe; of later levels, among those and the list alone.
     """
     spark = universe.sparkSession
-    member = _numpy(_hashes(listed.where("key is not null").distinct(), "key"))
+    member = _numpy(_hashes(listed.where("key is not null"), "key"), "listed keys", max_filter_bytes)
     n = len(member[0])
     if not n:
         return Cascade([])
@@ -111,19 +131,17 @@ def build_cascade(listed: DataFrame, universe: DataFrame, max_filter_bytes: int
     if -n * math.log(rate) / math.log(2) ** 2 / 8 > max_filter_bytes:
         raise ValueError(f"a filter of {n} keys passes max_filter_bytes={max_filter_bytes}")
     first = _level(*member, rate, 0)
-    shared = spark.sparkContext.broadcast((first, {(int(a), int(b)) for a, b in zip(*member)}))
+    shared = spark.sparkContext.broadcast((first, member))
 
     @F.pandas_udf(T.BooleanType())
     def mistaken(one: pd.Series, two: pd.Series) -> pd.Series:
         level, keys = shared.value
         a, b = one.to_numpy().view(np.uint64), two.to_numpy().view(np.uint64)
         hit = _probe(level, a, b, 0)
-        hit[hit] = [(int(x), int(y)) not in keys for x, y in zip(a[hit], b[hit])]
+        hit[hit] = ~_among(keys, a[hit], b[hit])
         return pd.Series(hit)
 
-    wrong = _numpy(_hashes(universe.where("key is not null"), "key").where(mistaken("one", "two")).distinct())
-    if 16 * len(wrong[0]) > max_filter_bytes:
-        raise ValueError(f"{len(wrong[0])} false positives pass max_filter_bytes={max_filter_bytes}")
+    wrong = _numpy(_hashes(universe.where("key is not null"), "key").where(mistaken("one", "two")), "false positives", max_filter_bytes)
     levels, inside, outside = [first], member, wrong
     while len(outside[0]):
         depth = len(levels)
@@ -184,11 +202,14 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]], url: str = "
         row = np.repeat(np.arange(len(key)), counts)
         flat = np.concatenate([np.asarray(x, object) for x in key]) if len(row) else np.zeros(0, object)
         a, b = (np.concatenate([np.asarray(y, np.int64) for y in x]).view(np.uint64) if len(row) else np.zeros(0, np.uint64) for x in (one, two))
-        rule, verdict, length = np.full(len(key), None, object), np.full(len(key), default, object), np.full(len(key), -1)
-        for name, cascade in shared.value.items():
-            for i in np.flatnonzero(cascade.contains(a, b)):
-                if len(flat[i]) > length[row[i]]:
-                    rule[row[i]], verdict[row[i]], length[row[i]] = flat[i], name, len(flat[i])
+        rule, verdict = np.full(len(key), None, object), np.full(len(key), default, object)
+        names, hits = list(shared.value), [np.flatnonzero(c.contains(a, b)) for c in shared.value.values()]
+        hit, of = np.concatenate([*hits, np.zeros(0, np.int64)]), np.repeat(np.arange(len(hits)), [len(h) for h in hits])
+        length = np.fromiter(map(len, flat[hit]), np.int64, len(hit))
+        order = np.lexsort((length, row[hit]))  # the last of a row is its longest
+        hit, of = hit[order], of[order]
+        last = np.flatnonzero(np.diff(row[hit], append=-1))
+        rule[row[hit[last]]], verdict[row[hit[last]]] = flat[hit[last]], np.array(names, object)[of[last]] if len(last) else []
         return pd.DataFrame({"rule": rule, "verdict": verdict})
 
     one, two = F.transform(keys, lambda k: F.xxhash64(F.lit("one"), k)), F.transform(keys, lambda k: F.xxhash64(F.lit("two"), k))

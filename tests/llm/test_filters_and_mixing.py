@@ -149,7 +149,7 @@ def mixed_counts(df, **kw):
 def test_mixture_realises_its_weights(spark):
     rows = [(i, "hot" if i % 3 else f"s{i % 9}", "w " * (i % 40 + 1), "x") for i in range(1500)] + [(5000, None, "a b c", "x"), (5001, None, None, "x"), (5002, "hot", "", "x")]
     df = spark.createDataFrame(rows, "doc_id long, source string, text string, epoch string").withColumns({"_h": F.lit("mine"), "slot": F.lit(1)}).repartition(5)
-    got = mixing.mix(df, max_epochs=2.5, slots=64).collect()
+    got = mixing.mix(df, max_epochs=2.5, slot_rows=16).collect()
     words = {d: len((t or "").split()) for d, _, t, _ in rows}
     own, mine = Counter(), Counter()
     for d, s, _, _ in rows:
@@ -162,7 +162,7 @@ def test_mixture_realises_its_weights(spark):
         assert abs(mine[s] - weights[s] * budget) <= 41
     assert abs(sum(weights.values()) - 1) < 1e-9 and {r.doc_id for r in got} == {r[0] for r in rows}
     assert max(Counter((r.doc_id, r.epoch) for r in got).values()) == 1
-    assert mixed_counts(df, max_epochs=2.5, slots=64) == mixed_counts(df.repartition(2), max_epochs=2.5, slots=64)
+    assert mixed_counts(df, max_epochs=2.5, slot_rows=16) == mixed_counts(df.repartition(2), max_epochs=2.5, slot_rows=700)
     assert {r._h for r in got} == {"mine"} and "epoch" in mixing.mix(df).columns and mixing.mix(df.limit(0)).count() == 0
 
 
@@ -170,7 +170,7 @@ def test_mixture_with_a_budget_and_repeated_rows(spark):
     df = spark.createDataFrame([(1, "a", "w w"), (1, "a", "w w"), (2, "b", "w w w w")], "doc_id long, source string, text string")
     assert sum(mixed_counts(df, max_epochs=1.0, budget=4).values()) == 2
     with pytest.raises(ValueError):
-        mixing.source_tokens(df.withColumn("tokens", F.lit(1)), max_sources=1)
+        mixing.source_sizes(df.withColumn("tokens", F.lit(1)), max_sources=1)
 
 
 def test_n_words(spark):
