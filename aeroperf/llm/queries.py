@@ -67,7 +67,7 @@ def op9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return mixing.mix(docs).select("doc_id", "source", "epoch", "mix_weight", "mix_order")
+    return mixing.mix(docs, TOKENIZER).select("doc_id", "source", "epoch", "mix_weight", "mix_order")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
