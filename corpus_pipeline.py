@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aeroperf.llm import jaccard, language, mixing, packing, passages
+from aeroperf.llm.columns import fresh
 from aeroperf.llm.id_filter import without_listed
 from aeroperf.llm.queries import TOKENIZER
 from aeroperf.llm.storage import stored
@@ -21,7 +22,8 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     model = language.train_language_model(docs)
     if not model.langs:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    return language.identify(docs, model).where("lang_pred <> 'und'").select(docs.columns)
+    names = fresh(docs, "lang_pred", "score")
+    return language.identify(docs, model, names=tuple(names)).where(F.col(names[0]) != "und").select(docs.columns)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,8 +43,8 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mixture takes them: at least once each, at most 1.25 times by source."""
-    return mixing.mix(docs, max_epochs=1.25).select(docs.columns)
+    """Documents as often as the mixture takes them: at least once each, at most 1.25 times by source, shares in the tokens that are packed."""
+    return mixing.mix(docs, TOKENIZER, max_epochs=1.25, names=tuple(fresh(docs, "epoch", "mix_weight", "mix_order"))).select(docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
