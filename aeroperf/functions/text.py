@@ -17,7 +17,7 @@ UNKNOWN_AERODROMES = ("AFIL", "ZZZZ")
 
 def trimmed(c: Column) -> Column:
     """Without spaces, tabs and line ends at either end."""
-    return F.regexp_replace(c, "^[ \\t\\r\\n]+|[ \\t\\r\\n]+$", "")
+    return F.trim(c, F.lit(" \t\r\n"))
 
 
 def clean(c: Column) -> Column:
@@ -80,8 +80,8 @@ def canonical_list(c: Column, separators: str = "[\\|,]", sep: str = "|") -> Col
 
 
 def union_of_lists(c: Column, separators: str = "[\\|,]", sep: str = "|") -> Column:
-    """Aggregate: the canonical list of all tokens of a group."""
-    return F.nullif(F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_set(tokens(c, separators))))), sep), F.lit(""))
+    """Aggregate: the canonical list of all tokens of a group. Lists are told apart as text, and taken apart once a group; ``sep`` must be one of the separators."""
+    return canonical_list(F.array_join(F.collect_set(c), sep), separators, sep)
 
 
 def first_token(c: Column, sep: str = "|") -> Column:
@@ -100,4 +100,4 @@ def flat_array(c: Column, sep: str = "|") -> Column:
 def first_filled(c: Column, order: Column) -> Column:
     """Aggregate: the first value in ``order`` that is neither null nor blank; null when there is none."""
     filled = c.isNotNull() & (trimmed(c.cast("string")) != "")
-    return F.min_by(F.when(filled, c), F.when(filled, order))
+    return F.min_by(c, F.when(filled, order))

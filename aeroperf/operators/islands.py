@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from aeroperf.config import MergeSpec
 from aeroperf.functions.text import clean, first_filled, union_of_lists
 from aeroperf.functions.time import minutes_between
+from aeroperf.operators.components import cut_lineage
+from aeroperf.operators.kpi import percentiles
 
 
 def _prepared(df: DataFrame, spec: MergeSpec) -> DataFrame:
@@ -125,7 +127,9 @@ def sweep(df: DataFrame, spec: MergeSpec, gaps: tuple[float, ...]) -> DataFrame:
     many = df.withColumn("gap_min", F.explode(F.array(*[F.lit(float(g)) for g in gaps])))
     got = chain(many, spec, F.col("gap_min"), ("gap_min",)).where("island is not null")
     per = got.groupBy("gap_min", *spec.key, "_lone", "island").agg(F.count("*").alias("n"), minutes_between(F.max("_e"), F.min("_s")).alias("span"))
-    return per.groupBy("gap_min").agg(F.count("*").alias("islands"), F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("merged_records"), F.max("n").alias("largest"), F.percentile("span", 0.99).alias("span_p99"))
+    per = cut_lineage(per.select("gap_min", "n", "span"))
+    sums = per.groupBy("gap_min").agg(F.count("*").alias("islands"), F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("merged_records"), F.max("n").alias("largest"))
+    return sums.join(percentiles(per, ("gap_min",), "span", (0.99,)).withColumnRenamed("p99", "span_p99"), "gap_min")
 
 
 def merge_parts(parts: list[DataFrame], spec: MergeSpec) -> DataFrame:

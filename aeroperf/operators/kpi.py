@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aeroperf.config import KpiSpec
 from aeroperf.functions.numbers import count_if, lookup, share, total
+from aeroperf.operators.components import cut_lineage
 
 
 def is_valid(spec: KpiSpec) -> Column:
@@ -102,6 +103,30 @@ def comparability(df: DataFrame, by: tuple[str, ...], level: str, base_level, va
 
 
 def percentiles(df: DataFrame, by: tuple[str, ...], value: str, ps: tuple[float, ...]) -> DataFrame:
-    """Exact percentiles with linear interpolation, one column p<percent> each."""
-    got = df.groupBy(*by).agg(F.percentile(value, F.array(*[F.lit(p) for p in ps])).alias("_p"))
-    return got.select(*by, *[F.col("_p")[i].alias(f"p{round(100 * p):02d}") for i, p in enumerate(ps)])
+    """Exact percentiles with linear interpolation, one column p<percent> each. A null in ``by`` is a group; null values don't count.
+
+    ``F.percentile`` holds a group's distinct values in one buffer, which suits
+    minutes. Here a group may be the whole table and its values all different:
+    values are counted, sorted by range over all tasks, and the running count of
+    a value (its task's, and the sum of the tasks before) tells whether it is one
+    of the at most two order statistics that a percentile lies between.
+    """
+    v = F.col(value).cast("double")
+    counts = df.where(v.isNotNull()).groupBy(*by, v.alias("_v")).agg(F.count("*").alias("_n"))
+    dealt = cut_lineage(counts.repartitionByRange(*by, "_v").withColumn("_part", F.spark_partition_id()))
+    parts = dealt.groupBy(*by, "_part").agg(F.sum("_n").alias("_sum"))
+    group = Window.partitionBy(*by)
+    parts = parts.withColumns({"_before": F.coalesce(F.sum("_sum").over(group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)), "_all": F.sum("_sum").over(group)})
+    names = [*by, "_part"]
+    ahead = parts.select(*[F.col(c).alias(f"_r{i}") for i, c in enumerate(names)], "_before", "_all")
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_r{i}")) for i, c in enumerate(names)])
+    inside = F.sum("_n").over(Window.partitionBy(*names).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
+    placed = dealt.withColumn("_in", inside).join(ahead, same).withColumn("_to", F.col("_before") + F.col("_in"))  # places _to - _n to _to - 1
+    place = [F.lit(float(p)) * (F.col("_all") - 1) for p in ps]
+    holds = lambda x: (x >= F.col("_to") - F.col("_n")) & (x < F.col("_to"))
+    ends = [(F.floor(x), F.ceil(x)) for x in place]
+    wanted = reduce(lambda a, b: a | b, [holds(x) for pair in ends for x in pair])
+    aggs = [F.max(F.when(holds(x), F.col("_v"))).alias(f"_{i}{side}") for i, pair in enumerate(ends) for side, x in zip("lh", pair)]
+    got = placed.where(wanted).groupBy(*by).agg(*aggs, F.max("_all").alias("_all"))
+    between = lambda i, x: F.col(f"_{i}l") + (F.col(f"_{i}h") - F.col(f"_{i}l")) * (x - F.floor(x))
+    return got.select(*by, *[between(i, x).alias(f"p{round(100 * p):02d}") for i, (p, x) in enumerate(zip(ps, place))])

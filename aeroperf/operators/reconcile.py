@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from aeroperf.functions.numbers import count_if, share
 from aeroperf.functions.time import minutes_between
+from aeroperf.operators.kpi import percentiles
 
 
 def _null_safe(left: DataFrame, right: DataFrame, key: tuple[str, ...]) -> Column:
@@ -110,8 +111,11 @@ def step_test(monthly: DataFrame, month: str = "month", mode: str = "mode", step
 def window_shape(df: DataFrame, start: str, end: str, by: tuple[str, ...] = ()) -> DataFrame:
     """Quartiles and 99th percentile of spans in minutes, and the share of rows without one."""
     d = df.withColumn("_d", minutes_between(F.col(end), F.col(start)))
-    out = d.groupBy(*by).agg(F.count("_d").alias("n"), count_if(F.col("_d") == 0).alias("n_zero"), F.percentile("_d", F.array(*[F.lit(p) for p in (0.25, 0.5, 0.75, 0.99)])).alias("_p"))
-    return out.select(*by, "n", "n_zero", share(F.col("n_zero"), F.col("n"), 4).alias("pct_zero"), *[F.col("_p")[i].alias(n) for i, n in enumerate(("p25", "p50", "p75", "p99"))])
+    out = d.groupBy(*by).agg(F.count("_d").alias("n"), count_if(F.col("_d") == 0).alias("n_zero"))
+    places = percentiles(d, by, "_d", (0.25, 0.5, 0.75, 0.99))
+    same = reduce(lambda a, b: a & b, [F.col(f"o.{k}").eqNullSafe(F.col(f"p.{k}")) for k in by], F.lit(True))
+    both = out.alias("o").join(places.alias("p"), same, "left")  # a row a group
+    return both.select(*[F.col(f"o.{k}") for k in by], "n", "n_zero", share(F.col("n_zero"), F.col("n"), 4).alias("pct_zero"), "p25", "p50", "p75", "p99")
 
 
 def validate(golden: DataFrame, ours: DataFrame, key: tuple[str, ...], values: tuple[str, ...], tolerance: float = 1e-6) -> DataFrame:

@@ -4,6 +4,7 @@ import random
 from dataclasses import replace
 from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -233,3 +234,17 @@ def test_stream_keeps_first_of_each(spark, tmp_path):
     q = sessions.first_of_each(stream, ("k",), "t", "1 hour").writeStream.format("memory").queryName("firsts").outputMode("append").trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert sorted(r.k for r in spark.table("firsts").collect()) == ["a", "b"]
+
+
+def test_percentiles_of_any_size_equal_numpy(spark):
+    """Repeated values, nulls, one value alone, a null group and a group of no value, over many partitions."""
+    rng = np.random.default_rng(0)
+    groups = {"a": rng.integers(0, 20, 500).astype(float), "b": rng.standard_normal(2001), "c": np.array([3.5]), None: np.array([1.0, 2.0])}
+    rows = [(g, float(x)) for g, xs in groups.items() for x in xs] + [("a", None), ("none", None)]
+    df = spark.createDataFrame(rows, "g string, x double").repartition(7)
+    ps = (0.0, 0.2, 0.5, 0.99, 1.0)
+    got = {r.g: [r[f"p{round(100 * p):02d}"] for p in ps] for r in kpi.percentiles(df, ("g",), "x", ps).collect()}
+    assert set(got) == set(groups) and all(np.allclose(got[g], np.quantile(xs, ps)) for g, xs in groups.items())
+    (whole,) = kpi.percentiles(df, (), "x", (0.5,)).collect()
+    assert np.isclose(whole.p50, np.median(np.concatenate(list(groups.values()))))
+    assert kpi.percentiles(df.limit(0), ("g",), "x", (0.5,)).count() == 0
