@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aeroperf.bindings.driver import NEAR_SQL, PAIRS_SQL, VERSIONS_SQL, Reader, bind, clicks, purchases, record_pairs, records, rounded, stamp, versions
+from aeroperf.bindings.driver import MATCH, MERGED_SQL, NEAR_SQL, PAIRS_SQL, VERSIONS_SQL, VISIT, VISITS_SQL, Reader, bind, clicks, purchases, record_pairs, records, rounded, spelled, stamp, versions, visits
 from aeroperf.config import MatchSpec
-from aeroperf.operators import compare, coverage, dedup, nearpairs
+from aeroperf.operators import compare, coverage, dedup, islands, nearest, nearpairs
 from aeroperf.plans import flights, taxi
 from aeroperf.sinks import files, incremental
 from aeroperf.sources import delimited, parquet
@@ -155,6 +156,24 @@ def _(t):
     return compare.differing_fields(taxi.comparison_key(left), taxi.comparison_key(right), ("key",), ("box", "dh_vra", "match_vra"), ("key",))
 
 
+# --- hot keys cut by time: the same results --------------------------------------------------------------------------
+
+
+@bind("islands_merge_split", f"WITH {VISITS_SQL} {MERGED_SQL}")
+def _(t):
+    return spelled(islands.merged(visits(t), replace(VISIT, split_by="day")))
+
+
+@bind("nearest_one_to_one_split", f"WITH {NEAR_SQL} SELECT user_id, left_id, right_id, round(d, 4) AS diff_min FROM m")
+def _(t):
+    return rounded(nearest.match(purchases(t), clicks(t), replace(MATCH, split_by="day")).select("user_id", "left_id", "right_id", "diff_min"))
+
+
+@bind("near_pairs_split", f"WITH {PAIRS_SQL} SELECT l AS row_id, r AS partner_id, round(gap, 4) AS gap_min, kind FROM pairs")
+def _(t):
+    return rounded(nearpairs.near_pairs(records(t), ("user_id",), "event_id", "s", "e", "reg", near_min=60.0, split_by="day"))
+
+
 # --- duplicates, counts, samples ----------------------------------------------------------------------------------
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -118,8 +120,13 @@ def populated(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
 
 
 def share_of_total(df: DataFrame, value: str, by: tuple[str, ...] = (), digits: int = 4) -> DataFrame:
-    """Adds each row's share of its group's total, in percent."""
-    return df.withColumn("pct", share(F.col(value), F.sum(value).over(Window.partitionBy(*by)), digits))
+    """Adds each row's share of its group's total, in percent. A null in ``by`` is a group. Totals are summed and joined, so that no group, nor the whole, meets in one task."""
+    totals = df.groupBy(*by).agg(F.sum(value).alias("_total"))
+    if not by:
+        return df.crossJoin(totals).withColumn("pct", share(F.col(value), F.col("_total"), digits)).drop("_total")  # one row
+    totals = totals.withColumnsRenamed({k: f"_by{i}" for i, k in enumerate(by)})
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_by{i}")) for i, k in enumerate(by)])
+    return df.join(totals, same).withColumn("pct", share(F.col(value), F.col("_total"), digits)).drop("_total", *[f"_by{i}" for i in range(len(by))])
 
 
 def absent_fields(df: DataFrame, expected: tuple[str, ...]) -> list[str]:

@@ -50,7 +50,16 @@ def sampled(df: DataFrame, key: tuple[str, ...], n: int, seed: int = 0) -> DataF
 
 
 def group_roles(df: DataFrame, key: tuple[str, ...], order: tuple[str, ...]) -> DataFrame:
-    """Rows of keys that repeat, with group_size and role (original for the first, repeat for the others)."""
-    w = Window.partitionBy(*key)
-    out = df.withColumn("group_size", F.count("*").over(w)).withColumn("_n", F.row_number().over(w.orderBy(*_columns(order, False))))
-    return out.where("group_size > 1").withColumn("role", F.when(F.col("_n") == 1, "original").otherwise("repeat")).drop("_n")
+    """Rows of keys that repeat, with group_size and role: original for the first in ``order``, repeat for the others.
+
+    Rows that are equal in all of ``order`` are told apart by a hash of all
+    columns; of rows equal throughout each counts as the first. Keys are
+    summed up and joined, so that no key fills a task.
+    """
+    place = F.struct(*[F.col(c) for c in order], F.xxhash64(*df.columns))
+    firsts = df.groupBy(*key).agg(F.count("*").alias("group_size"), F.min(place).alias("_first")).where("group_size > 1")
+    firsts = firsts.withColumnsRenamed({k: f"_k{i}" for i, k in enumerate(key)})
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(key)])
+    out = df.withColumn("_place", place).join(firsts, same)
+    role = F.when(F.col("_place").eqNullSafe(F.col("_first")), "original").otherwise("repeat")
+    return out.withColumn("role", role).drop("_place", "_first", *[f"_k{i}" for i in range(len(key))])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,21 +23,22 @@ def with_plan_flag(df: DataFrame, start: str, end: str) -> DataFrame:
     return df.withColumn("is_plan", F.coalesce(F.col(start) == F.col(end), F.lit(False)))
 
 
-def near_pairs(df: DataFrame, key: tuple[str, ...], row_id: str, start: str, end: str, registration: str, near_min: float = NEAR_MIN, plan_min: float = PLAN_TOLERANCE_MIN) -> DataFrame:
+def near_pairs(df: DataFrame, key: tuple[str, ...], row_id: str, start: str, end: str, registration: str, near_min: float = NEAR_MIN, plan_min: float = PLAN_TOLERANCE_MIN, split_by: str | None = None) -> DataFrame:
     """row_id, partner_id, gap_min, kind: each plan's nearest movement (one to one), and consecutive repeats.
 
     Repeats are consecutive rows of one kind in a key, at most ``near_min``
     apart, whose registrations are equal or missing. Rows without a start or
     with a null in the key take no part. A pair found twice keeps its first kind.
+    ``split_by`` (day, month) cuts keys that hold too many rows for one task.
     """
     rows = with_plan_flag(df, start, end).where(F.col(start).isNotNull())
     for k in key:
         rows = rows.where(F.col(k).isNotNull())
     plans, moves = rows.where("is_plan"), rows.where("not is_plan")
-    spec = MatchSpec(key, row_id, row_id, start, start, plan_min)
+    spec = MatchSpec(key, row_id, row_id, start, start, plan_min, split_by=split_by)
     first = match(plans, moves, spec).select(F.col("left_id").alias("row_id"), F.col("right_id").alias("partner_id"), F.abs("diff_min").alias("gap_min"), F.lit(PLAN_AND_MOVEMENT).alias("kind"), F.lit(0).alias("_k"))
-    by = Window.partitionBy(*key, "is_plan").orderBy(start, row_id)
-    lag = rows.withColumns({"partner_id": F.lag(row_id).over(by), "_reg": F.lag(registration).over(by), "gap_min": minutes_between(F.col(start), F.lag(start).over(by))})
+    before = _row_before(rows, (*key, "is_plan"), start, row_id, registration, split_by)
+    lag = before.select("*", F.col("_before.id").alias("partner_id"), F.col("_before.reg").alias("_reg"), minutes_between(F.col(start), F.col("_before.start")).alias("gap_min"))
     lag = lag.where((F.col("gap_min") <= near_min) & compatible(F.col(registration), F.col("_reg")))
     kind = F.when(F.col("is_plan"), REPEATED_PLAN).otherwise(REPEATED_MOVEMENT)
     repeats = lag.select(F.col(row_id).alias("row_id"), "partner_id", "gap_min", kind.alias("kind"), F.when(F.col("is_plan"), 1).otherwise(2).alias("_k"))
@@ -43,6 +46,21 @@ def near_pairs(df: DataFrame, key: tuple[str, ...], row_id: str, start: str, end
     return both.groupBy("row_id", "partner_id").agg(F.min_by(F.struct("gap_min", "kind"), "_k").alias("_b")).select("row_id", "partner_id", "_b.*")
 
 
+def _row_before(rows: DataFrame, key: tuple[str, ...], start: str, row_id: str, registration: str, split_by: str | None) -> DataFrame:
+    """Adds _before: start, id and registration of the row before in its key; with ``split_by`` windows end with a part, and what stands last in the parts before is carried in."""
+    row = F.struct(F.col(start).alias("start"), F.col(row_id).alias("id"), F.col(registration).alias("reg"))
+    if not split_by:
+        return rows.withColumn("_before", F.lag(row).over(Window.partitionBy(*key).orderBy(start, row_id)))
+    parts = rows.withColumn("_part", F.date_trunc(split_by, start))
+    names = [*key, "_part"]
+    last = parts.groupBy(*names).agg(F.max_by(row, F.struct(start, row_id)).alias("_last"))
+    carried = last.withColumn("_carried", F.lag("_last").over(Window.partitionBy(*key).orderBy("_part")))  # a row a part
+    carried = carried.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(names)], "_carried")
+    same = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(names)])
+    out = parts.withColumn("_before", F.lag(row).over(Window.partitionBy(*names).orderBy(start, row_id))).join(carried, same)
+    return out.withColumn("_before", F.coalesce("_before", "_carried")).drop("_part", "_carried", *[f"_k{i}" for i in range(len(names))])
+
+
 def flagged(pairs: DataFrame) -> DataFrame:
     """Rows that repeat another."""
     return pairs.select("row_id").distinct()
