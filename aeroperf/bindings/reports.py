@@ -5,13 +5,13 @@ from __future__ import annotations
 from dataclasses import replace
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aeroperf.bindings.driver import MATCH, MERGED_SQL, NEAR_SQL, PAIRS_SQL, VERSIONS_SQL, VISIT, VISITS_SQL, Reader, bind, clicks, purchases, record_pairs, records, rounded, spelled, stamp, versions, visits
 from aeroperf.config import MatchSpec
 from aeroperf.operators import compare, coverage, dedup, islands, nearest, nearpairs
-from aeroperf.plans import flights, taxi
+from aeroperf.plans import flights, taxi, terminal
 from aeroperf.sinks import files, incremental
 from aeroperf.sources import delimited, parquet
 from aeroperf.streaming import sessions
@@ -222,6 +222,44 @@ def _(t):
     return dedup.sampled(t("orders"), ("o_orderkey",), 100).select("o_orderkey", "o_custkey")
 
 
+# --- plans: raw text to daily sums ---------------------------------------------------------------------------------
+
+DAILY_SQL = """, ref AS (SELECT {key}, quantile_cont(q, 0.2) AS reference FROM r WHERE {valid} AND {whole} AND w BETWEEN TIMESTAMP '1997-01-01 00:00:00' AND TIMESTAMP '1997-12-31 23:59:59' GROUP BY ALL HAVING count(*) >= 5),
+v AS (SELECT r.*, reference, coalesce({valid}, false) AND reference IS NOT NULL AS valid FROM r LEFT JOIN ref USING ({key}))
+SELECT {by}, strftime(d, '%Y-%m-%d') AS "DATE", count(*) FILTER (WHERE valid) AS "MVTS_VALID", count(*) FILTER (WHERE NOT valid) AS "MVTS_NA", round(coalesce(sum(q) FILTER (WHERE valid), 0), 4)::DOUBLE AS {total},
+  round(coalesce(sum(reference) FILTER (WHERE valid), 0), 4) AS "TOT_REF", round(coalesce(sum(q - reference) FILTER (WHERE valid), 0), 4) AS "TOT_ADD_TIME" FROM v GROUP BY ALL"""
+
+
+def text_of(stamped: Column, pattern: str = "yyyy-MM-dd HH:mm:ss") -> Column:
+    return F.coalesce(F.date_format(stamped, pattern), F.lit(""))
+
+
+@bind("taxi_daily", """WITH r AS (SELECT CASE l_returnflag WHEN 'R' THEN 'ARR' WHEN 'A' THEN 'DEP' END AS "PHASE", CASE l_returnflag WHEN 'R' THEN 'D' || (l_partkey % 3) WHEN 'A' THEN 'S' || (l_suppkey % 4) END AS "ICAO", 'B' || (l_linenumber % 3) AS stnd, nullif(l_linestatus, 'F') AS rwy,
+  CASE WHEN l_linenumber <> 7 THEN l_shipdate + to_minutes(CAST(CASE WHEN l_returnflag = 'A' THEN -l_quantity ELSE l_quantity END AS BIGINT)) END AS w, CASE WHEN l_linenumber <> 7 AND l_returnflag <> 'N' THEN l_quantity END AS q, coalesce(w, l_shipdate)::DATE AS d FROM lineitem)"""
+      + DAILY_SQL.format(key='"ICAO", "PHASE", stnd, rwy', valid="q > 0 AND q <= 120", whole='"ICAO" IS NOT NULL AND rwy IS NOT NULL', by='"ICAO", "PHASE"', total='"TOT_TXXT"'))
+def _(t):
+    m, q, flag = F.col("l_shipdate").cast("timestamp"), F.col("l_quantity").cast("long"), F.col("l_returnflag")
+    block = F.when(F.col("l_linenumber") != 7, F.timestamp_micros(F.unix_micros(m) + F.when(flag == "A", -q).otherwise(q) * 60_000_000))
+    raw = t("lineitem").select(
+        F.when(flag == "R", "Arr").when(flag == "A", " Dep").otherwise("XXX").alias("mov"), text_of(m, "yyyy-MM-dd'T'HH:mm:ss").alias("dh_bimtra"), text_of(block).alias("dh_vra"), F.concat(F.lit("B"), F.col("l_linenumber") % 3, F.lit("\t")).alias("box"),
+        F.when(F.col("l_linestatus") == "F", " ").otherwise(F.col("l_linestatus")).alias("pista"), F.concat(F.lit("S"), F.col("l_suppkey") % 4).alias("adpartida"), F.concat(F.lit("D"), F.col("l_partkey") % 3).alias("ADDESTINO"),
+    )
+    return rounded(taxi.daily(taxi.harmonised(raw), 1997)).withColumn("DATE", F.col("DATE").cast("string"))
+
+
+@bind("terminal_daily", """WITH r AS (SELECT 'D' || (l_partkey % 3) AS "ICAO", 'ARR' AS "PHASE", CASE l_linenumber % 3 WHEN 0 THEN 'C40' ELSE 'C100' END AS "RANGE", l_returnflag AS "CLASS", l_linestatus AS "RWY", 'S' || lpad((l_suppkey % 4)::VARCHAR, 3, '0') AS "SECTOR_GROUP", l_shipdate AS w, l_quantity AS q, l_shipdate::DATE AS d
+  FROM lineitem WHERE l_linenumber % 3 < 2)""" + DAILY_SQL.format(key='"ICAO", "PHASE", "RANGE", "CLASS", "RWY", "SECTOR_GROUP"', valid="q > 0 AND q <= 180", whole="true", by='"ICAO", "PHASE", "RANGE", "CLASS", "RWY", "SECTOR_GROUP"', total='"TOT_TRANSIT"'))
+def _(t):
+    m, q, line = F.col("l_shipdate").cast("timestamp"), F.col("l_quantity").cast("long"), F.col("l_linenumber")
+    cross = F.when(line != 7, F.timestamp_micros(F.unix_micros(m) - q * 60_000_000))
+    raw = t("lineitem").select(
+        F.col("l_orderkey").cast("string").alias("id"), F.concat(F.lit("D"), F.col("l_partkey") % 3).alias("ades"), F.col("l_returnflag").alias("class"), F.when(line % 2 == 0, " ").otherwise(F.col("l_linestatus")).alias("drwy_validado"), F.col("l_linestatus").alias("drwy"), text_of(m).alias("aldt"),
+        F.when(line % 3 == 0, "40").when(line % 3 == 1, "100").otherwise("60").alias("c"), text_of(cross).alias("c_time"), (F.col("l_suppkey") % 4).cast("string").alias("setor"), F.format_string("0:%02d:00", q).alias("transito"),
+    )
+    out = rounded(terminal.daily(terminal.harmonised(raw), 1997)).withColumn("DATE", F.col("DATE").cast("string"))
+    return out.drop("TOT_SUPPLIED_REF", "TOT_SUPPLIED_ADD")
+
+
 # --- sources and sinks: written, and read back --------------------------------------------------------------------
 
 
