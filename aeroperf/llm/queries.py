@@ -20,14 +20,17 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten nearest of each vector whose id is divisible by 100. Nulls, repeats and empty tables as in ``nearest``."""
     return nearest.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of 1024 tokens. Nulls, repeats and empty tables as in ``pack``."""
     return packing.pack(_table(spark, sf_dir, "documents"), TOKENIZER)
 
 
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as ARC files, converted to WARC and read back. Nulls, repeats and empty tables as in ``write_arc`` and ``choose_responses``."""
     arcs, warcs = storage.scratch(spark, "arc"), storage.scratch(spark, "warc")
     warc.write_arc(_table(spark, sf_dir, "pages"), arcs)
     warc.convert_arc(spark, arcs, warcs)
@@ -35,37 +38,44 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A verdict for every page. Null and broken URLs, repeats and empty tables as in ``judge_urls``."""
     out, _ = url_filter.judge_urls(_table(spark, sf_dir, "pages").select("page_id", "url"), RULES)
     return out.select("page_id", "host", "path", "rule", "verdict")
 
 
 def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents at 0.85 over 4-word shingles. Nulls, repeats and empty tables as in ``jaccard_components``."""
     return jaccard.jaccard_components(_table(spark, sf_dir, "documents"))
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A language for every document, learnt from those whose id does not hash to 2 modulo 4 (a null id is learnt from). Nulls, repeats and empty tables as in ``identify``."""
     docs = _table(spark, sf_dir, "documents")
-    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
-    model = language.train_language_model(docs.where(~F.coalesce(held_out, F.lit(False))))
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    model = language.train_language_model(docs.where(~held_out))
     out = language.identify(docs.select("doc_id", "text", held_out.alias("held_out")), model)
     return out.select("doc_id", "held_out", "lang_pred", "score")
 
 
 def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of all vectors of one label at a cosine of 0.98. Nulls, repeats and empty tables as in ``near_embeddings``."""
     return embedding_dedup.near_embeddings(_table(spark, sf_dir, "embeddings"))
 
 
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token files, read back. Nulls, repeats and empty tables as in ``write_token_files``."""
     folder = storage.scratch(spark, "token-files")
     token_files.write_token_files(_table(spark, sf_dir, "documents"), folder, TOKENIZER)
     return token_files.read_token_files(spark, folder)
 
 
 def op9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of all documents that a document of a smaller id holds too. Nulls, repeats and empty tables as in ``repeated_passages``."""
     return passages.repeated_passages(_table(spark, sf_dir, "documents"))
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as often as the mixture takes them. Nulls, repeats and empty tables as in ``mix``."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.mix(docs, TOKENIZER).select("doc_id", "source", "epoch", "mix_weight", "mix_order")
 
