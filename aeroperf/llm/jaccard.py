@@ -299,7 +299,7 @@ def _tile(num: int, den: int):
     return run
 
 
-def jaccard_components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100, id_col: str = "doc_id", text_col: str = "text", tile: int = 2048, tile_shingles: int = 1 << 21) -> DataFrame:
+def jaccard_components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100, id_col: str = "doc_id", text_col: str = "text", tile: int = 1024, tile_shingles: int = 1 << 21) -> DataFrame:
     """Per row: id, n_shingles, component_id (the smallest id reachable by links, itself included).
 
     Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased. A document's set is

@@ -54,9 +54,9 @@ def _gather(flat: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray
 class _Table:
     """Ids of pieces by the pieces' hashes, which are sorted."""
 
-    def __init__(self):
+    def __init__(self, kind: type):
         self.keys, self.begin, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32)
-        self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
+        self.flat, self.used = np.zeros(1 << 16, kind), 0
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(place of each key, whether it is there)."""
@@ -81,9 +81,10 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.max_pieces = Tokenizer.from_file(path), max_pieces
-        self.young, self.old = _Table(), _Table()  # what is met moves from old to young; a full young becomes old
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
-        self.bytes_of = np.zeros(max([*self.tokenizer.get_vocab().values(), 0]) + 1, np.int64)
+        vocabulary, last = self.tokenizer.get_vocab(with_added_tokens=False), max([*self.tokenizer.get_vocab().values(), 0])
+        self.kind = np.uint16 if last < 1 << 16 else np.uint32
+        self.young, self.old = _Table(self.kind), _Table(self.kind)  # what is met moves from old to young; a full young becomes old
+        self.bytes_of = np.zeros(last + 1, np.int64)
         self.bytes_of[list(vocabulary.values())] = [len(x) for x in vocabulary]  # a byte is a character of the vocabulary
 
     def _singly(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -123,7 +124,7 @@ class PieceEncoder:
         at, to = at[:-1], at[1:]
         keys, first, back = np.unique(span_hashes(data, at, to), return_index=True, return_inverse=True)
         if len(self.young.keys) + len(keys) > self.max_pieces // 2:
-            self.young, self.old = _Table(), self.young
+            self.young, self.old = _Table(self.kind), self.young
         where, known = self.young.find(keys)
         if not known.all():
             missing = np.flatnonzero(~known)
@@ -138,7 +139,7 @@ class PieceEncoder:
         bounds = np.searchsorted(at, offsets)
         ends = np.concatenate([[0], np.cumsum(size)])
         starts = ends[bounds] + (np.arange(len(offsets)) if end_id is not None else 0)
-        ids = _gather(self.young.flat, begin, size)
+        ids = _gather(self.young.flat, begin, size).astype(np.uint32)
         if end_id is None:
             return ids, starts
         out = np.full(len(ids) + len(offsets) - 1, end_id, np.uint32)

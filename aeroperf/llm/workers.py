@@ -19,12 +19,18 @@ def release() -> None:
 
 
 def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """A function for mapInArrow that releases memory at its end."""
+    """A function for mapInArrow that releases memory after each batch and at its end."""
+
+    def one_by_one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch
+            del batch
+            release()
 
     @wraps(run)
     def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         try:
-            yield from run(batches)
+            yield from run(one_by_one(batches))
         finally:
             release()
 
