@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from aeroperf.bindings.driver import MATCH, MERGED_SQL, NEAR_SQL, PAIRS_SQL, VERSIONS_SQL, VISIT, VISITS_SQL, Reader, bind, clicks, purchases, record_pairs, records, rounded, spelled, stamp, versions, visits
 from aeroperf.config import MatchSpec
+from aeroperf.functions import time
 from aeroperf.operators import compare, coverage, dedup, islands, nearest, nearpairs
 from aeroperf.plans import flights, taxi, terminal
 from aeroperf.sinks import files, incremental
@@ -217,6 +218,11 @@ def _(t):
     return flights.traffic_profile(t("part").withColumns(said), ("p_type",))
 
 
+@bind("written_period", "SELECT o_orderstatus, count(*) AS n FROM orders WHERE year(o_orderdate) IN (1995, 1997) AND month(o_orderdate) IN (1, 2, 12) GROUP BY ALL")
+def _(t):
+    return t("orders").where(time.in_written_period(F.col("o_orderdate"), (1995, 1997), (1, 2, 12))).groupBy("o_orderstatus").agg(F.count("*").alias("n"))
+
+
 @bind("sampled_rows", "SELECT o_orderkey, o_custkey FROM orders ORDER BY md5('0|' || o_orderkey), o_orderkey LIMIT 100")
 def _(t):
     return dedup.sampled(t("orders"), ("o_orderkey",), 100).select("o_orderkey", "o_custkey")

@@ -66,3 +66,14 @@ def days_in_month(day: Column) -> Column:
 
 def month_text(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM")
+
+
+def in_written_period(c: Column, years: tuple[int, ...] = (), months: tuple[int, ...] = ()) -> Column:
+    """Whether ISO text, or a stamp in written clock, falls in one of the years and one of the months; no years or months are all of them, null is in none."""
+    text = c.cast("string")
+    ok = text.isNotNull()
+    if years:
+        ok &= F.substring(text, 1, 4).isin(*[f"{y:04d}" for y in years])
+    if months:
+        ok &= F.substring(text, 6, 2).isin(*[f"{m:02d}" for m in months])
+    return F.coalesce(ok, F.lit(False))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from aeroperf.functions.numbers import clamp, count_if, share
 from aeroperf.functions.time import days_in_month, is_midnight, minutes_between, month_text, on_the_hour, shifted
+from aeroperf.operators.kpi import with_median
 
 
 def day_counts(df: DataFrame, ts: str, by: tuple[str, ...] = ()) -> DataFrame:
@@ -88,7 +89,8 @@ def stamp_agreement(df: DataFrame, a: str, b: str, by: tuple[str, ...] = ()) ->
     d = F.abs(minutes_between(F.col(a), F.col(b)))
     rows = df.where(F.col(a).isNotNull() & F.col(b).isNotNull()).withColumn("_d", d)
     apart = F.when(F.col("_d") > 0, F.col("_d"))
-    out = rows.groupBy(*by).agg(F.count("*").alias("n"), count_if(F.col("_d") == 0).alias("n_equal"), F.median(apart).alias("median_diff"), F.max(apart).alias("max_diff"))
+    out = rows.groupBy(*by).agg(F.count("*").alias("n"), count_if(F.col("_d") == 0).alias("n_equal"), F.max(apart).alias("max_diff"))
+    out = with_median(out, rows.withColumn("_apart", apart), by, "_apart", "median_diff")
     return out.withColumn("pct_equal", share(F.col("n_equal"), F.col("n"), 4))
 
 
@@ -98,7 +100,8 @@ def estimate_check(df: DataFrame, estimate: str, actual: str, low: float, high:
     timed = ~is_midnight(F.col(estimate).cast("timestamp"))
     rows = df.where(F.col(estimate).isNotNull() & F.col(actual).isNotNull()).withColumns({"_d": d, "_t": timed})
     known = F.when(F.col("_t"), F.col("_d"))
-    out = rows.groupBy(*by).agg(F.count("*").alias("n"), count_if(~F.col("_t")).alias("n_timeless"), F.median(known).alias("median_diff"), count_if(known.between(low, high)).alias("n_plausible"), count_if(known < 0).alias("n_negative"))
+    out = rows.groupBy(*by).agg(F.count("*").alias("n"), count_if(~F.col("_t")).alias("n_timeless"), count_if(known.between(low, high)).alias("n_plausible"), count_if(known < 0).alias("n_negative"))
+    out = with_median(out, rows.withColumn("_known", known), by, "_known", "median_diff")
     timed_n = F.col("n") - F.col("n_timeless")
     return out.withColumns({"pct_timeless": share(F.col("n_timeless"), F.col("n"), 4), "pct_plausible": share(F.col("n_plausible"), timed_n, 4), "pct_negative": share(F.col("n_negative"), timed_n, 4)})
 

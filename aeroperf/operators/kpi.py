@@ -96,7 +96,7 @@ def comparability(df: DataFrame, by: tuple[str, ...], level: str, base_level, va
 
     A group without the base level has a null difference and is not comparable.
     """
-    med = df.groupBy(*by, level).agg(F.count("*").alias("n"), F.median(value).alias("median"))
+    med = with_median(df.groupBy(*by, level).agg(F.count("*").alias("n")), df, (*by, level), value, "median")
     base = med.where(F.col(level) == base_level).select(*by, F.col("median").alias("base_median"))
     out = med.join(base, list(by), "left").withColumn("difference", F.col("median") - F.col("base_median"))
     return out.withColumn("comparable", F.coalesce(F.abs("difference") <= tolerance, F.lit(False)))
@@ -130,3 +130,13 @@ def percentiles(df: DataFrame, by: tuple[str, ...], value: str, ps: tuple[float,
     got = placed.where(wanted).groupBy(*by).agg(*aggs, F.max("_all").alias("_all"))
     between = lambda i, x: F.col(f"_{i}l") + (F.col(f"_{i}h") - F.col(f"_{i}l")) * (x - F.floor(x))
     return got.select(*by, *[between(i, x).alias(f"p{round(100 * p):02d}") for i, (p, x) in enumerate(zip(ps, place))])
+
+
+def with_median(groups: DataFrame, df: DataFrame, by: tuple[str, ...], value: str, name: str) -> DataFrame:
+    """``groups`` (one row a group) with the median of ``value`` over ``df``'s rows of the group, as ``percentiles`` finds it; null where there is none."""
+    median = percentiles(df, by, value, (0.5,))
+    median = median.select(*[F.col(k).alias(f"_m{i}") for i, k in enumerate(by)], F.col("p50").alias(name))
+    if not by:
+        return groups.join(median, F.lit(True), "left")  # one row each
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_m{i}")) for i, k in enumerate(by)])
+    return groups.join(median, same, "left").drop(*[f"_m{i}" for i in range(len(by))])

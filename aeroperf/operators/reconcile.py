@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from aeroperf.functions.numbers import count_if, share
 from aeroperf.functions.time import minutes_between
-from aeroperf.operators.kpi import percentiles
+from aeroperf.operators.kpi import percentiles, with_median
 
 
 def _null_safe(left: DataFrame, right: DataFrame, key: tuple[str, ...]) -> Column:
@@ -93,7 +93,7 @@ def gap_profile(df: DataFrame, start: str, end: str, by: tuple[Column, ...]) ->
 def time_shift(pairs: DataFrame, left_time: str, right_time: str, by: tuple[str, ...] = ()) -> DataFrame:
     """Per group: n, median and the most frequent rounded offset (right minus left, minutes; ties to the smaller) with its share."""
     d = pairs.withColumn("_d", minutes_between(F.col(right_time), F.col(left_time))).where("_d is not null").withColumn("_o", F.round("_d"))
-    medians = d.groupBy(*by).agg(F.count("*").alias("n"), F.median("_d").alias("median"))
+    medians = with_median(d.groupBy(*by).agg(F.count("*").alias("n")), d, by, "_d", "median")
     counts = d.groupBy(*by, "_o").agg(F.count("*").alias("_n"))
     modes = counts.groupBy(*by).agg(F.max_by("_o", F.struct(F.col("_n"), -F.col("_o"))).alias("mode"), F.max("_n").alias("n_mode"))
     out = medians.join(modes, list(by)) if by else medians.crossJoin(modes)  # one row each

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import io
 import re
 import zipfile
 from collections.abc import Iterator
 from functools import reduce
 
 import pandas as pd
+from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -57,18 +57,36 @@ def read_by_separator(spark: SparkSession, paths: list[str], comma_names: str =
 
 
 def read_zipped(spark: SparkSession, path: str, names: list[str], sep: str = ";", encoding: str = "utf-8") -> DataFrame:
-    """All members of zip files, row by row as strings; a task holds one archive's bytes and streams its members."""
+    """All members of zip files, row by row as strings.
+
+    The archives' tables of contents are read first; then members are dealt
+    over tasks, each of which seeks to its member and streams it, so that
+    neither an archive's size nor a member's is held, and archives of many
+    members are read by many tasks.
+    """
+
+    def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for at in batch["path"]:
+                with _opened(at) as f, zipfile.ZipFile(f) as z:
+                    yield pd.DataFrame({"path": at, "member": [m.filename for m in z.infolist() if not m.is_dir()]})
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for content in batch["content"]:
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    for member in z.namelist():
-                        with z.open(member) as f:
-                            for part in pd.read_csv(f, sep=sep, names=names, header=0, dtype=str, encoding=encoding, keep_default_na=False, na_values=[""], chunksize=50_000):
-                                yield part.astype(object).where(part.notna(), None)
-
-    return spark.read.format("binaryFile").load(path).select("content").mapInPandas(rows, strings(names))
+            for at, member in zip(batch["path"], batch["member"]):
+                with _opened(at) as raw, zipfile.ZipFile(raw) as z, z.open(member) as f:
+                    for part in pd.read_csv(f, sep=sep, names=names, header=0, dtype=str, encoding=encoding, keep_default_na=False, na_values=[""], chunksize=50_000):
+                        yield part.astype(object).where(part.notna(), None)
+
+    listed = spark.read.format("binaryFile").load(path).select("path").mapInPandas(members, "path string, member string")
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    return listed.repartition(tasks, "path", "member").mapInPandas(rows, strings(names))
+
+
+def _opened(uri: str):
+    """A file of any store, to read and seek in."""
+    fs, name = pafs.FileSystem.from_uri(uri[5:] if uri.startswith("file:/") and not uri.startswith("file://") else uri)
+    return fs.open_input_file(name)
 
 
 def renamed(df: DataFrame, wanted: dict[str, str]) -> DataFrame:

@@ -25,9 +25,13 @@ def test_separator_by_name_and_zip(spark, tmp_path):
     (tmp_path / "k_jan2025.csv").write_text(",id,c,new\n0,2,100,z\n")
     df = delimited.read_by_separator(spark, [str(tmp_path / n) for n in ("k_2024.csv", "k_jan2025.csv")])
     assert {(r.id, r.c, r.new) for r in df.collect()} == {("1", "40", None), ("2", "100", "z")}
-    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
-        z.writestr("m.csv", "a;b\n1;\n2;x\n")
-    assert {tuple(r) for r in delimited.read_zipped(spark, str(tmp_path / "a.zip"), ["a", "b"]).collect()} == {("1", None), ("2", "x")}
+    for n in ("a", "b"):
+        with zipfile.ZipFile(tmp_path / f"{n}.zip", "w", zipfile.ZIP_DEFLATED) as z:
+            z.mkdir("sub") if n == "b" else None
+            z.writestr("m.csv", f"a;b\n1{n};\n2;x\n")
+            z.writestr("sub/o.csv", "a;b\n" + "".join(f"{i};{n}\n" for i in range(60_000)) if n == "b" else "a;b\n")
+    got = delimited.read_zipped(spark, f"{tmp_path}/*.zip", ["a", "b"])
+    assert got.count() == 60_004 and {tuple(r) for r in got.where("b is null or b = 'x'").collect()} == {("1a", None), ("1b", None), ("2", "x")}
 
 
 def test_json_directory(spark, tmp_path):
