@@ -49,10 +49,16 @@ PAIRS = 1 << 17  # looked at at once
 
 
 def tune_bits(threshold: float, largest: int, miss: float) -> tuple[int, int]:
-    """(bits of a band, bands) for groups of up to ``largest`` vectors: a pair at the threshold meets in no band with probability ``miss`` at most."""
+    """(bits of a band, bands) for groups of up to ``largest`` vectors: a pair at the threshold meets in no band with probability ``miss`` at most.
+
+    A low threshold gets shorter bands, and so more work, rather than thousands of them.
+    """
     alike = 1 - math.acos(min(1.0, max(-1.0, threshold))) / math.pi
     bits = min(60, max(8, math.ceil(math.log2(max(2, largest))) + 2))
-    return bits, max(1, math.ceil(math.log(miss) / math.log1p(-(alike**bits)))) if alike < 1 else 1
+    bands = lambda b: max(1, math.ceil(math.log(miss) / math.log1p(-(alike**b)))) if alike < 1 else 1
+    while bits > 1 and bands(bits) > 256:
+        bits -= 1
+    return bits, bands(bits)
 
 
 @lru_cache(maxsize=4)

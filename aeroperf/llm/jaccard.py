@@ -16,8 +16,14 @@ joined before, so that no key sends more than one row from each. Documents
 that share a key are chained, not paired, and the chains' components gather
 all possible partners of a document.
 
+**Large components.** Where a component holds more than ``tile`` distinct sets,
+its documents may have met by chance, one by one. They are keyed anew, from
+their stored sets, by pairs of parts: with g more parts, partners agree on more
+than g of them, so on two whose numbers are equal modulo g. A key is two such
+parts, twice as many shingles as before, and chance meetings fall away.
+
 **Tiles.** A component of documents of up to ``tile`` distinct sets is one tile.
-A larger one is cut by size band and hash, and tiles of the same or
+One that is larger even so is cut by size band and hash, and tiles of the same or
 neighbouring bands meet. In a tile, a bitmap of each set's hashed elements
 bounds every overlap from above (a bit of A that B lacks is an element that B
 lacks), and only pairs that pass, and are not linked yet, are intersected. A
@@ -56,9 +62,9 @@ class Bands:
         edges = _edges(self.num, self.den)
         return np.searchsorted(edges, n, "right") - 1
 
-    def parts(self, band: int) -> tuple[int, int, int]:
-        """(least size of the band, parts p, empty parts e that go without keys)."""
-        return _parts(self.num, self.den, band)
+    def parts(self, band: int, paired: bool = False) -> tuple[int, int, int]:
+        """(parts p, empty parts e that go without keys, g): two partners agree on more than e + g parts. g is 0 unless ``paired``."""
+        return _parts(self.num, self.den, band, paired)
 
 
 @lru_cache
@@ -71,23 +77,25 @@ def _edges(num: int, den: int) -> np.ndarray:
 
 
 @lru_cache(maxsize=None)
-def _parts(num: int, den: int, band: int) -> tuple[int, int, int]:
+def _parts(num: int, den: int, band: int, paired: bool) -> tuple[int, int, int]:
     edges = _edges(num, den)
     least, most = int(edges[band]), int(edges[band + 1]) - 1
     apart = (most + most * den // num) * (den - num) // (den + num)
+    more = max(2, apart // 24) if paired else 0  # few, as parts get thinner with each; the number of pairs is at most some 13 times that of parts
     if not apart:
-        return least, 1, 0
+        return 1 + more, 0, more
     spare = 1
     for _ in range(4):  # empty parts are about Poisson; far more than their mean are not met
-        mean = (apart + 1 + spare) * math.exp(-least / (apart + 1 + spare))
+        p = apart + 1 + spare + more
+        mean = p * math.exp(-least / p)
         spare = math.ceil(2 + mean + 5 * math.sqrt(mean))
-    if apart + 1 + spare > 2 * least:  # tiny sets: empty parts are common, but so few that their keys are cheap
+    if apart + 1 + spare + more > 2 * least:  # tiny sets: empty parts are common, but so few that their keys are cheap
         spare = 1
-    return least, apart + 1 + spare, spare
+    return apart + 1 + spare + more, spare, more
 
 
-def part_keys(flat: np.ndarray, starts: np.ndarray, bands: Bands, common: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """(key, document) of every part of every set, for its own band and for the one below.
+def part_keys(flat: np.ndarray, starts: np.ndarray, bands: Bands, common: np.ndarray | None = None, paired: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """(key, document) of every part of every set, or of ``paired`` parts, for its own band and for the one below.
 
     ``common`` is a bitmap of shingles to leave out of the parts: two sets that
     differ in H elements differ in H at most without them. A document that is
@@ -96,15 +104,15 @@ def part_keys(flat: np.ndarray, starts: np.ndarray, bands: Bands, common: np.nda
     """
     sizes = np.diff(starts)
     if common is None:
-        return _keys(flat, starts, sizes, np.flatnonzero(sizes), bands, 1)[:2]
+        return _keys(flat, starts, sizes, np.flatnonzero(sizes), bands, 1, paired)[:2]
     keep = (common[(flat & U(64 * len(common) - 1)) >> U(6)] >> (flat & U(63))) & U(1) == 0
     kept = np.concatenate([[0], np.cumsum(keep)])[starts]
-    keys, docs, left = _keys(flat[keep], kept, sizes, np.flatnonzero(sizes), bands, 0)
-    more, again, _ = _keys(flat, starts, sizes, left, bands, 1)
+    keys, docs, left = _keys(flat[keep], kept, sizes, np.flatnonzero(sizes), bands, 0, paired)
+    more, again, _ = _keys(flat, starts, sizes, left, bands, 1, paired)
     return np.concatenate([keys, more]), np.concatenate([docs, again])
 
 
-def _keys(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, docs: np.ndarray, bands: Bands, level: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _keys(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, docs: np.ndarray, bands: Bands, level: int, paired: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Keys and documents, and documents with too many empty parts; at level 1 those have keys for them."""
     own, mixed = bands.band(sizes[docs]), mix(flat ^ U(0x5851F42D4C957F2D + level))
     keys, owners, left = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
@@ -113,27 +121,47 @@ def _keys(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, docs: np.ndar
         some, at = docs[own >= down], own[own >= down] - down
         if not len(some):
             continue
-        table = {b: bands.parts(b) for b in np.unique(at).tolist()}
-        p = np.array([table[b][1] for b in at.tolist()], np.uint64)
-        spare = np.array([table[b][2] for b in at.tolist()])
+        table = {b: bands.parts(b, paired) for b in np.unique(at).tolist()}
+        p, spare, more = np.array([table[b] for b in at.tolist()]).T
+        p = p.astype(np.uint64)
         n = held[some]
         index = np.repeat(starts[some] - (np.cumsum(n) - n), n) + np.arange(n.sum())
         row = np.repeat(np.arange(len(some)), n)
         part = ((flat[index] >> U(32)) * p[row]) >> U(32)
         begins = np.flatnonzero(np.r_[True, (part[1:] != part[:-1]) | (row[1:] != row[:-1])]) if len(part) else np.zeros(0, np.int64)
         r, q = row[begins], part[begins]
-        if len(begins):
-            keys.append(mix(np.add.reduceat(mixed[index], begins) + _salt(at[r], q) + U(level)))
-            owners.append(some[r])
+        h = mix(np.add.reduceat(mixed[index], begins) + _salt(at[r], q) + U(level)) if len(begins) else np.zeros(0, np.uint64)
         over = np.flatnonzero(p.astype(np.int64) - np.bincount(r, minlength=len(some)) > spare)
         left.append(some[over])
+        rows, places, hashes = [r], [q], [h]
         for i in over if level else ():
             empty = np.setdiff1d(np.arange(int(p[i])), q[r == i].astype(np.int64)).astype(np.uint64)
-            keys.append(mix(_salt(np.full(len(empty), at[i]), empty) ^ U(0xE)))
-            owners.append(np.full(len(empty), some[i]))
+            hashes.append(mix(_salt(np.full(len(empty), at[i]), empty) ^ U(0xE)))
+            rows.append(np.full(len(empty), i))
+            places.append(empty)
+        r, q, h = np.concatenate(rows), np.concatenate(places), np.concatenate(hashes)
+        if paired:
+            r, h = _paired(r, q, h, more[r].astype(np.uint64))
+        keys.append(h)
+        owners.append(some[r])
     return np.concatenate(keys), np.concatenate(owners), np.unique(np.concatenate(left))
 
 
+def _paired(row: np.ndarray, part: np.ndarray, h: np.ndarray, modulo: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, hash) of every two parts of a row whose numbers are equal modulo its ``modulo``."""
+    by = np.lexsort((part, part % modulo, row))
+    row, kind, h = row[by], (part % modulo)[by], h[by]
+    rows, keys, step = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], 1
+    while step < len(row):
+        both = np.flatnonzero((row[step:] == row[:-step]) & (kind[step:] == kind[:-step]))
+        if not len(both):
+            break
+        rows.append(row[both])
+        keys.append(mix(h[both] * U(3) + mix(h[both + step])))
+        step += 1
+    return np.concatenate(rows), np.concatenate(keys)
+
+
 def _salt(band: np.ndarray, part: np.ndarray) -> np.ndarray:
     return mix((band.astype(np.uint64) << U(40)) + part + U(1))
 
@@ -190,16 +218,34 @@ def _signatures(k: int, bands: Bands, common):
             yield _rows(mix(np.arange(n, dtype=np.uint64) + mix(number.view(np.uint64))).view(np.int64), ids, pa.array(np.diff(starts)), DOC)
             keys, doc = part_keys(flat, starts, bands, common.value)
             keep = whole[doc]
-            keys, doc = keys[keep], doc[keep]
-            order = np.argsort(keys, kind="stable")
-            keys, doc = keys[order], doc[order]
-            first = np.r_[True, keys[1:] != keys[:-1]] if len(keys) else np.zeros(0, bool)
-            lead = np.flatnonzero(first)
-            yield _rows(keys[lead].view(np.int64), pa.array(number[doc[lead]]), pa.nulls(len(lead), pa.int64()), KEY)
-            leader = doc[np.repeat(lead, np.diff(np.r_[lead, len(keys)]))]
-            pair = np.unique(leader[~first] * n + doc[~first])
-            a, b = number[pair // n], number[pair % n] if n else pair
-            yield _rows(mix(a.view(np.uint64) ^ mix(b.view(np.uint64))).view(np.int64), pa.array(a), pa.array(b), EDGE)
+            yield from _key_rows(keys[keep], doc[keep], number)
+
+    return run
+
+
+def _key_rows(keys: np.ndarray, doc: np.ndarray, number: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """A row for each key, of its first document, and edges to the others that have it; documents are places in ``number``, their ids."""
+    n = len(number)
+    order = np.argsort(keys, kind="stable")
+    keys, doc = keys[order], doc[order]
+    first = np.r_[True, keys[1:] != keys[:-1]] if len(keys) else np.zeros(0, bool)
+    lead = np.flatnonzero(first)
+    yield _rows(keys[lead].view(np.int64), pa.array(number[doc[lead]]), pa.nulls(len(lead), pa.int64()), KEY)
+    leader = doc[np.repeat(lead, np.diff(np.r_[lead, len(keys)]))]
+    pair = np.unique(leader[~first] * n + doc[~first])
+    a, b = number[pair // n], number[pair % n] if n else pair
+    yield _rows(mix(a.view(np.uint64) ^ mix(b.view(np.uint64))).view(np.int64), pa.array(a), pa.array(b), EDGE)
+
+
+def _pair_keys(bands: Bands, common):
+    """The same rows from stored sets, by paired parts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in (p for b in batches for p in slices(b, "shingles")):
+            raw = part.column("shingles").to_pylist()
+            starts = np.cumsum([0, *(len(x) // 8 for x in raw)])
+            keys, doc = part_keys(np.frombuffer(b"".join(raw), np.uint64), starts, bands, common.value, paired=True)
+            yield from _key_rows(keys, doc, part.column("id").to_numpy())
 
     return run
 
@@ -321,6 +367,16 @@ def jaccard_components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 10
     possible = IdFilter(groups.select("node")).hits(base, "id")
     near = possible.join(groups.select(F.col("node").alias("id"), F.col("component").alias("whole")), "id").select("whole", "id", "text")
     members = stored(near.mapInArrow(tidy(_sets(k)), "whole long, id long, holder long, n long, shingles binary"), "sets")
+    too_many = (F.col("sets") > tile) | (F.col("elements") > tile_shingles)
+    large = stored(members.where("shingles is not null").groupBy("whole").agg(F.count("*").alias("sets"), F.sum("n").alias("elements")).where(too_many).select("whole"), "large-groups")
+    if not large.isEmpty():
+        inside = members.where("shingles is not null").join(large, "whole", "left_semi")
+        again = inside.select("id", "shingles").mapInArrow(tidy(_pair_keys(bands, common)), "key long, a long, b long, kind byte")
+        again = again.repartition("key").mapInArrow(tidy(_chain), "a long, b long, kind byte")
+        parted = components(again.select("a", "b")).select(F.col("node").alias("id"), F.col("component").alias("part"))
+        split = inside.join(parted, "id", "left").select(F.coalesce("part", "id").alias("whole"), "id", "holder", "n", "shingles")
+        rest = members.join(large, "whole", "left_anti").unionByName(members.where("shingles is null").join(large, "whole", "left_semi"))
+        members = stored(rest.unionByName(split), "sets")
     edges = np.asarray(_edges(num, den))
     edges = edges[edges < 1 << 31].tolist()
     band = F.size(F.filter(F.array(*[F.lit(e) for e in edges]), lambda e: e <= F.col("n"))) - 1
@@ -329,7 +385,7 @@ def jaccard_components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 10
     tiles = F.greatest(F.ceil(F.col("sets") / tile), F.ceil(F.col("elements") / tile_shingles)).cast("int")
     per_band = sets.groupBy("whole", "band").agg(F.count("*").alias("sets"), F.sum("n").alias("elements")).withColumn("tiles", tiles)
     sizes = per_band.groupBy("whole").agg(F.sum("sets").alias("sets"), F.sum("elements").alias("elements"), F.map_from_entries(F.collect_list(F.struct("band", "tiles"))).alias("tiles"))
-    large = stored(sizes.where((F.col("sets") > tile) | (F.col("elements") > tile_shingles)).select("whole", "tiles"), "large-groups")
+    large = stored(sizes.where(too_many).select("whole", "tiles"), "large-groups")
     total = members.agg(F.count("shingles")).first()[0]
     buckets = max(1, total // 512)
 

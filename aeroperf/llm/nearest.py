@@ -226,8 +226,9 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
     lists = stored(lists, "candidates")
     discard(ranks)
 
-    # a part's queries go to as many rooms as keep a room's candidates within bounds, its vectors to each of them
-    rooms = stored(lists.groupBy("part").agg(F.ceil(F.sum(F.size("listed")) / part_pairs).cast("int").alias("rooms")), "rooms")
+    # a part's queries go to as many rooms as keep a room's candidates, and the queries themselves, within bounds; its vectors go to each of them
+    held = F.greatest(F.sum(F.size("listed")) / part_pairs, F.count("*") * 32 / part_pairs)
+    rooms = stored(lists.groupBy("part").agg(F.ceil(held).cast("int").alias("rooms")), "rooms")
     room = F.pmod(F.xxhash64(F.lit(seed), "query"), F.col("rooms")).cast("int").alias("room")
     placed_lists = lists.join(rooms, "part").select("part", room, F.col("query").alias("cls"), "listed")
     asked = placed_lists.select("part", "room", "cls").distinct().join(classes.select("cls", "v"), "cls")

@@ -101,8 +101,26 @@ def test_parts_never_miss_a_partner(num, den):
             flat, starts = np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)])
             common = rng.integers(0, 2**63, 16, dtype=np.uint64)
             for c in (None, common, np.full(16, 2**64 - 1, np.uint64)):
-                keys, docs = jaccard.part_keys(flat, starts, bands, c)
-                assert set(keys[docs == 0].tolist()) & set(keys[docs == 1].tolist())
+                for paired in (False, True):
+                    keys, docs = jaccard.part_keys(flat, starts, bands, c, paired)
+                    assert set(keys[docs == 0].tolist()) & set(keys[docs == 1].tolist())
+
+
+def test_paired_parts_part_what_met_by_chance(spark):
+    """Documents that share rare passages are one component by parts, and small ones by pairs; work follows the parts."""
+    rng = np.random.default_rng(4)
+    bands, quotes = jaccard.Bands(85, 100), [rng.integers(0, 2**64 - 1, 12, dtype=np.uint64) for _ in range(40)]
+    sets = [np.unique(np.concatenate([rng.integers(0, 2**64 - 1, 60, dtype=np.uint64), *[quotes[q] for q in rng.choice(40, 3)]])) for _ in range(200)]
+    starts = np.cumsum([0, *map(len, sets)])
+    shared = []
+    for paired in (False, True):
+        keys, docs = jaccard.part_keys(np.concatenate(sets), starts, bands, None, paired)
+        order = np.lexsort((docs, keys))
+        keys, docs = keys[order], docs[order]
+        shared.append(len({(a, b) for a, b, same in zip(docs, docs[1:], keys[1:] == keys[:-1]) if same and a != b}))
+        long = np.unique(rng.integers(0, 2**64 - 1, 20_000, dtype=np.uint64))
+        assert len(jaccard.part_keys(long, np.array([0, len(long)]), bands, None, paired)[0]) < 15 * 2 * 4000
+    assert shared[1] < shared[0] / 3
 
 
 def test_jaccard_of_nothing(spark):
