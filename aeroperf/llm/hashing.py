@@ -26,10 +26,11 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = 1 << max(16, (n - 1).bit_length())
+    """Powers of the base and of its inverse, ``n`` at least."""
+    size = max(n, 2 * CHUNK)
+    if size > 2 * CHUNK:  # a single word longer than a chunk: not worth keeping
+        return tuple(np.cumprod(np.full(size, x, np.uint64)) for x in (_BASE, _INVERSE))
     if size not in _POWERS:
-        if size > 2 * CHUNK:  # a single word longer than a chunk: not worth keeping
-            return tuple(np.cumprod(np.full(size, x, np.uint64)) for x in (_BASE, _INVERSE))
         _POWERS[size] = tuple(np.cumprod(np.full(size, x, np.uint64)) for x in (_BASE, _INVERSE))
     return _POWERS[size]
 

@@ -166,22 +166,28 @@ def _salt(band: np.ndarray, part: np.ndarray) -> np.ndarray:
     return mix((band.astype(np.uint64) << U(40)) + part + U(1))
 
 
-def _repeats(k: int, most: int = 1 << 22):
-    """Shingles that come in two or more documents of a stretch of a task (``most`` shingles long), with their counts."""
+def _repeats(k: int, most: int = 1 << 21):
+    """Shingles that come in two or more documents of a stretch of a task (``most`` shingles long), with their counts. Sorted in place: a stretch is all that is held."""
 
-    def counted(held: list[np.ndarray]) -> pa.RecordBatch:
-        shingle, n = np.unique(np.concatenate(held), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(shingle[n > 1].view(np.int64)), pa.array(n[n > 1])], ["shingle", "n"])
+    def counted(held: np.ndarray) -> pa.RecordBatch:
+        held.sort()
+        again = np.flatnonzero(held[1:] == held[:-1])
+        first = np.flatnonzero(np.r_[True, np.diff(again) > 1]) if len(again) else again
+        return pa.RecordBatch.from_arrays([pa.array(held[again[first]].view(np.int64)), pa.array(np.diff(np.r_[first, len(again)]) + 1)], ["shingle", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+        held, n = np.empty(most, np.uint64), 0
         for part in (p for b in batches for p in slices(b, "text")):
-            held.append(shingle_sets(part.column("text"), k)[0])
-            if sum(map(len, held)) >= most:
-                yield counted(held)
-                held = []
-        if held:
-            yield counted(held)
+            flat, at = shingle_sets(part.column("text"), k)[0], 0
+            while at < len(flat):
+                some = flat[at : at + most - n]
+                held[n : n + len(some)] = some
+                n, at = n + len(some), at + len(some)
+                if n == most:
+                    yield counted(held)
+                    n = 0
+        if n:
+            yield counted(held[:n])
 
     return run
 
@@ -304,9 +310,12 @@ def tile_links(sets: list[np.ndarray], side: np.ndarray | None, num: int, den: i
     if len(n) < 2:
         return []
     bits = 1 << min(14, max(6, math.ceil(math.log2(4 * n.max()))))
-    maps = np.zeros((len(n), bits), bool)
-    maps[np.repeat(np.arange(len(n)), n), (np.concatenate(sets) & U(bits - 1)).astype(np.int64)] = True
-    maps = np.packbits(maps, axis=1).view(np.uint64)
+    maps = np.zeros((len(n), bits // 64), np.uint64)
+    for low in range(0, len(n), 128):
+        some, wide = sets[low : low + 128], n[low : low + 128]
+        block = np.zeros((len(some), bits), bool)
+        block[np.repeat(np.arange(len(some)), wide), (np.concatenate(some) & U(bits - 1)).astype(np.int64)] = True
+        maps[low : low + 128] = np.packbits(block, axis=1).view(np.uint64)
     by_size = np.argsort(n, kind="stable")
     left, right = (by_size, by_size) if side is None else (by_size[side[by_size] == 0], by_size[side[by_size] == 1])
     sizes, label, out = n[right], np.arange(len(n)), []

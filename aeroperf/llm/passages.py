@@ -291,7 +291,7 @@ def _verified(members: DataFrame, sets: DataFrame, threshold: float, tile: int)
     return links
 
 
-def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 32, gap: int = 20, wide: int = 96, threshold: float = 0.8, rows: int = 3, recall: float = 0.99, tile: int = 2048) -> DataFrame:
+def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 32, gap: int = 20, wide: int = 96, threshold: float = 0.8, rows: int = 3, recall: float = 0.99, tile: int = 1024) -> DataFrame:
     """Spans to remove: id, start (in words, from 0), n_words, found_in (a smaller id that holds the passage).
 
     Within a cluster the smallest id keeps the passage. A null text is an empty

@@ -77,7 +77,7 @@ class _Table:
 
 
 class PieceEncoder:
-    def __init__(self, path: str, max_pieces: int = 2_400_000):
+    def __init__(self, path: str, max_pieces: int = 1_600_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.max_pieces = Tokenizer.from_file(path), max_pieces
@@ -149,7 +149,7 @@ class PieceEncoder:
         return out, starts
 
 
-def encoder(path: str, max_pieces: int = 2_400_000) -> PieceEncoder:
+def encoder(path: str, max_pieces: int = 1_600_000) -> PieceEncoder:
     """The process's encoder for a vocabulary file; workers that are used again keep it."""
     if (path, max_pieces) not in _ENCODERS:
         _ENCODERS[path, max_pieces] = PieceEncoder(path, max_pieces)
