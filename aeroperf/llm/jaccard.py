@@ -16,11 +16,13 @@ joined before, so that no key sends more than one row from each. Documents
 that share a key are chained, not paired, and the chains' components gather
 all possible partners of a document.
 
-**Large components.** Where a component holds more than ``tile`` distinct sets,
-its documents may have met by chance, one by one. They are keyed anew, from
+**Very large components.** Tiles are compared in pairs, so their cost grows with
+the square of a component, whose documents may have met by chance, one by one.
+Beyond ``anew`` sets (where that would cost more) they are keyed anew, from
 their stored sets, by pairs of parts: with g more parts, partners agree on more
 than g of them, so on two whose numbers are equal modulo g. A key is two such
-parts, twice as many shingles as before, and chance meetings fall away.
+parts, twice as many shingles as before, and chance meetings fall away. It takes
+some 400 to 3,000 keys a document, so smaller components go without.
 
 **Tiles.** A component of documents of up to ``tile`` distinct sets is one tile.
 One that is larger even so is cut by size band and hash, and tiles of the same or
@@ -354,7 +356,7 @@ def _tile(num: int, den: int):
     return run
 
 
-def jaccard_components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100, id_col: str = "doc_id", text_col: str = "text", tile: int = 1024, tile_shingles: int = 1 << 21) -> DataFrame:
+def jaccard_components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100, id_col: str = "doc_id", text_col: str = "text", tile: int = 1024, tile_shingles: int = 1 << 21, anew: int = 1 << 16) -> DataFrame:
     """Per row: id, n_shingles, component_id (the smallest id reachable by links, itself included).
 
     Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased. A document's set is
@@ -377,7 +379,7 @@ def jaccard_components(docs: DataFrame, k: int = 4, num: int = 85, den: int = 10
     near = possible.join(groups.select(F.col("node").alias("id"), F.col("component").alias("whole")), "id").select("whole", "id", "text")
     members = stored(near.mapInArrow(tidy(_sets(k)), "whole long, id long, holder long, n long, shingles binary"), "sets")
     too_many = (F.col("sets") > tile) | (F.col("elements") > tile_shingles)
-    large = stored(members.where("shingles is not null").groupBy("whole").agg(F.count("*").alias("sets"), F.sum("n").alias("elements")).where(too_many).select("whole"), "large-groups")
+    large = stored(members.where("shingles is not null").groupBy("whole").agg(F.count("*").alias("sets")).where(F.col("sets") > anew).select("whole"), "large-groups")
     if not large.isEmpty():
         inside = members.where("shingles is not null").join(large, "whole", "left_semi")
         again = inside.select("id", "shingles").mapInArrow(tidy(_pair_keys(bands, common)), "key long, a long, b long, kind byte")

@@ -81,7 +81,7 @@ def test_jaccard_equals_brute_force(spark, k, num, den, tile):
         return bool(x and y) and den * len(x & y) >= num * len(x | y)
 
     want = brute_components(sets, linked)
-    got = jaccard.jaccard_components(df, k, num, den, tile=tile).collect()
+    got = jaccard.jaccard_components(df, k, num, den, tile=tile, anew=tile).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got if r.doc_id is not None} == {i: (len(sets[i]), want[i]) for i in sets}
     assert [r.component_id for r in got if r.doc_id is None] == [None] and len(got) == len(rows)
 
