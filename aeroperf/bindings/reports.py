@@ -147,7 +147,7 @@ def _(t):
 
 
 @bind("taxi_field_diffs", """WITH e AS (SELECT event_id, upper(event_type) AS a, strftime(ts, '%Y-%m-%d %H:%M:%S') AS s FROM events)
-SELECT f AS field, count(*) AS n, round(100.0 * sum(d) / count(*), 4) AS pct_different, round(100.0 * sum(ol) / count(*), 4) AS pct_only_left, 0.0 AS pct_only_right
+SELECT f AS field, count(*) AS n, round(100.0 * sum(d) / count(*), 4) AS pct_different, round(100.0 * sum(ol) / count(*), 4) AS pct_only_left, 0.0::DOUBLE AS pct_only_right
 FROM (SELECT 'box' AS f, CASE WHEN event_id % 5 = 0 THEN 1 ELSE 0 END AS d, 0 AS ol FROM e UNION ALL SELECT 'dh_vra', CASE WHEN event_id % 3 = 0 THEN 1 ELSE 0 END, CASE WHEN event_id % 3 = 0 THEN 1 ELSE 0 END FROM e UNION ALL SELECT 'match_vra', CASE WHEN event_id % 4 = 2 THEN 1 ELSE 0 END, 0 FROM e) GROUP BY f""")
 def _(t):
     e, say = F.col("event_id"), lambda p: F.date_format("ts", p)
