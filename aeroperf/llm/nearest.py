@@ -127,6 +127,8 @@ def _compared(width: int, kind: str, keep: int):
         rows, asking = np.flatnonzero(is_row), np.flatnonzero(~is_row & ~is_list)
         rows = rows[np.argsort(cls[rows])]
         ids, x = cls[rows], _unpack(v.take(pa.array(rows)), width, kind)
+        by_id = np.lexsort((ids, column("least").fill_null(0).to_numpy()[rows]))  # of equally near classes that with the smallest id is first
+        tie = np.argsort(by_id)
         square = (x**2).sum(1)
         lists = np.flatnonzero(is_list)
         lists = lists[np.argsort(cls[lists], kind="stable")]
@@ -139,9 +141,9 @@ def _compared(width: int, kind: str, keep: int):
             dense = sum(map(len, at)) * 4 > len(ids) * len(some)
             rough = square[:, None] - 2 * (x @ q.T) if dense else None
             for j, i in enumerate(some):
-                near, d = _best(q[j], x[at[j]], ids[at[j]], keep, rough[at[j], j] if dense else None)
+                near, d = _best(q[j], x[at[j]], tie[at[j]], keep, rough[at[j], j] if dense else None)
                 out[0].append(np.full(len(near), cls[i]))
-                out[1].append(near)
+                out[1].append(ids[by_id[near]])
                 out[2].append(d)
         return pa.table({"query": np.concatenate(out[0]), "cls": np.concatenate(out[1]), "d": np.concatenate(out[2])})
 
@@ -186,7 +188,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
     salted = Window.partitionBy("k1", "k2", F.pmod(F.xxhash64("id"), F.lit(64))).orderBy("id")
     few = usable.select("id", "k1", "k2").distinct().withColumn("n", F.row_number().over(salted)).where(F.col("n") <= k + 1).drop("n")
     ids = few.groupBy("k1", "k2").agg(F.slice(F.sort_array(F.collect_list("id")), 1, k + 1).alias("ids"))
-    whole = usable.groupBy("k1", "k2").agg(F.max("q").alias("q"), F.first("v").alias("v"))
+    whole = usable.groupBy("k1", "k2").agg(F.max("q").alias("q"), F.first("v").alias("v"), F.min("id").alias("least"))
     classes = stored(whole.join(ids, ["k1", "k2"]).withColumn("cls", F.monotonically_increasing_id()), "vector-classes")
 
     moments = classes.select("v").mapInArrow(tidy(_moments(width, kind)), "n long, s array<double>, ss double").toArrow()
@@ -232,13 +234,14 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
     room = F.pmod(F.xxhash64(F.lit(seed), "query"), F.col("rooms")).cast("int").alias("room")
     placed_lists = lists.join(rooms, "part").select("part", room, F.col("query").alias("cls"), "listed")
     asked = placed_lists.select("part", "room", "cls").distinct().join(classes.select("cls", "v"), "cls")
-    vectors_at = classes.select("cls", "v").mapInArrow(tidy(_parted(parts)), "part long, cls long, v binary").join(rooms, "part")
-    vectors_at = vectors_at.select("part", F.explode(F.sequence(F.lit(0), F.col("rooms") - 1)).alias("room"), "cls", "v", F.lit(False).alias("asks"))
+    vectors_at = classes.select("cls", "least", "v").mapInArrow(tidy(_parted(parts)), "part long, cls long, least long, v binary").join(rooms, "part")
+    vectors_at = vectors_at.select("part", F.explode(F.sequence(F.lit(0), F.col("rooms") - 1)).alias("room"), "cls", "least", "v", F.lit(False).alias("asks"))
     asks = lambda df: df.withColumn("asks", F.lit(True))
     both = vectors_at.unionByName(asks(asked), allowMissingColumns=True).unionByName(asks(placed_lists), allowMissingColumns=True)
     found = both.groupBy("part", "room").applyInArrow(_compared(width, kind, keep), "query long, cls long, d double")
-    best = found.withColumn("n", F.row_number().over(Window.partitionBy("query").orderBy("d", "cls"))).where(F.col("n") <= keep)
-    best = stored(best.join(classes.select("cls", "ids"), "cls").select("query", "d", "ids"), "nearest")
+    found = found.join(classes.select("cls", "least", "ids"), "cls")
+    best = found.withColumn("n", F.row_number().over(Window.partitionBy("query").orderBy("d", "least", "cls"))).where(F.col("n") <= keep)
+    best = stored(best.select("query", "d", "ids"), "nearest")
     asking = usable.where("q").select("id", "k1", "k2").distinct().join(classes.select("k1", "k2", F.col("cls").alias("query")), ["k1", "k2"]).select(F.col("id").alias("query_id"), "query")
     hits = asking.join(best, "query").select("query_id", "d", F.explode("ids").alias("vec_id")).where("vec_id <> query_id")
     hits = hits.groupBy("query_id", "vec_id").agg(F.min("d").alias("d"))
@@ -250,7 +253,7 @@ def _parted(parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             part = (mix(batch.column("cls").to_numpy().astype(np.uint64)) % U(parts)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(part), batch.column("cls"), batch.column("v")], ["part", "cls", "v"])
+            yield pa.RecordBatch.from_arrays([pa.array(part), *batch.columns], ["part", *batch.schema.names])
 
     return run
 

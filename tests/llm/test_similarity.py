@@ -400,6 +400,16 @@ def test_nearest_with_repeated_ids(spark):
         assert [(r, i) for r, i, _ in got[q]] == [(n + 1, i) for n, (i, _) in enumerate(want)] and np.allclose([s for *_, s in got[q]], [s for _, s in want])
 
 
+def test_nearest_ties_go_to_the_smaller_id(spark):
+    """Many different vectors at exactly one distance, over several parts."""
+    rng = np.random.default_rng(6)
+    signs = np.array([[1 - 2 * (i >> b & 1) for b in range(7)] for i in range(128)])  # all at distance 7 ** 0.5 from none but equal coordinates
+    ids = (2**60 + rng.permutation(1000)[:128]).tolist()  # beyond what a double tells apart
+    rows = [(i, [*map(float, s), 0.0]) for i, s in zip(ids, signs)] + [(5000, [0.0] * 7 + [1.0])]
+    got = nearest.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3), F.col("vec_id") == 5000, part_rows=20).orderBy("rank").collect()
+    assert [r.vec_id for r in got] == sorted(ids)[:10] and {round(r.score, 9) for r in got} == {round(8**0.5, 9)}
+
+
 def test_nearest_with_copies_and_few_candidates(spark):
     rows = [(i, [1.0, 2.0]) for i in range(40)] + [(100, [1.0, 3.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
