@@ -14,7 +14,7 @@ pairs are recomputed, exactly, in double precision.
 Which pairs are estimated at all is decided by bands of the same signs: two
 vectors meet where they agree on all bits of one of the bands. A bit differs
 with probability ``arccos(threshold) / pi`` at the threshold (0.064 at 0.98).
-A band has two bits more than the largest group's size asks for, so that
+A band has a bit more than the largest group's size asks for, so that
 buckets of unlike vectors stay small at any size, and there are as many bands as
 miss a pair at the threshold with probability ``miss``. Buckets are dealt to
 rooms, many small ones to each; one of more than ``tile`` vectors is cut by
@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from aeroperf.llm.components import components
 from aeroperf.llm.hashing import mix
 from aeroperf.llm.id_filter import IdFilter
-from aeroperf.llm.storage import stored
+from aeroperf.llm.storage import discard, release, stored
 from aeroperf.llm.vectors import by_width, rotation
 from aeroperf.llm.workers import tidy
 
@@ -54,7 +54,7 @@ def tune_bits(threshold: float, largest: int, miss: float) -> tuple[int, int]:
     A low threshold gets shorter bands, and so more work, rather than thousands of them.
     """
     alike = 1 - math.acos(min(1.0, max(-1.0, threshold))) / math.pi
-    bits = min(60, max(8, math.ceil(math.log2(max(2, largest))) + 2))
+    bits = min(60, max(8, math.ceil(math.log2(max(2, largest))) + 1))
     bands = lambda b: max(1, math.ceil(math.log(miss) / math.log1p(-(alike**b)))) if alike < 1 else 1
     while bits > 1 and bands(bits) > 256:
         bits -= 1
@@ -258,14 +258,18 @@ def near_embeddings(vectors: DataFrame, id_col: str = "vec_id", vector: str = "e
     schema = f"cls long, g long, bucket long, band int, room long, lo int, hi int, side int, {CODE}"
     opened = dealt.join(codes.drop("g"), "cls").select(*[c.split()[0] for c in schema.split(", ")]).groupBy(*ROOM).applyInArrow(_open_rows(bands, bits, threshold, eps), schema)
     opened = stored(opened, "undecided")
+    discard(codes, sizes)
+    release(vectors.sparkSession)
     fetched = opened.join(classes.select("cls", "weight", "v"), "cls")
     found = stored(fetched.groupBy(*ROOM).applyInArrow(_exact(bands, bits, threshold, eps, kind), "cls long, links long, other long"), "vector-links")
+    discard(opened)
     links = found.groupBy("cls").agg(F.sum("links").alias("links"))
     roots = components(found.select(F.col("cls").alias("a"), F.col("other").alias("b")))
     least = roots.join(classes.select(F.col("cls").alias("node"), "least"), "node").groupBy("component").agg(F.min("least").alias("component_id"))
     linked = links.join(roots.join(least, "component").select(F.col("node").alias("cls"), "component_id"), "cls")
     per_class = classes.select("g", "k1", "k2", "cls", "weight", "least").join(linked, "cls", "left")
     per_class = stored(per_class.select("g", "k1", "k2", (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component_id", "least").alias("component_id")), "class-links")
+    discard(classes, found)
     members = usable.select("id", "g", "k1", "k2").join(per_class, ["g", "k1", "k2"]).select("id", "n_links", "component_id")
     alone = every.where("v is null").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
     out = members.unionByName(alone)

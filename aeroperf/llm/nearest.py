@@ -242,6 +242,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
     found = found.join(classes.select("cls", "least", "ids"), "cls")
     best = found.withColumn("n", F.row_number().over(Window.partitionBy("query").orderBy("d", "least", "cls"))).where(F.col("n") <= keep)
     best = stored(best.select("query", "d", "ids"), "nearest")
+    discard(lists)
     asking = usable.where("q").select("id", "k1", "k2").distinct().join(classes.select("k1", "k2", F.col("cls").alias("query")), ["k1", "k2"]).select(F.col("id").alias("query_id"), "query")
     hits = asking.join(best, "query").select("query_id", "d", F.explode("ids").alias("vec_id")).where("vec_id <> query_id")
     hits = hits.groupBy("query_id", "vec_id").agg(F.min("d").alias("d"))
