@@ -14,8 +14,8 @@ pairs are recomputed, exactly, in double precision.
 Which pairs are estimated at all is decided by bands of the same signs: two
 vectors meet where they agree on all bits of one of the bands. A bit differs
 with probability ``arccos(threshold) / pi`` at the threshold (0.064 at 0.98).
-A band has a bit more than the largest group's size asks for, so that
-buckets of unlike vectors stay small at any size, and there are as many bands as
+A band has four bits more than the largest group's size asks for, so that
+about one in sixteen vectors meets an unlike one in a band, at any size, and there are as many bands as
 miss a pair at the threshold with probability ``miss``. Buckets are dealt to
 rooms, many small ones to each; one of more than ``tile`` vectors is cut by
 hash, and all its tiles meet. A pair counts in the first band where it meets, so
@@ -54,7 +54,7 @@ def tune_bits(threshold: float, largest: int, miss: float) -> tuple[int, int]:
     A low threshold gets shorter bands, and so more work, rather than thousands of them.
     """
     alike = 1 - math.acos(min(1.0, max(-1.0, threshold))) / math.pi
-    bits = min(60, max(8, math.ceil(math.log2(max(2, largest))) + 1))
+    bits = min(60, max(8, math.ceil(math.log2(max(2, largest))) + 4))
     bands = lambda b: max(1, math.ceil(math.log(miss) / math.log1p(-(alike**b)))) if alike < 1 else 1
     while bits > 1 and bands(bits) > 256:
         bits -= 1
