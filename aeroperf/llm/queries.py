@@ -1,4 +1,4 @@
-"""The queries of the ten operators, each over its whole table, and SQL for those that it can express."""
+"""The queries of the operators, each over its whole table, and SQL for those that it can express."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aeroperf.llm import embedding_dedup, jaccard, language, mixing, nearest, packing, passages, storage, token_files, url_filter, warc
+from aeroperf.llm import divergence, embedding_dedup, jaccard, language, mixing, nearest, packing, passages, storage, token_files, url_filter, warc
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 #: (host, path, verdict)
@@ -80,6 +80,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, TOKENIZER).select("doc_id", "source", "epoch", "mix_weight", "mix_order")
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every source of every language against the others and its terms against the language's. Nulls, repeats and empty tables as in ``divergence``."""
+    return divergence.divergence(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_nearest": op1_nearest,
     "op2_packing": op2_packing,
@@ -91,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_passages": op9_passages,
     "op10_mixing": op10_mixing,
+    "op11_divergence": op11_divergence,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -111,6 +117,20 @@ l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label
 r AS (SELECT a AS node, a AS seen FROM l UNION SELECT r.node, l.b FROM r JOIN l ON r.seen = l.a),
 c AS (SELECT node, min(seen) AS c FROM r GROUP BY node), n AS (SELECT a, count(*) AS n FROM l GROUP BY ALL)
 SELECT vec_id, coalesce(n.n, 0) AS n_links, coalesce(c.c, vec_id) AS component_id, vec_id = coalesce(c.c, vec_id) AS kept FROM embeddings LEFT JOIN n ON n.a = vec_id LEFT JOIN c ON c.node = vec_id
+""",
+    "op11_divergence": r"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text, row_number() OVER () AS doc FROM documents),
+t AS (SELECT lang, source, doc, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS item FROM d),
+l AS (SELECT lang, item, count(*) AS n FROM t GROUP BY ALL HAVING count(DISTINCT doc) >= 30),
+c AS (SELECT lang, source, item, count(*) AS n FROM t GROUP BY ALL),
+v AS (SELECT lang, count(*) AS v, sum(n) AS n FROM l GROUP BY ALL),
+g AS (SELECT lang, source, coalesce(sum(c.n), 0) AS n FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN (SELECT c.* FROM c JOIN l USING (lang, item)) c USING (lang, source) GROUP BY ALL),
+p AS (SELECT lang, source, item, coalesce(c.n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (g.n + 5 * v.v) AS p, 1 + (1000000000::HUGEINT * (l.n + 5)) // (v.n + 5 * v.v) AS q
+  FROM g JOIN l USING (lang) JOIN v USING (lang) LEFT JOIN c USING (lang, source, item)),
+a AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.item = b.item AND a.source <> b.source GROUP BY ALL),
+r AS (SELECT x.lang, x.source, 'pair' AS part, y.source AS item, coalesce(a.value, 0) AS value FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source LEFT JOIN a ON a.lang = x.lang AND a.source = x.source AND a.item = y.source
+  UNION ALL SELECT lang, source, 'term', item, p - q FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value::BIGINT AS value, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM r QUALIFY part = 'pair' OR rank <= 50
 """,
     "op3_warc": """
 WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
