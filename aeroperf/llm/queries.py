@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aeroperf.llm import divergence, embedding_dedup, jaccard, language, mixing, nearest, packing, passages, storage, token_files, url_filter, warc
+from aeroperf.llm import divergence, embedding_dedup, jaccard, language, mixing, nearest, packing, passages, spelling, storage, token_files, url_filter, warc
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 #: (host, path, verdict)
@@ -85,6 +85,11 @@ def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.divergence(_table(spark, sf_dir, "documents"))
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near words, form and root of every frequent word. Nulls, repeats and empty tables as in ``spelling_variants``."""
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_nearest": op1_nearest,
     "op2_packing": op2_packing,
@@ -97,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_passages": op9_passages,
     "op10_mixing": op10_mixing,
     "op11_divergence": op11_divergence,
+    "op13_spelling": op13_spelling,
 }
 
 ORACLE_SQL: dict[str, str] = {
