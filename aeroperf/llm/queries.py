@@ -8,9 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aeroperf.llm import divergence, embedding_dedup, jaccard, language, mixing, nearest, packing, passages, spelling, storage, token_files, url_filter, warc
+from aeroperf.llm import bpe, divergence, embedding_dedup, jaccard, language, mixing, nearest, packing, passages, spelling, storage, token_files, url_filter, warc
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 #: (host, path, verdict)
 RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
 
@@ -85,6 +86,12 @@ def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.divergence(_table(spark, sf_dir, "documents"))
 
 
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded by ranks and decoded again. Nulls, repeats and empty tables as in ``encode``."""
+    both = bpe.encode_and_decode(_table(spark, sf_dir, "documents").select("doc_id", "text"), RANKS, public_tokenizers.PATTERN)
+    return both.select("doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near words, form and root of every frequent word. Nulls, repeats and empty tables as in ``spelling_variants``."""
     return spelling.spelling_variants(_table(spark, sf_dir, "documents"))
@@ -102,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_passages": op9_passages,
     "op10_mixing": op10_mixing,
     "op11_divergence": op11_divergence,
+    "op12_bpe": op12_bpe,
     "op13_spelling": op13_spelling,
 }
 
@@ -137,6 +145,21 @@ a AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FR
 r AS (SELECT x.lang, x.source, 'pair' AS part, y.source AS item, coalesce(a.value, 0) AS value FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source LEFT JOIN a ON a.lang = x.lang AND a.source = x.source AND a.item = y.source
   UNION ALL SELECT lang, source, 'term', item, p - q FROM p WHERE n > 0 AND p > q)
 SELECT lang, source, part, item, value::BIGINT AS value, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM r QUALIFY part = 'pair' OR rank <= 50
+""",
+    "op13_spelling": """
+WITH RECURSIVE tab AS (SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, k: xor(c >> 1, (c & 1) * 3988292384))) AS tab),
+t AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run FROM documents),
+r AS (SELECT doc_id, run, count(*) AS n, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS x FROM t WHERE length(run) >= 6 GROUP BY ALL),
+b AS (SELECT doc_id, run, n, list_prepend(4294967295, list_transform(range(0, length(x) // 2), lambda i: ('0x' || substr(x, 2 * i::INT + 1, 2))::BIGINT)) AS b FROM r),
+h AS (SELECT run, n, xor(4294967295, list_reduce(b, lambda c, k: xor(c >> 8, tab[(xor(c, k) & 255) + 1]))) AS h FROM b, tab),
+e AS (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, n FROM h),
+w AS (SELECT word, sum(n)::BIGINT AS n FROM e WHERE length(word) >= 6 GROUP BY word HAVING sum(e.n) >= 5),
+d AS (SELECT word, n, i, substr(word, 1, i::INT) || substr(word, i::INT + 2) AS rest FROM (SELECT word, n, unnest(range(0, length(word))) AS i FROM w)),
+p AS (SELECT a.word, b.word AS near, b.n FROM d a JOIN d b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word UNION SELECT a.word, w.word, w.n FROM d a JOIN w ON w.word = a.rest UNION SELECT a.rest, a.word, a.n FROM d a JOIN w ON w.word = a.rest),
+m AS (SELECT word, count(*) AS n_near, max(n) AS best_n FROM p GROUP BY ALL),
+f AS (SELECT w.word, w.n, coalesce(m.n_near, 0) AS n_near, CASE WHEN best_n >= 5 * w.n THEN best_n END AS form_n, (SELECT min(near) FROM p WHERE p.word = w.word AND p.n = m.best_n AND m.best_n >= 5 * w.n) AS form FROM w LEFT JOIN m ON m.word = w.word),
+c AS (SELECT word, word AS at, 0 AS step FROM f UNION ALL SELECT c.word, f.form, step + 1 FROM c JOIN f ON f.word = c.at WHERE f.form IS NOT NULL)
+SELECT f.word, form, (SELECT arg_max(c.at, step) FROM c WHERE c.word = f.word) AS root, n, n_near, form_n FROM f
 """,
     "op3_warc": """
 WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),

@@ -27,7 +27,7 @@ def empty(spark, sf, tmp_path_factory):
 
 @pytest.mark.parametrize("name", NAMES)
 def test_empty_tables_give_no_rows(spark, empty, name):
-    assert len(NAMES) == 13 and entry.queries()[name](spark, empty).collect() == []
+    assert len(NAMES) == 14 and entry.queries()[name](spark, empty).collect() == []
 
 
 def brute_bucket(chars, order):
