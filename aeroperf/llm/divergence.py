@@ -144,7 +144,8 @@ def divergence(docs: DataFrame, min_docs: int = 30, top: int = 50, seats: int =
     found = stored(lang_terms.select("lang", "term", "n"), "lang-terms")
     langs = found.groupBy("lang").agg(F.count("*").alias("terms"), F.sum("n").alias("lang_n"), F.ceil(F.count("*") / shard_terms).cast("int").alias("shards"))
     place = F.row_number().over(Window.partitionBy("lang", "shard").orderBy("term")) - 1
-    kept = found.join(langs, "lang").withColumn("shard", F.pmod(F.xxhash64("term"), "shards").cast("int")).withColumn("idx", place)
+    sharded = found.join(langs, "lang").withColumn("shard", F.pmod(F.xxhash64("term"), "shards").cast("int")).repartition("lang", "shard")
+    kept = sharded.withColumn("idx", place)  # by shard: the join's partitions, a language each, would serve the window too
     kept = stored(kept.withColumn("p", smoothed(F.col("n"), F.col("lang_n"), F.col("terms"))).select("lang", "term", "shard", "idx", "p"), "kept-terms")
     held = stored(counts.join(kept, ["lang", "term"]).select("lang", "source", "shard", "idx", "n"), "kept-counts")
     discard(counts)
