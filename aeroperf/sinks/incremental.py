@@ -1,4 +1,4 @@
-"""A table that grows by periods: each period is written when it is fetched, closed ones are left alone, repeats are resolved on merge."""
+"""Tables that grow by periods: each period is published when it is fetched, closed ones are left alone, repeats are resolved on merge."""
 
 from __future__ import annotations
 
@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aeroperf.operators.dedup import keep_one
+from aeroperf.sinks.snapshot import SnapshotTable
+from aeroperf.sources.rest import Fetched
 
 
 def _hadoop(spark: SparkSession, path: str):
@@ -22,13 +24,8 @@ def _there(spark: SparkSession, pattern: str) -> bool:
     return bool(len(fs.globStatus(p) or []))
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    fs, p = _hadoop(spark, path)
-    fs.delete(p, True)
-
-
 class IncrementalTable:
-    """Parquet partitioned by (year, month) below ``path``/rows, and what was checked when below ``path``/manifest.
+    """Rows by (year, month), and what was checked when, in one ``SnapshotTable``: both change together or not at all.
 
     A period without rows leaves a line in the manifest instead of a placeholder row.
     """
@@ -36,21 +33,21 @@ class IncrementalTable:
     MANIFEST = "year int, month int, n long, days int, checked_at string"
 
     def __init__(self, spark: SparkSession, path: str, ts: str, key: tuple[str, ...] = (), order: tuple[str, ...] = ()):
-        self.spark, self.path, self.ts, self.key, self.order = spark, path, ts, key, order
+        self.spark, self.ts, self.key, self.order = spark, ts, key, order
+        self.table = SnapshotTable(spark, path, ("year", "month"))
 
-    def rows(self) -> DataFrame | None:
-        """None while no month has a row."""
-        return self.spark.read.option("mergeSchema", True).parquet(f"{self.path}/rows") if _there(self.spark, f"{self.path}/rows/year=*/month=*") else None
+    def rows(self, version: int | None = None) -> DataFrame | None:
+        """The rows of a version, the latest by default; None while no month has a row."""
+        return self.table.read(version)
 
-    def manifest(self) -> DataFrame:
+    def manifest(self, version: int | None = None) -> DataFrame:
         """The latest line of each period."""
-        if not _there(self.spark, f"{self.path}/manifest"):
-            return self.spark.createDataFrame([], self.MANIFEST)
-        return keep_one(self.spark.read.schema(self.MANIFEST).parquet(f"{self.path}/manifest"), ("year", "month"), ("checked_at",), last=True)
+        names = [f.split()[0] for f in self.MANIFEST.split(", ")]
+        return self.spark.createDataFrame([tuple(n[c] for c in names) for n in self.table.notes(version)], self.MANIFEST)
 
     def pending(self, start: date, as_of: date, slack: int = 1) -> list[tuple[int, int]]:
         """Months from ``start`` to ``as_of`` still to fetch: not checked, short of days, or not yet over."""
-        held = {(r.year, r.month): r.days for r in self.manifest().collect()}
+        held = {(n["year"], n["month"]): n["days"] for n in self.table.notes()}
         out, at = [], date(start.year, start.month, 1)
         while at <= as_of:
             after = date(at.year + at.month // 12, at.month % 12 + 1, 1)
@@ -60,25 +57,17 @@ class IncrementalTable:
             at = after
         return out
 
-    def store(self, df: DataFrame, periods: list[tuple[int, int]], checked_at: str) -> None:
-        """Replace the months of ``periods`` by the rows of ``df``, and note all as checked; one without a row loses those it had.
+    def store(self, df: DataFrame, periods: list[tuple[int, int]], checked_at: str) -> int:
+        """Replace the months of ``periods`` by the rows of ``df``, and note all as checked; one without a row loses those it had. The version.
 
-        A row of another month, or without a time, raises ValueError before
-        anything is written: it would replace a month that nobody asked for.
+        A row of another month, or without a time, raises ValueError and
+        changes nothing: it would replace a month that nobody asked for.
         """
-        held = marked = df.withColumns({"year": F.year(self.ts), "month": F.month(self.ts)}).persist()
-        found = {(r.year, r.month) for r in marked.select("year", "month").distinct().collect()}
-        if found - set(periods):
-            raise ValueError(f"rows of {sorted(found - set(periods), key=str)}, which are not among the periods to store")
+        marked = df.withColumns({"year": F.year(self.ts), "month": F.month(self.ts)})
         if self.key:
             marked = keep_one(marked, self.key, self.order or (self.ts,), last=True, null_key="keep")
-        for year, month in set(periods) - found:
-            _delete(self.spark, f"{self.path}/rows/year={year}/month={month}")
-        marked.write.partitionBy("year", "month").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(f"{self.path}/rows")
-        counts = marked.groupBy("year", "month").agg(F.count("*").alias("n"), F.countDistinct(F.to_date(self.ts)).cast("int").alias("days"))
-        spine = self.spark.createDataFrame(periods, "year int, month int")
-        spine.join(counts, ["year", "month"], "left").select("year", "month", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("days", F.lit(0)).alias("days"), F.lit(checked_at).alias("checked_at")).write.mode("append").parquet(f"{self.path}/manifest")
-        held.unpersist()
+        measures = {"n": F.count("*"), "days": F.countDistinct(F.to_date(self.ts))}
+        return self.table.replace(marked, periods, measures, {p: {"checked_at": checked_at} for p in periods})
 
     def refresh(self, fetch: Callable[[int, int], DataFrame], start: date, as_of: date) -> list[tuple[int, int]]:
         """Fetch and store each pending month on its own, so that a stop loses one month at most; the months fetched."""
@@ -89,43 +78,46 @@ class IncrementalTable:
 
 
 class DailyTable:
-    """Rows kept by the day they were fetched for, below ``path``/rows/day=, and a line for each fetch below ``path``/manifest.
+    """Rows kept by the day they were fetched for, and a line for each day, in one ``SnapshotTable``.
 
-    Days are fetched in stretches and each stretch is written as it comes, so
-    that a stop loses one stretch at most. A day without traffic has a line and no row.
+    Days are fetched in stretches and each stretch is published as it comes, so
+    that a stop loses one stretch at most. A day without traffic has a line and
+    no row; one that failed keeps the rows it had.
     """
 
     MANIFEST = "day string, n long, status string, error string, checked_at string"
 
     def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
+        self.spark, self.table = spark, SnapshotTable(spark, path, ("day",))
 
-    def rows(self) -> DataFrame | None:
-        """None while no day has a row."""
-        return self.spark.read.option("mergeSchema", True).parquet(f"{self.path}/rows") if _there(self.spark, f"{self.path}/rows/day=*") else None
+    def rows(self, version: int | None = None) -> DataFrame | None:
+        """The rows of a version, the latest by default; None while no day has a row."""
+        return self.table.read(version)
 
-    def manifest(self) -> DataFrame:
+    def manifest(self, version: int | None = None) -> DataFrame:
         """The latest line of each day."""
-        if not _there(self.spark, f"{self.path}/manifest"):
-            return self.spark.createDataFrame([], self.MANIFEST)
-        return keep_one(self.spark.read.schema(self.MANIFEST).parquet(f"{self.path}/manifest"), ("day",), ("checked_at", "status"), last=True)
+        names = [f.split()[0] for f in self.MANIFEST.split(", ")]
+        return self.spark.createDataFrame([tuple(n[c] for c in names) for n in self.table.notes(version)], self.MANIFEST)
 
     def pending(self, start: date, as_of: date) -> list[date]:
         """Days still to fetch: never fetched, failed, or fetched on the day itself or before it was over; ``as_of`` always is."""
-        held = {r.day: r.checked_at for r in self.manifest().where("status <> 'failed'").collect()}
+        held = {n["day"]: n["checked_at"] for n in self.table.notes() if n["status"] != "failed"}
         every = [start + timedelta(days=i) for i in range((as_of - start).days + 1)]
         return [d for d in every if d == as_of or held.get(d.isoformat(), "") <= d.isoformat()]
 
-    def refresh(self, fetch: Callable[[list[date]], tuple[DataFrame, DataFrame]], start: date, as_of: date, every: int = 5) -> DataFrame:
+    def store(self, rows: DataFrame, days: DataFrame, checked_at: str, batch: tuple[str, int] | None = None) -> int:
+        """Publish fetched days: ``rows`` with their _day, and ``days`` (day, n, status, error), a line each. The version."""
+        lines = {(r.day,): {"n": r.n, "status": r.status, "error": r.error, "checked_at": checked_at} for r in days.collect()}
+        told = [day for day, line in lines.items() if line["status"] != "failed"]
+        return self.table.replace(rows.withColumnRenamed("_day", "day"), told, notes=lines, batch=batch)
+
+    def refresh(self, fetch: Callable[[list[date]], Fetched], start: date, as_of: date, every: int = 5) -> DataFrame:
         """Fetch pending days, ``every`` at a time; the manifest afterwards. ``fetch`` gives (rows with _day, days), as ``fetch_days`` does."""
         todo = self.pending(start, as_of)
         for at in range(0, len(todo), every):
-            rows, days = fetch(todo[at : at + every])
-            lines = days.withColumn("checked_at", F.lit(as_of.isoformat())).persist()
-            for r in lines.where("status = 'empty'").collect():
-                _delete(self.spark, f"{self.path}/rows/day={r.day}")
-            rows.withColumnRenamed("_day", "day").write.partitionBy("day").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(f"{self.path}/rows")
-            lines.select("day", "n", "status", "error", "checked_at").write.mode("append").parquet(f"{self.path}/manifest")
+            got = fetch(todo[at : at + every])
+            self.store(*got, as_of.isoformat())
+            getattr(got, "discard", lambda: None)()
         return self.manifest()
 
 

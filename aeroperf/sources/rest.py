@@ -2,7 +2,10 @@
 
 ``fetch`` is the one thing that touches a network: a function of (base, table,
 query parameters) to a list of records, given by name as ``module:function``.
-Tests and air-gapped runs give one that reads a folder.
+Pages are cut from an order, and rows that the order leaves equal may come in
+another order with every request: paging over them loses some and repeats
+others. So more than one page needs an order that ends in a unique column:
+``identity`` columns that follow the date, or an ``order`` of one's own.
 """
 
 from __future__ import annotations
@@ -15,14 +18,16 @@ import time
 from collections.abc import Iterator
 from dataclasses import dataclass
 from datetime import date, timedelta
+from typing import NamedTuple
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, GreaterThan, GreaterThanOrEqual, In, InputPartition, IsNull, LessThan, LessThanOrEqual, StringContains, StringStartsWith
 
 #: Comparisons whose answer hangs on an order, which the server may see in another way.
 ORDERED = (GreaterThan, GreaterThanOrEqual, LessThan, LessThanOrEqual)
 
-from pyspark.sql import types as T
-
 #: The operators of the query language and their filters; a number of rows that one page has.
 OPERATORS = {EqualTo: "eq", GreaterThan: "gt", GreaterThanOrEqual: "gte", LessThan: "lt", LessThanOrEqual: "lte"}
 PAGE_ROWS = 10_000
@@ -75,45 +80,11 @@ def http_count(base: str, table: str, params: dict[str, str]) -> int:
         return int(r.headers["Content-Range"].rsplit("/", 1)[1])
 
 
-def _holds(value, said: str) -> bool:
-    """Whether a JSON value passes a filter; numbers are compared as numbers, as a server does."""
-    op, _, arg = said.partition(".")
-    if op == "is":
-        return value is None
-    if value is None or isinstance(value, (list, dict)):
-        return False
-    if op == "in":
-        return any(str(value) == (x[1:-1].replace('\\"', '"').replace("\\\\", "\\") if x.startswith('"') else x) for x in re.findall(r'"(?:[^"\\]|\\.)*"|[^,]+', arg[1:-1]))
-    if op == "like":
-        return re.fullmatch("".join(".*" if c in "*%" else "." if c == "_" else re.escape(c) for c in arg), str(value), re.DOTALL) is not None
-    a, b = (value, float(arg)) if isinstance(value, (int, float)) else (str(value), arg)
-    return {"eq": a == b, "gt": a > b, "gte": a >= b, "lt": a < b, "lte": a <= b}[op]
-
-
-def folder_rows(base: str, table: str, params: dict[str, str]) -> list[dict]:
-    """Rows of ``base/table.json`` that pass all filters."""
-    with open(f"{base}/{table}.json") as f:
-        rows = json.load(f)
-    said = [(c, f"{op}.{v}") for c, op, v in re.findall(r"(\w+)\.(gte|lt)\.([^,()]+)", params.get("and", ""))]
-    said += [(k, v) for k, v in params.items() if k not in ("and", "order", "select", "offset", "limit")]
-    return [r for r in rows if all(_holds(r.get(c), v) for c, v in said)]
-
-
-def folder_count(base: str, table: str, params: dict[str, str]) -> int:
-    return len(folder_rows(base, table, params))
+def pages(fetch, base: str, table: str, params: dict[str, str], page_rows: int = PAGE_ROWS, tries: int = 4, wait_s: float = 2.0, total: bool = True) -> Iterator[list[dict]]:
+    """Pages until an empty one; the offset moves by rows received, so a server's lower cap loses nothing.
 
-
-def folder_fetch(base: str, table: str, params: dict[str, str]) -> list[dict]:
-    """What ``http_fetch`` gives, from ``base/table.json``: bounds, filters, order, offset and limit."""
-    rows = folder_rows(base, table, params)
-    order = [c for c in params.get("order", "").split(",") if c]
-    rows = sorted(rows, key=lambda r: [str(r.get(c, "")) for c in order])
-    at = int(params.get("offset", 0))
-    return rows[at : at + int(params.get("limit", PAGE_ROWS))]
-
-
-def pages(fetch, base: str, table: str, params: dict[str, str], page_rows: int = PAGE_ROWS, tries: int = 4, wait_s: float = 2.0) -> Iterator[list[dict]]:
-    """Pages until an empty one; the offset moves by rows received, so a server's lower cap loses nothing."""
+    Unless the order is ``total``, a second page with rows raises ValueError.
+    """
     at = 0
     while True:
         for left in range(tries - 1, -1, -1):
@@ -126,12 +97,18 @@ def pages(fetch, base: str, table: str, params: dict[str, str], page_rows: int =
                 time.sleep(wait_s * (tries - left))
         if not got:
             return
+        if at and not total:
+            raise ValueError(f"{table} has more than one page, and rows of equal {params.get('order', 'order')} may be lost or repeated between pages: name identity columns or a total order")
         yield got
         at += len(got)
 
 
 class RestSource(DataSource):
-    """``spark.read.format("rest").schema(...).options(base=, table=, column=, start=, end=, order=, fetch=, grain=, tasks=, rename=, text=, stamps=)``.
+    """``spark.read.format("rest").schema(...).options(base=, table=, column=, start=, end=, identity=, order=, fetch=, count=, grain=, tasks=, rename=, text=, stamps=)``.
+
+    ``identity`` lists the columns that tell rows apart (see above); ``count``
+    names a function like ``http_count``: each month or day is then compared
+    with what the server counts, and one that differs raises ValueError.
 
     ``grain`` is month or day; ``tasks`` bounds how many requests run at a
     time (a task for each month or day, unless said). ``text`` lists columns
@@ -154,11 +131,32 @@ class RestSource(DataSource):
         return RestReader(schema, dict(self.options))
 
 
-def _named(options):
-    module, _, name = options.get("fetch", "aeroperf.sources.rest:http_fetch").partition(":")
+def _named(options, what: str = "fetch"):
+    module, _, name = options.get(what, "aeroperf.sources.rest:http_fetch").partition(":")
     return getattr(importlib.import_module(module), name)
 
 
+def _ordered(options: dict) -> tuple[str, bool]:
+    """(order to ask for, whether it is said to be total)."""
+    listed = [c for c in options.get("identity", "").split(",") if c]
+    if options.get("order"):
+        return options["order"], True
+    return total_order(options["column"], listed, listed), bool(listed)
+
+
+def span_rows(options: dict, where: dict[str, str], start: str, end: str) -> Iterator[dict]:
+    """The rows of a half-open stretch of days, in a total order; compared with the server's count, if one is asked for."""
+    column, (order, total), n = options["column"], _ordered(options), 0
+    asked = {"and": f"({column}.gte.{start},{column}.lt.{end})"} | where
+    for got in pages(_named(options), options.get("base", ""), options["table"], asked | {"order": order}, int(options.get("pagerows", PAGE_ROWS)), int(options.get("tries", 4)), float(options.get("waits", 2.0)), total):
+        n += len(got)
+        yield from got
+    if options.get("count"):
+        said = _named(options, "count")(options.get("base", ""), options["table"], asked | {"select": column})
+        if said != n:
+            raise ValueError(f"{options['table']} from {start} to {end}: {n} rows came, the server counts {said}")
+
+
 def text(value) -> str | None:
     """A JSON value as the text it is stored as: arrays joined by ``|``, empty ones null, objects as JSON."""
     if value is None or value == []:
@@ -201,14 +199,11 @@ class RestReader(DataSourceReader):
         return [Window(spans[i * len(spans) // tasks : (i + 1) * len(spans) // tasks]) for i in range(tasks)]
 
     def read(self, partition: Window) -> Iterator[tuple]:
-        column, order = self.options["column"], self.options.get("order") or self.options["column"]
         rename = json.loads(self.options.get("rename", "{}"))
         for start, end in partition.spans:
-            params = {"and": f"({column}.gte.{start},{column}.lt.{end})", "order": order} | self.where
-            for got in pages(_named(self.options), self.options.get("base", ""), self.options["table"], params, int(self.options.get("pagerows", PAGE_ROWS))):
-                for row in got:
-                    row = {rename.get(k, k): v for k, v in row.items()}
-                    yield tuple(text(row.get(c)) for c in self.columns)
+            for row in span_rows(self.options, self.where, start, end):
+                row = {rename.get(k, k): v for k, v in row.items()}
+                yield tuple(text(row.get(c)) for c in self.columns)
 
 
 def tables(openapi: dict) -> list[str]:
@@ -230,34 +225,62 @@ def count_rows(base: str, table: str, column: str, start: str, end: str, count=h
     return count(base, table, {"and": f"({column}.gte.{start},{column}.lt.{end})", "select": column})
 
 
-def fetch_days(spark, wanted: list[date], base: str, table: str, column: str, schema: str, fetch: str = "aeroperf.sources.rest:http_fetch", tasks: int = 1, tries: int = 4, wait_s: float = 2.0):
+class Fetched(NamedTuple):
+    """Fetched days, both read from the one table that they were written to."""
+
+    rows: DataFrame
+    days: DataFrame
+
+    def discard(self) -> None:
+        """Delete the table, once nothing reads it any more."""
+        spark = self.rows.sparkSession
+        for name in {f.rsplit("/", 1)[0] for f in self.rows.inputFiles()}:
+            at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def day_rows(options: dict, names: list[str], day: str) -> Iterator[tuple]:
+    """(day, False, None, values) for each row of a day and (day, True, error, nulls) at its end; a day that fails has no rows."""
+    after = (date.fromisoformat(day) + timedelta(days=1)).isoformat()
+    rows, error = [], None
+    try:
+        rows = list(span_rows(options, {}, day, after))
+    except (OSError, ValueError) as e:
+        error = str(e)
+    for r in rows:
+        yield (day, False, None, *[text(r.get(c)) for c in names])
+    yield (day, True, error, *[None] * len(names))
+
+
+def fetched(marked: DataFrame) -> Fetched:
+    """Rows of days, and a line for each day: day, n, status (ok, empty or failed), error."""
+    status = F.when(F.max("_error").isNotNull(), "failed").when(F.count("*") == 1, "empty").otherwise("ok")
+    lines = marked.groupBy(F.col("_day").alias("day")).agg((F.count("*") - 1).alias("n"), status.alias("status"), F.max("_error").alias("error"))
+    return Fetched(marked.where("not _end").drop("_end", "_error"), lines)
+
+
+def fetch_days(spark, wanted: list[date], base: str, table: str, column: str, schema: str, fetch: str = "aeroperf.sources.rest:http_fetch", tasks: int = 1, tries: int = 4, wait_s: float = 2.0, identity: tuple[str, ...] = (), count: str = "") -> Fetched:
     """(rows, days): the rows of each day with their _day, and one line a day: day, n, status (ok, empty or failed), error.
 
     A day that fails after ``tries`` has no rows and says so, so that it is
-    told from one without traffic; the others go on. ``tasks`` bounds the
-    requests that run at a time. The rows are fetched once, and held.
+    told from one without traffic; the others go on. A day of more than one
+    page fails without ``identity`` columns, and one whose rows are not as many
+    as the server's ``count`` says. ``tasks`` bounds the requests that run at a
+    time. What came is written once, and rows and lines are read from that.
     """
-    from pyspark.sql import functions as F
+    from aeroperf.sinks.files import scratch
 
     names = [f.name for f in T.StructType.fromDDL(schema).fields]
+    options = {"base": base, "table": table, "column": column, "fetch": fetch, "tries": str(tries), "waits": str(wait_s), "identity": ",".join(identity), "count": count}
 
     def run(batches):
         import pandas as pd
 
         for batch in batches:
             for day in batch["_day"]:
-                after = (date.fromisoformat(day) + timedelta(days=1)).isoformat()
-                rows, error = [], None
-                try:
-                    for got in pages(_named({"fetch": fetch}), base, table, {"and": f"({column}.gte.{day},{column}.lt.{after})", "order": column}, tries=tries, wait_s=wait_s):
-                        rows += got
-                except (OSError, ValueError) as e:
-                    rows, error = [], str(e)
-                out = [(day, False, None, *[text(r.get(c)) for c in names]) for r in rows] + [(day, True, error, *[None] * len(names))]
-                yield pd.DataFrame(out, columns=["_day", "_end", "_error", *names], dtype=object)
+                yield pd.DataFrame(list(day_rows(options, names, day)), columns=["_day", "_end", "_error", *names], dtype=object)
 
     days_wanted = spark.createDataFrame([(d.isoformat(),) for d in wanted], "_day string").repartition(max(1, min(tasks, len(wanted) or 1)))
-    got = days_wanted.mapInPandas(run, f"_day string, _end boolean, _error string, {schema}").persist()
-    rows = got.where("not _end").select("_day", *names)
-    status = F.when(F.max("_error").isNotNull(), "failed").when(F.count("*") == 1, "empty").otherwise("ok")
-    return rows, got.groupBy(F.col("_day").alias("day")).agg((F.count("*") - 1).alias("n"), status.alias("status"), F.max("_error").alias("error"))
+    path, kinds = scratch(spark, "fetched"), f"_day string, _end boolean, _error string, {schema}"
+    days_wanted.mapInPandas(run, kinds).write.parquet(path)
+    return fetched(spark.read.schema(kinds).parquet(path))

@@ -11,6 +11,7 @@ from aeroperf.sinks import files
 from aeroperf.sinks.incremental import DailyTable, IncrementalTable, merged_update, prepare_months
 from aeroperf.sources import catalog, delimited, json_dir, parquet, rest
 from aeroperf.streaming import sessions
+from tests import rest_server
 
 
 def test_ragged_rows_keep_their_extra_field(spark, tmp_path):
@@ -50,7 +51,7 @@ def test_rest_source_pages_every_month(spark, tmp_path):
     rows = [{"id": i, "dt_dia": f"2025-{1 + i % 3:02d}-10", "units": ["a", "b"] if i % 2 else []} for i in range(25)]
     (tmp_path / "flights.json").write_text(json.dumps(rows))
     spark.dataSource.register(rest.RestSource)
-    options = {"base": str(tmp_path), "table": "flights", "column": "dt_dia", "start": "2025-01-01", "end": "2025-03-01", "order": "dt_dia,id", "fetch": "aeroperf.sources.rest:folder_fetch", "pagerows": "4", "rename": json.dumps({"units": "li_orgaos"})}
+    options = {"base": str(tmp_path), "table": "flights", "column": "dt_dia", "start": "2025-01-01", "end": "2025-03-01", "order": "dt_dia,id", "fetch": "tests.rest_server:folder_fetch", "pagerows": "4", "rename": json.dumps({"units": "li_orgaos"})}
     df = spark.read.format("rest").schema("id string, dt_dia string, li_orgaos string").options(**options).load()
     got = df.collect()
     assert sorted(int(r.id) for r in got) == [i for i in range(25) if i % 3 < 2]
@@ -59,7 +60,7 @@ def test_rest_source_pages_every_month(spark, tmp_path):
     assert rest.tables({"paths": {"/": 1, "/b": 1, "/a": 1, "/rpc/f": 1}}) == ["a", "b"]
 
 
-REST = {"table": "f", "column": "dt", "start": "2025-01-01", "end": "2025-02-01", "fetch": "aeroperf.sources.rest:folder_fetch"}
+REST = {"table": "f", "column": "dt", "start": "2025-01-01", "end": "2025-02-01", "fetch": "tests.rest_server:folder_fetch"}
 
 
 def test_filters_sent_along_lose_no_row(spark, tmp_path):
@@ -81,13 +82,13 @@ def test_filters_sent_along_lose_no_row(spark, tmp_path):
 def test_counts_and_days_of_a_server(spark, tmp_path):
     rows = [{"d": f"2025-01-{day:02d}T10:00:00", "v": i} for day in (1, 3) for i in range(day)]
     (tmp_path / "t.json").write_text(json.dumps(rows))
-    assert rest.count_rows(str(tmp_path), "t", "d", "2025-01-01", "2025-01-02", rest.folder_count) == 1
+    assert rest.count_rows(str(tmp_path), "t", "d", "2025-01-01", "2025-01-02", rest_server.folder_count) == 1
     spark.dataSource.register(rest.RestSource)
     df = spark.read.format("rest").schema("d string").options(**REST | {"table": "t", "column": "d"}, base=str(tmp_path), grain="day", tasks="2").load()
     assert df.count() == 4 and df.rdd.getNumPartitions() == 2
-    got, days = rest.fetch_days(spark, [date(2025, 1, d) for d in (1, 2, 3)], str(tmp_path), "t", "d", "d string, v string", "aeroperf.sources.rest:folder_fetch")
+    got, days = rest.fetch_days(spark, [date(2025, 1, d) for d in (1, 2, 3)], str(tmp_path), "t", "d", "d string, v string", "tests.rest_server:folder_fetch")
     assert got.count() == 4 and {(r.day, r.n, r.status) for r in days.collect()} == {("2025-01-01", 1, "ok"), ("2025-01-02", 0, "empty"), ("2025-01-03", 3, "ok")}
-    got, days = rest.fetch_days(spark, [date(2025, 1, 1)], str(tmp_path / "none"), "t", "d", "d string", "aeroperf.sources.rest:folder_fetch", tries=1)
+    got, days = rest.fetch_days(spark, [date(2025, 1, 1)], str(tmp_path / "none"), "t", "d", "d string", "tests.rest_server:folder_fetch", tries=1)
     (day,) = days.collect()
     assert got.count() == 0 and day.status == "failed" and day.n == 0 and "none" in day.error
 
@@ -98,7 +99,7 @@ def test_daily_table_goes_on_where_it_stopped(spark, tmp_path):
 
     def fetch(wanted):
         asked.append(len(wanted))
-        return rest.fetch_days(spark, wanted, str(tmp_path), "t", "d", "v string", "aeroperf.sources.rest:folder_fetch")
+        return rest.fetch_days(spark, wanted, str(tmp_path), "t", "d", "v string", "tests.rest_server:folder_fetch")
 
     got = table.refresh(fetch, date(2025, 1, 1), date(2025, 1, 4), every=3)
     assert asked == [3, 1] and {(r.day, r.status) for r in got.collect()} == {("2025-01-01", "ok"), ("2025-01-02", "empty"), ("2025-01-03", "ok"), ("2025-01-04", "empty")}
