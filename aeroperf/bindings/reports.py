@@ -15,7 +15,7 @@ from aeroperf.operators import compare, coverage, dedup, islands, nearest, nearp
 from aeroperf.plans import flights, taxi, terminal
 from aeroperf.sinks import files, incremental
 from aeroperf.sources import delimited, parquet
-from aeroperf.streaming import sessions
+from aeroperf.streaming import sessions, stateful
 
 # --- two sources --------------------------------------------------------------------------------------------------
 
@@ -277,7 +277,7 @@ def spark_of(df: DataFrame):
 def _(t):
     out = t("orders").select(F.col("o_orderkey").cast("string").alias("id"), F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")).alias("priority"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), F.concat(F.lit("; "), "o_orderstatus", F.lit('"')).alias("odd"))
     path = files.scratch(spark_of(out), "delimited")
-    out.write.option("sep", ";").option("header", True).option("quoteAll", True).option("escape", '"').option("nullValue", "").option("emptyValue", "").csv(path)
+    files.write_delimited(out, path)
     return delimited.read_delimited(spark_of(out), path, ["id", "priority", "day", "odd"])
 
 
@@ -293,7 +293,7 @@ def _(t):
 def _(t):
     out = t("part").select("p_partkey", F.nullif(F.col("p_size"), F.lit(7)).alias("size"), F.round("p_retailprice", 2).alias("price"))
     path = files.scratch(spark_of(out), "typed")
-    out.write.option("header", True).option("nullValue", "NA").csv(path)
+    files.write_delimited(out, path, sep=",", quote_all=False, null="NA")
     return delimited.read_typed(spark_of(out), path, "p_partkey long, size int, price double")
 
 
@@ -314,18 +314,35 @@ def _(t):
     return spark_of(orders).read.parquet(path).select("o_orderkey", "YEAR", "status")
 
 
-@bind("month_table", """WITH o AS (SELECT o_custkey, o_orderdate, o_orderkey, strftime(o_orderdate, '%Y-%m') AS m FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderdate < TIMESTAMP '1996-04-01')
-SELECT o_custkey, o_orderkey, m AS month_of FROM (SELECT *, row_number() OVER (PARTITION BY m, o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS n FROM o WHERE m <> '1996-02') WHERE n = 1""")
-def _(t):
-    orders = t("orders").select("o_custkey", "o_orderkey", F.col("o_orderdate").cast("timestamp").alias("ts"))
+MONTHS_SQL = """WITH o AS (SELECT o_custkey, o_orderdate, o_orderkey, strftime(o_orderdate, '%Y-%m') AS m FROM orders),
+k AS (SELECT *, row_number() OVER (PARTITION BY m, o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS n FROM o)"""
+
+
+def stored_months(t: Reader, extra: tuple[str, ...] = ()):
+    """A month table of all orders, of which one month is then fetched again without a row; (the table, its months)."""
+    orders = t("orders").select("o_custkey", "o_orderkey", F.col("o_orderdate").cast("timestamp").alias("ts"), *extra)
     spark = spark_of(orders)
-    table = incremental.IncrementalTable(spark, files.scratch(spark, "months"), "ts", ("o_custkey",), ("ts", "o_orderkey"))
-    months = [(1996, m) for m in (1, 2, 3)]
-    fetch = lambda year, month: orders.where((F.year("ts") == year) & (F.month("ts") == month))
-    for year, month in months:
-        table.store(fetch(year, month), [(year, month)], "1996-04-01")
-    table.store(orders.limit(0), [(1996, 2)], "1996-04-02")  # fetched again, and now without a row
-    return table.rows().select("o_custkey", "o_orderkey", F.date_format("ts", "yyyy-MM").alias("month_of"))
+    table = incremental.IncrementalTable(spark, files.scratch(spark, "months"), "ts", ("o_custkey", "year", "month"), ("ts", "o_orderkey"))
+    months = sorted({(r.y, r.m) for r in orders.select(F.year("ts").alias("y"), F.month("ts").alias("m")).distinct().collect()} | {(1996, 2)})
+    table.store(orders, months, "1999-01-01")
+    table.store(orders.limit(0), [(1996, 2)], "1999-01-02")
+    return table, months
+
+
+@bind("month_table", f"{MONTHS_SQL} SELECT o_custkey, o_orderkey, m AS month_of FROM k WHERE n = 1 AND m <> '1996-02'")
+def _(t):
+    return stored_months(t)[0].rows().select("o_custkey", "o_orderkey", F.date_format("ts", "yyyy-MM").alias("month_of"))
+
+
+@bind("month_table_by_version", f"{MONTHS_SQL} SELECT v.v AS version, o_custkey, o_orderkey FROM k, (VALUES (0), (1)) AS v(v) WHERE n = 1 AND (v.v = 0 OR m <> '1996-02')")
+def _(t):
+    table, _ = stored_months(t)
+    return table.rows(0).select(F.lit(0).alias("version"), "o_custkey", "o_orderkey").unionByName(table.rows(1).select(F.lit(1).alias("version"), "o_custkey", "o_orderkey"))
+
+
+@bind("month_manifest", f"{MONTHS_SQL}, c AS (SELECT m, count(*) AS n, count(DISTINCT o_orderdate::DATE) AS days FROM k WHERE n = 1 GROUP BY m) SELECT m AS month_of, CASE WHEN m = '1996-02' THEN 0 ELSE n END AS n, CASE WHEN m = '1996-02' THEN 0 ELSE days END AS days, CASE WHEN m = '1996-02' THEN '1999-01-02' ELSE '1999-01-01' END AS checked_at FROM c")
+def _(t):
+    return stored_months(t)[0].manifest().select(F.format_string("%04d-%02d", "year", "month").alias("month_of"), "n", F.col("days").cast("long").alias("days"), "checked_at")
 
 
 @bind("refetched_months", """WITH o AS (SELECT o_orderkey, o_custkey, o_orderdate, o_orderstatus FROM orders), n AS (SELECT o_orderkey, o_custkey, o_orderdate, 'new' AS o_orderstatus FROM orders WHERE strftime(o_orderdate, '%Y-%m') = '1996-02' AND o_custkey % 2 = 0)
@@ -365,3 +382,33 @@ def _(t):
     out = sessions.daily_counts(t("events"), "ts", ("event_type",), "1 day")
     return out.withColumn("day", F.col("day").cast("string"))
 
+
+
+def streamed(t: Reader, table: str, parts: int, apply, name: str) -> DataFrame:
+    """All changes of a stream over a table that comes in ``parts`` files, mixed in time, a micro-batch each."""
+    rows = t(table)
+    spark = spark_of(rows)
+    source, out, checkpoint = (files.scratch(spark, f"{name}-{x}") for x in ("source", "changes", "checkpoint"))
+    rows = apply(rows, None)
+    rows.withColumn("_part", F.pmod(F.xxhash64(*rows.columns), F.lit(parts))).repartition(parts, "_part").drop("_part").write.parquet(source)
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.withColumn("batch", F.lit(number)).write.mode("overwrite").parquet(f"{out}/batch_{number:06d}")
+
+    with stateful.with_state_store(spark):
+        stream = apply(None, spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source))
+        stream.writeStream.foreachBatch(write).outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.option("recursiveFileLookup", True).parquet(out)
+
+
+@bind("stream_islands_merge", f"WITH {VISITS_SQL} {MERGED_SQL}")
+def _(t):
+    changes = streamed(t, "events", 3, lambda df, stream: visits(lambda _: df) if stream is None else stateful.merged_islands(stream, VISIT, "400 days"), "islands")
+    return spelled(stateful.amended(changes, ("user_id", "island_id"), ("batch",)))
+
+
+@bind("stream_keep_last", "SELECT user_id, max_by(event_id, row(ts, event_id)) AS event_id, max_by(event_type, row(ts, event_id)) AS event_type FROM events GROUP BY ALL")
+def _(t):
+    narrow = lambda df: df.select("user_id", "event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    changes = streamed(t, "events", 3, lambda df, stream: narrow(df) if stream is None else stateful.keep_last(stream, ("user_id",), "ts", ("ts", "event_id"), "400 days", 400 * 86_400_000), "last")
+    return stateful.amended(changes, ("user_id",), ("batch",)).select("user_id", "event_id", "event_type")
