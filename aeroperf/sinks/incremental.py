@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aeroperf.operators.dedup import keep_one
+from aeroperf.sinks.files import scratch
 from aeroperf.sinks.snapshot import SnapshotTable
-from aeroperf.sources.rest import Fetched
+from aeroperf.sources.rest import Fetched, fetched
 
 
 def _hadoop(spark: SparkSession, path: str):
@@ -121,6 +122,23 @@ class DailyTable:
         return self.manifest()
 
 
+    def follow(self, stream: DataFrame, checkpoint: str, today: Callable[[], str] = lambda: date.today().isoformat()):
+        """A stream of ``RestSource`` with _day and _end into the table, by day; returns the writer, not started.
+
+        A batch is fetched once and written, and its days are published in one
+        version that names the batch: one that is run again changes nothing.
+        """
+
+        def write(batch: DataFrame, number: int) -> None:
+            path = scratch(self.spark, "streamed-days")
+            batch.write.parquet(path)
+            got = fetched(self.spark.read.schema(batch.schema).parquet(path))
+            self.store(*got, today(), batch=(checkpoint, number))
+            got.discard()
+
+        return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+
+
 def prepare_months(spark: SparkSession, path: str, prepare: Callable[[int, int], DataFrame], years: tuple[int, ...], as_of: date, months: tuple[int, ...] | None = None, force: bool = False) -> list[tuple[int, int]]:
     """Write ``prepare(year, month)`` below ``path``/year=/month= for each closed month that is not there yet; the months written.
 

@@ -17,13 +17,13 @@ import re
 import time
 from collections.abc import Iterator
 from dataclasses import dataclass
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta, timezone
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, GreaterThan, GreaterThanOrEqual, In, InputPartition, IsNull, LessThan, LessThanOrEqual, StringContains, StringStartsWith
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, EqualTo, GreaterThan, GreaterThanOrEqual, In, InputPartition, IsNull, LessThan, LessThanOrEqual, StringContains, StringStartsWith
 
 #: Comparisons whose answer hangs on an order, which the server may see in another way.
 ORDERED = (GreaterThan, GreaterThanOrEqual, LessThan, LessThanOrEqual)
@@ -130,6 +130,9 @@ class RestSource(DataSource):
     def reader(self, schema: T.StructType) -> DataSourceReader:
         return RestReader(schema, dict(self.options))
 
+    def streamReader(self, schema: T.StructType) -> DataSourceStreamReader:
+        return RestStreamReader(schema, dict(self.options))
+
 
 def _named(options, what: str = "fetch"):
     module, _, name = options.get(what, "aeroperf.sources.rest:http_fetch").partition(":")
@@ -206,6 +209,50 @@ class RestReader(DataSourceReader):
                 yield tuple(text(row.get(c)) for c in self.columns)
 
 
+class RestStreamReader(DataSourceStreamReader):
+    """``spark.readStream.format("rest")``: days as they come, each again until it is closed.
+
+    An offset says which day is the first still open, and until when was asked.
+    A batch fetches all days that were open at its start, up to now: with
+    ``open`` = 1 (the default) today, and, after midnight, yesterday once more.
+    So the batch of an offset is always the same days, a batch that is run
+    again loses nothing, and a sink that replaces days repeats nothing. The
+    column ``_day`` of the schema, if there is one, gets the day, and ``_end`` is
+    true for one more row at the end of each day, also of one without rows. A
+    day that cannot be fetched fails the batch. ``clock`` names a function of
+    ``base`` that says the time in ISO form.
+    """
+
+    def __init__(self, schema: T.StructType, options: dict):
+        self.columns, self.options = [f.name for f in schema.fields], options
+
+    def initialOffset(self) -> dict:
+        return {"open": self.options["start"], "asked": ""}
+
+    def latestOffset(self) -> dict:
+        now = _named(self.options, "clock")(self.options.get("base", "")) if self.options.get("clock") else datetime.now(timezone.utc).isoformat()
+        first = date.fromisoformat(now[:10]) - timedelta(days=int(self.options.get("open", "1")) - 1)
+        return {"open": max(self.options["start"], first.isoformat()), "asked": now}
+
+    def partitions(self, start: dict, end: dict) -> list[InputPartition]:
+        first, last = date.fromisoformat(start["open"]), date.fromisoformat(end["asked"][:10])
+        spans = [(a.isoformat(), b.isoformat()) for a, b in days(first, last + timedelta(days=1))]
+        tasks = min(len(spans), int(self.options.get("tasks", len(spans))))
+        return [Window(spans[i * len(spans) // tasks : (i + 1) * len(spans) // tasks]) for i in range(tasks)]
+
+    def read(self, partition: Window) -> Iterator[tuple]:
+        rename = json.loads(self.options.get("rename", "{}"))
+        for start, end in partition.spans:
+            for row in span_rows(self.options, {}, start, end):
+                row = {rename.get(k, k): v for k, v in row.items()}
+                yield tuple(start if c == "_day" else False if c == "_end" else text(row.get(c)) for c in self.columns)
+            if "_end" in self.columns:
+                yield tuple({"_day": start, "_end": True}.get(c) for c in self.columns)
+
+    def commit(self, end: dict) -> None:
+        pass
+
+
 def tables(openapi: dict) -> list[str]:
     """Tables that a server's OpenAPI document lists."""
     return sorted(p.strip("/") for p in openapi.get("paths", {}) if p.strip("/") and not p.startswith("/rpc/"))
@@ -254,6 +301,8 @@ def day_rows(options: dict, names: list[str], day: str) -> Iterator[tuple]:
 
 def fetched(marked: DataFrame) -> Fetched:
     """Rows of days, and a line for each day: day, n, status (ok, empty or failed), error."""
+    if "_error" not in marked.columns:
+        marked = marked.withColumn("_error", F.lit(None).cast("string"))
     status = F.when(F.max("_error").isNotNull(), "failed").when(F.count("*") == 1, "empty").otherwise("ok")
     lines = marked.groupBy(F.col("_day").alias("day")).agg((F.count("*") - 1).alias("n"), status.alias("status"), F.max("_error").alias("error"))
     return Fetched(marked.where("not _end").drop("_end", "_error"), lines)

@@ -52,3 +52,8 @@ def folder_fetch(base: str, table: str, params: dict[str, str]) -> list[dict]:
     rows = sorted(rows, key=lambda r: [str(r.get(c, "")) for c in order])
     at = int(params.get("offset", 0))
     return rows[at : at + int(params.get("limit", PAGE_ROWS))]
+
+
+def clock(base: str) -> str:
+    with open(f"{base}/clock") as f:
+        return f.read()
