@@ -175,17 +175,24 @@ def _(t):
 FILLED = "arg_min({0}, ({1})) FILTER (WHERE {0} IS NOT NULL AND trim({0}::VARCHAR) <> '')"
 
 
-@bind("collapse_same_key", f"""
+COLLAPSED_SQL = f"""
 WITH r AS (SELECT CASE WHEN l_orderkey % 11 <> 0 THEN CASE WHEN l_quantity > 25 THEN 'k' ELSE 'K' END || l_orderkey || '-' || l_linenumber END AS k, l_returnflag || ', ' || l_linestatus || '|' AS flags,
   CASE WHEN l_discount > 0.02 THEN l_discount END AS discount, l_partkey, row(l_shipdate, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax) AS o FROM lineitem),
 m AS (SELECT arg_min(k, o) AS k, array_to_string(list_sort(list_distinct(list_filter(flatten(list(list_transform(string_split_regex(flags, '[|,]'), lambda x: trim(x)))), lambda x: x <> ''))), '|') AS flags,
   arg_min(discount, o) FILTER (WHERE discount IS NOT NULL) AS discount, arg_min(l_partkey, o) AS l_partkey, count(*) AS "N_KEY_MERGED" FROM r WHERE k IS NOT NULL GROUP BY upper(k))
-SELECT * FROM m UNION ALL SELECT k, array_to_string(list_sort(list_distinct(list_filter(list_transform(string_split_regex(flags, '[|,]'), lambda x: trim(x)), lambda x: x <> ''))), '|'), discount, l_partkey, 1 FROM r WHERE k IS NULL""")
-def _(t):
+SELECT * FROM m UNION ALL SELECT k, array_to_string(list_sort(list_distinct(list_filter(list_transform(string_split_regex(flags, '[|,]'), lambda x: trim(x)), lambda x: x <> ''))), '|'), discount, l_partkey, 1 FROM r WHERE k IS NULL"""
+
+
+def collapsed(t: Reader, split: bool = False) -> DataFrame:
     key = F.when(F.col("l_orderkey") % 11 != 0, F.concat(F.when(F.col("l_quantity") > 25, "k").otherwise("K"), F.col("l_orderkey"), F.lit("-"), F.col("l_linenumber")))
     order = ("l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
     df = t("lineitem").select(key.alias("k"), F.concat("l_returnflag", F.lit(", "), "l_linestatus", F.lit("|")).alias("flags"), F.when(F.col("l_discount") > 0.02, F.col("l_discount")).alias("discount"), *order)
-    return collapse.collapse_same_key(df, "k", order, ("flags",)).select("k", "flags", "discount", "l_partkey", "N_KEY_MERGED")
+    return collapse.collapse_same_key(df, "k", order, ("flags",), split=split).select("k", "flags", "discount", "l_partkey", "N_KEY_MERGED")
+
+
+@bind("collapse_same_key", COLLAPSED_SQL)
+def _(t):
+    return collapsed(t)
 
 
 @bind("canonical_list", """
@@ -220,8 +227,11 @@ def spelled(df: DataFrame) -> DataFrame:
     return df.select("user_id", stamp(F.col("s")).alias("s"), stamp(F.col("e")).alias("e"), "types", "kind", "props", "N_MERGED", "MERGED_IDS", "ZERO_SPAN_ONLY", F.round("SPAN_MIN", 4).alias("SPAN_MIN"))
 
 
-@bind("islands_edges", f"""WITH {VISITS_SQL}, l AS (SELECT event_id AS row_id, lag(event_id) OVER p AS partner_id, (epoch_us(s) - epoch_us(max(e) OVER (PARTITION BY user_id, island ORDER BY s, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))) / 60e6 AS gap
-  FROM isl WINDOW p AS (PARTITION BY user_id, island ORDER BY s, event_id)) SELECT row_id, partner_id, round(gap, 4) AS gap_min FROM l WHERE partner_id IS NOT NULL""")
+EDGES_SQL = f"""WITH {VISITS_SQL}, l AS (SELECT event_id AS row_id, lag(event_id) OVER p AS partner_id, (epoch_us(s) - epoch_us(max(e) OVER (PARTITION BY user_id, island ORDER BY s, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))) / 60e6 AS gap
+  FROM isl WINDOW p AS (PARTITION BY user_id, island ORDER BY s, event_id)) SELECT row_id, partner_id, round(gap, 4) AS gap_min FROM l WHERE partner_id IS NOT NULL"""
+
+
+@bind("islands_edges", EDGES_SQL)
 def _(t):
     return rounded(islands.edges(visits(t), VISIT, "event_id"))
 

@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aeroperf.bindings.driver import MATCH, MERGED_SQL, NEAR_SQL, PAIRS_SQL, VERSIONS_SQL, VISIT, VISITS_SQL, Reader, bind, clicks, purchases, record_pairs, records, rounded, spelled, stamp, versions, visits
+from aeroperf.bindings.driver import COLLAPSED_SQL, EDGES_SQL, MATCH, MERGED_SQL, NEAR_SQL, PAIRS_SQL, VERSIONS_SQL, VISIT, VISITS_SQL, Reader, bind, clicks, collapsed, purchases, record_pairs, records, rounded, spelled, stamp, versions, visits
 from aeroperf.config import MatchSpec
 from aeroperf.functions import time
 from aeroperf.operators import compare, coverage, dedup, islands, nearest, nearpairs
@@ -165,6 +165,23 @@ def _(t):
     return spelled(islands.merged(visits(t), replace(VISIT, split_by="day")))
 
 
+@bind("islands_edges_split", EDGES_SQL)
+def _(t):
+    return rounded(islands.edges(visits(t), replace(VISIT, split_by="day"), "event_id"))
+
+
+@bind("collapse_same_key_split", COLLAPSED_SQL)
+def _(t):
+    return collapsed(t, split=True)
+
+
+@bind("numbered_split", "SELECT l_orderkey, l_linenumber, row_number() OVER (PARTITION BY l_returnflag ORDER BY l_shipdate, l_orderkey, l_linenumber) AS seq FROM lineitem")
+def _(t):
+    rows = t("lineitem").select("l_returnflag", "l_shipdate", "l_orderkey", "l_linenumber")
+    out = dedup.numbered(rows, ("l_returnflag",), [F.col(c).asc() for c in ("l_shipdate", "l_orderkey", "l_linenumber")], split=True)
+    return out.select("l_orderkey", "l_linenumber", F.col("seq").cast("long").alias("seq"))
+
+
 @bind("nearest_one_to_one_split", f"WITH {NEAR_SQL} SELECT user_id, left_id, right_id, round(d, 4) AS diff_min FROM m")
 def _(t):
     return rounded(nearest.match(purchases(t), clicks(t), replace(MATCH, split_by="day")).select("user_id", "left_id", "right_id", "diff_min"))

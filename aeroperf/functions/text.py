@@ -97,7 +97,11 @@ def flat_array(c: Column, sep: str = "|") -> Column:
     return F.when(F.size(c) > 0, F.array_join(c, sep))
 
 
+def filled(c: Column) -> Column:
+    """Whether a value is neither null nor blank."""
+    return c.isNotNull() & (trimmed(c.cast("string")) != "")
+
+
 def first_filled(c: Column, order: Column) -> Column:
     """Aggregate: the first value in ``order`` that is neither null nor blank; null when there is none."""
-    filled = c.isNotNull() & (trimmed(c.cast("string")) != "")
-    return F.min_by(c, F.when(filled, order))
+    return F.min_by(c, F.when(filled(c), order))

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from aeroperf.operators.ordered import places
+
 
 def _columns(order: tuple[str, ...], last: bool) -> list[Column]:
     return [F.col(c).desc_nulls_last() if last else F.col(c).asc_nulls_first() for c in order]
@@ -39,8 +41,10 @@ def distinct_rows(df: DataFrame, ignore: tuple[str, ...]) -> DataFrame:
     return df.groupBy(*[c for c in df.columns if c not in ignore]).agg(*[F.min(c).alias(c) for c in ignore]).select(*df.columns)
 
 
-def numbered(df: DataFrame, key: tuple[str, ...], order: list[Column], name: str = "seq") -> DataFrame:
-    """Adds the place of a row within its key, from 1."""
+def numbered(df: DataFrame, key: tuple[str, ...], order: list[Column], name: str = "seq", split: bool = False) -> DataFrame:
+    """Adds the place of a row within its key, from 1. ``split`` deals the rows of keys that no task should sort to many, by range (rows of equal ``order`` then stand in any order, as in a window)."""
+    if split:
+        return places(df, list(key), order, name)
     return df.withColumn(name, F.row_number().over(Window.partitionBy(*key).orderBy(*order)))
 
 

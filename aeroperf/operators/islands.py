@@ -8,10 +8,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aeroperf.config import MergeSpec
-from aeroperf.functions.text import clean, first_filled, union_of_lists
+from aeroperf.functions.text import clean, first_filled
 from aeroperf.functions.time import minutes_between
 from aeroperf.operators.components import cut_lineage
 from aeroperf.operators.kpi import percentiles
+from aeroperf.operators.ordered import carried, filled_state, in_two_steps, joined_state, total, union_state
 
 
 def _prepared(df: DataFrame, spec: MergeSpec) -> DataFrame:
@@ -53,33 +54,31 @@ def chain(df: DataFrame, spec: MergeSpec, gap: Column | None = None, also: tuple
     return out.drop("_before", "_new")
 
 
-def _with_carry(out: DataFrame, keys: list[str], value: Column, name: str, total) -> DataFrame:
-    """Adds ``total`` of ``value`` over all earlier parts of a key: one row a part goes through a window, not the rows."""
-    by = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = out.groupBy(*keys, "_part").agg(total(value).alias("_v")).withColumn(name, total("_v").over(by))
-    right = parts.select(*[F.col(k).alias(f"_r{i}") for i, k in enumerate([*keys, "_part"])], name)
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r{i}")) for i, k in enumerate([*keys, "_part"])])
-    return out.join(right, same, "left").drop(*[f"_r{i}" for i in range(len(keys) + 1)])
-
-
 def _chained_in_parts(out: DataFrame, keys: list[str], spec: MergeSpec, ok: Column, new: Column) -> DataFrame:
     """The same islands with a key's rows cut by time: windows within a part, and a carry from the parts before."""
     out = out.withColumn("_part", F.date_trunc(spec.split_by, "_s"))
     by = Window.partitionBy(*keys, "_part").orderBy(*_order(spec))
-    out = _with_carry(out, keys, F.col("_e"), "_reach", F.max)
+    out = carried(out, keys, "_part", {"_reach": (F.col("_e"), F.max)})
     before = F.greatest(F.max("_e").over(by.rowsBetween(Window.unboundedPreceding, -1)), F.col("_reach"))
     out = out.withColumn("_before", before).withColumn("_new", new)
-    out = _with_carry(out, keys, F.col("_new"), "_opened", F.sum)
+    out = carried(out, keys, "_part", {"_opened": (F.col("_new"), F.sum)})
     within = F.sum("_new").over(by.rowsBetween(Window.unboundedPreceding, 0))
     out = out.withColumn("island", F.when(ok, within + F.coalesce("_opened", F.lit(0))))
     return out.drop("_part", "_reach", "_before", "_new", "_opened")
 
 
 def edges(df: DataFrame, spec: MergeSpec, row_id: str) -> DataFrame:
-    """Edges between consecutive records of an island: row_id, partner_id, gap_min (negative where they overlap)."""
-    by = Window.partitionBy(*spec.key, "_lone", "island").orderBy(*_order(spec))
-    held = F.max("_e").over(by.rowsBetween(Window.unboundedPreceding, -1))
-    out = chain(df, spec).where("island is not null").withColumns({"partner_id": F.lag(row_id).over(by), "gap_min": minutes_between(F.col("_s"), held)})
+    """Edges between consecutive records of an island: row_id, partner_id, gap_min (negative where they overlap). With ``split_by``, a window ends with a part, and what stands last in the parts before is carried in."""
+    out = chain(df, spec).where("island is not null")
+    group = [*spec.key, "_lone", "island"]
+    if spec.split_by:
+        place = F.struct("_s", *spec.order, F.col(row_id).alias("_row"))
+        out = carried(out.withColumn("_part", F.date_trunc(spec.split_by, "_s")), group, "_part", {"_last": (place, F.max), "_reach": (F.col("_e"), F.max)})
+    by = Window.partitionBy(*group, *(["_part"] if spec.split_by else [])).orderBy(*_order(spec))
+    before, held = F.lag(row_id).over(by), F.max("_e").over(by.rowsBetween(Window.unboundedPreceding, -1))
+    if spec.split_by:
+        before, held = F.coalesce(before, F.col("_last._row")), F.greatest(held, F.col("_reach"))
+    out = out.withColumns({"partner_id": before, "gap_min": minutes_between(F.col("_s"), held)})
     return out.where("partner_id is not null").select(F.col(row_id).alias("row_id"), "partner_id", "gap_min")
 
 
@@ -97,24 +96,28 @@ def merged(df: DataFrame, spec: MergeSpec, islands: DataFrame | None = None) ->
     lists the identities in the merge's order; where a row was merged before
     (it has the columns N_MERGED and MERGED_IDS) counts are added up and the
     lists joined, so that merging again loses nothing and, alone, changes nothing.
+    With ``split_by`` an island's records are dealt by their order to as many
+    tasks as they need, and states of a bounded size are put together.
     """
     got = chain(df, spec) if islands is None else islands
     again = "N_MERGED" in df.columns
     by = merge_order(spec)
     records = F.coalesce(F.sum("N_MERGED"), F.count("*")) if again else F.count("*")
-    aggs = [F.min("_s").alias(spec.start), F.max("_e").alias(spec.end)]
-    aggs += [union_of_lists(F.col(c)).alias(c) for c in spec.union_cols] + [first_filled(F.col(c), by).alias(c) for c in spec.filled_cols]
-    aggs += [records.cast("long").alias("N_MERGED"), F.count("*").alias("_rows"), F.bool_and(F.col("_s") == F.col("_e")).alias("_zero")]
+    states = [total(spec.start, F.min("_s"), F.min), total(spec.end, F.max("_e"), F.max), *map(union_state, spec.union_cols), *[filled_state(c, by) for c in spec.filled_cols]]
+    states += [total("N_MERGED", records.cast("long")), total("_rows", F.count("*")), total("_zero", F.bool_and(F.col("_s") == F.col("_e")), F.bool_and)]
     if again:
-        aggs.append(F.min("ZERO_SPAN_ONLY").alias("_zero_before"))
+        states.append(total("_zero_before", F.min("ZERO_SPAN_ONLY"), F.min))
     if spec.identity:
         name = F.coalesce(F.col("MERGED_IDS"), F.col(spec.identity).cast("string")) if again else F.col(spec.identity).cast("string")
-        listed = F.array_sort(F.collect_list(F.struct(by.alias("o"), name.alias("i"))))
-        aggs.append(F.array_join(F.transform(listed, lambda x: x["i"]), "|").alias("MERGED_IDS"))
-    keys = [*spec.key, "island"]
+        states.append(joined_state("MERGED_IDS", name, by))
     if "_lone" not in got.columns:
         got = got.withColumn("_lone", F.when(F.col("island").isNull(), F.xxhash64(*[F.col(c) for c in spec.order])))
-    out = got.groupBy(*keys, "_lone").agg(*aggs)
+    group = [*spec.key, "island", "_lone"]
+    if spec.split_by:
+        out = in_two_steps(got, group, [by], states)
+    else:
+        whole = {s.name: s.whole() for s in states} | {c: first_filled(F.col(c), by).alias(c) for c in spec.filled_cols}
+        out = got.groupBy(*group).agg(*whole.values())
     single = F.col("_rows") == 1
     zero = F.when(~single, F.col("_zero"))
     out = out.withColumn("ZERO_SPAN_ONLY", F.coalesce(zero, F.col("_zero_before")) if again else zero)
