@@ -4,17 +4,18 @@ from __future__ import annotations
 
 from dataclasses import replace
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aeroperf.bindings.driver import COLLAPSED_SQL, EDGES_SQL, MATCH, MERGED_SQL, NEAR_SQL, PAIRS_SQL, VERSIONS_SQL, VISIT, VISITS_SQL, Reader, bind, clicks, collapsed, purchases, record_pairs, records, rounded, spelled, stamp, versions, visits
+from aeroperf.bindings.driver import COLLAPSED_SQL, EDGES_SQL, LEG_KEY, LEG_SPEC, MATCH, MERGED_SQL, NEAR_SQL, PAIRS_SQL, VERSIONS_SQL, VISIT, VISITS_SQL, Reader, bind, clicks, collapsed, legs, purchases, record_pairs, records, rounded, spelled, stamp, versions, visits
 from aeroperf.config import MatchSpec
 from aeroperf.functions import time
-from aeroperf.operators import compare, coverage, dedup, islands, nearest, nearpairs
+from aeroperf.operators import compare, coverage, dedup, islands, nearest, nearpairs, reconcile, refstate, sides
 from aeroperf.plans import flights, taxi, terminal
 from aeroperf.sinks import files, incremental
-from aeroperf.sources import delimited, parquet
+from aeroperf.sources import catalog, delimited, parquet
 from aeroperf.streaming import sessions, stateful
 
 # --- two sources --------------------------------------------------------------------------------------------------
@@ -401,6 +402,80 @@ def _(t):
 
 
 
+# --- references from stored counts, windows scored, sides stored, files counted ---------------------------------------
+
+WINDOWS = {"year": ("1997-01-01 00:00:00", "1997-12-31 23:59:59"), "half": ("1996-07-01 00:00:00", "1996-12-31 23:59:59"), "days": ("1996-02-10 00:00:00", "1996-03-09 23:59:59"), "all": None}
+STATE_SQL = """WITH legs AS (SELECT l_returnflag, o_orderpriority, o_orderdate, date_diff('day', o_orderdate::DATE, l_shipdate::DATE) + CASE WHEN strftime(o_orderdate, '%Y-%m') = '1996-02' THEN 3 ELSE 0 END AS days FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+w(name, low, high) AS (VALUES ('year', TIMESTAMP '1997-01-01', TIMESTAMP '1997-12-31 23:59:59'), ('half', TIMESTAMP '1996-07-01', TIMESTAMP '1996-12-31 23:59:59'), ('days', TIMESTAMP '1996-02-10', TIMESTAMP '1996-03-09 23:59:59'), ('all', TIMESTAMP '1900-01-01', TIMESTAMP '2100-01-01'))
+SELECT name AS window, l_returnflag, o_orderpriority, count(*) AS n, round(quantile_cont(days, 0.2), 4) AS reference FROM legs JOIN w ON o_orderdate BETWEEN low AND high WHERE days > 0 AND days <= 120 GROUP BY ALL HAVING count(*) >= 5"""
+
+
+@bind("reference_from_state", STATE_SQL)
+def _(t):
+    """Four windows from stored counts, of which one month was fetched again with other durations."""
+    rows = legs(t).select(*LEG_KEY, "ordered", "days")
+    spark = spark_of(rows)
+    state = refstate.ReferenceState(spark, files.scratch(spark, "reference-state"), LEG_SPEC)
+    months = sorted({(r.y, r.m) for r in rows.select(F.year("ordered").alias("y"), F.month("ordered").alias("m")).distinct().collect()} | {(1996, 2)})
+    state.update(rows, months)
+    state.update(rows.where((F.year("ordered") == 1996) & (F.month("ordered") == 2)).withColumn("days", F.col("days") + 3), [(1996, 2)])
+    out = [state.reference(window).select(F.lit(name).alias("window"), "*") for name, window in WINDOWS.items()]
+    return rounded(reduce(DataFrame.unionByName, out))
+
+
+SCORES_SQL = f"""WITH r AS (SELECT l_returnflag AS flag, strftime(l_shipdate, '%Y-%m') AS month, l_shipdate, l_quantity FROM lineitem),
+g AS (SELECT flag, month, sum(l_quantity)::DOUBLE AS total FROM r GROUP BY ALL),
+c AS (SELECT 'all' AS candidate, flag, month, sum(l_quantity)::DOUBLE AS total FROM r GROUP BY ALL UNION ALL SELECT 'first_half', flag, month, sum(l_quantity)::DOUBLE FROM r WHERE day(l_shipdate) <= 15 GROUP BY ALL UNION ALL SELECT 'to_27th', flag, month, sum(l_quantity)::DOUBLE FROM r WHERE day(l_shipdate) <= 27 GROUP BY ALL)
+SELECT k.candidate, count(*) AS n, count(*) FILTER (WHERE abs(g.total - c.total) < 1e-6) AS total_ok FROM g CROSS JOIN (SELECT DISTINCT candidate FROM c) k LEFT JOIN c ON c.candidate = k.candidate AND c.flag = g.flag AND c.month = g.month GROUP BY ALL"""
+
+
+@bind("window_scores", SCORES_SQL)
+def _(t):
+    rows = t("lineitem").select(F.col("l_returnflag").alias("flag"), F.date_format("l_shipdate", "yyyy-MM").alias("month"), F.dayofmonth("l_shipdate").alias("day"), "l_quantity")
+    sums = lambda df: df.groupBy("flag", "month").agg(F.sum("l_quantity").cast("double").alias("total"))
+    candidates = {"all": sums(rows), "first_half": sums(rows.where("day <= 15")), "to_27th": sums(rows.where("day <= 27"))}
+    return reconcile.score_windows(sums(rows), candidates, ("flag", "month"), ("total",))
+
+
+@bind("stored_sides_unmatched", f"WITH {ONLY_SQL} SELECT side, o_orderkey, o_custkey FROM ol UNION ALL SELECT side, o_orderkey, o_custkey FROM orr")
+def _(t):
+    both = sides.StoredSides(*versions(t), K, buckets=8)
+    return reduce(DataFrame.unionByName, [both.only(side).select(F.lit(side).alias("side"), "o_orderkey", "o_custkey") for side in ("left", "right")])
+
+
+@bind("line_numbers", "SELECT o_orderkey::VARCHAR AS id, row_number() OVER (ORDER BY o_orderkey) AS line FROM orders")
+def _(t):
+    orders = t("orders").select(F.col("o_orderkey").cast("string").alias("id"), "o_orderkey", "o_orderstatus")
+    path = files.scratch(spark_of(orders), "lines")
+    files.write_delimited(orders.repartitionByRange(7, "o_orderkey").sortWithinPartitions("o_orderkey").drop("o_orderkey"), path)
+    return delimited.numbered_lines(delimited.read_delimited(spark_of(orders), path, ["id", "status"], with_origin=True)).select("id", "line")
+
+
+@bind("inventory_from_footers", "SELECT year(o_orderdate) AS year, count(*) AS rows, strftime(min(o_orderdate), '%Y-%m-%d %H:%M:%S.%f') AS first, strftime(max(o_orderdate), '%Y-%m-%d %H:%M:%S.%f') AS last, year(o_orderdate) = 1995 AS scanned FROM orders GROUP BY ALL")
+def _(t):
+    """Orders by year, one file each; a year is written with stamps of the old kind, whose footers have no bounds."""
+    orders = t("orders").select("o_orderkey", F.col("o_orderdate").cast("timestamp").alias("ts"))
+    spark = spark_of(orders)
+    path, kind = files.scratch(spark, "inventory"), "spark.sql.parquet.outputTimestampType"
+    before = spark.conf.get(kind)
+    for stored, rows in (("TIMESTAMP_MICROS", orders.where(F.year("ts") != 1995)), ("INT96", orders.where(F.year("ts") == 1995))):
+        spark.conf.set(kind, stored)
+        rows.withColumn("year", F.year("ts")).repartition("year").write.partitionBy("year").mode("append").parquet(path)
+    spark.conf.set(kind, before)
+    return catalog.footers(spark, path, "ts").select(F.regexp_extract("path", r"year=(\d+)", 1).cast("long").alias("year"), "rows", stamp(F.col("first")).alias("first"), stamp(F.col("last")).alias("last"), "scanned")
+
+
+@bind("flight_steps", """WITH e AS (SELECT event_id, upper(trim(event_type)) AS cs, user_id % 20 AS dep, ts, 'K' || (event_id // 2) AS pk FROM events), k AS (SELECT pk, count(*) AS n, arg_min(cs, row(ts, event_id)) AS cs, arg_min(dep, row(ts, event_id)) AS dep, min(ts) AS s FROM e GROUP BY pk),
+w AS (SELECT *, lag(s) OVER (PARTITION BY cs, dep ORDER BY s, pk) AS b FROM k), i AS (SELECT count(*) FILTER (WHERE b IS NULL OR epoch_us(s) - epoch_us(b) > 3600000000) AS flights, count(*) AS kept, sum(n)::BIGINT AS read FROM w)
+SELECT read, read - kept AS collapsed, kept, kept - flights AS merged, flights AS out FROM i""")
+def _(t):
+    e = t("events")
+    raw = e.select(F.concat(F.lit("K"), F.floor(F.col("event_id") / 2)).alias("pk"), F.col("event_type").alias("co_indicativo"), (F.col("user_id") % 20).cast("string").alias("co_addep"), F.lit("X").alias("co_addes"), F.col("ts").cast("timestamp").alias("dh_inicio"), F.col("ts").cast("timestamp").alias("dh_fim"))
+    counted = flights.prepared_with_steps(raw)
+    counted.frame.write.format("noop").mode("overwrite").save()
+    return spark_of(e).createDataFrame([counted.steps], "read long, collapsed long, kept long, merged long, out long")
+
+
 def streamed(t: Reader, table: str, parts: int, apply, name: str) -> DataFrame:
     """All changes of a stream over a table that comes in ``parts`` files, mixed in time, a micro-batch each."""
     rows = t(table)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from collections.abc import Callable
+from dataclasses import dataclass
 
 
 @dataclass(frozen=True)
@@ -63,8 +64,13 @@ SENTINEL_BEFORE = "1980-01-01 00:00:00"
 
 
 @dataclass(frozen=True)
-class Steps:
-    """A result with the row counts of the steps that led to it."""
+class ObservedSteps:
+    """A result, and the row counts of the steps that led to it."""
 
     frame: object
-    steps: dict[str, int] = field(default_factory=dict)
+    _steps: Callable[[], dict[str, int]]
+
+    @property
+    def steps(self) -> dict[str, int]:
+        """Known once an action on ``frame`` has run over all of it; waits for that. A stage that runs again after a lost executor may be counted twice."""
+        return self._steps()

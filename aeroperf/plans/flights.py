@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from aeroperf.config import GAP_MIN, MergeSpec, Steps
+from aeroperf.config import GAP_MIN, MergeSpec, ObservedSteps
 from aeroperf.functions.numbers import count_if, share
 from aeroperf.functions.text import UNKNOWN_AERODROMES, canonical_list, clean, first_token, token_count
 from aeroperf.functions.time import no_sentinel, parse_stamp
 from aeroperf.operators.collapse import collapse_same_key
-from aeroperf.operators.components import cut_lineage
 from aeroperf.operators.islands import merge_parts, merged
 
 #: Columns of the archive.
@@ -47,14 +46,18 @@ def prepared(df: DataFrame, gap_min: float = GAP_MIN) -> DataFrame:
     return merged(one, spec(gap_min, one.columns))
 
 
-def prepared_with_steps(df: DataFrame, gap_min: float = GAP_MIN) -> Steps:
-    """The same, with the rows of each step."""
-    rows = normalised(df)
-    one = cut_lineage(collapse_same_key(rows, "pk", ("dh_inicio", "dh_fim"), tuple(c for c in LISTS if c in rows.columns)))
-    out = cut_lineage(merged(one.drop("N_KEY_MERGED"), spec(gap_min, one.columns)))
-    n, extra = one.agg(F.count("*"), F.sum(F.col("N_KEY_MERGED") - 1)).first()
-    flights = out.count()
-    return Steps(out, {"read": n + (extra or 0), "collapsed": extra or 0, "kept": n, "merged": n - flights, "out": flights})
+def prepared_with_steps(df: DataFrame, gap_min: float = GAP_MIN) -> ObservedSteps:
+    """The same, with the rows of each step: counted on the way, by the job that uses the frame, not by jobs of their own."""
+    rows, keys, flights = normalised(df), Observation(), Observation()
+    one = collapse_same_key(rows, "pk", ("dh_inicio", "dh_fim"), tuple(c for c in LISTS if c in rows.columns))
+    one = one.observe(keys, F.count("*").alias("kept"), F.coalesce(F.sum(F.col("N_KEY_MERGED") - 1), F.lit(0)).alias("collapsed"))
+    out = merged(one.drop("N_KEY_MERGED"), spec(gap_min, one.columns)).observe(flights, F.count("*").alias("out"))
+
+    def steps() -> dict[str, int]:
+        k, n = keys.get, flights.get["out"]
+        return {"read": k["kept"] + k["collapsed"], "collapsed": k["collapsed"], "kept": k["kept"], "merged": k["kept"] - n, "out": n}
+
+    return ObservedSteps(out, steps)
 
 
 def joined_months(months: list[DataFrame], gap_min: float = GAP_MIN) -> DataFrame:

@@ -9,7 +9,7 @@ from functools import reduce
 
 import pandas as pd
 from pyarrow import fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,6 +37,19 @@ def read_delimited(spark: SparkSession, paths: str | list[str], names: list[str]
     return df.withColumns({"_file": F.col("_metadata.file_name"), "_block": F.col("_metadata.file_block_start"), "_seq": place})
 
 
+def numbered_lines(df: DataFrame, name: str = "line") -> DataFrame:
+    """Rows that were read ``with_origin``, with one number over all files, from 1: files by name, rows as they stand in them.
+
+    Rows are counted by split, a row for each split goes through a window, and
+    the rows of the splits before are added to a row's place in its own; no row
+    is shuffled but to be joined with its split's count.
+    """
+    splits = df.groupBy("_file", "_block").agg(F.count("*").alias("_n"), F.min("_seq").alias("_first"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    splits = splits.withColumn("_ahead", before).drop("_n")
+    return df.join(splits, ["_file", "_block"]).withColumn(name, F.col("_ahead") + F.col("_seq") - F.col("_first") + 1).drop("_ahead", "_first")
+
+
 def header(spark: SparkSession, path: str, sep: str = ";") -> list[str]:
     """Column names alone, from the first line; quotes and a leading index column are left off."""
     line = spark.read.text(path).first()
@@ -68,13 +81,13 @@ def read_zipped(spark: SparkSession, path: str, names: list[str], sep: str = ";"
     def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for at in batch["path"]:
-                with _opened(at) as f, zipfile.ZipFile(f) as z:
+                with opened(at) as f, zipfile.ZipFile(f) as z:
                     yield pd.DataFrame({"path": at, "member": [m.filename for m in z.infolist() if not m.is_dir()]})
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for at, member in zip(batch["path"], batch["member"]):
-                with _opened(at) as raw, zipfile.ZipFile(raw) as z, z.open(member) as f:
+                with opened(at) as raw, zipfile.ZipFile(raw) as z, z.open(member) as f:
                     for part in pd.read_csv(f, sep=sep, names=names, header=0, dtype=str, encoding=encoding, keep_default_na=False, na_values=[""], chunksize=50_000):
                         yield part.astype(object).where(part.notna(), None)
 
@@ -83,7 +96,7 @@ def read_zipped(spark: SparkSession, path: str, names: list[str], sep: str = ";"
     return listed.repartition(tasks, "path", "member").mapInPandas(rows, strings(names))
 
 
-def _opened(uri: str):
+def opened(uri: str):
     """A file of any store, to read and seek in."""
     fs, name = pafs.FileSystem.from_uri(uri[5:] if uri.startswith("file:/") and not uri.startswith("file://") else uri)
     return fs.open_input_file(name)

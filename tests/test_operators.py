@@ -71,8 +71,8 @@ def test_worked_flight(spark):
     assert (a.N_MERGED, round(a.SPAN_MIN, 1), a.li_orgaos, a.co_matricula, a.ZERO_SPAN_ONLY, a.MERGED_IDS) == (3, 286.6, "ACCAZ|ACCBS|ACCCW|APPRJ", "HP9926", False, "1|2|3")
     assert (b.N_MERGED, b.SPAN_MIN) == (1, 286.0)
     assert flights.prepared(df, 45).count() == 3
-    steps = flights.prepared_with_steps(df).steps
-    assert steps == {"read": 4, "collapsed": 0, "kept": 4, "merged": 2, "out": 2}
+    counted = flights.prepared_with_steps(df)
+    assert counted.frame.count() == 2 and counted.steps == {"read": 4, "collapsed": 0, "kept": 4, "merged": 2, "out": 2}
     whole = flights.prepared(df)
     again = flights.joined_months([flights.prepared(df.where("pk < '3'")), flights.prepared(df.where("pk >= '3'"))])
     assert {(str(r.dh_inicio), str(r.dh_fim), r.N_MERGED, r.li_orgaos) for r in again.collect()} == {(str(r.dh_inicio), str(r.dh_fim), r.N_MERGED, r.li_orgaos) for r in whole.collect()}
