@@ -70,24 +70,26 @@ def _batches(texts: list[str | None], overlap: int) -> Iterator[tuple[np.ndarray
         yield np.concatenate(codes), np.concatenate(docs), size
 
 
-def train_language_model(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", rows_per_lang: int = 3000, buckets: int = 1 << 15, orders: tuple[int, ...] = (2, 3), smoothing: float = 0.5) -> LanguageModel:
+def train_language_model(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", rows_per_lang: int = 3000, buckets: int = 1 << 15, orders: tuple[int, ...] = (2, 3), smoothing: float = 0.5, max_langs: int = 1024) -> LanguageModel:
     """Fit on about ``rows_per_lang`` whole labelled texts of each language, chosen by a hash of ``key``.
 
     Rows with a null text or language are not used. Counts of n-grams are
     summed by language and bucket before they reach the driver: at most
     ``buckets`` rows for each language. No labelled row gives a model without
-    languages, under which every text is ``und``.
+    languages, under which every text is ``und``. More than ``max_langs``
+    languages raise ValueError: a model holds 4 bytes, and a task that counts 8,
+    for each language and bucket.
     """
     spark = labelled.sparkSession
     df = labelled.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(F.lit("train"), F.col(key)).alias("h"))
-    sizes = {r["lang"]: r["n"] for r in df.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    sizes = {r["lang"]: r["n"] for r in df.groupBy("lang").agg(F.count("*").alias("n")).limit(max_langs + 1).collect()}
+    if len(sizes) > max_langs:
+        raise ValueError(f"more than {max_langs} languages: labels of another kind, or raise max_langs")
     if not sizes:
         return LanguageModel([], np.zeros((buckets, 0), np.float32), np.zeros(0), orders)
     langs = sorted(sizes)
-    keep = F.lit(False)
-    for name in langs:
-        share = min(1.0, rows_per_lang / sizes[name])
-        keep |= (F.col("lang") == name) & (F.lit(True) if share == 1 else F.pmod("h", F.lit(1 << 20)) < int(share * (1 << 20)))
+    shares = spark.createDataFrame([(name, int(min(1.0, rows_per_lang / n) * (1 << 20))) for name, n in sizes.items()], "lang string, _of long")
+    chosen = df.join(F.broadcast(shares), "lang").where(F.pmod("h", F.lit(1 << 20)) < F.col("_of"))  # max_langs rows at most
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((len(langs), buckets), np.int64)
@@ -104,7 +106,7 @@ def train_language_model(labelled: DataFrame, text: str = "text", lang: str = "l
         yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(j), pa.array(total[i, j])], ["lang", "bucket", "n"])
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(langs))), pa.array(np.full(len(langs), -1)), pa.array(docs)], ["lang", "bucket", "n"])
 
-    got = df.where(keep).select("lang", "text").mapInArrow(tidy(count), "lang long, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    got = chosen.select("lang", "text").mapInArrow(tidy(count), "lang long, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
     i, j, n = (got.column(x).to_numpy() for x in ("lang", "bucket", "n"))
     table = np.full((buckets, len(langs)), smoothing)
     np.add.at(table, (j[j >= 0], i[j >= 0]), n[j >= 0])

@@ -176,3 +176,11 @@ def test_mixture_with_a_budget_and_repeated_rows(spark):
 def test_n_words(spark):
     df = spark.createDataFrame([(" a  b\tc\n",), ("",), (None,), ("é\xa0x y",)], "t string")
     assert [r[0] for r in df.select(mixing.n_words(F.col("t"))).collect()] == [3, 0, 0, 2]
+
+
+def test_a_thousand_languages_and_no_more(spark):
+    rows = spark.range(3000).selectExpr("id AS doc_id", "concat('l', id % 1000) AS lang", "concat('word', id % 1000, ' and ', id) AS text")
+    model = language.train_language_model(rows, buckets=256)
+    assert len(model.langs) == 1000 and language.identify(rows, model).where("lang_pred = 'und'").count() == 0
+    with pytest.raises(ValueError, match="more than 999 languages"):
+        language.train_language_model(rows, buckets=256, max_langs=999)

@@ -59,7 +59,7 @@ def test_empty_documents_go_through(spark, docs):
 
 def test_one_query_for_each_operator():
     names = [n for n in entry.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 14))
     assert jaccard and mixing and passages
 
 
