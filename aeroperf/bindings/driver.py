@@ -672,4 +672,4 @@ def _(t):
     return t("events").select("event_id", got["k"].alias("k"), text.flat_array(F.array(F.col("event_type"), got["k"].cast("string"))).alias("listed"))
 
 
-from aeroperf.bindings import reports  # noqa: E402, F401  (binds its queries)
+from aeroperf.bindings import readback, reports  # noqa: E402, F401  (bind their queries)
