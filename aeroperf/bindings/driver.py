@@ -591,12 +591,12 @@ def _(t):
 
 # --- reshape ------------------------------------------------------------------------------------------------------
 
-RING_WIDE = "SELECT l_suppkey, nullif(l_linestatus, 'O') AS st, " + ", ".join(f"max(CASE WHEN l_returnflag = '{r}' THEN {v} END) AS \"{r}_{n}\"" for r in "AN" for n, v in (("q", "q"), ("p", "p"))) + " FROM (SELECT l_suppkey, l_linestatus, l_returnflag, sum(l_quantity)::BIGINT AS q, count(*) AS p FROM lineitem WHERE l_returnflag IN ('A', 'N') GROUP BY ALL) GROUP BY ALL"
+RING_WIDE = "SELECT l_suppkey, nullif(l_linestatus, 'O') AS st, " + ", ".join(f"max(CASE WHEN l_returnflag = '{r}' THEN {v} END) AS \"{r}_{n}\"" for r in "ANR" for n, v in (("q", "q"), ("p", "p"))) + " FROM (SELECT l_suppkey, nullif(l_linestatus, 'O') AS l_linestatus, l_returnflag, sum(l_quantity)::BIGINT AS q, count(*) AS p FROM lineitem GROUP BY ALL) GROUP BY ALL"
 
 
 def rings(t: Reader) -> DataFrame:
-    df = t("lineitem").where(F.col("l_returnflag").isin("A", "N")).groupBy("l_suppkey", F.nullif(F.col("l_linestatus"), F.lit("O")).alias("st"), "l_returnflag").agg(F.sum("l_quantity").cast("long").alias("q"), F.count("*").alias("p"))
-    return reshape.widened(df, ("l_suppkey", "st"), "l_returnflag", ("A", "N"), ("q", "p"))
+    df = t("lineitem").groupBy("l_suppkey", F.nullif(F.col("l_linestatus"), F.lit("O")).alias("st"), "l_returnflag").agg(F.sum("l_quantity").cast("long").alias("q"), F.count("*").alias("p"))
+    return reshape.widened(df, ("l_suppkey", "st"), "l_returnflag", ("A", "N", "R"), ("q", "p"))
 
 
 @bind("ring_pivot", RING_WIDE)
@@ -604,9 +604,9 @@ def _(t):
     return rings(t)
 
 
-@bind("ring_unpivot", f"WITH w AS ({RING_WIDE}) SELECT l_suppkey, st, 'A' AS ring, \"A_q\" AS q, \"A_p\" AS p FROM w WHERE \"A_q\" IS NOT NULL OR \"A_p\" IS NOT NULL UNION ALL SELECT l_suppkey, st, 'N', \"N_q\", \"N_p\" FROM w WHERE \"N_q\" IS NOT NULL OR \"N_p\" IS NOT NULL")
+@bind("ring_unpivot", f"WITH w AS ({RING_WIDE}) SELECT l_suppkey, st, 'A' AS ring, \"A_q\" AS q, \"A_p\" AS p FROM w WHERE \"A_q\" IS NOT NULL OR \"A_p\" IS NOT NULL UNION ALL SELECT l_suppkey, st, 'N', \"N_q\", \"N_p\" FROM w WHERE \"N_q\" IS NOT NULL OR \"N_p\" IS NOT NULL UNION ALL SELECT l_suppkey, st, 'R', \"R_q\", \"R_p\" FROM w WHERE \"R_q\" IS NOT NULL OR \"R_p\" IS NOT NULL")
 def _(t):
-    return reshape.lengthened(rings(t), ("l_suppkey", "st"), "ring", ("A", "N"), ("q", "p"))
+    return reshape.lengthened(rings(t), ("l_suppkey", "st"), "ring", ("A", "N", "R"), ("q", "p"))
 
 
 @bind("ends_to_movements", """WITH l AS (SELECT s_nationkey AS dep, c_nationkey AS arr FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN supplier ON s_suppkey = l_suppkey JOIN customer ON c_custkey = o_custkey), m AS (SELECT dep AS place, 'DEP' AS phase FROM l UNION ALL SELECT arr, 'ARR' FROM l)

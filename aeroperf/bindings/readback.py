@@ -181,3 +181,21 @@ def _(t):
     lacking = coverage.absent_fields(part, ("P_Size", "p-name", "colour"))
     held = [c for c in ("P_Size", "colour") if c not in lacking]
     return coverage.populated(part.withColumnRenamed("p_size", "P_Size"), tuple(held)).select("field", "filled")
+
+
+@bind("payload_script", "SELECT 'window.DATA = {\"flags\":{' || string_agg('\"' || f || '\":{\"n\":' || n || '}', ',' ORDER BY f) || '}};' AS line FROM (SELECT l_returnflag AS f, count(*) AS n FROM lineitem GROUP BY ALL)")
+def _(t):
+    sums = t("lineitem").groupBy("l_returnflag").agg(F.count("*").alias("n"))
+    path = f"{files.scratch(spark_of(sums), 'payload')}.js"
+    files.write_payload({"flags": files.payload_json(sums, ("l_returnflag",), F.struct("n"))}, path)
+    return spark_of(sums).read.text(path).withColumnRenamed("value", "line")
+
+
+KEYS_SQL = "WITH e AS (SELECT event_id, event_type AS cs, 'D' || (user_id % 7) AS dep, 'A' || (user_id % 3) AS arr, ts FROM events), s AS (SELECT *, row_number() OVER (PARTITION BY cs, dep, arr, ts::DATE ORDER BY ts, event_id) AS seq FROM e) SELECT event_id, cs || '|' || dep || '|' || arr || '|' || strftime(ts, '%Y-%m-%d') AS flight_day, cs || '|' || dep || '|' || arr || '|' || strftime(ts, '%Y-%m-%d') || '|' || seq AS eobt_seq FROM s"
+
+
+@bind("key_variants_split", KEYS_SQL)
+def _(t):
+    u, ts = F.col("user_id"), F.col("ts").cast("timestamp")
+    e = t("events").select("event_id", F.col("event_type").alias("cs"), F.concat(F.lit("D"), u % 7).alias("dep"), F.concat(F.lit("A"), u % 3).alias("arr"), ts.alias("ts"), F.to_date(ts).alias("day"))
+    return reconcile.key_variants(e, "cs", "dep", "arr", "day", "ts", "event_id", split=True).select("event_id", "flight_day", "eobt_seq")

@@ -62,15 +62,16 @@ def piece_overlap(left: DataFrame, right: DataFrame, pieces: dict[str, tuple[str
     return d.select("piece", "n_left", F.col("n_both").alias("shared"), share(F.col("n_both"), F.col("n_left"), digits).alias("pct_shared"))
 
 
-def clock_offsets(left: DataFrame, right: DataFrame, key: tuple[str, ...], row_id: str, times: tuple[str, ...]) -> DataFrame:
+def clock_offsets(left: DataFrame, right: DataFrame, key: tuple[str, ...], row_id: str, times: tuple[str, ...], split_by: str | None = None) -> DataFrame:
     """Per time column and rounded offset in minutes: right rows whose nearest left row of the key is that far away, and their share.
 
     No tolerance and no key with a time in it: a single dominant offset is a
-    clock, and it shows whatever its size.
+    clock, and it shows whatever its size. ``split_by`` (day, month) cuts keys
+    that hold too many rows for one task.
     """
     out = []
     for time in times:
-        pairs = nearest.nearest(right, left, MatchSpec(key, row_id, row_id, time, time, float("inf"), null_key="group"))
+        pairs = nearest.nearest(right, left, MatchSpec(key, row_id, row_id, time, time, float("inf"), null_key="group", split_by=split_by))
         out.append(nearest.offset_histogram(pairs.withColumn("diff_min", -F.col("diff_min"))).withColumn("time", F.lit(time)))
     tall = reduce(DataFrame.unionByName, out)
     total = tall.groupBy("time").agg(F.sum("n").alias("_all"))

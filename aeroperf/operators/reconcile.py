@@ -158,12 +158,12 @@ def lookup_record(left: DataFrame, right: DataFrame, predicate: Column, columns:
     return tag(left, "left").unionByName(tag(right, "right"))
 
 
-def key_variants(df: DataFrame, callsign: str, departure: str, arrival: str, day: str, planned: str, start: str) -> DataFrame:
-    """Adds the keys that versions of a flight are compared by: flight_day, eobt, eobt_day and eobt_seq (the rotation's number in its day)."""
+def key_variants(df: DataFrame, callsign: str, departure: str, arrival: str, day: str, planned: str, start: str, split: bool = False) -> DataFrame:
+    """Adds the keys that versions of a flight are compared by: flight_day, eobt, eobt_day and eobt_seq (the rotation's number in its day). ``split`` as in ``numbered``: for rows whose key is mostly null."""
     from aeroperf.operators.dedup import numbered
 
     base = (callsign, departure, arrival, day)
-    out = numbered(df, base, [F.col(planned).asc_nulls_last(), F.col(start).asc_nulls_last()], "_seq")
+    out = numbered(df, base, [F.col(planned).asc_nulls_last(), F.col(start).asc_nulls_last()], "_seq", split)
     route = F.concat_ws("|", callsign, departure, arrival)
     return out.withColumns({
         "flight_day": F.concat_ws("|", route, F.date_format(day, "yyyy-MM-dd")), "eobt": F.concat_ws("|", route, F.date_format(planned, "yyyy-MM-dd HH:mm:ss")),
