@@ -97,7 +97,7 @@ def blocks(texts: pa.Array, bounds: np.ndarray, begin: np.ndarray, least: int) -
     return lines[lines[:, 1] >= least], both[both[:, 1] >= least]
 
 
-def paragraphs(texts: pa.Array, size: int, gap: int, wide: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def paragraphs(texts: pa.Array, size: int, gap: int, wide: int, short: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(document, first word in it, words, content hash, place among all words, whether it is banded) of each paragraph and window, and all grams last."""
     h, bounds, begin, _ = words(texts)
     count = np.maximum(np.diff(bounds) - size + 1, 0)
@@ -107,7 +107,11 @@ def paragraphs(texts: pa.Array, size: int, gap: int, wide: int) -> tuple[np.ndar
     step = 2 * wide // 3
     long = lines[1] >= wide + step
     inner = anchors(grams, lines[0][long], lines[1][long] - wide + 1, step)
-    at, n, whole = np.r_[windows, at, inner], np.r_[np.full(len(windows), size), n, np.full(len(inner), wide)], np.r_[np.zeros(len(windows), bool), np.ones(len(at) + len(inner), bool)]
+    few = blocks(texts, bounds, begin, short)[1] if short else np.zeros((0, 2), np.int64)
+    few = few[few[:, 1] < size]
+    alone = len(windows) + len(few)  # these take part by their content alone
+    n = np.r_[np.full(len(windows), size), few[:, 1], n, np.full(len(inner), wide)]
+    at, whole = np.r_[windows, few[:, 0], at, inner], np.r_[np.zeros(alone, bool), np.ones(len(n) - alone, bool)]
     doc = np.searchsorted(bounds, at, "right") - 1
     powers, inverses = _powers(len(h) + 1)
     total = np.zeros(len(h) + 1, np.uint64)
@@ -126,14 +130,14 @@ def _emit(key, c, d, p, n, kind: int | np.ndarray, d2=None, p2=None, single=None
     return pa.RecordBatch.from_arrays([*columns, pa.nulls(len(c), pa.bool_()) if single is None else pa.array(single)], [*names, "single"])
 
 
-def _banded(size: int, gap: int, wide: int, bands: int, rows: int):
+def _banded(size: int, gap: int, wide: int, bands: int, rows: int, short: int):
     seeds = mix(np.arange(1, bands * rows + 1, dtype=np.uint64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in (p for b in batches for p in slices(b, "text")):
             part = part.filter(part.column("id").is_valid())
             ids = part.column("id").to_numpy()
-            doc, place, n, content, at, whole, grams = paragraphs(part.column("text"), size, gap, wide)
+            doc, place, n, content, at, whole, grams = paragraphs(part.column("text"), size, gap, wide, short)
             if not len(at):
                 continue
             d = ids[doc]
@@ -291,18 +295,21 @@ def _verified(members: DataFrame, sets: DataFrame, threshold: float, tile: int)
     return links
 
 
-def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 32, gap: int = 20, wide: int = 96, threshold: float = 0.8, rows: int = 3, recall: float = 0.99, tile: int = 1024) -> DataFrame:
+def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 32, gap: int = 20, wide: int = 96, threshold: float = 0.8, rows: int = 3, recall: float = 0.99, tile: int = 1024, short: int = 0) -> DataFrame:
     """Spans to remove: id, start (in words, from 0), n_words, found_in (a smaller id that holds the passage).
 
     Within a cluster the smallest id keeps the passage. A null text is an empty
     one; null ids take no part. Only passages that different ids hold count:
     what one document repeats is left alone, unless another keeps it. A
-    document shorter than ``size`` words has no paragraph. Repeated rows of one
+    document shorter than ``size`` words has no paragraph, unless ``short`` is
+    set: lines and blocks of ``short`` to ``size - 1`` words (headers, footers,
+    notices) then go as well where another document holds the same words.
+    Repeated rows of one
     id are one document. Overlapping paragraphs are merged into one span, and spans reach to the ends of the run of words that the keeper shares. An
     empty table gives no row.
     """
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    dealt = base.mapInArrow(tidy(_banded(size, gap, wide, tune_bands(threshold, rows, recall), rows)), "key long, c long, d long, p long, n long, kind byte, d2 long, p2 long").repartition("key")
+    dealt = base.mapInArrow(tidy(_banded(size, gap, wide, tune_bands(threshold, rows, recall), rows, short)), "key long, c long, d long, p long, n long, kind byte, d2 long, p2 long").repartition("key")
     met = stored(dealt.mapInArrow(tidy(_collide), "c long, d long, p long, n long, kind byte, d2 long, p2 long, single boolean"), "paragraphs")
     del dealt
     release(base.sparkSession)
