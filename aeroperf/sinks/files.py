@@ -55,9 +55,9 @@ def payload_json(df: DataFrame, keys: tuple[str, ...], leaf: Column, digits: int
 
 def write_payload(parts: dict[str, DataFrame], path: str, variable: str = "DATA") -> None:
     """A script file that sets one variable to an object of the parts' JSON; parts are one row each."""
-    body = ",".join(f'"{k}":{df.first()[0]}' for k, df in parts.items())
+    path, body = guard_raw(path), ",".join(f'"{k}":{df.first()[0]}' for k, df in parts.items())
     spark = next(iter(parts.values())).sparkSession
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(guard_raw(path))
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     out = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(at, True)
     out.write(f"window.{variable} = {{{body}}};\n".encode())
     out.close()

@@ -264,3 +264,39 @@ def test_terminal_plan(spark):
     audit = terminal.null_audit(df).first()
     assert (audit.N_TOTAL, audit.N_MISSING_CLASS, audit.N_VALID) == (8, 0, 8)
     assert {(r.RANGE, r.N_REFERENCE_GROUPS, r.N_VALID_REFERENCE_GROUPS) for r in terminal.reference_coverage(df).collect()} == {("C40", 1, 1), ("C100", 1, 0)}
+
+
+def test_sources_below_a_folder(tmp_path, monkeypatch):
+    for n in ("a.parquet", "2024.csv", "2024-01.csv", "sub/b.parquet", "sub/2025-12.csv", "note.txt"):
+        (tmp_path / n).parent.mkdir(exist_ok=True)
+        (tmp_path / n).write_text("")
+    got = catalog.find_sources(str(tmp_path))
+    names = lambda paths: [p.removeprefix(f"{tmp_path}/") for p in paths]
+    assert names(got.parquet) == ["a.parquet", "sub/b.parquet"] and names(got.csv) == ["2024.csv"] and got.parts == []
+    assert names(catalog.find_sources("/nowhere", include_parts=True, env="ARCHIVE").parts) == []
+    monkeypatch.setenv("ARCHIVE", str(tmp_path))
+    assert names(catalog.find_sources("/nowhere", include_parts=True, env="ARCHIVE").parts) == ["2024-01.csv", "sub/2025-12.csv"]
+
+
+def test_types_and_zones_that_a_file_states(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    stamps = pa.array([datetime(2025, 1, 1)], pa.timestamp("us"))
+    pq.write_table(pa.table({"dh_a": stamps.cast(pa.timestamp("us", "America/Sao_Paulo")), "dh_b": stamps, "dt_c": ["2025-01-01"], "name": ["x"]}), tmp_path / "z.parquet")
+    assert parquet.stored_zones(str(tmp_path / "z.parquet")) == {"dh_a": "America/Sao_Paulo", "dh_b": None}
+    assert parquet.schema_info(spark.read.parquet(str(tmp_path / "z.parquet"))) == [("dh_a", "timestamp", False), ("dh_b", "timestamp_ntz", False), ("dt_c", "string", True), ("name", "string", False)]
+    assert parquet.read_available(spark, str(tmp_path / "z.parquet"), ["name", "absent"], ["absent"]) is None
+
+
+def test_columns_that_may_hold_dates():
+    assert rest.date_columns(["dt_dia", "dh_fim", "name", "update_time", "startdate", "width", "Timestamp", "adh"]) == ["dt_dia", "dh_fim", "update_time", "startdate", "Timestamp"]
+
+
+def test_a_payload_goes_to_any_store(spark, tmp_path):
+    one = spark.createDataFrame([("a", 1), ("b", None)], "k string, n int")
+    path = f"file://{tmp_path}/sub/p.js"
+    files.write_payload({"x": files.payload_json(one, ("k",), F.struct("n"))}, path, "SET")
+    assert (tmp_path / "sub" / "p.js").read_text() == 'window.SET = {"x":{"a":{"n":1},"b":{"n":null}}};\n'
+    with pytest.raises(ValueError):
+        files.write_payload({}, "/x/data-raw/p.js")
