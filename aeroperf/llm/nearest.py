@@ -150,7 +150,7 @@ def _compared(width: int, kind: str, keep: int):
     return run
 
 
-def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id", vector: str = "embedding", orderings: int = 32, dims: int = 8, bits: int = 7, calibrate: int = 64, target: float = 0.97, part_rows: int = 8192, part_pairs: int = 1 << 22, seed: int = 11) -> DataFrame:
+def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id", vector: str = "embedding", orderings: int = 32, dims: int = 8, bits: int = 7, calibrate: int = 64, target: float = 0.97, part_rows: int = 8192, part_pairs: int = 1 << 22, room_ids: int = 1 << 24, seed: int = 11) -> DataFrame:
     """For each id with a row where ``is_query``: its ``k`` nearest found among the rows of all other ids, by Euclidean distance.
 
     Returns query_id, rank (from 1), vec_id, score (the distance, exact on the
@@ -224,7 +224,14 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
     at = F.floor(F.col("rank") / block)
     members = ranks.select("ordering", at.alias("block"), "cls", "rank", F.lit(False).alias("asks"))
     visits = ranks.where("q").select("ordering", F.explode(F.sequence(at - around, at + around)).alias("block"), "cls", "rank", F.lit(True).alias("asks"))
-    lists = members.unionByName(visits).groupBy("ordering", "block").applyInArrow(_listed(parts, reach), "query long, part long, listed array<long>")
+    # a block's queries go to as many rooms as keep a room's lists within bounds; its members go to each of them
+    most = visits.groupBy("ordering", "block").count().agg(F.max("count")).first()[0] or 0
+    list_rooms = max(1, -(-most * min(block, 2 * reach + 1) // room_ids))
+    if list_rooms > 1:
+        visits = visits.withColumn("room", F.pmod(F.xxhash64(F.lit(seed), "cls"), F.lit(list_rooms)).cast("int"))
+        members = members.withColumn("room", F.explode(F.sequence(F.lit(0), F.lit(list_rooms - 1))))
+    group = ["ordering", "block", "room"][: 2 + (list_rooms > 1)]
+    lists = members.unionByName(visits).groupBy(*group).applyInArrow(_listed(parts, reach), "query long, part long, listed array<long>")
     lists = stored(lists, "candidates")
     discard(ranks)
 

@@ -474,3 +474,11 @@ def test_recall_of_near_passages_inside_long_lines(spark):
         assert r.start >= begin - 11 and r.start + r.n_words <= begin + size + 11  # up to a ninth of a near window may be its own
     share = lambda size: sum(cut[d] for d, (s, _) in want.items() if s == size) / sum(s for s, _ in want.values() if s == size)
     assert share(200) > 0.9 and share(120) > 0.7, (share(120), share(200))
+
+
+def test_nearest_in_many_rooms_is_the_same(spark):
+    """A reach of a fixed share of the rows: the lists of a block are dealt to rooms, and nothing else changes."""
+    rng = np.random.default_rng(4)
+    vectors = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(rng.normal(size=(3000, 24)))], "vec_id long, embedding array<double>")
+    run = lambda **o: sorted(map(tuple, nearest.nearest(vectors, F.col("vec_id") % 50 == 0, orderings=6, **o).collect()))
+    assert run() == run(room_ids=2000)
