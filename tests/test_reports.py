@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from aeroperf.operators import coverage, nearpairs, reconcile
 from aeroperf.plans import flights, taxi
 from aeroperf.sources import delimited, rest
+from tests import rest_server
 
 T0 = datetime(2026, 1, 1)
 
@@ -39,7 +40,7 @@ def test_typed_files_and_counts(spark, tmp_path):
     got = delimited.read_typed(spark, str(tmp_path / "g.csv"), "DATE string, N long").collect()
     assert [(r.DATE, r.N) for r in got] == [("2024-01-01", 3), (None, None)]
     (tmp_path / "t.json").write_text('[{"d": "2025-01-01"}, {"d": "2025-01-02"}, {"d": "2025-02-01"}]')
-    assert rest.count_rows(str(tmp_path), "t", "d", "2025-01-01", "2025-02-01", count=rest.folder_count) == 2
+    assert rest.count_rows(str(tmp_path), "t", "d", "2025-01-01", "2025-02-01", count=rest_server.folder_count) == 2
 
 
 def test_profile_and_year_ingest(spark, tmp_path):
