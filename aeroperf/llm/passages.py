@@ -130,7 +130,7 @@ def _emit(key, c, d, p, n, kind: int | np.ndarray, d2=None, p2=None, single=None
     return pa.RecordBatch.from_arrays([*columns, pa.nulls(len(c), pa.bool_()) if single is None else pa.array(single)], [*names, "single"])
 
 
-def _banded(size: int, gap: int, wide: int, bands: int, rows: int, short: int):
+def _banded(size: int, gap: int, wide: int, bands: int, rows: int, short: int = 0):
     seeds = mix(np.arange(1, bands * rows + 1, dtype=np.uint64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
