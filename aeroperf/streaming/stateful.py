@@ -10,10 +10,12 @@ what is open, not by a task's memory.
 from __future__ import annotations
 
 import json
+import sys
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +27,9 @@ from aeroperf.functions.time import minutes_between
 from aeroperf.operators.dedup import keep_one
 from aeroperf.operators.islands import _chained, _prepared
 
+# the process that asks a processor for its state's schema sees no files added to the session: processors go by value
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
 
