@@ -244,12 +244,8 @@ def _(t):
 @bind("month_boundary_remerge", f"WITH {VISITS_SQL} {MERGED_SQL}")
 def _(t):
     v, cut = visits(t), F.lit("2024-01-15 12:00:00").cast("timestamp")
-    parts = [islands.merged(v.where(F.col("s") < cut), VISIT), islands.merged(v.where(F.col("s") >= cut), VISIT)]
-    # provenance of two parts is listed part by part; the SQL lists records in the merge's order
-    out = spelled(islands.merge_parts([p.withColumn("event_id", F.substring_index("MERGED_IDS", "|", 1).cast("long")) for p in parts], VISIT))
-    first = out.join(islands.merged(v, VISIT).select("user_id", stamp(F.col("s")).alias("s"), F.col("MERGED_IDS").alias("_ids")), ["user_id", "s"], "left")
-    same = F.array_sort(F.split("MERGED_IDS", "\\|")) == F.array_sort(F.split("_ids", "\\|"))
-    return first.withColumn("MERGED_IDS", F.when(same, F.col("_ids")).otherwise(F.col("MERGED_IDS"))).drop("_ids")
+    parts = [islands.merged(v.where(half), VISIT, places=True) for half in (F.col("s") < cut, F.col("s").isNull() | (F.col("s") >= cut))]
+    return spelled(islands.merge_parts([p.withColumn("event_id", F.substring_index("MERGED_IDS", "|", 1).cast("long")) for p in parts], VISIT))
 
 
 @bind("islands_gap_sweep", """

@@ -8,11 +8,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aeroperf.config import MergeSpec
-from aeroperf.functions.text import clean, first_filled
+from aeroperf.functions.text import clean, filled, first_filled
 from aeroperf.functions.time import minutes_between
 from aeroperf.operators.components import cut_lineage
 from aeroperf.operators.kpi import percentiles
-from aeroperf.operators.ordered import carried, filled_state, in_two_steps, joined_state, total, union_state
+from aeroperf.operators.ordered import carried, filled_state, in_two_steps, joined_records, joined_state, placed_state, records_state, total, union_state
 
 
 def _prepared(df: DataFrame, spec: MergeSpec) -> DataFrame:
@@ -88,7 +88,7 @@ def merge_order(spec: MergeSpec) -> Column:
     return F.struct(blank, F.col("_s").eqNullSafe(F.col("_e")), F.col("_s"), *[F.col(c) for c in spec.order])
 
 
-def merged(df: DataFrame, spec: MergeSpec, islands: DataFrame | None = None) -> DataFrame:
+def merged(df: DataFrame, spec: MergeSpec, islands: DataFrame | None = None, places: bool = False) -> DataFrame:
     """One row per island: extremes of start and end, canonical unions, first filled values, N_MERGED, SPAN_MIN, ZERO_SPAN_ONLY, MERGED_IDS.
 
     Rows without an island come through alone. ZERO_SPAN_ONLY says that no
@@ -96,28 +96,47 @@ def merged(df: DataFrame, spec: MergeSpec, islands: DataFrame | None = None) ->
     lists the identities in the merge's order; where a row was merged before
     (it has the columns N_MERGED and MERGED_IDS) counts are added up and the
     lists joined, so that merging again loses nothing and, alone, changes nothing.
+    ``places`` adds what merging again needs to equal one merge of all records:
+    where each first filled value (_at_ columns) and each record (_records) stands
+    in the merge's order; rows without it stand, all together, where they would now.
     With ``split_by`` an island's records are dealt by their order to as many
     tasks as they need, and states of a bounded size are put together.
     """
     got = chain(df, spec) if islands is None else islands
     again = "N_MERGED" in df.columns
+    placed = [f"_at_{c}" for c in spec.filled_cols] + (["_records"] if spec.identity else [])
+    before = [c for c in placed if c in df.columns]
+    held = places or bool(before)
     by = merge_order(spec)
     records = F.coalesce(F.sum("N_MERGED"), F.count("*")) if again else F.count("*")
-    states = [total(spec.start, F.min("_s"), F.min), total(spec.end, F.max("_e"), F.max), *map(union_state, spec.union_cols), *[filled_state(c, by) for c in spec.filled_cols]]
-    states += [total("N_MERGED", records.cast("long")), total("_rows", F.count("*")), total("_zero", F.bool_and(F.col("_s") == F.col("_e")), F.bool_and)]
+    states = [total(spec.start, F.min("_s"), F.min), total(spec.end, F.max("_e"), F.max), *map(union_state, spec.union_cols)]
+    zero = F.col("_s") == F.col("_e")
+    zero = F.coalesce(F.col("ZERO_SPAN_ONLY"), zero) if again else zero
+    states += [total("N_MERGED", records.cast("long")), total("_rows", F.count("*")), total("_zero", F.bool_and(zero), F.bool_and)]
     if again:
         states.append(total("_zero_before", F.min("ZERO_SPAN_ONLY"), F.min))
-    if spec.identity:
-        name = F.coalesce(F.col("MERGED_IDS"), F.col(spec.identity).cast("string")) if again else F.col(spec.identity).cast("string")
-        states.append(joined_state("MERGED_IDS", name, by))
+    name = F.col(spec.identity).cast("string") if spec.identity else None
+    name = F.coalesce(F.col("MERGED_IDS"), name) if spec.identity and again else name
+    if held:
+        now = {f"_at_{c}": F.when(filled(F.col(c)), F.struct(by.alias("o"), F.col(c).alias("v"))) for c in spec.filled_cols}
+        now |= {"_records": F.array(F.struct(by.alias("o"), name.alias("v")))} if spec.identity else {}
+        now |= {c: F.coalesce(F.col(c), now[c]) for c in before}
+        states += [records_state(c, x) if c == "_records" else placed_state(c, x) for c, x in now.items()]
+    else:
+        states += [filled_state(c, by) for c in spec.filled_cols]
+        states += [joined_state("MERGED_IDS", name, by)] if spec.identity else []
     if "_lone" not in got.columns:
         got = got.withColumn("_lone", F.when(F.col("island").isNull(), F.xxhash64(*[F.col(c) for c in spec.order])))
     group = [*spec.key, "island", "_lone"]
     if spec.split_by:
         out = in_two_steps(got, group, [by], states)
     else:
-        whole = {s.name: s.whole() for s in states} | {c: first_filled(F.col(c), by).alias(c) for c in spec.filled_cols}
+        whole = {s.name: s.whole() for s in states} | ({} if held else {c: first_filled(F.col(c), by).alias(c) for c in spec.filled_cols})
         out = got.groupBy(*group).agg(*whole.values())
+    if held:
+        out = out.withColumns({c: F.col(f"_at_{c}.v") for c in spec.filled_cols})
+        out = out.withColumn("MERGED_IDS", joined_records("_records")) if spec.identity else out
+        out = out if places else out.drop(*placed)
     single = F.col("_rows") == 1
     zero = F.when(~single, F.col("_zero"))
     out = out.withColumn("ZERO_SPAN_ONLY", F.coalesce(zero, F.col("_zero_before")) if again else zero)
@@ -136,6 +155,6 @@ def sweep(df: DataFrame, spec: MergeSpec, gaps: tuple[float, ...]) -> DataFrame:
 
 
 def merge_parts(parts: list[DataFrame], spec: MergeSpec) -> DataFrame:
-    """Parts that were merged on their own (months), merged again across their bounds; provenance is kept."""
+    """Parts that were merged on their own (months), merged again across their bounds; provenance is kept. Parts merged with ``places`` give what one merge of all their records gives."""
     whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     return merged(whole, spec)

@@ -53,6 +53,20 @@ def joined_state(name: str, value: Column, order: Column, sep: str = "|") -> Sta
     return State(name, in_order(F.struct(order.alias("o"), value.alias("v"))), in_order(F.struct(F.col("_chunk").alias("o"), F.nullif(F.col(name), F.lit("")).alias("v"))))
 
 
+def placed_state(name: str, value: Column) -> State:
+    """The first of values that come with their place (o and v), place and all."""
+    return State(name, F.min_by(value, value["o"]), F.min_by(F.col(name), F.col(name)["o"]))
+
+
+def records_state(name: str, records: Column) -> State:
+    """All records of arrays of them (o and v), in no order yet."""
+    return State(name, F.flatten(F.collect_list(records)), F.flatten(F.collect_list(name)))
+
+
+def joined_records(name: str, sep: str = "|") -> Column:
+    return F.array_join(F.transform(F.array_sort(name), lambda r: r["v"]), sep)
+
+
 def dealt(df: DataFrame, group: list[str], order: list[Column]) -> DataFrame:
     """Adds _chunk: rows of a group lie in chunks that follow one another in ``order``; nulls come first."""
     return df.repartitionByRange(*group, *order).withColumn("_chunk", F.spark_partition_id())

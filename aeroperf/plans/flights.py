@@ -39,11 +39,11 @@ def normalised(df: DataFrame) -> DataFrame:
     return out
 
 
-def prepared(df: DataFrame, gap_min: float = GAP_MIN) -> DataFrame:
-    """Normalised, one row a key, then one row a flight."""
+def prepared(df: DataFrame, gap_min: float = GAP_MIN, places: bool = False) -> DataFrame:
+    """Normalised, one row a key, then one row a flight; with ``places``, as ``joined_months`` needs to equal one run over all months."""
     rows = normalised(df)
     one = collapse_same_key(rows, "pk", ("dh_inicio", "dh_fim"), tuple(c for c in LISTS if c in rows.columns)).drop("N_KEY_MERGED")
-    return merged(one, spec(gap_min, one.columns))
+    return merged(one, spec(gap_min, one.columns), places=places)
 
 
 def prepared_with_steps(df: DataFrame, gap_min: float = GAP_MIN) -> ObservedSteps:

@@ -89,6 +89,22 @@ def test_merging_again_changes_nothing(spark):
     assert [x[:5] for x in key(once)] == [x[:5] for x in key(twice)]
 
 
+@pytest.mark.parametrize("split", [None, "hour"])
+def test_parts_merge_to_the_whole(spark, split):
+    """A filled value without a span before a bound, spans of blank rows beside it, zero spans on both sides."""
+    at = lambda m: T0 + timedelta(minutes=m)
+    rows = [("a", at(0), at(0), 1, "first", "p"), ("a", at(5), at(20), 2, None, "q"), ("a", at(40), at(50), 3, "spans", "r"), ("b", at(0), None, 4, "x", "p"), ("b", at(10), None, 5, "y", "p"), ("b", at(40), None, 6, " ", "q"), ("c", None, None, 7, "z", "p")]
+    rng = random.Random(5)
+    rows += [(rng.choice("def"), at(m := rng.randrange(900)), rng.choice([None, at(m), at(m + 30)]), 10 + i, rng.choice([None, " ", "x", "y", "z"]), rng.choice("pq")) for i in range(90)]
+    df = spark.createDataFrame(rows, "k string, s timestamp, e timestamp, i long, v string, u string")
+    kind = replace(SPEC, filled_cols=("v",), prefer_filled="v", split_by=split)
+    bounds = (F.col("s").isNull() | (F.col("s") < at(30)), (F.col("s") >= at(30)) & (F.col("s") < at(400)), F.col("s") >= at(400))
+    parts = [islands.merged(df.where(b), kind, places=True).withColumn("i", F.substring_index("MERGED_IDS", "|", 1).cast("long")) for b in bounds]
+    whole = islands.merged(df, kind)
+    plain = lambda x: sorted(map(repr, x.select(*whole.columns).collect()))
+    assert plain(islands.merge_parts(parts, kind)) == plain(whole)
+
+
 def test_same_key_collapse(spark):
     from aeroperf.operators.collapse import collapse_same_key
 
