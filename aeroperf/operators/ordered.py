@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 from aeroperf.functions.text import filled, union_of_lists
 from aeroperf.operators.components import cut_lineage
 
+#: Rows that a task sorts at a time, and rows of a table of chunks that are sent to all tasks.
+CHUNK_ROWS, SENT_ROWS = 250_000, 50_000
+
 
 @dataclass(frozen=True)
 class State:
@@ -67,9 +70,9 @@ def joined_records(name: str, sep: str = "|") -> Column:
     return F.array_join(F.transform(F.array_sort(name), lambda r: r["v"]), sep)
 
 
-def dealt(df: DataFrame, group: list[str], order: list[Column]) -> DataFrame:
-    """Adds _chunk: rows of a group lie in chunks that follow one another in ``order``; nulls come first."""
-    return df.repartitionByRange(*group, *order).withColumn("_chunk", F.spark_partition_id())
+def dealt(df: DataFrame, group: list[str], order: list[Column], chunks: int | None = None) -> DataFrame:
+    """Adds _chunk: rows of a group lie in chunks that follow one another in ``order``; nulls come first. ``chunks``: how many, else as many as a shuffle has partitions."""
+    return df.repartitionByRange(*([chunks] if chunks else []), *group, *order).withColumn("_chunk", F.spark_partition_id())
 
 
 def in_two_steps(df: DataFrame, group: list[str], order: list[Column], states: list[State]) -> DataFrame:
@@ -89,9 +92,22 @@ def carried(df: DataFrame, group: list[str], chunk: str, values: dict[str, tuple
     return df.join(right, same, "left").drop(*[f"_r{i}" for i in range(len(names))])
 
 
-def places(df: DataFrame, group: list[str], order: list[Column], name: str) -> DataFrame:
-    """Adds the place of a row within its group, from 1: that in its chunk, and the rows of the chunks before. The dealt rows are written once."""
-    rows = cut_lineage(dealt(df, group, order))
-    own = F.row_number().over(Window.partitionBy(*group, "_chunk").orderBy(*order))
-    out = carried(rows, group, "_chunk", {"_ahead": (F.lit(1), F.sum)})
-    return out.withColumn(name, (own + F.coalesce("_ahead", F.lit(0))).cast("int")).drop("_chunk", "_ahead")
+def places(df: DataFrame, group: list[str], order: list[Column], name: str, most: int = CHUNK_ROWS) -> DataFrame:
+    """Adds the place of a row within its group, from 1: that in its chunk, and the rows of the chunks before.
+
+    A task sorts one chunk of about ``most`` rows, however many there are: rows
+    are counted first, dealt to so many chunks, and written once, sorted and
+    numbered in passing. They are not dealt or sorted again: where a group
+    begins in a chunk comes from a table of one row a group and chunk.
+    """
+    rows = dealt(df, group, order, max(1, -(-df.count() // most))).sortWithinPartitions(*group, *order)
+    rows = cut_lineage(rows.withColumn("_at", F.monotonically_increasing_id()))
+    before = Window.partitionBy(*group).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    starts = rows.groupBy(*group, "_chunk").agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
+    starts = starts.withColumn("_shift", F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1)
+    names = [*group, "_chunk"]
+    starts = cut_lineage(starts.select(*[F.col(k).alias(f"_r{i}") for i, k in enumerate(names)], "_shift"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r{i}")) for i, k in enumerate(names)])
+    # many groups are joined by key; few are sent to the rows, which stay where they are
+    starts = F.broadcast(starts) if starts.count() <= SENT_ROWS else starts
+    return rows.join(starts, same).withColumn(name, (F.col("_at") + F.col("_shift")).cast("int")).drop("_chunk", "_at", "_shift", *[f"_r{i}" for i in range(len(names))])

@@ -59,3 +59,17 @@ def test_keys_collapse_alike(hot):
 def test_places_are_alike(hot):
     order = [F.col("s").desc_nulls_last(), F.col("id").asc()]
     same(dedup.numbered(hot, ("k",), order), dedup.numbered(hot, ("k",), order, split=True))
+
+
+def test_places_sort_a_chunk_at_a_time(hot, monkeypatch):
+    """Chunks by rows, whatever a shuffle's partitions; no chunk meets another in a later task."""
+    order = [F.col("s").asc(), F.col("id").asc()]
+    rows = hot.withColumn("k", F.nullif("k", F.lit("few1")))
+    want = dedup.numbered(rows, ("k",), order)
+    sent = ordered.places(rows, ["k"], order, "seq", most=20_000)
+    plan = sent._jdf.queryExecution().executedPlan().toString()
+    assert "row_number" not in plan and "hashpartitioning" not in plan
+    assert sent.rdd.getNumPartitions() == 10
+    same(sent, want)
+    monkeypatch.setattr(ordered, "SENT_ROWS", 0)
+    same(ordered.places(rows, ["k"], order, "seq", most=20_000), want)
