@@ -10,13 +10,14 @@ what is open, not by a task's memory.
 from __future__ import annotations
 
 import json
+import pickle
 import sys
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -49,66 +50,65 @@ def amended(changes: DataFrame, key: tuple[str, ...], order: tuple[str, ...]) ->
     return keep_one(changes, key, order, last=True).where("not gone").drop("gone", "closed", *order)
 
 
-def _spelled(values: list[Column]) -> Column:
-    """A place in an order, as text that state can hold."""
-    return F.to_json(F.struct(*[v.alias(f"v{i}") for i, v in enumerate(values)]), {"ignoreNullFields": "false"})
+def _spelled(values: list[Column], **more: Column) -> Column:
+    """A place in an order, and what else is known of a row, as one text: Python takes a row over value by value."""
+    return F.to_json(F.struct(F.struct(*[v.alias(f"v{i}") for i, v in enumerate(values)]).alias("place"), *[c.alias(n) for n, c in more.items()]), {"ignoreNullFields": "false"})
 
 
-def _place(spelled: str) -> list[tuple]:
+def _place(spelled: dict) -> list[tuple]:
     """A place as it is compared: a null before any other value."""
-    return [(v is not None, 0 if v is None else v) for v in json.loads(spelled).values()]
+    return [(v is not None, 0 if v is None else v) for v in spelled.values()]
 
 
-def _value(v, kind: T.DataType):
-    """A value as Spark knows it: pandas holds nulls as NaN, and whole numbers beside them as fractions."""
-    if v is None or (not isinstance(v, (list, dict)) and pd.isna(v)):
-        return None
-    return int(v) if isinstance(kind, T.IntegralType) else v
+#: What is held of a key, pickled: values come out as they went in, whatever their types, in one message to the store and one row of it.
+HELD = T.StructType([T.StructField("held", T.BinaryType())])
 
 
 class _Islands(StatefulProcessor):
-    """Open islands of a key: a list of rows, each with its ends, unions, first filled values and records in order."""
+    """Open islands of a key, in order of time: each with its ends, unions, first filled values and records with their places.
 
-    def __init__(self, unions: tuple[str, ...], filled: tuple[str, ...], gap_us: int, state: T.StructType, out: T.StructType, keys: int):
-        self.unions, self.filled, self.gap_us, self.schema, self.out, self.keys = unions, filled, gap_us, state, out, keys
-        self.kinds = {f.name: f.dataType for f in state.fields}
+    A key has one timer, for the first of its islands that is due; it is put
+    off when that one has grown, and set forward when an earlier one comes.
+    """
+
+    def __init__(self, unions: tuple[str, ...], filled: tuple[str, ...], gap_us: int, out: T.StructType, keys: int):
+        self.unions, self.filled, self.gap_us, self.row, self.blanks = unions, filled, gap_us, Row(*out.names), len(out.names) - keys - 3
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle, self.open = handle, handle.getListState("open", self.schema)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        islands = [dict(zip(self.schema.names, x)) for x in self.open.get()] if self.open.exists() else []
-        gone, touched = [], set()
-        for batch in rows:
-            for r in batch.to_dict("records"):
-                new = {"id": r["id__"], "s": int(r["s__"]), "e": int(r["e__"]), "n": 1, "zero": r["s__"] == r["e__"], "ids": [json.dumps([r["place__"], r["id__"]])]}
-                for c in self.unions:
-                    new[c] = [x for x in (_value(r[c], None) or "").split("|") if x]
-                for c in self.filled:
-                    new[c], new[f"{c}_at"] = (_value(r[c], self.kinds[c]), r["place__"]) if r[f"has__{c}"] else (None, None)
-                near = [x for x in islands if new["s"] <= x["e"] + self.gap_us and x["s"] <= new["e"] + self.gap_us]
-                islands = [x for x in islands if not any(x is y for y in near)]
-                kept = min(near, key=lambda x: (x["s"], x["id"]))["id"] if near else new["id"]
-                gone += [x["id"] for x in near if x["id"] != kept]
+        self.handle, self.open = handle, handle.getValueState("open", HELD)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        islands, timer = self._held()
+        starts, ends = [x["s"] for x in islands], [x["e"] for x in islands]
+        gone, touched = set(), set()
+        for r in rows:
+            new = self._single(r)
+            # islands are further apart than the gap: those near the new one follow one another
+            at = slice(bisect_left(ends, new["s"] - self.gap_us), bisect_right(starts, new["e"] + self.gap_us))
+            near = islands[at]
+            if near:
+                kept = min(near, key=lambda x: (x["s"], x["id"]))["id"]
+                gone.update(x["id"] for x in near if x["id"] != kept)
                 for x in near:
-                    new = self._merged(new, x)
-                islands.append(new | {"id": kept})
-                touched.add(kept)
-        self._hold(islands)
-        gone = sorted(set(gone))
+                    new = self._merged(x, new)
+                new["id"] = kept
+            islands[at], starts[at], ends[at] = [new], [new["s"]], [new["e"]]
+            touched.add(new["id"])
+        self._hold(islands, timer)
         for x in islands:
-            self.handle.registerTimer(self._due(x))
-        given = [self._given(key, x, False) for x in islands if x["id"] in touched and x["id"] not in gone]
-        given += [(*key, *[None] * (len(self.out.names) - self.keys - 3), i, False, True) for i in gone]
-        yield self._frame(given)
+            if x["id"] in touched and x["id"] not in gone:
+                yield self._given(key, x, False)
+        for i in sorted(gone):
+            yield self.row(*key, *[None] * self.blanks, i, False, True)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         now = timerValues.getCurrentWatermarkInMs()
-        islands = [dict(zip(self.schema.names, x)) for x in self.open.get()] if self.open.exists() else []
-        over = [x for x in islands if self._due(x) <= now]
-        if over:
-            self._hold([x for x in islands if self._due(x) > now])
-        yield self._frame([self._given(key, x, True) for x in over])
+        islands, timer = self._held()
+        fired = expiredTimerInfo.getExpiryTimeInMs()
+        self._hold([x for x in islands if self._due(x) > now], None if timer == fired else timer)
+        for x in islands:
+            if self._due(x) <= now:
+                yield self._given(key, x, True)
 
     def close(self) -> None:
         pass
@@ -117,28 +117,45 @@ class _Islands(StatefulProcessor):
         """The watermark at which no record to come starts within the gap."""
         return (island["e"] + self.gap_us) // 1000 + 1
 
-    def _hold(self, islands: list[dict]) -> None:
+    def _held(self) -> tuple[list[dict], int | None]:
+        held = self.open.get()
+        return pickle.loads(held[0]) if held else ([], None)
+
+    def _hold(self, islands: list[dict], timer: int | None) -> None:
+        due = self._due(islands[0]) if islands else None
+        if timer is not None and timer != due:
+            self.handle.deleteTimer(timer)
+        if due is not None and timer != due:
+            self.handle.registerTimer(due)
         if islands:
-            self.open.put([tuple(x[c] for c in self.schema.names) for x in islands])
+            self.open.update((pickle.dumps((islands, due), 5),))
         else:
             self.open.clear()
 
+    def _single(self, r: Row) -> dict:
+        x = json.loads(r["row__"])
+        s, e, name, place = x["s"], x["e"], x["id"], _place(x["place"])
+        new = {"id": name, "s": s, "e": e, "n": 1, "zero": s == e, "ids": [(place, name)]}
+        for i, c in enumerate(self.unions):
+            new[c] = x[f"list{i}"].split("|") if x[f"list{i}"] else []
+        for i, c in enumerate(self.filled):
+            new[c], new[f"{c}_at"] = (r[c], place) if x[f"has{i}"] else (None, None)
+        return new
+
     def _merged(self, a: dict, b: dict) -> dict:
-        out = {"id": a["id"], "s": min(a["s"], b["s"]), "e": max(a["e"], b["e"]), "n": a["n"] + b["n"], "zero": a["zero"] and b["zero"], "ids": [*a["ids"], *b["ids"]]}
+        out = {"id": a["id"], "s": min(a["s"], b["s"]), "e": max(a["e"], b["e"]), "n": a["n"] + b["n"], "zero": a["zero"] and b["zero"], "ids": a["ids"]}
+        out["ids"].extend(b["ids"])  # a's own list goes on: one record more costs no copy of those before
         for c in self.unions:
-            out[c] = sorted({*a[c], *b[c]})
+            out[c] = a[c] if a[c] == b[c] else sorted({*a[c], *b[c]})
         for c in self.filled:
-            first = min((x for x in (a, b) if x[f"{c}_at"] is not None), key=lambda x: _place(x[f"{c}_at"]), default=a)
+            first = min((x for x in (a, b) if x[f"{c}_at"] is not None), key=lambda x: x[f"{c}_at"], default=a)
             out[c], out[f"{c}_at"] = first[c], first[f"{c}_at"]
         return out
 
-    def _given(self, key, x: dict, closed: bool) -> tuple:
-        ids = [i for _, i in sorted((json.loads(r) for r in x["ids"]), key=lambda r: _place(r[0]))]
+    def _given(self, key, x: dict, closed: bool) -> Row:
         lists = ["|".join(sorted(x[c])) or None for c in self.unions]
-        return (*key, x["s"], x["e"], *lists, *[x[c] for c in self.filled], x["n"], "|".join(ids), x["zero"] if x["n"] > 1 else None, x["id"], closed, False)
-
-    def _frame(self, rows: list[tuple]) -> pd.DataFrame:
-        return pd.DataFrame(rows, columns=self.out.names, dtype=object)
+        x["ids"].sort(key=lambda r: r[0])
+        return self.row(*key, x["s"], x["e"], *lists, *[x[c] for c in self.filled], x["n"], "|".join(i for _, i in x["ids"]), x["zero"] if x["n"] > 1 else None, x["id"], closed, False)
 
 
 def merged_islands(events: DataFrame, spec: MergeSpec, late: str) -> DataFrame:
@@ -155,61 +172,63 @@ def merged_islands(events: DataFrame, spec: MergeSpec, late: str) -> DataFrame:
     rows = _prepared(events.where(_chained(spec)), spec)
     blank = clean(F.col(spec.prefer_filled).cast("string")).isNull() if spec.prefer_filled else F.lit(False)
     plain = lambda c: F.col(c) if isinstance(kinds[c], T.NumericType) else F.col(c).cast("string")
-    place = _spelled([blank, F.col("_s") == F.col("_e"), F.unix_micros("_s"), *map(plain, spec.order)])
-    lists = [canonical_list(F.col(c)).alias(c) for c in spec.union_cols]
-    filled = [F.col(c) for c in spec.filled_cols] + [clean(F.col(c).cast("string")).isNotNull().alias(f"has__{c}") for c in spec.filled_cols]
-    rows = rows.withColumn("t__", F.col("_s").cast("timestamp")).withWatermark("t__", late)
-    rows = rows.select(*spec.key, "t__", F.unix_micros("_s").alias("s__"), F.unix_micros("_e").alias("e__"), F.col(spec.identity).cast("string").alias("id__"), place.alias("place__"), *lists, *filled)
+    known = {"s": F.unix_micros("_s"), "e": F.unix_micros("_e"), "id": F.col(spec.identity).cast("string")}
+    known |= {f"list{i}": canonical_list(F.col(c)) for i, c in enumerate(spec.union_cols)}
+    known |= {f"has{i}": clean(F.col(c).cast("string")).isNotNull() for i, c in enumerate(spec.filled_cols)}
+    row = _spelled([blank, F.col("_s") == F.col("_e"), F.unix_micros("_s"), *map(plain, spec.order)], **known)
+    rows = rows.withColumn("t__", F.col("_s").cast("timestamp")).withWatermark("t__", late).select(*spec.key, "t__", row.alias("row__"), *spec.filled_cols)
     text, long, flag = T.StringType(), T.LongType(), T.BooleanType()
-    held = [("id", text), ("s", long), ("e", long), ("n", long), ("zero", flag), ("ids", T.ArrayType(text)), *[(c, T.ArrayType(text)) for c in spec.union_cols]]
-    held += [x for c in spec.filled_cols for x in ((c, kinds[c]), (f"{c}_at", text))]
     out = [*[(c, kinds[c]) for c in spec.key], ("s__", long), ("e__", long), *[(c, text) for c in spec.union_cols], *[(c, kinds[c]) for c in spec.filled_cols]]
     out += [("N_MERGED", long), ("MERGED_IDS", text), ("ZERO_SPAN_ONLY", flag), ("island_id", text), ("closed", flag), ("gone", flag)]
-    state, given = (T.StructType([T.StructField(*f) for f in x]) for x in (held, out))
-    processor = _Islands(spec.union_cols, spec.filled_cols, round(spec.gap_min * 60e6), state, given, len(spec.key))
-    got = rows.groupBy(*spec.key).transformWithStateInPandas(processor, given, "Update", "EventTime")
+    given = T.StructType([T.StructField(*f) for f in out])
+    processor = _Islands(spec.union_cols, spec.filled_cols, round(spec.gap_min * 60e6), given, len(spec.key))
+    got = rows.groupBy(*spec.key).transformWithState(processor, given, "Update", "EventTime")
     ends = got.withColumns({spec.start: F.timestamp_micros("s__"), spec.end: F.timestamp_micros("e__")})
     ends = ends.withColumn("SPAN_MIN", minutes_between(F.col(spec.end), F.col(spec.start)))
     return ends.select(*spec.key, spec.start, spec.end, *spec.union_cols, *spec.filled_cols, "N_MERGED", "MERGED_IDS", "ZERO_SPAN_ONLY", "SPAN_MIN", "island_id", "closed", "gone")
 
 
 class _Last(StatefulProcessor):
-    """The last row of a key so far, by an order."""
+    """The last row of a key so far, by an order; its place in it, and until when it is held. A timer that a later row has put off is set anew when it fires."""
 
-    def __init__(self, state: T.StructType, out: T.StructType, late_ms: int):
-        self.schema, self.out, self.late_ms, self.kinds = state, out, late_ms, {f.name: f.dataType for f in state.fields}
+    def __init__(self, rest: tuple[str, ...], out: T.StructType, late_ms: int):
+        self.rest, self.row, self.late_ms = rest, Row(*out.names), late_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle, self.last = handle, handle.getValueState("last", self.schema)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        before = dict(zip(self.schema.names, self.last.get())) if self.last.exists() else None
-        best, newest = before, before["until__"] if before else 0
-        for batch in rows:
-            for r in batch.to_dict("records"):
-                newest = max(newest, int(r["ms__"]) + self.late_ms)
-                r = {c: _value(r[c], k) for c, k in self.kinds.items() if c in r}
-                if best is None or _place(r["place__"]) > _place(best["place__"]):
-                    best = r
-        best = best | {"until__": newest}
-        self.last.update(tuple(best[c] for c in self.schema.names))
-        self.handle.registerTimer(newest + 1)
-        if best["place__"] != (before or {}).get("place__"):
-            yield self._frame(key, best, False)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.last.exists():
-            best = dict(zip(self.schema.names, self.last.get()))
-            if best["until__"] < timerValues.getCurrentWatermarkInMs():  # a later row has put it off otherwise
+        self.handle, self.last = handle, handle.getValueState("last", HELD)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        held = self.last.get()
+        before, best, until = pickle.loads(held[0]) if held else (None, None, 0)
+        place, first = before, until
+        for r in rows:
+            x = json.loads(r["row__"])
+            until = until if x["ms"] is None else max(until, x["ms"] + self.late_ms)
+            new = _place(x["place"])
+            if place is None or new > place:
+                place, best = new, r
+        if place is not before:
+            best = tuple(best[c] for c in self.rest)
+        if place is not before or until != first:
+            self.last.update((pickle.dumps((place, best, until), 5),))
+        if until and not first:  # a key without a stamp stays until it has one
+            self.handle.registerTimer(until + 1)
+        if place is not before:
+            yield self.row(*key, *best, False, False)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        held = self.last.get()
+        if held:
+            _, best, until = pickle.loads(held[0])
+            if until < timerValues.getCurrentWatermarkInMs():
                 self.last.clear()
-                yield self._frame(key, best, True)
+                yield self.row(*key, *best, True, False)
+            else:
+                self.handle.registerTimer(until + 1)
 
     def close(self) -> None:
         pass
 
-    def _frame(self, key, row: dict, closed: bool) -> pd.DataFrame:
-        return pd.DataFrame([(*key, *[row[c] for c in self.out.names[len(key) : -2]], closed, False)], columns=self.out.names, dtype=object)
-
 
 def keep_last(events: DataFrame, key: tuple[str, ...], ts: str, order: tuple[str, ...], late: str, late_ms: int) -> DataFrame:
     """``keep_one(last=True)`` of a stream: the last row of each key by ``order``, whenever it has changed, with closed and gone (never).
@@ -225,8 +244,8 @@ def keep_last(events: DataFrame, key: tuple[str, ...], ts: str, order: tuple[str
     rest = [c for c in events.columns if c not in key]
     plain = lambda c: F.col(c) if isinstance(kinds[c], T.NumericType) else F.col(c).cast("string")
     stamp = F.col(ts).cast("timestamp")
-    rows = events.withColumns({"t__": stamp, "ms__": F.unix_millis(stamp), "place__": _spelled([plain(c) for c in order])}).withWatermark("t__", late)
-    held = [*[(c, kinds[c]) for c in rest], ("place__", T.StringType()), ("until__", T.LongType())]
+    rows = events.withColumn("row__", _spelled([plain(c) for c in order], ms=F.unix_millis(stamp)))
+    rows = rows.withWatermark(ts, late) if isinstance(kinds[ts], T.TimestampType) else rows.withColumn("t__", stamp).withWatermark("t__", late)
     out = [*[(c, kinds[c]) for c in (*key, *rest)], ("closed", T.BooleanType()), ("gone", T.BooleanType())]
-    state, given = (T.StructType([T.StructField(*f) for f in x]) for x in (held, out))
-    return rows.groupBy(*key).transformWithStateInPandas(_Last(state, given, late_ms), given, "Update", "EventTime")
+    given = T.StructType([T.StructField(*f) for f in out])
+    return rows.groupBy(*key).transformWithState(_Last(tuple(rest), given, late_ms), given, "Update", "EventTime")

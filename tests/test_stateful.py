@@ -87,3 +87,21 @@ def test_a_key_is_dropped_and_comes_again(spark, tmp_path):
     assert [r.v for r in changes.where("k = 'a' AND not closed").orderBy("batch").collect()] == [5, 3]
     got = stateful.amended(changes, ("k",), ("v", "batch"))
     assert {(r.k) for r in got.collect()} == {"a", "b"}
+
+
+def timers(spark, tmp_path, parts, schema, apply):
+    """Timers that each batch sets."""
+    src, mark, out = (f"{tmp_path}/timers-{x}" for x in ("src", "mark", "out"))
+    got = []
+    with stateful.with_state_store(spark):
+        for part in parts:
+            spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(src)
+            stream = apply(spark.readStream.schema(schema).parquet(src)).writeStream.foreachBatch(lambda batch, _: batch.write.mode("append").parquet(out)).outputMode("update").option("checkpointLocation", mark).trigger(availableNow=True).start()
+            stream.awaitTermination()
+            got.append(sum(x["stateOperators"][0]["customMetrics"]["numRegisteredTimers"] for x in stream.recentProgress if x["numInputRows"]))
+    return got
+
+
+def test_a_key_has_one_timer_for_all_its_islands(spark, tmp_path):
+    parts = [[("a", 100 * p + i, T0 + timedelta(hours=3 * i + p), None, "x", "N", 1.0) for i in range(40)] for p in range(2)]
+    assert timers(spark, tmp_path, parts, SCHEMA, lambda e: stateful.merged_islands(e, SPEC, "900 days")) == [1, 1]
