@@ -105,3 +105,9 @@ def timers(spark, tmp_path, parts, schema, apply):
 def test_a_key_has_one_timer_for_all_its_islands(spark, tmp_path):
     parts = [[("a", 100 * p + i, T0 + timedelta(hours=3 * i + p), None, "x", "N", 1.0) for i in range(40)] for p in range(2)]
     assert timers(spark, tmp_path, parts, SCHEMA, lambda e: stateful.merged_islands(e, SPEC, "900 days")) == [1, 1]
+
+
+def test_a_key_that_goes_on_sets_no_timer(spark, tmp_path):
+    schema = "k string, ts timestamp, v int"
+    parts = [[("a", None if p == 0 else T0 + timedelta(minutes=p), p), ("b", T0 + timedelta(minutes=p), p)] for p in range(3)]
+    assert timers(spark, tmp_path, parts, schema, lambda e: stateful.keep_last(e, ("k",), "ts", ("ts",), "9 days", 777_600_000)) == [1, 1, 0]
