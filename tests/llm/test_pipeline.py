@@ -1,12 +1,13 @@
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from aeroperf.llm import jaccard, mixing, passages
+from aeroperf.llm import jaccard, mixing, passages, workers
 
 CLEAN = " ".join
 
@@ -66,3 +67,19 @@ def test_one_query_for_each_operator():
 def test_texts_with_a_letter_stay_without_labels(spark, docs):
     out = corpus_pipeline.known_language(spark, docs.withColumn("lang", F.lit(None).cast("string")), "")
     assert out.columns == docs.columns and {r.doc_id for r in out.collect()} == {r.doc_id for r in docs.collect()} - {22, 23, 24}
+
+
+def test_stages_bound_the_bytes_of_batches(spark, docs):
+    kept = spark.conf.get(workers.BATCH_BYTES)
+    spark.conf.unset(workers.BATCH_BYTES)
+    long = spark.range(0, 2_000, 1, 1).select(F.col("id").alias("doc_id"), F.concat(F.lit("word "), F.repeat(F.lit("x"), 10_000)).alias("text"))
+    sizes = long.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [len(b)], "bytes": [b.nbytes]}) for b in batches), "n long, bytes long")
+    try:
+        corpus_pipeline.STAGES[-1][1](spark, docs, "")
+        got = sizes.collect()
+        assert sum(r.n for r in got) == 2_000 and max(r.bytes for r in got) < 3 << 20
+        spark.conf.set(workers.BATCH_BYTES, "1m")
+        corpus_pipeline.STAGES[0][1](spark, docs, "")
+        assert spark.conf.get(workers.BATCH_BYTES) == "1m"
+    finally:
+        spark.conf.set(workers.BATCH_BYTES, kept)
