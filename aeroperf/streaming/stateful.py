@@ -16,6 +16,9 @@ from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -230,6 +233,46 @@ class _Last(StatefulProcessor):
         pass
 
 
+def _leading(table: pa.Table, key: tuple[str, ...], order: list[str], stamp: str) -> pa.Table:
+    """Rows of which no row of the same key is both later by ``order`` and at least as late by ``stamp``; of equal rows the first. Null stamps among themselves.
+
+    Whatever a watermark leaves out, the last of the rest is among them, and so
+    is the newest stamp.
+    """
+    n = len(table)
+    group = pc.is_null(table.column(stamp)).to_numpy().astype(np.int64)
+    for c in key:
+        codes = pc.dictionary_encode(table.column(c).combine_chunks(), null_encoding="encode").indices.to_numpy()
+        group = np.unique(group * (int(codes.max()) + 1) + codes, return_inverse=True)[1]
+    place = np.empty(n, np.int64)
+    by = table.select(order).append_column("came__", pa.array(np.arange(n)))
+    place[pc.sort_indices(by, [*[(c, "ascending") for c in order], ("came__", "descending")], null_placement="at_start").to_numpy()] = np.arange(n)
+    at = np.lexsort((-place, group))  # each key's rows, the last first
+    stamps = np.unique(pc.fill_null(table.column(stamp), 0).to_numpy(), return_inverse=True)[1]
+    newest = np.maximum.accumulate(group[at] * n + stamps[at])
+    return table.take(pa.array(np.sort(at[np.r_[True, newest[1:] > newest[:-1]]])))
+
+
+def _combined(key: tuple[str, ...], order: list[str], stamp: str, max_rows: int, max_bytes: int):
+    """``_leading`` rows of a partition; so many rows and bytes are held at most, and go out as they are where that leaves too many."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows, size = [], 0, 0
+        for batch in batches:
+            if len(batch):
+                held, rows, size = [*held, batch], rows + len(batch), size + batch.nbytes
+            if rows >= max_rows or size >= max_bytes:
+                held = _leading(pa.Table.from_batches(held), key, order, stamp).combine_chunks().to_batches()
+                rows, size = sum(map(len, held)), sum(b.nbytes for b in held)
+                if 2 * rows >= max_rows or 2 * size >= max_bytes:
+                    yield from held
+                    held, rows, size = [], 0, 0
+        if held:
+            yield from _leading(pa.Table.from_batches(held), key, order, stamp).to_batches()
+
+    return run
+
+
 def keep_last(events: DataFrame, key: tuple[str, ...], ts: str, order: tuple[str, ...], late: str, late_ms: int) -> DataFrame:
     """``keep_one(last=True)`` of a stream: the last row of each key by ``order``, whenever it has changed, with closed and gone (never).
 
@@ -238,13 +281,19 @@ def keep_last(events: DataFrame, key: tuple[str, ...], ts: str, order: tuple[str
     that opens the key anew, and ``amended`` still keeps the later one. Order
     columns are numbers or text (stamps as text sort like stamps), nulls first;
     of rows equal in ``order`` the first to come stays. Null keys are one key.
-    Start it with ``with_state_store``, in update mode.
+    Start it with ``with_state_store``, in update mode. Before they meet the
+    state, a batch's rows are gathered by key and those that can't be the last
+    are left out, whole Arrow batches at a time.
     """
     kinds = {f.name: f.dataType for f in events.schema.fields}
     rest = [c for c in events.columns if c not in key]
     plain = lambda c: F.col(c) if isinstance(kinds[c], T.NumericType) else F.col(c).cast("string")
     stamp = F.col(ts).cast("timestamp")
-    rows = events.withColumn("row__", _spelled([plain(c) for c in order], ms=F.unix_millis(stamp)))
+    rows, places = events, [f"place{i}__" for i in range(len(order))]
+    if not any(isinstance(kinds[c], (T.StructType, T.ArrayType)) for c in key):  # Arrow has no codes for nested keys
+        placed = events.withColumns({p: plain(c) for p, c in zip(places, order)} | {"us__": F.unix_micros(stamp)})
+        rows = placed.repartition(*map(F.col, key)).mapInArrow(_combined(key, places, "us__", 1 << 18, 1 << 26), placed.schema).select(events.columns)
+    rows = rows.withColumn("row__", _spelled([plain(c) for c in order], ms=F.unix_millis(stamp)))
     rows = rows.withWatermark(ts, late) if isinstance(kinds[ts], T.TimestampType) else rows.withColumn("t__", stamp).withWatermark("t__", late)
     out = [*[(c, kinds[c]) for c in (*key, *rest)], ("closed", T.BooleanType()), ("gone", T.BooleanType())]
     given = T.StructType([T.StructField(*f) for f in out])

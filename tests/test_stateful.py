@@ -3,6 +3,7 @@
 import random
 from datetime import datetime, timedelta
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -111,3 +112,19 @@ def test_a_key_that_goes_on_sets_no_timer(spark, tmp_path):
     schema = "k string, ts timestamp, v int"
     parts = [[("a", None if p == 0 else T0 + timedelta(minutes=p), p), ("b", T0 + timedelta(minutes=p), p)] for p in range(3)]
     assert timers(spark, tmp_path, parts, schema, lambda e: stateful.keep_last(e, ("k",), "ts", ("ts",), "9 days", 777_600_000)) == [1, 1, 0]
+
+
+@pytest.mark.parametrize("most", [8, 1_000])
+def test_rows_that_cannot_be_the_last_are_left_out_whatever_the_watermark(most):
+    rng = random.Random(most)
+    rows = [(rng.choice(["a", "b", None]), rng.choice(["x", None]), rng.choice([None, 1, 2, 3]), rng.choice([None, "p", "q"]), rng.choice([None, *range(6)]), i) for i in range(400)]
+    names = ["k", "l", "o", "p", "us", "i"]
+    batches = pa.table([pa.array(c) for c in zip(*rows)], names=names).to_batches(max_chunksize=5)
+    got = [tuple(r.values()) for b in stateful._combined(("k", "l"), ["o", "p"], "us", most, 1 << 20)(iter(batches)) for r in b.to_pylist()]
+    assert len(set(got)) == len(got) and set(got) <= set(rows) and len(got) < (80 if most == 1_000 else 400)
+    place = lambda r: (r[2] is not None, r[2] or 0, r[3] is not None, r[3] or "", -r[5])
+    for mark in range(7):
+        last = lambda x: {k: max((r for r in x if r[:2] == k and (r[4] is None or r[4] >= mark)), key=place, default=None) for k in {r[:2] for r in rows}}  # noqa: E731, B023
+        assert last(got) == last(rows)
+    newest = lambda x: {k: max((r[4] for r in x if r[:2] == k and r[4] is not None), default=None) for k in {r[:2] for r in rows}}
+    assert newest(got) == newest(rows)
